@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from strandline.llm import license_scan, sentencepiece_spans, url_filter
+from strandline.llm import license_scan, sentencepiece_spans, substring_dedup, suffix_array_dedup, url_filter
 from strandline.llm.common import table
 
 MODEL = "piece_bpe_32k.model"
@@ -21,6 +21,14 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), url_filter.RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeated_words(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_spans.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -32,6 +40,8 @@ def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op3_url_filters": op3_url_filters,
+        "op4_substring_dedup": op4_substring_dedup,
+        "op6_suffix_array_dedup": op6_suffix_array_dedup,
         "op5_sentencepiece": op5_sentencepiece,
         "op7_license_scans": op7_license_scans,
     }
