@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from strandline.llm import license_scan, sentencepiece_spans, substring_dedup, suffix_array_dedup, url_filter
+from strandline.llm import classifiers, license_scan, sentencepiece_spans, substring_dedup, suffix_array_dedup, url_filter
 from strandline.llm.common import table
 
 MODEL = "piece_bpe_32k.model"
@@ -17,6 +17,14 @@ def tokenizer_path(name: str = MODEL) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifiers.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifiers.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), url_filter.RULES).select("page_id", "host", "path", "rule", "verdict")
 
@@ -39,6 +47,8 @@ def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_quality_classifier": op1_quality_classifier,
+        "op9_toxicity": op9_toxicity,
         "op3_url_filters": op3_url_filters,
         "op4_substring_dedup": op4_substring_dedup,
         "op6_suffix_array_dedup": op6_suffix_array_dedup,

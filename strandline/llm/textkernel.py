@@ -118,7 +118,8 @@ class Words:
         if len(data) and inside[0]:
             edge = np.concatenate([[0], edge])
         self.data, self.start, self.end = data, edge[0::2], edge[1::2]  # the last byte is a space
-        self.hash = Spans(byte_values(lower)[data]).of(self.start, self.end) if len(self.start) else np.zeros(0, np.uint64)
+        self.spans = Spans(byte_values(lower)[data])
+        self.hash = self.spans.of(self.start, self.end) if len(self.start) else np.zeros(0, np.uint64)
         self.first = np.searchsorted(self.start, starts)  # of each text; one more at the end
         self.n = np.diff(self.first)
         self.text = np.repeat(np.arange(len(self.n)), self.n)
