@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from strandline.llm import classifiers, license_scan, sentencepiece_spans, substring_dedup, suffix_array_dedup, url_filter
+from strandline.llm import classifiers, license_scan, near_dup, sentencepiece_spans, substring_dedup, suffix_array_dedup, url_filter
 from strandline.llm.common import table
 
 MODEL = "piece_bpe_32k.model"
@@ -21,6 +21,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifiers.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifiers.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,6 +52,7 @@ def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_quality_classifier": op1_quality_classifier,
+        "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_toxicity": op9_toxicity,
         "op3_url_filters": op3_url_filters,
         "op4_substring_dedup": op4_substring_dedup,
