@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from strandline.llm import classifiers, license_scan, near_dup, sentencepiece_spans, substring_dedup, suffix_array_dedup, url_filter
+from strandline.llm import classifiers, decontamination, embedding_dedup, license_scan, near_dup, sentencepiece_spans, substring_dedup, suffix_array_dedup, url_filter
 from strandline.llm.common import table
 
 MODEL = "piece_bpe_32k.model"
@@ -29,6 +29,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifiers.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), url_filter.RULES).select("page_id", "host", "path", "rule", "verdict")
 
@@ -54,6 +62,8 @@ def queries() -> dict:
         "op1_quality_classifier": op1_quality_classifier,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_toxicity": op9_toxicity,
+        "op2_decontamination": op2_decontamination,
+        "op10_embedding_near_dedup": op10_embedding_near_dedup,
         "op3_url_filters": op3_url_filters,
         "op4_substring_dedup": op4_substring_dedup,
         "op6_suffix_array_dedup": op6_suffix_array_dedup,
