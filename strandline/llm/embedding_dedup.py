@@ -10,17 +10,26 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.common import connected_components, cut, id_or_least
 
 COSINE = 0.95
-#: Vectors that the rotations are learned from, at most; rotations; bits of a chunk; rows of a block.
-SAMPLE, ROTATIONS, CHUNK_BITS, BLOCK = 20_000, 4, 12, 1024
+#: Vectors that the rotations are learned from, at most; least bits of a chunk; rows of a block; rows of a bucket compared by matrix product.
+SAMPLE, CHUNK_BITS, BLOCK, DENSE = 20_000, 12, 1024, 48
+#: Share of the pairs just at the threshold that no table may bring together.
+MISSED = 0.02
 
 
-def learn(sample: np.ndarray, rotations: int = ROTATIONS, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
+def tables_for(bits: int, threshold: float) -> int:
+    """Tables of ``bits`` bits that leave MISSED of the pairs at the threshold apart; a bit of theirs agrees with probability 1 - angle / pi."""
+    agree = (1 - np.arccos(min(threshold, 0.9999)) / np.pi) ** bits
+    return max(2, int(np.ceil(np.log(MISSED) / np.log(1 - agree))))
+
+
+def learn(sample: np.ndarray, rotations: int, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
     """Mean of the unit vectors and the projections (dimensions x bits), one ITQ rotation after another."""
     mean = sample.mean(0)
     x = sample - mean
@@ -48,30 +57,51 @@ def chunks(unit: np.ndarray, mean: np.ndarray, projection: np.ndarray, bits: int
     return code @ (1 << np.arange(bits, dtype=np.int64))
 
 
-def block_links(left: pd.DataFrame, right: pd.DataFrame | None, table: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Links of one block, or between two: ids, how many vectors each links with, and (id, smallest id of its part) edges."""
-    def parts(df):
-        return df["id"].to_numpy(), np.stack([np.frombuffer(b, np.float64) for b in df["unit"]]), np.array(df["codes"].tolist(), np.int64), df["n"].to_numpy()
-
-    ids, x, codes, n = parts(left)
-    if right is None:
-        ids2, x2, codes2, n2 = ids, x, codes, n
-    else:
-        ids2, x2, codes2, n2 = parts(right)
-    near = x @ x2.T >= threshold
-    if right is None:
-        np.fill_diagonal(near, False)
-    i, j = np.nonzero(near)
-    first = ~(codes[i, :table] == codes2[j, :table]).any(1) if table else np.ones(len(i), bool)
-    edges_a, edges_b = ids[i], ids2[j]  # all of them join parts, wherever the pair counts
-    i, j = i[first], j[first]
-    links = np.bincount(i, n2[j], len(ids)).astype(np.int64)
-    links2 = np.bincount(j, n[i], len(ids2)).astype(np.int64)
-    every = ids if right is None else np.concatenate([ids, ids2])
-    counts = links if right is None else np.concatenate([links, links2])
-    least, back = np.unique(every, return_inverse=True)
-    a, b = np.searchsorted(least, edges_a), np.searchsorted(least, edges_b)
-    label = np.arange(len(least))
+class Rows:
+    """Vectors of a bundle of buckets, sorted by bucket and block."""
+
+    def __init__(self, table: pa.Table, d: int):
+        take = lambda c: table[c].to_numpy()
+        order = np.lexsort([take(c) for c in ("own", "j", "i", "key", "tbl")])
+        self.id, self.n, self.tbl, self.own, self.i, self.j, key = (take(c)[order] for c in ("id", "n", "tbl", "own", "i", "j", "key"))
+        self.x = np.frombuffer(b"".join(table["unit"].to_pylist()), np.float64).reshape(-1, d)[order]
+        self.codes = np.frombuffer(b"".join(table["codes"].to_pylist()), np.int32).reshape(len(order), -1)[order]
+        change = (self.tbl[1:] != self.tbl[:-1]) | (key[1:] != key[:-1]) | (self.i[1:] != self.i[:-1]) | (self.j[1:] != self.j[:-1])
+        self.begin = np.flatnonzero(np.append(True, change))
+        self.size = np.diff(np.append(self.begin, len(order)))
+
+    def near(self, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of rows of one bucket (and of the right blocks) that are near enough."""
+        left, right = [], []
+        size_of = np.repeat(self.size, self.size)
+        last = np.repeat(self.begin + self.size, self.size)
+        for k in range(1, min(DENSE, int(self.size.max(initial=1)))):
+            a = np.flatnonzero((size_of <= DENSE) & (np.arange(len(last)) + k < last))
+            a = a[(self.i[a] == self.j[a]) | (self.own[a] != self.own[a + k])]
+            for c in range(0, len(a), 1 << 16):
+                part = a[c : c + (1 << 16)]
+                hit = part[np.einsum("nd,nd->n", self.x[part], self.x[part + k]) >= threshold]
+                left.append(hit)
+                right.append(hit + k)
+        for b, n in zip(self.begin[self.size > DENSE].tolist(), self.size[self.size > DENSE].tolist(), strict=True):
+            cut_at = b + n if self.i[b] == self.j[b] else b + int(np.searchsorted(self.own[b : b + n], self.own[b], "right"))
+            p, q = np.nonzero(self.x[b:cut_at] @ (self.x[b : b + n] if cut_at == b + n else self.x[cut_at : b + n]).T >= threshold)
+            p, q = p + b, q + (b if cut_at == b + n else cut_at)
+            if cut_at == b + n:
+                p, q = p[p < q], q[p < q]
+            left.append(p)
+            right.append(q)
+        return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64),) * 2
+
+
+def settle(rows: Rows, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(id, smallest id of its part here, links): a link counts in the first table where the codes' chunks agree, and joins parts in any."""
+    p, q = rows.near(threshold)
+    first = np.argmax(rows.codes[p] == rows.codes[q], axis=1) == rows.tbl[p] if len(p) else np.zeros(0, bool)
+    links = np.bincount(p[first], rows.n[q[first]], len(rows.id)) + np.bincount(q[first], rows.n[p[first]], len(rows.id))
+    ids, back = np.unique(rows.id, return_inverse=True)
+    total = np.bincount(back, links, len(ids)).astype(np.int64)
+    a, b, label = back[p], back[q], np.arange(len(ids))
     while True:
         new = label.copy()
         np.minimum.at(new, a, label[b])
@@ -80,7 +110,8 @@ def block_links(left: pd.DataFrame, right: pd.DataFrame | None, table: int, thre
         if (new == label).all():
             break
         label = new
-    return every, counts, least, least[label]
+    keep = (total > 0) | (label != np.arange(len(ids)))
+    return ids[keep], ids[label][keep], total[keep]
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = COSINE, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -123,8 +154,9 @@ def links_of(folded: DataFrame, d: int, threshold: float) -> DataFrame:
     sample = sample[np.lexsort(sample.T)]
     sample /= np.abs(sample).max(1, keepdims=True)
     sample /= np.linalg.norm(sample, axis=1, keepdims=True)
-    mean, projection = learn(sample)
     bits = max(CHUNK_BITS, int(np.ceil(np.log2(max(2, total)))) - 2)
+    tables = tables_for(bits, threshold)
+    mean, projection = learn(sample, int(np.ceil(tables * bits / d)))
     index = spark.sparkContext.broadcast((mean, projection))
 
     def encode(batches):
@@ -133,9 +165,9 @@ def links_of(folded: DataFrame, d: int, threshold: float) -> DataFrame:
             x = x / np.abs(x).max(1, keepdims=True)
             unit = x / np.linalg.norm(x, axis=1, keepdims=True)
             codes = chunks(unit, *index.value, bits)
-            yield pd.DataFrame({"id": pdf["rep"], "n": pdf["n"], "unit": [u.tobytes() for u in unit], "codes": list(codes)})
+            yield pd.DataFrame({"id": pdf["rep"], "n": pdf["n"], "unit": [u.tobytes() for u in unit], "codes": list(codes[:, :tables]), "packed": [c.tobytes() for c in codes[:, :tables].astype(np.int32)]})
 
-    coded = cut(folded.select("v", "rep", "n").mapInPandas(encode, "id long, n long, unit binary, codes array<long>"))
+    coded = cut(folded.select("v", "rep", "n").mapInPandas(encode, "id long, n long, unit binary, codes array<long>, packed binary"))
     keyed = coded.select("id", F.posexplode("codes").alias("tbl", "key"))
     sizes = keyed.groupBy("tbl", "key").agg(F.count("*").alias("m")).where("m > 1")
     spread = keyed.join(sizes, ["tbl", "key"]).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
@@ -143,19 +175,13 @@ def links_of(folded: DataFrame, d: int, threshold: float) -> DataFrame:
     # a row stands in the pair (i, i) of its own block and in one pair with each other block
     pairs = spread.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = pairs.select("id", "tbl", "key", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    work = placed.join(coded, "id")
-
-    def compare(key, pdf):
-        tbl, _, i, j = (int(k) for k in key)
-        if i == j:
-            ids, links, least, label = block_links(pdf, None, tbl, threshold)
-        else:
-            left, right = pdf[pdf["own"] == i], pdf[pdf["own"] == j]
-            if not len(left) or not len(right):
-                return pd.DataFrame({"id": [], "label": [], "links": []})
-            ids, links, least, label = block_links(left, right, tbl, threshold)
-        label = label[np.searchsorted(least, ids)]
-        keep = (links > 0) | (label != ids)
-        return pd.DataFrame({"id": ids[keep], "label": label[keep], "links": links[keep]})
-
-    return work.groupBy("tbl", "key", "i", "j").applyInPandas(compare, "id long, label long, links long")
+    # buckets go in bundles, so that tasks get some thousand rows at a time
+    bundles = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total * tables // 8192)
+    bundle = F.pmod(F.xxhash64("tbl", "key", "i", "j"), F.lit(bundles)).cast("int")
+    work = placed.withColumn("bundle", bundle).join(coded.select("id", "n", "unit", F.col("packed").alias("codes")), "id")
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids, label, links = settle(Rows(table, d), threshold)
+        return pa.table({"id": pa.array(ids, pa.int64()), "label": pa.array(label, pa.int64()), "links": pa.array(links, pa.int64())})
+
+    return work.groupBy("bundle").applyInArrow(compare, "id long, label long, links long")
