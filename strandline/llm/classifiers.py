@@ -117,7 +117,19 @@ def rows_of(batches, make, columns: int):
             yield batch.slice(i, j - i), make(*K.joined(column, i, j))
 
 
-def scored(docs: DataFrame, features, model: pu_learning.Model, out: Column, id_col: str, text_col: str) -> DataFrame:
+def scored(docs: DataFrame, features, model: pu_learning.Model, out: Column, id_col: str, text_col: str, accept: bool = False) -> DataFrame:
+    """Scores of all rows; with accept, instead the rows themselves that are predicted 1."""
+
+    n = len(docs.columns)
+
+    def choose(batches):
+        for part, x in rows_of(batches, features, n):
+            yield part.filter(pa.array(model.score(x) >= 0.5)).select(list(range(n)))
+
+    if accept:
+        whole = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])  # whatever the columns are called
+        t = text_bytes(f"c{docs.columns.index(text_col)}").alias("t")
+        return whole.select("*", t).mapInArrow(choose, whole.schema).toDF(*docs.columns)
     def run(batches):
         for part, x in rows_of(batches, features, 2):
             s = model.score(x)
@@ -127,8 +139,8 @@ def scored(docs: DataFrame, features, model: pu_learning.Model, out: Column, id_
     return source.mapInArrow(run, "id long, held_out boolean, score double, predicted int").withColumnRenamed("id", id_col)
 
 
-def quality(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int = 3, remainder: int = 1, id_col: str = "doc_id", text_col: str = "text", positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> DataFrame:
-    """id, held_out, score, predicted for every document; the score sees the text's shape only.
+def quality(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int = 3, remainder: int = 1, id_col: str = "doc_id", text_col: str = "text", positives: int = POSITIVES, unlabelled: int = UNLABELLED, accept: bool = False) -> DataFrame:
+    """id, held_out, score, predicted for every document; the score sees the text's shape only. accept: the documents that are predicted 1, as they came.
 
     Null texts count as empty; an empty text has a score too. Rows are kept one for one. With fewer than twenty positives or unlabelled
     rows every score is 0.5.
@@ -145,7 +157,7 @@ def quality(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus:
     order = np.lexsort(x.T)
     x, p = x[order], p[order]
     model, _ = pu_learning.fit(x[p], x[~p], hidden=24, steps=500, rate=0.01)
-    return scored(docs, shapes, model, out, id_col, text_col)
+    return scored(docs, shapes, model, out, id_col, text_col, accept)
 
 
 def presence(vocabulary: np.ndarray):

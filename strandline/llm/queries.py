@@ -59,6 +59,7 @@ def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_quality_classifier": op1_quality_classifier,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_toxicity": op9_toxicity,

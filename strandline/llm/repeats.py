@@ -156,22 +156,24 @@ def fold(runs: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     return firsts, marks_of(s[rest])
 
 
-def with_row(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Columns row (unique, in the order of the ids), id, t. Rows that share an id are ordered by their text's hash."""
-    base = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("t"))
+def with_row(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
+    """Columns row (unique, in the order of the ids), id, t and, if asked, rest (a struct of the other columns). Rows that share an id are ordered by their text's hash."""
+    rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]).alias("rest")] if carry else []
+    base = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("t"), *rest)
     ids = base.groupBy(id_or_least("id").alias("i")).count()
     if ids.where("count > 1").isEmpty():
         return base.withColumn("row", id_or_least("id"))
     return cut(base.repartitionByRange(id_or_least("id"), F.xxhash64("t")).sortWithinPartitions(id_or_least("id"), F.xxhash64("t")).withColumn("row", F.monotonically_increasing_id()))
 
 
-def find(docs: DataFrame, shape: Shape, settle: Callable[[np.ndarray, list[np.ndarray]], np.ndarray], finish: Callable[..., pa.RecordBatch], schema: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One result row for each document.
+def find(docs: DataFrame, shape: Shape, settle: Callable[[np.ndarray, list[np.ndarray]], np.ndarray], finish: Callable[..., pa.RecordBatch], schema: str, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """One result row for each document; with carry, a struct ``rest`` of the document's other columns too.
 
     settle(runs, units) -> (row, at, n) of the windows to remove among open runs of the same keys, with each run's units.
     finish(ids, data, starts, marks of each text as (at, n) arrays) -> the result's rows.
     """
-    source = with_row(docs, id_col, text_col)
+    carry = carry and len(set(docs.columns) - {id_col, text_col}) > 0
+    source = with_row(docs, id_col, text_col, carry)
     total = source.agg(F.sum(F.length("t"))).first()[0] or 0
     groups = max(1, math.ceil(total / GROUP_BYTES), int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
@@ -258,7 +260,8 @@ def find(docs: DataFrame, shape: Shape, settle: Callable[[np.ndarray, list[np.nd
             low, high = np.searchsorted(marks["row"], row), np.searchsorted(marks["row"], row, "right")
             for i, j in K.passes(np.diff(K.raw(column)[0])):
                 data, starts = K.joined(column, i, j)
-                out.append(finish(ids.slice(i, j - i), data, starts, [marks[a:b] for a, b in zip(low[i:j], high[i:j], strict=True)]))
+                done = finish(ids.slice(i, j - i), data, starts, [marks[a:b] for a, b in zip(low[i:j], high[i:j], strict=True)])
+                out.append(done.append_column("rest", batch.column("rest").slice(i, j - i)) if carry else done)
         return pa.Table.from_batches(out) if out else None
 
     packed = source.select("row", "t").mapInArrow(send, BLOB_DDL)
@@ -266,10 +269,12 @@ def find(docs: DataFrame, shape: Shape, settle: Callable[[np.ndarray, list[np.nd
 
     def group_of(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(row_group(batch.column(0).to_numpy(), groups)), *batch.columns], ["part", "row", "id", "t"])
+            yield pa.RecordBatch.from_arrays([pa.array(row_group(batch.column(0).to_numpy(), groups)), *batch.columns], names=["part", *batch.schema.names])
 
-    by_group = source.select("row", "id", "t").mapInArrow(group_of, "part int, row long, id long, t binary")
+    by_group = source.select("row", "id", "t", *["rest"] * carry)
+    rest = f", rest {by_group.schema['rest'].dataType.simpleString()}" if carry else ""
+    by_group = by_group.mapInArrow(group_of, f"part int, row long, id long, t binary{rest}")
     opened = by_group.groupBy("part").cogroup(sieved.where(F.col("kind") == OPEN).groupBy("part")).applyInArrow(fetch, BLOB_DDL)
     settled = opened.groupBy("part").applyInArrow(decide, BLOB_DDL)
     marks = sieved.where(F.col("kind") == MARKS).unionByName(settled)
-    return by_group.groupBy("part").cogroup(marks.groupBy("part")).applyInArrow(apply, schema)
+    return by_group.groupBy("part").cogroup(marks.groupBy("part")).applyInArrow(apply, schema + rest)

@@ -127,12 +127,13 @@ def settle(shape: repeats.Shape, bundle: int = BUNDLE):
     return run
 
 
-def remove_repeated_bytes(docs: DataFrame, width: int = 100, gram: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, width: int = 100, gram: int = 40, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """Each document without the bytes that a ``width``-byte string covers which also starts earlier: id, n_bytes, n_removed, n_spans, kept_sha256, kept.
 
     Earlier is a smaller id, or the same document and an earlier start; a null id is the smallest. Strings never
     cross documents and are judged on the input. Null texts are empty. Of rows that share an id the one with the smaller text
-    hash counts as earlier, and of wholly equal rows one.
+    hash counts as earlier, and of wholly equal rows one. ``kept`` is the remaining text (n_* and kept_sha256 count
+    bytes; of a character that a removed string cuts in two, nothing stays in ``kept``). carry: adds ``rest``, the other columns.
     """
     shape = repeats.Shape(width, gram, words=False, keep_first=True)
 
@@ -150,11 +151,11 @@ def remove_repeated_bytes(docs: DataFrame, width: int = 100, gram: int = 40, id_
                 text = text[keep]
             removed.append(n[-1] - len(text))
             spans.append(runs)
-            kept.append(text.tobytes())
-            sha.append(hashlib.sha256(kept[-1]).hexdigest())
+            sha.append(hashlib.sha256(text.tobytes()).hexdigest())
+            kept.append(text.tobytes().decode("utf-8", "ignore"))
         return pa.RecordBatch.from_arrays(
-            [ids, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary())], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+            [ids, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.string())], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
         )
 
-    out = repeats.find(docs, shape, settle(shape), finish, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary", id_col, text_col)
+    out = repeats.find(docs, shape, settle(shape), finish, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string", id_col, text_col, carry)
     return out.withColumnRenamed("id", id_col)
