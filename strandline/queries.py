@@ -1,9 +1,666 @@
-"""Queries over the driver tables, and their SQL."""
+"""Queries over the driver tables, one for each operator, and the SQL that gives the same rows.
 
+The tables hold no genomes: ``obs`` reads lineitem and part as observations (position: part, sample: return flag, qualities: quantity
+and discount), and the other views build calls, intervals, reads and hits from them.
+"""
 
-def queries() -> dict:
-    return {}
+from __future__ import annotations
 
+from collections.abc import Callable
 
-def oracle_sql() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strandline.functions import genotype, strings
+from strandline.functions.rounding import hundredths_sql, ratio2
+from strandline.operators import calling, compare, genes, intervals, merge, realign, reads, score, support
+from strandline.operators.calling import BASES
+
+#: Lower minimums than the presets': a position has about thirty reads over three samples.
+LOW = {"min_depth": 4, "min_alt": 3, "min_bq": 20, "min_mqa": 25, "min_mmq": 30}
+DNA_LOW, RNA_LOW = support.with_limits(support.DNA, **LOW, max_error_pct=0.10), support.with_limits(support.RNA, **LOW, max_error_pct=0.10)
+GENES = ["almond", "azure", "green", "steel"]
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def letter(n) -> F.Column:
+    return F.substring(F.lit("ACGT"), (1 + n % 4).cast("int"), F.lit(1))
+
+
+def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = read(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity", "l_discount")
+    j = line.join(read(spark, sf_dir, "part").select("p_partkey", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
+    number, kind = F.col("l_linenumber"), F.col("l_returnflag")
+    shift = F.when((number >= 6) & (kind != "A"), 1).when(number == 7, 2).otherwise(0)
+    return j.select(
+        (F.col("p_size") % 25).cast("string").alias("chrom"), (F.col("l_partkey") + 1).alias("pos"), letter(F.col("p_partkey")).alias("ref"), F.when(kind == "A", "DNA_NORMAL").when(kind == "R", "DNA_TUMOR").otherwise("RNA_TUMOR").alias("sample"),
+        letter(F.col("p_partkey") + shift).alias("base"), F.col("l_quantity").cast("int").alias("bq"), F.round(F.col("l_discount") * 600).cast("int").alias("mq"), (F.col("l_linestatus") == "F").alias("plus"),
+        F.col("l_orderkey").alias("read_name"), F.col("l_linenumber").cast("int").alias("line"),
+    )
+
+
+OBS = """obs AS (
+  SELECT CAST(p_size % 25 AS VARCHAR) AS chrom, l_partkey + 1 AS pos, substr('ACGT', CAST(1 + p_partkey % 4 AS INT), 1) AS ref,
+    CASE l_returnflag WHEN 'A' THEN 'DNA_NORMAL' WHEN 'R' THEN 'DNA_TUMOR' ELSE 'RNA_TUMOR' END AS sample,
+    substr('ACGT', CAST(1 + (p_partkey + CASE WHEN l_linenumber >= 6 AND l_returnflag <> 'A' THEN 1 WHEN l_linenumber = 7 THEN 2 ELSE 0 END) % 4 AS INT), 1) AS base,
+    CAST(l_quantity AS INT) AS bq, CAST(round(l_discount * 600) AS INT) AS mq, l_linestatus = 'F' AS plus, l_orderkey AS read_name, CAST(l_linenumber AS INT) AS line
+  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+STATS = """stats AS (
+  SELECT chrom, pos, ref, sample, base, count(*) FILTER (bq >= 10 AND mq >= 10) AS ad, CAST(coalesce(sum(bq) FILTER (bq >= 10 AND mq >= 10), 0) AS BIGINT) AS sum_bq,
+    CAST(coalesce(sum(mq) FILTER (bq >= 10 AND mq >= 10), 0) AS BIGINT) AS sum_mq, count(*) FILTER (bq >= 10 AND mq >= 10 AND plus) AS plus,
+    CAST(coalesce(max(mq) FILTER (bq >= 10 AND mq >= 10), 0) AS BIGINT) AS max_mq, count(*) FILTER (mq = 0) AS mq0
+  FROM obs GROUP BY ALL)"""
+#: One row per position and base with the counts of the samples, the flags of the parents' bases and the counts they are held against.
+STATE = """n AS (
+  SELECT s.chrom, s.pos, s.ref, b.base, coalesce(sum(ad) FILTER (sample = 'DNA_NORMAL'), 0) AS dn, coalesce(sum(ad) FILTER (sample = 'DNA_TUMOR'), 0) AS dt, coalesce(sum(ad) FILTER (sample = 'RNA_TUMOR'), 0) AS rt
+  FROM (SELECT DISTINCT chrom, pos, ref FROM stats) s CROSS JOIN (VALUES ('A'), ('C'), ('T'), ('G')) b(base)
+  LEFT JOIN stats a ON a.chrom = s.chrom AND a.pos = s.pos AND a.base = b.base GROUP BY ALL
+), t AS (
+  SELECT *, base = ref AS isref, sum(dn) OVER w AS dnt, sum(dt) OVER w AS dtt, sum(rt) OVER w AS rtt FROM n WINDOW w AS (PARTITION BY chrom, pos)
+), s1 AS (
+  SELECT *, dnt > 0 AND (isref OR dn > 0) AS p1, CASE WHEN dnt = 0 OR isref THEN 2 ELSE dn END AS prev2, CASE WHEN (dnt = 0 AND dtt = 0) OR isref THEN 2 ELSE dt END AS prev3 FROM t
+), state AS (
+  SELECT *, p1 OR isref AS in2, (CASE WHEN dtt > 0 THEN p1 OR isref OR dt > 0 ELSE p1 END) OR isref AS in3 FROM s1
+), mods AS (
+  SELECT b.chrom, b.pos, b.ref, 'GERM' AS type, b.ref AS src, b.base AS tgt FROM state b WHERE b.dnt >= 4 AND b.dn >= 2 AND NOT b.isref
+  UNION ALL
+  SELECT b.chrom, b.pos, b.ref, 'SOM', d.base, b.base FROM state b JOIN state d ON b.chrom = d.chrom AND b.pos = d.pos AND b.base <> d.base
+  WHERE b.dtt >= 4 AND b.dt >= 2 AND (NOT b.in2 OR b.prev2 < 2) AND d.in2 AND d.prev2 >= 2
+  UNION ALL
+  SELECT b.chrom, b.pos, b.ref, 'TUM_EDIT', d.base, b.base FROM state b JOIN state d ON b.chrom = d.chrom AND b.pos = d.pos AND b.base <> d.base
+  WHERE b.rtt >= 4 AND b.rt >= 2 AND (NOT b.in3 OR b.prev3 < 2) AND d.in3 AND d.prev3 >= 2)"""
+CALLS = f"WITH {OBS}, {STATS}, {STATE}"
+#: Depths of source and target for each modification, by sample (dn, dt, rt).
+DEPTHS = """g AS (
+  SELECT m.*, a.dn AS dn_src, a.dt AS dt_src, a.rt AS rt_src, b.dn AS dn_tgt, b.dt AS dt_tgt, b.rt AS rt_tgt, b.dnt, b.dtt, b.rtt
+  FROM mods m JOIN state a ON a.chrom = m.chrom AND a.pos = m.pos AND a.base = m.src JOIN state b ON b.chrom = m.chrom AND b.pos = m.pos AND b.base = m.tgt)"""
+
+QUERIES: dict[str, tuple[Callable, str | None]] = {}
+
+
+def query(sql: str | None):
+    def put(f):
+        QUERIES[f.__name__] = f, sql
+        return f
+
+    return put
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {k: f for k, (f, _) in QUERIES.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {k: sql for k, (_, sql) in QUERIES.items() if sql}
+
+
+# Observations and calls
+
+
+@query(f"WITH {OBS} SELECT chrom, pos, sample, base, bq, mq, plus FROM obs WHERE bq >= 10 AND mq >= 10")
+def q_obs_quality(spark, d):
+    return obs(spark, d).where(calling.passing()).select("chrom", "pos", "sample", "base", "bq", "mq", "plus")
+
+
+@query(f"WITH {OBS} SELECT chrom, pos, sample, base FROM obs WHERE chrom = '7' AND pos BETWEEN 100 AND 1500")
+def q_region(spark, d):
+    return calling.region(obs(spark, d), "7", 100, 1500).select("chrom", "pos", "sample", "base")
+
+
+@query("SELECT CAST(s AS BIGINT) AS start, CAST(least(s + 249999999, 3100000000) AS BIGINT) AS stop FROM range(1, 3100000001, 250000000) r(s)")
+def q_batch_ranges(spark, d):
+    return calling.batch_ranges(spark, 1, 3_100_000_000)
+
+
+@query(f"WITH {OBS}, {STATS} SELECT * FROM stats")
+def q_allele_stats(spark, d):
+    return calling.allele_stats(obs(spark, d))
+
+
+@query(f"{CALLS} SELECT chrom, pos, ref, " + ", ".join(f"CAST(coalesce(sum({s}) FILTER (base = '{b}'), 0) AS BIGINT) AS {s}_{b}" for s in ("dn", "dt", "rt") for b in BASES) + " FROM n GROUP BY chrom, pos, ref")
+def q_pileup_outer_merge(spark, d):
+    return calling.merged_counts(obs(spark, d)).select("chrom", "pos", "ref", *[f"{s}_{b}" for s in ("dn", "dt", "rt") for b in BASES])
+
+
+@query(f"""WITH {OBS}, {STATS}, seen AS (SELECT * FROM stats WHERE ad > 0 OR mq0 > 0), x AS (
+  SELECT chrom, pos, ref, count(DISTINCT sample) FILTER (ad > 0) AS ns, count(DISTINCT base) FILTER (ad > 0 AND base <> ref) + 1 AS an, CAST(sum(ad) AS BIGINT) AS dp, CAST(sum(mq0) AS BIGINT) AS mq0,
+    CAST(sum(sum_bq) AS BIGINT) AS b, CAST(sum(sum_mq) AS BIGINT) AS m, CAST(sum(plus) AS BIGINT) AS p, CAST(coalesce(sum(ad) FILTER (base <> ref), 0) AS BIGINT) AS a FROM seen GROUP BY ALL)
+SELECT chrom, pos, ref, ns, an, dp, mq0, (2 * b + dp) // (2 * dp) AS bq, (2 * m + dp) // (2 * dp) AS mq, {hundredths_sql('p', 'dp')} / 100.0 AS sb, {hundredths_sql('a', 'dp')} / 100.0 AS fa FROM x WHERE dp > 0""")
+def q_site_summary(spark, d):
+    return calling.site_summary(calling.allele_stats(obs(spark, d)))
+
+
+def called(spark: SparkSession, d: str) -> DataFrame:
+    return calling.calls(obs(spark, d))
+
+
+def mods_of(spark: SparkSession, d: str, kind: str) -> DataFrame:
+    return calling.modifications(called(spark, d)).where(F.col("type") == kind)
+
+
+def depth_of(s: str, base) -> F.Column:
+    return sum(F.when(base == b, F.col(f"{s}_{b}")).otherwise(0) for b in BASES)
+
+
+def total_of(s: str) -> F.Column:
+    return sum(F.col(f"{s}_{b}") for b in BASES)
+
+
+def call_query(spark, d, kind: str, s: str) -> DataFrame:
+    m = mods_of(spark, d, kind).withColumns({"ad": depth_of(s, F.col("tgt")), "dp": total_of(s)})
+    return m.select("chrom", "pos", "ref", "src", "tgt", F.col("ad").cast("long"), F.col("dp").cast("long"), ratio2(F.col("ad"), F.col("dp")).alias("af"))
+
+
+def call_sql(kind: str, s: str) -> str:
+    return f"{CALLS}, {DEPTHS} SELECT chrom, pos, ref, src, tgt, CAST({s}_tgt AS BIGINT) AS ad, CAST({s}t AS BIGINT) AS dp, {hundredths_sql(f'CAST({s}_tgt AS BIGINT)', f'CAST({s}t AS BIGINT)')} / 100.0 AS af FROM g WHERE type = '{kind}'"
+
+
+@query(call_sql("GERM", "dn"))
+def q_call_germline(spark, d):
+    return call_query(spark, d, "GERM", "dn")
+
+
+@query(call_sql("SOM", "dt"))
+def q_call_somatic(spark, d):
+    return call_query(spark, d, "SOM", "dt")
+
+
+@query(call_sql("TUM_EDIT", "rt"))
+def q_call_edit(spark, d):
+    return call_query(spark, d, "TUM_EDIT", "rt")
+
+
+@query(f"""{CALLS} SELECT m.chrom, m.pos, string_agg(DISTINCT m.tgt, ',' ORDER BY m.tgt) AS called, min(CASE m.type WHEN 'GERM' THEN 1 WHEN 'SOM' THEN 2 ELSE 4 END) AS ss, bool_or(m.type = 'SOM') AS somatic FROM mods m GROUP BY ALL""")
+def q_call_record(spark, d):
+    # samples are visited normal first, so the first modification has the lowest code
+    return called(spark, d).select("chrom", "pos", F.array_join(F.array_sort(F.array_distinct(F.transform("mods", lambda m: m["tgt"]))), ",").alias("called"), "ss", "somatic")
+
+
+@query(f"""WITH {OBS}, bad AS (SELECT chrom, pos FROM (SELECT *, CASE WHEN bq = 50 AND line = 1 THEN 'N' ELSE ref END AS r FROM obs) GROUP BY ALL HAVING min(r) <> max(r) OR contains(min(r), 'N'))
+SELECT chrom, count(*) AS n, count(DISTINCT pos) AS n_pos FROM obs WHERE (chrom, pos) NOT IN (SELECT chrom, pos FROM bad) GROUP BY chrom""")
+def q_consistent_reference(spark, d):
+    o = obs(spark, d).withColumn("ref", F.when((F.col("bq") == 50) & (F.col("line") == 1), "N").otherwise(F.col("ref")))
+    return calling.consistent_reference(o).groupBy("chrom").agg(F.count("*").alias("n"), F.count_distinct("pos").alias("n_pos"))
+
+
+def coordinates(spark, d) -> DataFrame:
+    return read(spark, d, "part").where("p_size <= 10").select((F.col("p_size") % 25).cast("string").alias("chrom"), F.col("p_partkey").alias("start"), (F.col("p_partkey") + 2).alias("stop"))
+
+
+@query(f"""WITH {OBS}, c AS (SELECT CAST(p_size % 25 AS VARCHAR) AS chrom, p_partkey AS a, p_partkey + 2 AS b FROM part WHERE p_size <= 10)
+SELECT chrom, pos, count(*) AS n FROM obs o WHERE EXISTS (SELECT 1 FROM c WHERE c.chrom = o.chrom AND o.pos BETWEEN c.a AND c.b) GROUP BY ALL""")
+def q_coordinates(spark, d):
+    return calling.at_coordinates(obs(spark, d), coordinates(spark, d)).groupBy("chrom", "pos").agg(F.count("*").alias("n"))
+
+
+@query("SELECT CAST(p_size % 25 AS VARCHAR) AS chrom, min(p_partkey) AS start, max(p_partkey + 2) AS stop FROM part WHERE p_size <= 10 GROUP BY ALL")
+def q_coordinate_ranges(spark, d):
+    return coordinates(spark, d).groupBy("chrom").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+
+
+@query(f"""{CALLS}, k AS (SELECT chrom, pos, bool_or(type = 'GERM') AS g, bool_or(type = 'SOM') AS s, bool_or(type = 'TUM_EDIT') AS e FROM mods GROUP BY ALL)
+SELECT chrom, count(*) FILTER (g) AS germ, count(*) FILTER (s) AS som, CAST(0 AS BIGINT) AS norm_edit, count(*) FILTER (e) AS tum_edit FROM k GROUP BY chrom""")
+def q_stats_counts(spark, d):
+    return calling.run_totals(called(spark, d))
+
+
+@query(f"WITH {OBS} SELECT chrom, count(DISTINCT pos) FILTER (sample = 'DNA_NORMAL') AS dn, CAST(0 AS BIGINT) AS rn, count(DISTINCT pos) FILTER (sample = 'DNA_TUMOR') AS dt, count(DISTINCT pos) FILTER (sample = 'RNA_TUMOR') AS rt FROM obs GROUP BY chrom")
+def q_coordinates_with_data(spark, d):
+    return calling.coordinates_with_data(obs(spark, d))
+
+
+# Genotypes
+
+RANKED = f"""{CALLS}, r AS (SELECT chrom, pos, CAST(dt AS BIGINT) AS n, CAST(dtt AS BIGINT) AS total, CAST(instr('ACTG', base) - 1 AS INT) AS i, row_number() OVER (PARTITION BY chrom, pos ORDER BY dt DESC, instr('ACTG', base)) AS k FROM state WHERE dtt > 0),
+q AS (SELECT *, n >= 2 AND {hundredths_sql('n', 'total')} >= 10 AS ok FROM r)"""
+
+
+def tumor_depths(spark, d) -> DataFrame:
+    sites = calling.merged_counts(obs(spark, d)).where(total_of("dt") > 0)
+    return sites.select("chrom", "pos", F.array(*[f"dt_{b}" for b in BASES]).alias("depths"), total_of("dt").alias("total"))
+
+
+@query(f"{RANKED} SELECT a.chrom, a.pos, least(a.i, CASE WHEN b.ok THEN b.i ELSE a.i END) || '/' || greatest(a.i, CASE WHEN b.ok THEN b.i ELSE a.i END) AS gt FROM q a JOIN q b ON a.chrom = b.chrom AND a.pos = b.pos AND a.k = 1 AND b.k = 2")
+def q_genotype_diploid(spark, d):
+    return tumor_depths(spark, d).select("chrom", "pos", genotype.text(genotype.genotype(F.lit("1"), F.col("depths"), F.col("total"))).alias("gt"))
+
+
+@query(f"{RANKED} SELECT chrom, pos, CAST(CASE WHEN ok THEN i ELSE 0 END AS VARCHAR) AS gt FROM q WHERE k = 1")
+def q_genotype_y(spark, d):
+    return tumor_depths(spark, d).select("chrom", "pos", genotype.text(genotype.genotype(F.lit("Y"), F.col("depths"), F.col("total"))).alias("gt"))
+
+
+@query(f"{RANKED} SELECT chrom, pos, coalesce(string_agg(CAST(i AS VARCHAR), '/' ORDER BY i) FILTER (ok), '0') AS gt FROM q GROUP BY ALL")
+def q_genotype_m(spark, d):
+    return tumor_depths(spark, d).select("chrom", "pos", genotype.text(genotype.genotype(F.lit("MT"), F.col("depths"), F.col("total"))).alias("gt"))
+
+
+@query(f"{CALLS} SELECT chrom, pos, array_to_string(list_resize(coalesce(list(CAST(dt AS BIGINT) ORDER BY instr('ACTG', base)) FILTER (dt > 0), []), 4, 0), ',') AS ad FROM state GROUP BY ALL")
+def q_pad_alleles(spark, d):
+    c = calling.merged_counts(obs(spark, d))
+    found = F.filter(F.array(*[f"dt_{b}" for b in BASES]), lambda n: n > 0)
+    return c.select("chrom", "pos", F.array_join(genotype.pad(found, F.lit(0).cast("long"), F.lit(4)), ",").alias("ad"))
+
+
+# Evidence filters
+
+#: Allele statistics of source and target in one sample, for each modification of a type.
+def evidence_sql(s: str, sample: str) -> str:
+    return f"""e_{s} AS (
+  SELECT g.chrom, g.pos, g.type, g.src, g.tgt, coalesce(b.ad, 0) AS ad, CAST(g.{s}t AS BIGINT) AS dp, coalesce(b.mq0, 0) AS mq0, coalesce(b.max_mq, 0) AS mmq, CASE WHEN b.ad > 0 THEN (2 * b.sum_mq + b.ad) // (2 * b.ad) ELSE 0 END AS mqa,
+    CASE WHEN b.ad > 0 THEN (2 * b.sum_bq + b.ad) // (2 * b.ad) ELSE 0 END AS bq, CASE WHEN b.ad > 0 THEN {hundredths_sql('b.plus', 'b.ad')} / 100.0 ELSE 0.0 END AS sb,
+    coalesce(a.ad, 0) AS src_ad, CASE WHEN a.ad > 0 THEN {hundredths_sql('a.plus', 'a.ad')} / 100.0 ELSE 0.0 END AS src_sb
+  FROM g LEFT JOIN stats b ON b.chrom = g.chrom AND b.pos = g.pos AND b.base = g.tgt AND b.sample = '{sample}'
+  LEFT JOIN stats a ON a.chrom = g.chrom AND a.pos = g.pos AND a.base = g.src AND a.sample = '{sample}')"""
+
+
+EVIDENCE = f"{CALLS}, {DEPTHS}, {evidence_sql('dn', 'DNA_NORMAL')}, {evidence_sql('dt', 'DNA_TUMOR')}, {evidence_sql('rt', 'RNA_TUMOR')}"
+MQ0 = "(ad > 0 AND floor(CAST(mq0 AS DOUBLE) / CAST(ad AS DOUBLE) * 100) / 100.0 > 0.5)"
+BIAS = "(ad >= 4 AND (sb > 0.99 OR sb < 1.0 - 0.99) AND NOT (src_ad >= 4 AND ((sb = 0 AND src_sb = 0) OR (sb = 1 AND src_sb = 1))))"
+
+
+def error_sql(errors: str, limit: float) -> str:
+    return f"({errors} >= 2 AND floor(CAST({errors} AS DOUBLE) / CAST(dp AS DOUBLE) * 100) / 100.0 > {limit})"
+
+
+def evidence(spark, d, kind: str) -> DataFrame:
+    r = calling.records(obs(spark, d))
+    return r.select("*", F.explode("mods").alias("m")).where(F.col("m.type") == kind)
+
+
+def flag_query(spark, d, test) -> DataFrame:
+    e = evidence(spark, d, "SOM")
+    return e.select("chrom", "pos", "m.src", "m.tgt", F.coalesce(test(F.col("m.src"), F.col("m.tgt")), F.lit(False)).alias("fails"))
+
+
+@query(f"{EVIDENCE} SELECT chrom, pos, src, tgt, {MQ0} AS fails FROM e_dt WHERE type = 'SOM'")
+def q_mq0(spark, d):
+    return flag_query(spark, d, lambda src, tgt: support.mq0_fails("dt", tgt, support.Limits()))
+
+
+@query(f"{EVIDENCE} SELECT chrom, pos, src, tgt, {BIAS} AS fails FROM e_dt WHERE type = 'SOM'")
+def q_strand_bias(spark, d):
+    return flag_query(spark, d, lambda src, tgt: support.strand_fails("dt", src, tgt, support.Limits()))
+
+
+#: Reads of called alleles other than the source (and the target) in a sample: records hold the reference and all bases that a sample shows anew.
+ERRORS = """(SELECT coalesce(CAST(sum(z.{s}) AS BIGINT), 0) FROM state z WHERE z.chrom = x.chrom AND z.pos = x.pos AND z.base <> x.src{also})"""
+
+
+@query(f"{EVIDENCE}, y AS (SELECT *, {ERRORS.format(s='dt', also=' AND z.base <> x.tgt')} AS errors FROM e_dt x WHERE type = 'SOM') SELECT chrom, pos, src, tgt, {error_sql('errors', 0.01)} AS fails FROM y")
+def q_max_error(spark, d):
+    return flag_query(spark, d, lambda src, tgt: support.error_fails("dt", src, tgt, support.Limits(), with_target=False))
+
+
+def full_sql(s: str, table: str, low_pct: int, limit: float) -> str:
+    """Rows of codes that fail in the full set of one sample."""
+    tests = {
+        "mndp": "dp < 4", "mnad": "ad < 3", "mnaf": f"{hundredths_sql('ad', 'dp')} < {low_pct}", "mnbq": "bq < 20", "mnmqa": "mqa < 25", "mnmq": "mmq < 30", "mxmq0": MQ0, "sbias": BIAS, "mxerr": error_sql("errors", limit),
+    }
+    cases = ", ".join(f"CASE WHEN {t} THEN '{s}{c}' END" for c, t in tests.items())
+    return f"SELECT chrom, pos, type, src, tgt, unnest([{cases}]) AS code FROM (SELECT *, {ERRORS.format(s=s, also=' AND z.base <> x.tgt')} AS errors FROM {table} x)"
+
+
+def context_sql(s: str, table: str, limit: float) -> str:
+    return f"SELECT chrom, pos, type, src, tgt, unnest([CASE WHEN dp < 4 THEN '{s}mndp' END, CASE WHEN dp > 0 AND {error_sql('errors', limit)} THEN '{s}mxerr' END]) AS code FROM (SELECT *, {ERRORS.format(s=s, also='')} AS errors FROM {table} x)"
+
+
+def support_query(spark, d, kinds: list[str], preset: support.Preset) -> DataFrame:
+    r = calling.records(obs(spark, d)).select("*", F.explode("mods").alias("m")).where(F.col("m.type").isin(kinds))
+    return r.select("chrom", "pos", "m.type", "m.src", "m.tgt", F.array_join(support.rule_codes(F.col("m"), preset), "_").alias("codes"))
+
+
+@query(f"""{EVIDENCE}, f AS ({full_sql('dt', "(SELECT * FROM e_dt WHERE type = 'SOM')", 10, 0.10)} UNION ALL {context_sql('dn', "(SELECT * FROM e_dn WHERE type = 'SOM')", 0.10)} UNION ALL {full_sql('dn', "(SELECT * FROM e_dn WHERE type = 'GERM')", 10, 0.10)})
+SELECT g.chrom, g.pos, g.type, g.src, g.tgt, coalesce(string_agg(DISTINCT code, '_' ORDER BY code), '') AS codes FROM g LEFT JOIN f ON f.chrom = g.chrom AND f.pos = g.pos AND f.type = g.type AND f.src = g.src AND f.tgt = g.tgt WHERE g.type IN ('SOM', 'GERM') GROUP BY ALL""")
+def q_support_dna(spark, d):
+    return support_query(spark, d, ["SOM", "GERM"], DNA_LOW)
+
+
+@query(f"""{EVIDENCE}, f AS ({full_sql('rt', "(SELECT * FROM e_rt WHERE type = 'TUM_EDIT')", 10, 0.10)} UNION ALL {context_sql('dn', "(SELECT * FROM e_dn WHERE type = 'TUM_EDIT')", 0.10)} UNION ALL {context_sql('dt', "(SELECT * FROM e_dt WHERE type = 'TUM_EDIT')", 0.10)})
+SELECT g.chrom, g.pos, g.type, g.src, g.tgt, coalesce(string_agg(DISTINCT code, '_' ORDER BY code), '') AS codes FROM g LEFT JOIN f ON f.chrom = g.chrom AND f.pos = g.pos AND f.type = g.type AND f.src = g.src AND f.tgt = g.tgt WHERE g.type = 'TUM_EDIT' GROUP BY ALL""")
+def q_support_rna(spark, d):
+    return support_query(spark, d, ["TUM_EDIT"], RNA_LOW)
+
+
+@query(f"""{CALLS} SELECT chrom, pos, CASE WHEN bool_or(type = 'GERM') THEN 'GERM' WHEN bool_or(type = 'SOM') THEN 'SOM' ELSE 'TUM_EDIT' END AS final_type, CAST(CASE WHEN bool_or(type = 'GERM') THEN 1 WHEN bool_or(type = 'SOM') THEN 2 ELSE 4 END AS INT) AS ss FROM mods GROUP BY ALL""")
+def q_final_mod_type(spark, d):
+    out = called(spark, d).select("chrom", "pos", support.final_type(F.transform("mods", lambda m: m["type"])).alias("final_type"))
+    return out.withColumn("ss", support.ss_of(F.col("final_type")))
+
+
+@query(None)
+def q_filter_by_support(spark, d):
+    """Pre-filter, rules and final type together, with the DNA preset at lower minimums."""
+    r = support.judge(calling.records(obs(spark, d)), DNA_LOW)
+    return r.select("chrom", "pos", "final_type", "ss", "somatic", F.array_join("filter", ";").alias("filter"), F.array_join("origin", ",").alias("origin"), F.array_join(F.transform("mods", lambda m: F.concat(m["type"], F.lit(":"), m["src"], F.lit(">"), m["tgt"])), ",").alias("mods"))
+
+
+@query(f"""{CALLS}, {DEPTHS}, h AS (SELECT chrom, pos, type, src, tgt, dt_tgt >= 4 AND {hundredths_sql('CAST(dt_tgt AS BIGINT)', 'CAST(dtt AS BIGINT)')} >= 10 AS ok FROM g WHERE type = 'TUM_EDIT')
+SELECT chrom, pos, src, tgt, CASE WHEN ok THEN 'TUM_EDIT,SOM' ELSE 'TUM_EDIT' END AS types FROM h""")
+def q_pre_filter(spark, d):
+    r = calling.records(obs(spark, d)).select("*", F.explode("mods").alias("m")).where(F.col("m.type") == "TUM_EDIT").withColumn("mods", F.array("m"))
+    return support.pre_filter(r, support.DNA).select("chrom", "pos", "m.src", "m.tgt", F.array_join(F.transform("mods", lambda m: m["type"]), ",").alias("types"))
+
+
+# Intervals
+
+
+def bed(spark, d) -> DataFrame:
+    p = read(spark, d, "part").where("p_partkey % 5 = 0")
+    return p.select((F.col("p_size") % 25).cast("string").alias("chrom"), (F.col("p_partkey") - F.col("p_partkey") % 3).alias("start"), (F.col("p_partkey") - F.col("p_partkey") % 3 + 1 + F.col("p_size") * 40).alias("end"), F.col("p_brand").alias("name"))
+
+
+BED = "bed AS (SELECT CAST(p_size % 25 AS VARCHAR) AS chrom, p_partkey - p_partkey % 3 AS a, p_partkey - p_partkey % 3 + 1 + p_size * 40 AS b, p_brand AS name FROM part WHERE p_partkey % 5 = 0)"
+SOM_SITES = "som AS (SELECT DISTINCT chrom, pos FROM mods WHERE type = 'SOM')"
+
+
+def som_sites(spark, d) -> DataFrame:
+    c = called(spark, d).where("somatic")
+    return c.select("chrom", "pos", F.array().cast("array<string>").alias("id"), F.array(F.lit("PASS")).alias("filter"), F.map_from_arrays(F.array(F.lit("SS")), F.array(F.array(F.lit("2")))).alias("info"))
+
+
+HITS = f"{CALLS}, {BED}, {SOM_SITES}, hits AS (SELECT som.chrom, som.pos, bed.name, bed.a, bed.b FROM som LEFT JOIN bed ON bed.chrom = som.chrom AND som.pos - 1 >= bed.a AND som.pos - 1 < bed.b)"
+
+
+@query(f"{HITS} SELECT chrom, pos, CASE WHEN count(name) > 0 THEN 'DB;SS=2' ELSE 'SS=2' END AS info, coalesce(arg_min(name, (a, b, name)), '.') AS id FROM hits GROUP BY ALL")
+def q_interval_flag(spark, d):
+    out = intervals.tag(som_sites(spark, d), bed(spark, d), "DB", to="id")
+    return out.select("chrom", "pos", strings.format_info(F.col("info")).alias("info"), F.when(F.size("id") > 0, F.array_join("id", ";")).otherwise(".").alias("id"))
+
+
+@query(f"{HITS} SELECT chrom, pos, CASE WHEN count(name) > 0 THEN 'PASS' ELSE 'blck' END AS filter FROM hits GROUP BY ALL")
+def q_interval_antifilter(spark, d):
+    return intervals.tag(som_sites(spark, d), bed(spark, d), "blck", inside=False).select("chrom", "pos", F.array_join("filter", ";").alias("filter"))
+
+
+@query(f"{HITS} SELECT chrom, pos, count(name) AS n_hits FROM hits GROUP BY ALL")
+def q_interval_count(spark, d):
+    return intervals.annotate(som_sites(spark, d), bed(spark, d)).select("chrom", "pos", "n_hits")
+
+
+@query(f"{HITS} SELECT chrom, pos, CASE WHEN count(name) > 0 THEN 'RADAR=' || arg_min(name, (a, b, name)) || ';SS=2' ELSE 'SS=2' END AS info FROM hits GROUP BY ALL")
+def q_interval_name(spark, d):
+    return intervals.tag(som_sites(spark, d), bed(spark, d), "RADAR", to="info", value="name").select("chrom", "pos", strings.format_info(F.col("info")).alias("info"))
+
+
+@query(f"""WITH {BED}, o AS (SELECT CAST(o_orderkey % 25 AS VARCHAR) AS chrom, o_orderkey AS a, o_orderkey + 3 AS b FROM orders WHERE o_orderstatus = 'P')
+SELECT DISTINCT chrom, a AS start, b AS "end", name FROM bed WHERE EXISTS (SELECT 1 FROM o WHERE o.chrom = bed.chrom AND bed.a < o.b + 10 AND bed.b > o.a - 10)""")
+def q_interval_intersect(spark, d):
+    o = read(spark, d, "orders").where("o_orderstatus = 'P'").select((F.col("o_orderkey") % 25).cast("string").alias("chrom"), F.col("o_orderkey").alias("start"), (F.col("o_orderkey") + 3).alias("end"))
+    return intervals.intersect(bed(spark, d), o, buffer=10)
+
+
+@query(f"WITH {BED} SELECT count(*) AS n_intervals FROM (SELECT DISTINCT * FROM bed)")
+def q_interval_length(spark, d):
+    return intervals.length(bed(spark, d))
+
+
+# Reads
+
+
+@query(f"""WITH {OBS}, o AS (SELECT *, mq > 24 AS overlapping FROM obs WHERE sample = 'DNA_TUMOR'), w AS (
+  SELECT *, count(*) OVER (PARTITION BY chrom, read_name) AS n, count(*) OVER v AS m, min(base) OVER v AS lo, max(base) OVER v AS hi, row_number() OVER (v ORDER BY bq DESC, base, line, mq, overlapping, plus, pos, ref, sample) AS k, max(bq) OVER v AS best
+  FROM o WINDOW v AS (PARTITION BY chrom, read_name, overlapping)
+), x AS (SELECT *, max(CASE WHEN k > 1 THEN bq END) OVER (PARTITION BY chrom, read_name, overlapping) AS next FROM w)
+SELECT chrom, read_name, base, bq, mq, overlapping FROM x WHERE n = 1 OR NOT overlapping OR m = 1 OR (k = 1 AND (lo = hi OR (best >= 20 AND next < 20)))""")
+def q_mate_overlap(spark, d):
+    o = obs(spark, d).where("sample = 'DNA_TUMOR'").withColumn("overlapping", F.col("mq") > 24)
+    return reads.resolve_mates(o, ["chrom"], min_bq=20, order=["base", "line", "mq", "overlapping", "plus", "pos", "ref", "sample"]).select("chrom", "read_name", "base", "bq", "mq", "overlapping")
+
+
+def tumor_reads(spark, d) -> DataFrame:
+    o = obs(spark, d).where("sample = 'DNA_TUMOR'")
+    return o.withColumns({"mutated": F.col("base") != F.col("ref"), "perfect": F.col("bq") >= 20, "secondary": F.col("mq") == 0, "place": reads.third(F.col("bq"), F.lit(50))})
+
+
+READS = f"WITH {OBS}, r AS (SELECT *, base <> ref AS mutated, bq >= 20 AS perfect, mq = 0 AS secondary, CASE WHEN bq / 50.0 <= 0.33 THEN 'start' WHEN bq / 50.0 <= 0.66 THEN 'middle' ELSE 'end' END AS place FROM obs WHERE sample = 'DNA_TUMOR')"
+COUNTS = """s AS (SELECT chrom, pos, count(*) FILTER (mutated) AS n_mut, count(*) FILTER (NOT mutated) AS n_ref, count(*) FILTER (mutated AND perfect) AS n_perfect, count(*) FILTER (mutated AND place = 'start') AS n_start, count(*) FILTER (mutated AND place = 'middle') AS n_middle,
+  count(*) FILTER (mutated AND place = 'end') AS n_end, count(*) FILTER (mutated AND perfect AND place = 'start') AS p_start, count(*) FILTER (mutated AND perfect AND place = 'end') AS p_end, count(*) FILTER (mutated AND perfect AND plus) AS p_plus, count(*) FILTER (mutated AND secondary) AS n_multi FROM r GROUP BY ALL)"""
+
+
+@query(f"{READS}, {COUNTS} SELECT chrom, pos, n_mut, n_start, n_middle, n_end FROM s")
+def q_position_bias(spark, d):
+    return reads.support(tumor_reads(spark, d), ["chrom", "pos"]).select("chrom", "pos", "n_mut", "n_start", "n_middle", "n_end")
+
+
+@query(f"{READS}, {COUNTS} SELECT chrom, pos, n_ref, n_perfect, p_start, p_end, p_plus, n_multi FROM s")
+def q_perfect_counts(spark, d):
+    return reads.support(tumor_reads(spark, d), ["chrom", "pos"]).select("chrom", "pos", "n_ref", "n_perfect", "p_start", "p_end", "p_plus", "n_multi")
+
+
+@query(f"""{READS}, {COUNTS}, c AS (SELECT *, CASE WHEN n_mut > 0 THEN {hundredths_sql('n_multi', 'n_mut')} / 100.0 ELSE 0.0 END AS mmp FROM s)
+SELECT chrom, pos, mmp, array_to_string(list_sort(list_filter([
+  CASE WHEN n_mut >= 4 AND mmp >= 0.9 THEN 'mxmmp' END, CASE WHEN n_perfect >= 4 AND (p_plus / n_perfect > 0.9 OR p_plus / n_perfect < 1 - CAST(0.9 AS DOUBLE)) THEN 'perfsbias' END,
+  CASE WHEN n_mut >= 4 AND (n_start / n_mut >= 0.95 OR n_end / n_mut >= 0.95) THEN 'pbias' END, CASE WHEN n_perfect >= 4 AND (p_start / n_perfect >= 0.95 OR p_end / n_perfect >= 0.95) THEN 'perfpbias' END,
+  CASE WHEN n_perfect < 4 THEN 'perfmnad' END, CASE WHEN n_perfect / (n_mut + n_ref) < 0.1 THEN 'perfmnaf' END], x -> x IS NOT NULL)), '_') AS codes FROM c""")
+def q_read_support_codes(spark, d):
+    out = reads.support_codes(reads.support(tumor_reads(spark, d), ["chrom", "pos"]))
+    return out.select("chrom", "pos", "mmp", F.array_join("codes", "_").alias("codes"))
+
+
+@query("""WITH c AS (SELECT doc_id, coalesce(left(text, 60), '') AS s, doc_id % 40 AS q FROM documents)
+SELECT doc_id, len(list_filter(range(greatest(q - 5, 0), least(q + 5, length(s) - 1) + 1), k -> ascii(substr(s, CAST(k + 1 AS INT), 1)) - 33 < 10)) > 0 AS low FROM c WHERE length(s) > q""")
+def q_neighbour_quality(spark, d):
+    c = read(spark, d, "documents").select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, 60).alias("s"), (F.col("doc_id") % 40).cast("int").alias("q")).where("length(s) > q")
+    return c.select("doc_id", reads.low_neighbours(F.col("s"), F.col("q")).alias("low"))
+
+
+@query("""SELECT l_orderkey AS k, l_linenumber AS n, CASE WHEN l_linenumber % 2 = 0 AND l_orderkey % 4 < 2 THEN 'improperpair' WHEN l_linenumber = 3 THEN 'insertion' WHEN l_linenumber = 5 THEN 'deletion' WHEN l_discount < 0.02 THEN 'neighborbq' WHEN l_quantity >= 46 THEN 'maxmuts' WHEN l_orderkey % 20 >= 10 THEN 'maxsoftclip' END AS reason FROM lineitem""")
+def q_perfect_reads(spark, d):
+    n = F.col("l_linenumber")
+    op = F.when(n == 3, 1).when(n == 5, 2).otherwise(0)
+    piece = lambda o, k: F.struct(o.cast("int").alias("op"), k.cast("int").alias("len"))
+    clip = F.col("l_orderkey") % 20
+    cigar = F.array(piece(F.lit(4), clip), piece(F.lit(0), 99 - clip), piece(op, F.lit(1)))
+    flags = F.when(F.col("l_orderkey") % 4 < 2, 1).otherwise(3)
+    reason = reads.perfect_reason(n % 2 == 0, flags, cigar, F.col("l_discount") < 0.02, (F.col("l_quantity") - 42).cast("int"), length=F.lit(100))
+    return read(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), n.alias("n"), reason.alias("reason"))
+
+
+@query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 90 < 40 THEN o_orderkey % 90 WHEN o_orderkey % 90 < 45 THEN NULL ELSE o_orderkey % 90 - 5 END AS qpos FROM orders")
+def q_cigar_walk(spark, d):
+    piece = lambda o, k: F.struct(F.lit(o).alias("op"), F.lit(k).alias("len"))
+    at = reads.position_in_read(F.array(piece(0, 40), piece(2, 5), piece(0, 60)), (F.col("o_orderkey") % 90).cast("int"))
+    return read(spark, d, "orders").select(F.col("o_orderkey").alias("k"), at["qpos"].cast("long").alias("qpos"))
+
+
+@query("""SELECT p_size % 25 AS chrom, p_partkey AS pos, substr('ACGT', CAST(1 + p_partkey % 4 AS INT), 1) AS base, lag_b.base AS pn, lead_b.base AS nn FROM part p
+LEFT JOIN (SELECT p_size % 25 AS c, p_partkey + 1 AS k, substr('ACGT', CAST(1 + p_partkey % 4 AS INT), 1) AS base FROM part) lag_b ON lag_b.c = p.p_size % 25 AND lag_b.k = p.p_partkey
+LEFT JOIN (SELECT p_size % 25 AS c, p_partkey - 1 AS k, substr('ACGT', CAST(1 + p_partkey % 4 AS INT), 1) AS base FROM part) lead_b ON lead_b.c = p.p_size % 25 AND lead_b.k = p.p_partkey""")
+def q_neighbour_bases(spark, d):
+    return reads.neighbour_bases(read(spark, d, "part").select((F.col("p_size") % 25).alias("chrom"), F.col("p_partkey").alias("pos"), letter(F.col("p_partkey")).alias("base")))
+
+
+# Scores
+
+@query(f"""{CALLS}, {DEPTHS}, f AS (SELECT chrom, pos, src, tgt, CAST(dn_src AS BIGINT) AS a, CAST(dn_tgt AS BIGINT) AS b, CAST(dt_src + rt_src AS BIGINT) AS c, CAST(dt_tgt + rt_tgt AS BIGINT) AS d FROM g WHERE type = 'SOM'),
+lf AS (SELECT k, sum(CASE WHEN k > 0 THEN ln(k) ELSE 0 END) OVER (ORDER BY k) AS v FROM range(0, 2000) r(k)),
+tl AS (SELECT f.*, unnest(range(0, least(b, c) + 1)) AS s, true AS up FROM f UNION ALL SELECT f.*, unnest(range(0, least(a, d) + 1)) AS s, false AS up FROM f),
+cell AS (SELECT chrom, pos, src, tgt, up, CASE WHEN up THEN a + s ELSE a - s END AS a, CASE WHEN up THEN b - s ELSE b + s END AS b, CASE WHEN up THEN c - s ELSE c + s END AS c, CASE WHEN up THEN d + s ELSE d - s END AS d FROM tl),
+term AS (SELECT chrom, pos, src, tgt, up, exp(l1.v + l2.v + l3.v + l4.v - l5.v - l6.v - l7.v - l8.v - l9.v) AS p FROM cell
+  JOIN lf l1 ON l1.k = a + b JOIN lf l2 ON l2.k = c + d JOIN lf l3 ON l3.k = a + c JOIN lf l4 ON l4.k = b + d JOIN lf l5 ON l5.k = a + b + c + d JOIN lf l6 ON l6.k = a JOIN lf l7 ON l7.k = b JOIN lf l8 ON l8.k = c JOIN lf l9 ON l9.k = d),
+s AS (SELECT chrom, pos, src, tgt, sum(p) FILTER (up) AS r, sum(p) FILTER (NOT up) AS l FROM term GROUP BY ALL), v AS (SELECT *, CASE WHEN r >= 0.999 THEN l ELSE r END AS p FROM s)
+SELECT chrom, pos, src, tgt, CAST(least(255, greatest(0, floor(-10 * log10(least(p, 1.0)) + 0.5))) AS BIGINT) AS qual FROM v""")
+def q_fisher_score(spark, d):
+    m = mods_of(spark, d, "SOM")
+    depth = {f"{s}_{n}": (depth_of(s, F.col(c)) if s != "rn" else F.lit(0)).cast("long") for s in ("dn", "rn", "dt", "rt") for n, c in (("ref", "src"), ("alt", "tgt"))}
+    return score.score(m.withColumns(depth | {"final_type": F.col("type"), "passes": F.lit(True)})).select("chrom", "pos", "src", "tgt", "qual")
+
+
+# Realignment, genes
+
+
+@query("""WITH h AS (SELECT l_orderkey AS read, l_linestatus = 'F' AS here, l_tax > 0.01 AS usable, CAST(l_quantity AS INT) AS len, l_discount AS e, l_extendedprice AS i FROM lineitem), b AS (
+  SELECT read, min(e) FILTER (usable AND len > 10 AND here) AS eh, min(e) FILTER (usable AND len > 10 AND NOT here) AS et, max(i) FILTER (usable AND len > 10 AND here) AS ih, max(i) FILTER (usable AND len > 10 AND NOT here) AS it FROM h GROUP BY read)
+SELECT read, eh IS NOT NULL AND (et IS NULL OR eh < et OR ih > coalesce(it, 0.0)) AS valid FROM b""")
+def q_blat_valid(spark, d):
+    return realign.valid_reads_blast(hits(spark, d), ["read"]).select("read", F.coalesce("valid", F.lit(False)).alias("valid"))
+
+
+def hits(spark, d) -> DataFrame:
+    return read(spark, d, "lineitem").select(F.col("l_orderkey").alias("read"), (F.col("l_linestatus") == "F").alias("overlapping"), (F.col("l_tax") > 0.01).alias("usable"), F.col("l_quantity").cast("int").alias("length"), F.lit(20).alias("read_length"), F.col("l_discount").alias("evalue"), F.col("l_extendedprice").alias("identity"))
+
+
+PSL_SQL = """WITH h AS (SELECT l_orderkey AS read, l_suppkey AS call, l_linestatus = 'F' AS here, l_tax > 0.01 AS usable, CAST(l_quantity AS BIGINT) + l_linenumber - 2 AS score FROM lineitem),
+b AS (SELECT call, read, max(score) FILTER (usable AND here) AS sh, max(score) FILTER (usable AND NOT here) AS st FROM h GROUP BY ALL), v AS (SELECT call, read, sh IS NOT NULL AND NOT coalesce(st > sh, false) AS valid FROM b)"""
+
+
+def psl_reads(spark, d) -> DataFrame:
+    h = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("read"), F.col("l_suppkey").alias("call"), (F.col("l_linestatus") == "F").alias("overlapping"), (F.col("l_tax") > 0.01).alias("usable"),
+        strings.psl_score(F.col("l_quantity").cast("long"), F.col("l_linenumber").cast("long"), F.lit(1), F.lit(1), F.lit(0)).alias("score"))
+    return realign.valid_reads_psl(h, ["call", "read"])
+
+
+@query(f"{PSL_SQL} SELECT call, read, valid FROM v")
+def q_psl_valid(spark, d):
+    return psl_reads(spark, d).select("call", "read", "valid")
+
+
+@query(f"{PSL_SQL} SELECT call, count(*) AS n_reads, count(*) FILTER (valid) AS n_valid, count(*) FILTER (valid) >= 4 AND count(*) FILTER (valid) / count(*) >= 0.1 AS passes FROM v GROUP BY call")
+def q_blat_calls(spark, d):
+    return realign.judge_calls(psl_reads(spark, d), ["call"])
+
+
+@query("""SELECT o_orderkey AS k, (o_orderkey % 25 = o_custkey % 25) AND least(o_custkey, o_orderkey) <= o_custkey + 1 - 1 AND greatest(o_custkey, o_orderkey) >= o_custkey + 1 - 1 AS here FROM orders""")
+def q_blat_overlap(spark, d):
+    chrom = lambda c: (F.col(c) % 25).cast("string")
+    return read(spark, d, "orders").select(F.col("o_orderkey").alias("k"), realign.overlaps_call(F.concat(F.lit("chr"), chrom("o_orderkey")), F.col("o_orderkey"), F.col("o_custkey"), chrom("o_custkey"), F.col("o_custkey") + 1).alias("here"))
+
+
+LISTED = " OR ".join(f"contains(p_name, '{g}')" for g in GENES)
+
+
+@query(f"""SELECT CAST(p_size % 25 AS VARCHAR) AS chrom, p_partkey AS pos, CASE WHEN p_partkey % 3 <> 0 AND ({LISTED} OR p_brand = 'Brand#13') THEN 'rgene' ELSE 'PASS' END AS filter FROM part""")
+def q_gene_blacklist(spark, d):
+    p = read(spark, d, "part")
+    effect = F.concat(F.when(F.col("p_partkey") % 3 == 0, "UPSTREAM").otherwise("EXON"), F.lit("(a|b|c|d|1|"), "p_name", F.lit("|"), "p_brand", F.lit("|x|y)"))
+    calls = p.select((F.col("p_size") % 25).cast("string").alias("chrom"), F.col("p_partkey").alias("pos"), F.array(F.lit("PASS")).alias("filter"), F.array(effect).alias("eff"))
+    entries = lambda v: spark.createDataFrame([(x,) for x in v], "entry string")
+    return genes.blacklist(calls, entries(GENES), entries(["Brand#13"])).select("chrom", "pos", F.array_join("filter", ";").alias("filter"))
+
+
+# Comparison and merging
+
+
+def sides(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Calls with a somatic or germline type, and calls with an edit; every third position fails."""
+    base = calling.calls(obs(spark, d)).select("chrom", "pos", F.array_sort(F.array_distinct(F.transform("mods", lambda m: m["type"]))).alias("types"), F.array(F.when(F.col("pos") % 3 == 0, "dtmnad").otherwise("PASS")).alias("filter"))
+    return base.where(F.arrays_overlap("types", F.array(F.lit("SOM"), F.lit("GERM")))), base.where(F.array_contains("types", "TUM_EDIT")).withColumn("filter", F.array(F.when(F.col("pos") % 5 == 0, "rtmnad").otherwise("PASS")))
+
+
+SIDES = f"""{CALLS}, k AS (SELECT chrom, pos, bool_or(type = 'GERM') AS germ, bool_or(type = 'SOM') AS som, bool_or(type = 'TUM_EDIT') AS edit FROM mods GROUP BY ALL),
+l AS (SELECT *, pos % 3 <> 0 AS ok FROM k WHERE som OR germ), r AS (SELECT *, pos % 5 <> 0 AS ok FROM k WHERE edit)"""
+
+
+@query(f"""{SIDES}, j AS (SELECT coalesce(l.som, false) AS ls, coalesce(l.ok, false) AS lo, coalesce(r.edit, false) AS re, coalesce(r.som, false) AS rs, coalesce(r.ok, false) AS ro FROM l FULL JOIN r ON l.chrom = r.chrom AND l.pos = r.pos)
+SELECT 'SOM' AS key, count(*) FILTER (ls) AS n_left, count(*) FILTER (ls AND lo) AS n_left_pass, count(*) FILTER (re OR rs) AS n_right, count(*) FILTER ((re OR rs) AND ro) AS n_right_pass, count(*) FILTER (ls AND (re OR rs)) AS n_overlap, count(*) FILTER (ls AND (re OR rs) AND lo AND ro) AS n_overlap_pass FROM j""")
+def q_compare_sets(spark, d):
+    return compare.counts(*sides(spark, d), compare.parse_spec("SOM=TUM_EDIT,SOM"))
+
+
+@query(f"{SIDES} SELECT l.chrom, l.pos FROM l WHERE ok AND EXISTS (SELECT 1 FROM r WHERE r.chrom = l.chrom AND r.pos = l.pos AND r.ok)")
+def q_overlap(spark, d):
+    return compare.overlap(*sides(spark, d)).select("chrom", "pos")
+
+
+@query(f"{SIDES} SELECT l.chrom, l.pos FROM l WHERE ok AND NOT EXISTS (SELECT 1 FROM r WHERE r.chrom = l.chrom AND r.pos = l.pos)")
+def q_nonoverlap(spark, d):
+    return compare.non_overlap(*sides(spark, d)).select("chrom", "pos")
+
+
+@query(f"{SIDES} SELECT CASE WHEN ok THEN 'PASS' ELSE 'dtmnad' END AS filter, count(*) AS n FROM l GROUP BY ALL")
+def q_filter_counts(spark, d):
+    return compare.filter_counts(sides(spark, d)[0])
+
+
+@query(f"""{SIDES}, n AS (SELECT r.* FROM r WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.ok AND l.chrom = r.chrom AND l.pos = r.pos)), o AS (SELECT r.chrom, r.pos FROM r JOIN l ON r.chrom = l.chrom AND r.pos = l.pos WHERE r.ok AND l.ok),
+j AS (SELECT coalesce(l.chrom, n.chrom) AS chrom, coalesce(l.pos, n.pos) AS pos, l.chrom IS NOT NULL AS hl, n.chrom IS NOT NULL AS hn, coalesce(l.ok, false) AS lok, coalesce(n.ok, false) AS nok, l.germ AS lg, l.som AS ls, l.edit AS le, n.germ AS ng, n.som AS ns, n.edit AS ne
+  FROM l FULL JOIN n ON l.chrom = n.chrom AND l.pos = n.pos),
+w AS (SELECT *, hn AND nok AND NOT lok AS win FROM j), x AS (SELECT *, win OR NOT hl AS from_n FROM w)
+SELECT x.chrom, x.pos, CASE WHEN win THEN 'PASS' WHEN hl AND lok THEN 'PASS' WHEN hl THEN CASE WHEN hn AND NOT nok THEN 'dtmnad;rtmnad' ELSE 'dtmnad' END ELSE 'rtmnad' END AS filter,
+  CASE WHEN from_n THEN 'RNA' WHEN (o.chrom IS NOT NULL) THEN 'DNA,RNA' WHEN hn AND NOT nok THEN 'DNA,RNA' ELSE 'DNA' END AS origin
+FROM x LEFT JOIN o ON o.chrom = x.chrom AND o.pos = x.pos""")
+def q_merge_priority(spark, d):
+    left, right = sides(spark, d)
+    full = lambda df, o: df.withColumns({"origin": F.array(F.lit(o)), "mod_filters": F.array().cast("array<string>")})
+    only = compare.non_overlap(right.withColumn("filter", F.array(F.lit("PASS"))), merge.passing(left)).select("chrom", "pos")
+    none = full(right, "RNA").where(F.lit(False))
+    out = merge.merge_rna_and_dna(full(left, "DNA"), none, compare.overlap(right, left), full(right.join(only, ["chrom", "pos"], "left_semi"), "RNA"))
+    return out.select("chrom", "pos", F.array_join(F.array_sort("filter"), ";").alias("filter"), F.array_join(F.array_sort("origin"), ",").alias("origin"))
+
+
+@query(f"{SIDES} SELECT l.chrom, l.pos, CASE WHEN r.ok THEN 'edit' ELSE 'call' END AS source FROM l LEFT JOIN r ON r.chrom = l.chrom AND r.pos = l.pos AND r.ok")
+def q_overlay(spark, d):
+    left, right = sides(spark, d)
+    mark = lambda df, s: df.select("chrom", "pos", F.lit(s).alias("source"))
+    return merge.overlay(mark(left, "call"), mark(merge.passing(right), "edit"))
+
+
+@query(f"{SIDES} SELECT chrom, pos, 'call' AS source FROM l UNION ALL SELECT chrom, pos, 'edit' FROM r")
+def q_chrom_sort_union(spark, d):
+    left, right = sides(spark, d)
+    return merge.union_sorted([left.select("chrom", "pos", F.lit("call").alias("source")), right.select("chrom", "pos", F.lit("edit").alias("source"))])
+
+
+@query(f"{SIDES} SELECT chrom, pos FROM l WHERE ok")
+def q_extract_passing(spark, d):
+    return merge.passing(sides(spark, d)[0]).select("chrom", "pos")
+
+
+@query(f"{SIDES} SELECT chrom, pos, 'PASS' AS filter FROM l WHERE NOT germ AND pos % 7 <> 0 AND pos % 3 <> 0")
+def q_rna_only(spark, d):
+    left, _ = sides(spark, d)
+    flagged = left.withColumns({"info": F.map_from_arrays(F.array(F.when(F.col("pos") % 7 == 0, "DB").otherwise("SS")), F.array(F.array(F.lit("True")))), "filter": F.array(F.when(F.col("pos") % 3 == 0, "dnmndp").otherwise("dtmnad"))})
+    return merge.rna_only(flagged).select("chrom", "pos", F.array_join("filter", ";").alias("filter"))
+
+
+@query(f"""{SIDES} SELECT chrom, pos, CASE WHEN germ THEN 'RADIAGerm' WHEN pos % 3 = 0 THEN 'RADIASomDNA' WHEN pos % 3 = 1 THEN 'RADIASomRNAConf' ELSE 'RADIASomRNARescue' END AS sst FROM l""")
+def q_support_label(spark, d):
+    left, _ = sides(spark, d)
+    origin = F.when(F.col("pos") % 3 == 0, F.array(F.lit("DNA"))).when(F.col("pos") % 3 == 1, F.array(F.lit("DNA"), F.lit("RNA"))).otherwise(F.array(F.lit("RNA")))
+    return left.select("chrom", "pos", merge.support_label(F.get("types", 0), origin).alias("sst"))
+
+
+# Text fields
+
+
+@query("SELECT p_partkey AS k, translate(substr('ACGTN', CAST(1 + p_partkey % 5 AS INT), 1), 'ACGTN', 'TGCAN') AS base FROM part")
+def q_revcomp(spark, d):
+    base = F.substring(F.lit("ACGTN"), (1 + F.col("p_partkey") % 5).cast("int"), F.lit(1))
+    return read(spark, d, "part").select(F.col("p_partkey").alias("k"), strings.reverse_complement(base).alias("base"))
+
+
+@query("SELECT o_orderkey AS k, 'p.T' || o_custkey || '=' AS prot, CAST(o_orderkey % 2 = 0 AS BOOLEAN) AS db, 'AC=' || o_custkey || ',' || o_orderkey || CASE WHEN o_orderkey % 2 = 0 THEN ';DB' ELSE '' END || ';ProtCh=p.T' || o_custkey || '=' AS again FROM orders")
+def q_info_parse(spark, d):
+    c, k = F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string")
+    info = F.concat(F.lit("ProtCh=p.T"), c, F.lit("=;AC="), c, F.lit(","), k, F.when(F.col("o_orderkey") % 2 == 0, ";DB").otherwise(""))
+    x = read(spark, d, "orders").select(F.col("o_orderkey").alias("k"), strings.parse_info(info).alias("i"))
+    return x.select("k", F.get(F.col("i")["ProtCh"], 0).alias("prot"), F.array_contains(F.map_keys("i"), "DB").alias("db"), strings.format_info(F.col("i")).alias("again"))
+
+
+@query("SELECT c_custkey AS k, 'hg' || c_nationkey AS fasta, '/data/' || c_name || '.bam' AS bam FROM customer")
+def q_vcfgenerator_parse(spark, d):
+    line = F.concat(F.lit("##vcfGenerator=<source=<x>,fasta=<hg"), F.col("c_nationkey").cast("string"), F.lit(">,bam=</data/"), "c_name", F.lit(".bam>>"))
+    x = read(spark, d, "customer").select(F.col("c_custkey").alias("k"), strings.parse_generator(line).alias("p"))
+    return x.select("k", F.col("p")["fasta"].alias("fasta"), F.col("p")["bam"].alias("bam"))
+
+
+@query("SELECT p_partkey AS k, 'NON_SYNONYMOUS' AS effect, p_name AS gene, p_type AS biotype FROM part")
+def q_effect_parse(spark, d):
+    e = F.array(F.concat(F.lit("NON_SYNONYMOUS(MODERATE|MISSENSE|aCc/aTc|T1I|99|"), "p_name", F.lit("|"), "p_type", F.lit("|CODING|id|1|1)")))
+    return read(spark, d, "part").select(F.col("p_partkey").alias("k"), F.explode(strings.parse_effects(e)).alias("e")).select("k", "e.effect", "e.gene", "e.biotype")
+
+
+@query("SELECT l_orderkey AS k, l_linenumber AS n, (l_orderkey & 1) <> 0 AS paired, (l_orderkey & 2) <> 0 AS proper, (l_orderkey & 256) <> 0 AS secondary FROM lineitem")
+def q_sam_flags(spark, d):
+    k = F.col("l_orderkey")
+    return read(spark, d, "lineitem").select(k.alias("k"), F.col("l_linenumber").alias("n"), *[strings.flag(k, b).alias(n) for b, n in ((0x1, "paired"), (0x2, "proper"), (0x100, "secondary"))])
+
+
+@query("SELECT c_custkey AS k, CASE c_mktsegment WHEN 'BUILDING' THEN 'B' WHEN 'MACHINERY' THEN 'M' ELSE c_mktsegment END || ',B' AS codes, CASE WHEN c_acctbal > 0 THEN 'AY' ELSE 'AN' END || ',' || CASE WHEN c_nationkey > 12 THEN 'NY' ELSE 'NN' END AS flags FROM customer")
+def q_tissue_and_flag_codes(spark, d):
+    codes = F.create_map(F.lit("BUILDING"), F.lit("B"), F.lit("MACHINERY"), F.lit("M"))
+    return read(spark, d, "customer").select(F.col("c_custkey").alias("k"), strings.tissue_codes(F.concat("c_mktsegment", F.lit(", BUILDING")), codes).alias("codes"), strings.pack_flags([("A", F.col("c_acctbal") > 0), ("N", F.col("c_nationkey") > 12)]).alias("flags"))
