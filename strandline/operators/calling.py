@@ -80,14 +80,19 @@ def merged_counts(obs: DataFrame, p: CallParams = CallParams()) -> DataFrame:
     return obs.groupBy("chrom", "pos", "ref").agg(*[F.count_if(ok & (F.col("sample") == s) & (F.col("base") == b)).alias(count_column(s, b)) for s in SAMPLES for b in BASES])
 
 
+def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds columns that filters and projections above read: as a generator's output, large expressions aren't repeated for each use."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))))
+
+
 def find_variants(sites: DataFrame, p: CallParams = CallParams()) -> DataFrame:
     """Adds alts (array), mods (array of type, src, tgt), ss, somatic, below_total, below_alt, filter.
 
-    Samples are visited in order; each compares its bases with what its parents have shown. The state is four flags and four
-    counts per position, so the visits unroll into column expressions.
+    Samples are visited in order; each compares its bases with what its parents have shown: the bases of all earlier samples
+    and, once one has reads, the reference. That is a function of the counts, so each visit is a column expression of its own.
     """
     ref = F.col("ref")
-    parent = {b: F.lit(False) for b in BASES}
+    earlier: list[str] = []
     alts: list[Column] = []
     mods: list[Column] = []
     below_total, below_alt = [], []
@@ -95,7 +100,7 @@ def find_variants(sites: DataFrame, p: CallParams = CallParams()) -> DataFrame:
         n = {b: F.col(count_column(s, b)) for b in BASES}
         total = sum(n.values())
         active = total > 0
-        empty = ~reduce(lambda x, y: x | y, parent.values())
+        empty = sum((F.col(count_column(e, b)) for e in earlier for b in BASES), F.lit(0)) == 0
         if s == "DNA_TUMOR":
             pm, prev = p.min_alt["DNA_NORMAL"], {b: F.col(count_column("DNA_NORMAL", b)) for b in BASES}
             kind = "SOM" if "DNA_NORMAL" in p.supplied else "DNA_TUM_VAR"
@@ -108,7 +113,8 @@ def find_variants(sites: DataFrame, p: CallParams = CallParams()) -> DataFrame:
             prev = {b: F.lit(pm) for b in BASES}
             kind = "GERM" if s == "DNA_NORMAL" else "NOR_EDIT" if "DNA_NORMAL" in p.supplied else "RNA_NOR_VAR"
         prev = {b: F.when(empty | (ref == b), pm).otherwise(prev[b]) for b in BASES}
-        inside = {b: parent[b] | (ref == b) for b in BASES}
+        inside = {b: (sum((F.col(count_column(e, b)) for e in earlier), F.lit(0)) > 0) | (ref == b) for b in BASES}
+        earlier.append(s)
         for b in BASES:
             here = active & (n[b] > 0)
             alts.append(F.when(here & ~inside[b], F.lit(b)))
@@ -117,9 +123,8 @@ def find_variants(sites: DataFrame, p: CallParams = CallParams()) -> DataFrame:
             below_total.append(differs & (total < p.min_total[s]))
             below_alt.append(differs & (total >= p.min_total[s]) & (n[b] < p.min_alt[s]))
             mods += [F.when(called & inside[d] & (prev[d] >= pm) & F.lit(d != b), F.struct(F.lit(kind).alias("type"), F.lit(d).alias("src"), F.lit(b).alias("tgt"))) for d in BASES if d != b]
-        parent = {b: F.when(active, inside[b] | (n[b] > 0)).otherwise(parent[b]) for b in BASES}
     any_of = lambda x: reduce(lambda a, b: a | b, x)
-    out = sites.withColumns({"alts": F.array_distinct(F.array_compact(F.array(*alts))), "mods": F.array_compact(F.array(*mods)), "below_total": any_of(below_total), "below_alt": any_of(below_alt)})
+    out = computed(sites, {"alts": F.array_distinct(F.array_compact(F.array(*alts))), "mods": F.array_compact(F.array(*mods)), "below_total": any_of(below_total), "below_alt": any_of(below_alt)})
     first = F.get(F.col("mods"), 0)["type"]
     ss = reduce(lambda c, x: c.when(first == x[0], x[1]), list(SS_CODES.items())[1:], F.when(first == "GERM", 1))
     codes = F.array_compact(F.array(F.when(F.col("below_total"), F.lit("mbt")), F.when(F.col("below_alt"), F.lit("mba"))))
@@ -177,7 +182,7 @@ def records(obs: DataFrame, p: CallParams = CallParams()) -> DataFrame:
         return F.when(dp > 0, F.struct(*fields))
 
     counts = [count_column(s, b) for s in SAMPLES for b in BASES]
-    return out.withColumns({SHORT[s]: sample(s) for s in SAMPLES}).drop("stats", *counts)
+    return computed(out, {SHORT[s]: sample(s) for s in SAMPLES}).drop("stats", *counts)
 
 
 def run_totals(called: DataFrame) -> DataFrame:
