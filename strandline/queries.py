@@ -435,14 +435,14 @@ def q_perfect_counts(spark, d):
 SELECT chrom, pos, mmp, array_to_string(list_sort(list_filter([
   CASE WHEN n_mut >= 4 AND mmp >= 0.9 THEN 'mxmmp' END, CASE WHEN n_perfect >= 4 AND (p_plus / n_perfect > 0.9 OR p_plus / n_perfect < 1 - CAST(0.9 AS DOUBLE)) THEN 'perfsbias' END,
   CASE WHEN n_mut >= 4 AND (n_start / n_mut >= 0.95 OR n_end / n_mut >= 0.95) THEN 'pbias' END, CASE WHEN n_perfect >= 4 AND (p_start / n_perfect >= 0.95 OR p_end / n_perfect >= 0.95) THEN 'perfpbias' END,
-  CASE WHEN n_perfect < 4 THEN 'perfmnad' END, CASE WHEN n_perfect / (n_mut + n_ref) < 0.1 THEN 'perfmnaf' END], x -> x IS NOT NULL)), '_') AS codes FROM c""")
+  CASE WHEN n_perfect < 4 THEN 'perfmnad' END, CASE WHEN n_perfect / (n_mut + n_ref) < 0.1 THEN 'perfmnaf' END], lambda x: x IS NOT NULL)), '_') AS codes FROM c""")
 def q_read_support_codes(spark, d):
     out = reads.support_codes(reads.support(tumor_reads(spark, d), ["chrom", "pos"]))
     return out.select("chrom", "pos", "mmp", F.array_join("codes", "_").alias("codes"))
 
 
 @query("""WITH c AS (SELECT doc_id, coalesce(left(text, 60), '') AS s, doc_id % 40 AS q FROM documents)
-SELECT doc_id, len(list_filter(range(greatest(q - 5, 0), least(q + 5, length(s) - 1) + 1), k -> ascii(substr(s, CAST(k + 1 AS INT), 1)) - 33 < 10)) > 0 AS low FROM c WHERE length(s) > q""")
+SELECT doc_id, len(list_filter(range(greatest(q - 5, 0), least(q + 5, length(s) - 1) + 1), lambda k: ascii(substr(s, CAST(k + 1 AS INT), 1)) - 33 < 10)) > 0 AS low FROM c WHERE length(s) > q""")
 def q_neighbour_quality(spark, d):
     c = read(spark, d, "documents").select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, 60).alias("s"), (F.col("doc_id") % 40).cast("int").alias("q")).where("length(s) > q")
     return c.select("doc_id", reads.low_neighbours(F.col("s"), F.col("q")).alias("low"))
@@ -576,9 +576,9 @@ def q_filter_counts(spark, d):
     return compare.filter_counts(sides(spark, d)[0])
 
 
-@query(f"""{SIDES}, n AS (SELECT r.* FROM r WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.ok AND l.chrom = r.chrom AND l.pos = r.pos)), o AS (SELECT r.chrom, r.pos FROM r JOIN l ON r.chrom = l.chrom AND r.pos = l.pos WHERE r.ok AND l.ok),
+@query(f"""{SIDES}, fresh AS (SELECT r.* FROM r WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.ok AND l.chrom = r.chrom AND l.pos = r.pos)), o AS (SELECT r.chrom, r.pos FROM r JOIN l ON r.chrom = l.chrom AND r.pos = l.pos WHERE r.ok AND l.ok),
 j AS (SELECT coalesce(l.chrom, n.chrom) AS chrom, coalesce(l.pos, n.pos) AS pos, l.chrom IS NOT NULL AS hl, n.chrom IS NOT NULL AS hn, coalesce(l.ok, false) AS lok, coalesce(n.ok, false) AS nok, l.germ AS lg, l.som AS ls, l.edit AS le, n.germ AS ng, n.som AS ns, n.edit AS ne
-  FROM l FULL JOIN n ON l.chrom = n.chrom AND l.pos = n.pos),
+  FROM l FULL JOIN fresh n ON l.chrom = n.chrom AND l.pos = n.pos),
 w AS (SELECT *, hn AND nok AND NOT lok AS win FROM j), x AS (SELECT *, win OR NOT hl AS from_n FROM w)
 SELECT x.chrom, x.pos, CASE WHEN win THEN 'PASS' WHEN hl AND lok THEN 'PASS' WHEN hl THEN CASE WHEN hn AND NOT nok THEN 'dtmnad;rtmnad' ELSE 'dtmnad' END ELSE 'rtmnad' END AS filter,
   CASE WHEN from_n THEN 'RNA' WHEN (o.chrom IS NOT NULL) THEN 'DNA,RNA' WHEN hn AND NOT nok THEN 'DNA,RNA' ELSE 'DNA' END AS origin
