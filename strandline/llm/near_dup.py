@@ -3,8 +3,8 @@
 A shingle of five words weighs its count times the mean inverse document frequency of its words; document frequencies are
 counted over all documents in a fixed number of hashed word buckets, so the table that tasks receive has one size
 whatever the corpus. Equal texts are folded before banding. In each bucket a pivot is compared with the others (not all pairs);
-what the pivot leaves apart is compared further, as far as the triangle inequality of the weighted Jaccard
-distance allows a link.
+texts that a few pivots leave apart meet by the rarest shingles that hold a fifth of their weight: similar
+texts share one of these, texts that only share a common passage do not.
 """
 
 from __future__ import annotations
@@ -22,7 +22,9 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 14, 3
 #: Hashed word buckets of the document frequency table; entries of each sample's parameter table.
 BUCKET_BITS, TABLE_BITS = 18, 14
-#: Rounds of pivots before what is left is compared pair by pair.
+#: Hashed shingle buckets of the table that orders the shingles of texts left apart.
+ORDER_BITS = 20
+#: Rounds of pivots before what is left is compared by rare shingles.
 PIVOT_ROUNDS = 3
 
 
@@ -99,6 +101,46 @@ def document_frequencies(docs: DataFrame, text_col: str) -> np.ndarray:
     return np.log(1 + (total + 1) / (1 + df))
 
 
+def rare_shingles(texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """The first shingles of each text (id, t), rarest first: (id, shingle, w, rest) with the text's weight and what of it is not before the shingle.
+
+    Texts of similarity ``threshold`` have their first common shingle among these, whatever the common order is.
+    """
+    size = 1 << ORDER_BITS
+
+    def parts(batches):
+        for batch in batches:
+            column = batch.column(1)
+            for i, j in K.passes(np.diff(K.raw(column)[0])):
+                yield batch.column(0).slice(i, j - i), weighted_shingles(K.Words(*K.joined(column, i, j), K.word_class("alnum"), True), idf.value)
+
+    def count(batches):
+        n = np.zeros(size, np.int64)
+        for _, (_, h, _) in parts(batches):
+            n += np.bincount((h >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=size)
+        k = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(n[k], pa.int64())], ["k", "n"])
+
+    got = texts.select("id", "t").mapInArrow(count, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(size, np.int64)
+    table[got["k"].to_numpy()] = got["n"].to_numpy()
+    counts = texts.sparkSession.sparkContext.broadcast(table)
+
+    def emit(batches):
+        for ids, (text, h, weight) in parts(batches):
+            order = np.lexsort((h, counts.value[(h >> np.uint64(64 - ORDER_BITS)).astype(np.int64)], text))
+            text, h, weight = text[order], h[order], weight[order]
+            total = np.bincount(text, weight, minlength=len(ids))
+            sums = np.append(0, np.cumsum(weight))
+            begin = np.searchsorted(text, np.arange(len(ids)))
+            before = sums[:-1] - sums[begin][text]
+            keep = before <= (1 - threshold + 1e-9) * total[text]
+            w = total[text[keep]]
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(text[keep])), pa.array(h[keep].view(np.int64)), pa.array(w), pa.array(w - before[keep])], ["id", "shingle", "w", "rest"])
+
+    return texts.select("id", "t").mapInArrow(emit, "id long, shingle long, w double, rest double")
+
+
 def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     low = np.minimum(a[1][i], b[1][j]).sum()
@@ -178,17 +220,13 @@ def classes(docs: DataFrame, threshold: float = SIMILARITY, id_col: str = "doc_i
             pairs = open_rows.join(pivot, "bucket").where("component <> p.component")
             pairs = pairs.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
         else:
-            o = open_rows
-            if tested is not None:
-                # a row that is too far from a bucket's pivot to link with anything near it meets only rows as far
-                pivots = tested.select(F.col("a").alias("x"), F.col("b").alias("y"), "s").union(tested.select("b", "a", "s"))
-                first = open_rows.groupBy("bucket").agg(F.min_by("id", F.xxhash64("id", F.lit(0))).alias("x"))
-                o = open_rows.join(first, "bucket").join(pivots.withColumnRenamed("y", "id"), ["x", "id"], "left").select("bucket", "id", "component", "s")
-            else:
-                o = open_rows.withColumn("s", F.lit(None).cast("double"))
-            l, r = o.alias("l"), o.alias("r")
-            near = F.coalesce(F.abs(F.col("l.s") - F.col("r.s")) <= 1 - threshold + 1e-9, F.lit(True))
-            pairs = l.join(r, (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.component") != F.col("r.component")) & near)
+            keys = cut(rare_shingles(texts.join(open_rows.select("id").distinct(), "id", "left_semi"), idf, threshold))
+            again = keys.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
+            keys = keys.join(again, "shingle").join(component, "id")
+            l, r = keys.alias("l"), keys.alias("r")
+            # of the first common shingle on, both texts hold the weight that the threshold asks for
+            enough = F.least("l.rest", "r.rest") >= (threshold / (1 + threshold) - 1e-9) * (F.col("l.w") + F.col("r.w"))
+            pairs = l.join(r, (F.col("l.shingle") == F.col("r.shingle")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.component") != F.col("r.component")) & enough)
             pairs = pairs.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
