@@ -84,6 +84,7 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, confidence: flo
     share = np.arange(1, len(z_p) + 1) / len(z_p)
     q_u = np.searchsorted(-z_u, -z_p, "right") / len(z_u)
     use = share > max(0.02, 2 * slack)
+    use[-1:] = True  # few rows: the bound holds nowhere else
     k = np.argmin((q_u[use] + slack) / share[use])
     return float(np.clip(q_u[use][k] / share[use][k], 0.01, 0.99))
 
