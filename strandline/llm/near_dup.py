@@ -149,7 +149,7 @@ def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 
 def verify(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
-    """Similarity s of each pair (a, b) of text ids."""
+    """Similarity s of each pair (a, b) of text ids; their components ca and cb stay with them."""
 
     def run(batches):
         kept: dict[int, tuple] = {}
@@ -166,12 +166,12 @@ def verify(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 part = batch.slice(k, 512)
-                s = [jaccard(vector(a, ta), vector(b, tb)) for a, b, ta, tb in zip(*(c.to_pylist() for c in part.columns), strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(s, pa.float64())], ["a", "b", "s"])
+                s = [jaccard(vector(a, ta), vector(b, tb)) for a, b, ta, tb in zip(*(part.column(c).to_pylist() for c in (0, 1, 4, 5)), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in range(4)), pa.array(s, pa.float64())], ["a", "b", "ca", "cb", "s"])
 
     left = texts.select(F.col("id").alias("a"), F.col("t").alias("ta"))
     right = texts.select(F.col("id").alias("b"), F.col("t").alias("tb"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, s double")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "ca", "cb", "ta", "tb").mapInArrow(run, "a long, b long, ca long, cb long, s double")
 
 
 def classes(docs: DataFrame, threshold: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -207,7 +207,6 @@ def classes(docs: DataFrame, threshold: float = SIMILARITY, id_col: str = "doc_i
     texts = cut(source.join(involved, "id", "left_semi").groupBy("id").agg(F.min("t").alias("t")))
     component = involved.withColumn("component", F.col("id"))
     tested = None
-    links = spark.createDataFrame([], "a long, b long")
     for k in range(PIVOT_ROUNDS + 1):
         labelled = members.join(component, "id")
         mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
@@ -218,7 +217,8 @@ def classes(docs: DataFrame, threshold: float = SIMILARITY, id_col: str = "doc_i
             # each round's pivot is the smallest by a hash of its own, of the bucket's commonest kind after the first
             pivot = open_rows.groupBy("bucket").agg(F.min_by(F.struct("id", "component"), F.xxhash64("id", F.lit(k))).alias("p"))
             pairs = open_rows.join(pivot, "bucket").where("component <> p.component")
-            pairs = pairs.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
+            own = F.struct("id", "component")
+            pairs = pairs.select(F.least(own, "p").alias("l"), F.greatest(own, "p").alias("r"))
         else:
             keys = cut(rare_shingles(texts.join(open_rows.select("id").distinct(), "id", "left_semi"), idf, threshold))
             again = keys.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
@@ -227,14 +227,15 @@ def classes(docs: DataFrame, threshold: float = SIMILARITY, id_col: str = "doc_i
             # of the first common shingle on, both texts hold the weight that the threshold asks for
             enough = F.least("l.rest", "r.rest") >= (threshold / (1 + threshold) - 1e-9) * (F.col("l.w") + F.col("r.w"))
             pairs = l.join(r, (F.col("l.shingle") == F.col("r.shingle")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.component") != F.col("r.component")) & enough)
-            pairs = pairs.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
+        pairs = pairs.select(F.col("l.id").alias("a"), F.col("r.id").alias("b"), F.col("l.component").alias("ca"), F.col("r.component").alias("cb")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         found = cut(verify(pairs, texts, idf))
         tested = found if tested is None else tested.unionByName(found)
-        links = cut(links.unionByName(found.where(F.col("s") >= threshold).select("a", "b")))
-        linked = connected_components(links)
-        component = cut(involved.join(linked, "id", "left").select("id", F.coalesce("component", "id").alias("component")))
+        # what is linked now joins components, so the graph shrinks from round to round
+        joined = connected_components(found.where(F.col("s") >= threshold).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        joined = joined.select(F.col("id").alias("component"), F.col("component").alias("now"))
+        component = cut(component.join(joined, "component", "left").select("id", F.coalesce("now", "component").alias("component")))
     rep = folded.select("h", "g", "rep").join(component.withColumnRenamed("id", "rep"), "rep", "left").select("h", "g", F.coalesce("component", "rep").alias("class_id"))
     out = signed.select("id", "h", "g").join(rep, ["h", "g"]).select("id", "class_id")
     # ids that several rows share: one class for all of them
