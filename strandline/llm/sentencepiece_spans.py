@@ -1,28 +1,32 @@
 """SentencePiece encoding that keeps byte spans, and decoding.
 
 Longest-prefix normalisation walks the model's compiled character map (a double-array trie) and
-records, for each normalised character, the source bytes it came from; every piece is then projected
-to a byte span of the original text. Segmentation runs on space-led chunks, which is exact as long as no
+records, for each normalised character, the source bytes it came from; the normalised text is segmented, and
+every piece is projected to a byte span of the original text. Segmentation runs on space-led chunks, which is exact as long as no
 piece continues over a space mark; other models are segmented text by text. Chunks that a
-task has seen are taken from a bounded cache.
+task has seen are taken from a bounded cache. Decoding takes the ids of a whole text.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 MARK = "▁"
 #: Chunks kept in each of the two generations of a task's cache.
 CACHE_CHUNKS = 150_000
+#: Pieces of a batch that encoding hands on; a longer text makes a batch of its own.
+BATCH_PIECES = 1 << 17
 
 
 class CharMap:
@@ -67,106 +71,136 @@ class Encoder:
         self.trim, self.prefix = spec.remove_extra_whitespaces, spec.add_dummy_prefix
         self.map = CharMap(spec.precompiled_charsmap)
         self.library = sentencepiece.SentencePieceProcessor(model_file=model)
-        self.eos = self.library.eos_id()
+        self.eos, self.unknown = self.library.eos_id(), self.library.unk_id()
         self.piece = [p.piece for p in proto.pieces]
-        self.surface = [
-            bytes([int(p.piece[3:5], 16)]) if p.type == 6 else b"" if p.type == 3 else proto.trainer_spec.unk_surface.encode() if p.type == 2 else p.piece.replace(MARK, " ").encode() for p in proto.pieces
-        ]
-        self.decimal = [str(i) for i in range(len(self.piece))]
-        self.index = {p.piece: i for i, p in enumerate(proto.pieces)}
-        #: Chunks segment on their own only if no piece runs on over a space mark and text is not otherwise changed.
-        self.chunked = not self.map.units and not self.trim and self.prefix and not any(MARK in p.lstrip(MARK) for p in self.piece) and all(p.type != 4 for p in proto.pieces)
+        self.pieces = pa.array(self.piece, pa.string())
+        self.byte = [p.type == 6 for p in proto.pieces]
+        #: Pieces that are copied as they stand, the longest first.
+        self.fixed = sorted((p.piece.encode() for p in proto.pieces if p.type == 4), key=len, reverse=True)
+        #: Chunks segment on their own only if each starts with a piece of its own and none runs on over a space mark.
+        self.chunked = self.prefix and MARK in self.piece and not any(MARK in p.lstrip(MARK) for p in self.piece) and not self.fixed
         self.split = re.compile(f"{MARK}+[^{MARK}]*").findall
-        self.young: dict[str, tuple] = {}
-        self.old: dict[str, tuple] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        # the same pieces for text that is normalised already
+        spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces = b"", False, False
+        self.segmenter = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
 
-    def normalise(self, text: str) -> tuple[str, list[int]]:
+    def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text and, for each of its characters and its end, the byte of the source where it starts."""
-        source, out, where, at = text.encode(), [], [], 0
+        source = text.encode()
+        if not self.map.units and not self.fixed and not self.trim:
+            raw = np.frombuffer(source, np.uint8)
+            starts = np.flatnonzero((raw & 0xC0) != 0x80)
+            lead = self.prefix and len(source) > 0
+            return (MARK if lead else "") + text.replace(" ", MARK), np.concatenate([starts[:1] if lead else starts[:0], starts, [len(source)]])
+        out: list[str] = []
+        where: list[int] = []
+        at = 0
+        if self.trim:
+            while at < len(source) and (found := self.prefix_of(source, at))[1] == " ":
+                at += found[0]
+        if self.prefix and at < len(source):
+            out.append(MARK)
+            where.append(at)
         ends_in_space = self.trim
         while at < len(source):
-            found = self.map.longest(source, at)
-            n, new = found if found else (next(k for k in range(1, 5) if at + k >= len(source) or source[at + k] & 0xC0 != 0x80), None)
-            for c in (source[at : at + n] if new is None else new).decode():
-                if c == " ":
-                    if self.trim and ends_in_space:
-                        continue
-                    c = MARK
-                ends_in_space = c == MARK
-                out.append(c)
-                where.append(at)
+            n, new = self.prefix_of(source, at)
+            if ends_in_space:
+                new = new.lstrip(" ")
+            if new:
+                out.extend(new.replace(" ", MARK))
+                where.extend([at] * len(new))
+                ends_in_space = new.endswith(" ")
             at += n
+            ends_in_space = ends_in_space and self.trim
         end = len(source)
         while self.trim and out and out[-1] == MARK:
             out.pop()
             end = where.pop()
-        if self.prefix and out:
-            out.insert(0, MARK)
-            where.insert(0, where[0])
-        return "".join(out), [*where, end]
-
-    def chunks(self, text: str) -> list[str]:
-        """The text's space-led chunks, each without its first space mark."""
-        if not text:
+        return "".join(out), np.array([*where, end], np.int64)
+
+    def prefix_of(self, source: bytes, at: int) -> tuple[int, str]:
+        """Length of the longest prefix with a replacement (or of one character) and what it becomes."""
+        for piece in self.fixed:
+            if source.startswith(piece, at):
+                return len(piece), piece.decode()
+        found = self.map.longest(source, at)
+        if found:
+            return found[0], found[1].decode()
+        n = next(k for k in range(1, 5) if at + k >= len(source) or source[at + k] & 0xC0 != 0x80)
+        return n, source[at : at + n].decode()
+
+    def chunks(self, norm: str) -> list[str]:
+        """The space-led chunks of a normalised text, each without its first space mark."""
+        if not norm:
             return []
-        words = text.split(" ")
-        if "" in words or MARK in text:
-            return [c[1:] for c in self.split(MARK + text.replace(" ", MARK))]
-        return words
+        words = norm[1:].split(MARK)
+        return [c[1:] for c in self.split(norm)] if "" in words else words
+
+    def packed(self, norm: str, ids: list[int]) -> bytes:
+        """Id, first and end character of each piece of a normalised text, as 32-bit integers in turn."""
+        out = array("i")
+        surface = self.segmenter.encode(norm, out_type=str) if self.unknown in ids else self.piece
+        at = part = 0
+        for k, i in enumerate(ids):
+            begin = at
+            if self.byte[i]:  # the bytes of one character share its span
+                end, part = at + 1, part + 1
+                if part == len(norm[at].encode()):
+                    at, part = end, 0
+            elif i == self.unknown:  # a run of unknown characters is one piece
+                end = at = at + len(surface[k])
+            else:
+                end = at = at + len(self.piece[i])
+            out.extend((i, begin, end))
+        if at != len(norm) or part:
+            raise ValueError(f"pieces cover {at} of {len(norm)} characters")
+        return out.tobytes()
 
     def learn(self, missing: list[str]) -> None:
-        """Segment new chunks; the library adds the first space mark of each."""
+        """Segment new chunks."""
         if len(self.young) + len(missing) > CACHE_CHUNKS:
             self.old, self.young = self.young, {}
-        surface, decimal = self.surface, self.decimal
-        for chunk, ids in zip(missing, self.library.encode(missing, num_threads=1), strict=True):
-            ids = ids or [self.index[MARK]]
-            self.young[chunk] = len(ids), " ".join([decimal[i] for i in ids]), b"".join([surface[i] for i in ids])
+        whole = [MARK + c for c in missing]
+        for chunk, norm, ids in zip(missing, whole, self.segmenter.encode(whole, num_threads=1), strict=True):
+            self.young[chunk] = self.packed(norm, ids)
 
-    def segments(self, texts: list[str]) -> Iterator[list[tuple]]:
-        """For each text its chunks' (count, decimal ids, decoded bytes)."""
+    def segments(self, norms: list[str]) -> Iterator[np.ndarray]:
+        """For each normalised text the id, first and end character of every piece."""
         if not self.chunked:
-            for text in texts:
-                ids = self.library.encode(text)
-                yield [(len(ids), " ".join([self.decimal[i] for i in ids]), b"".join([self.surface[i] for i in ids]))] if ids else []
+            for norm in norms:
+                yield np.frombuffer(self.packed(norm, self.segmenter.encode(norm)), np.int32).reshape(-1, 3)
             return
+        split = [self.chunks(t) for t in norms]
+        known = [list(map(self.young.get, chunks)) for chunks in split]
+        missing = {c: None for chunks, row in zip(split, known, strict=True) if None in row for c, x in zip(chunks, row, strict=True) if x is None}
+        again = {c: self.old[c] for c in missing if c in self.old}
+        if len(again) < len(missing):
+            self.learn([c for c in missing if c not in again])
+        self.young.update(again)
+        young = self.young
+        for chunks, row in zip(split, known, strict=True):
+            parts = [x or young[c] for c, x in zip(chunks, row, strict=True)] if None in row else row
+            out = np.frombuffer(b"".join(parts), np.int32).reshape(-1, 3).copy()
+            lengths = np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1
+            out[:, 1:] += np.repeat(np.cumsum(lengths) - lengths, np.fromiter(map(len, parts), np.int64, len(parts)) // 12)[:, None].astype(np.int32)
+            yield out
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each text the ids of its pieces and where in the source's bytes each begins and ends."""
         for k in range(0, len(texts), 64):
-            split = [self.chunks(t) for t in texts[k : k + 64]]
-            known = [list(map(self.young.get, chunks)) for chunks in split]
-            missing = {c: None for chunks, row in zip(split, known, strict=True) if None in row for c, x in zip(chunks, row, strict=True) if x is None}
-            again = {c: self.old[c] for c in missing if c in self.old}
-            if len(again) < len(missing):
-                self.learn([c for c in missing if c not in again])
-            self.young.update(again)
-            young = self.young
-            for chunks, row in zip(split, known, strict=True):
-                yield [x or young[c] for c, x in zip(chunks, row, strict=True)] if None in row else row
-
-    def finish(self, decoded: bytes) -> str:
-        """Decoded text: the space that encoding put in front goes."""
-        if (self.prefix or self.trim) and decoded.startswith(b" "):
-            decoded = decoded.lstrip(b" ") if self.trim else decoded[1:]
-        return decoded.decode("utf-8", "replace")
+            norms = [self.normalise(t) for t in texts[k : k + 64]]
+            for (_, where), found in zip(norms, self.segments([n for n, _ in norms]), strict=True):
+                yield found[:, 0], where[found[:, 1]], where[found[:, 2]]
+
+    def decode(self, ids: list[int]) -> str:
+        return self.library.decode(ids) if ids else ""
 
     def spans(self, text: str) -> list[tuple[int, str, int, int]]:
         """Id, piece and source byte span of every piece; the pieces' spans follow each other over the whole text."""
-        norm, where = self.normalise(text)
-        out, at, part = [], 0, 0
-        for segment in self.segments([text]):
-            for chunk in segment:
-                for i in map(int, chunk[1].split()):
-                    piece, begin = self.piece[i], at
-                    if self.library.is_byte(i):  # the bytes of one character share its span
-                        part += 1
-                        if part == len(norm[at].encode()):
-                            at, part = at + 1, 0
-                            end = at
-                        else:
-                            end = begin + 1
-                    else:
-                        end = at = at + len(piece) if not self.library.is_unknown(i) else at + 1
-                    out.append((i, piece, where[begin], where[end]))
-        return out
+        ids, begin, end = (x.tolist() for x in next(self.encode([text])))
+        return [(i, self.piece[i], b, e) for i, b, e in zip(ids, begin, end, strict=True)]
 
 
 @lru_cache(1)
@@ -175,59 +209,61 @@ def encoder(model: str) -> Encoder:
 
 
 def token_digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Count and digest of the ids of each text (an end id last) and digest of the decoded text.
+    """Count and digest of the ids of each text (an end id last) and digest of the text decoded from these ids.
 
     One row per input row. Null or empty text: the end id alone, decoding to the empty string. Texts of
     any length are handled whole; repeated rows give repeated rows; other columns are not read.
     """
-
-    def run(batches):
-        sp = encoder(model)
-        eos = str(sp.eos)
-        for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                texts = part.column(1).to_pylist()
-                count, ids_sha, text_sha = [], [], []
-                for segment in sp.segments(texts):
-                    count.append(sum([c[0] for c in segment]) + 1)
-                    ids = [c[1] for c in segment]
-                    ids.append(eos)
-                    ids_sha.append(hashlib.sha256(" ".join(ids).encode()).hexdigest())
-                    text_sha.append(hashlib.sha256(sp.finish(b"".join([c[2] for c in segment])).encode()).hexdigest())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(count, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    return source.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    source = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).alias("_text"))
+    encoded = encode(source, model, "_text", end=True).select(id_col, F.col("pieces.id").alias("ids"))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return decode(encoded, model).select(id_col, F.size("ids").cast("long").alias("n_tokens"), sha(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"), sha(F.col("decoded")).alias("decoded_sha256"))
 
 
-def encode(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
-    """Adds ``pieces``: array of (id, piece, begin, end), spans in bytes of the original text. Null text: no pieces."""
+def encode(docs: DataFrame, model: str, text_col: str = "text", end: bool = False) -> DataFrame:
+    """Adds ``pieces``: array of (id, piece, begin, end), spans in bytes of the original text. Null text: no pieces.
 
-    @F.pandas_udf("array<struct<id:int,piece:string,begin:int,end:int>>")
-    def pieces(batches: Iterator) -> Iterator:
-        import pandas as pd
+    end: an end piece with an empty span comes last, also for null text.
+    """
+    at = docs.columns.index(text_col)
+    names = [*docs.columns, "pieces"]
 
+    def run(batches):
         sp = encoder(model)
-        for texts in batches:
-            yield pd.Series([[{"id": i, "piece": p, "begin": b, "end": e} for i, p, b, e in sp.spans(t or "")] for t in texts])
-
-    pieces.__annotations__ = {}
-    return docs.withColumn("pieces", pieces(F.col(text_col)))
+        for batch in batches:
+            found, first, total = [], 0, 0
+            for k, (ids, begin, stop) in enumerate(sp.encode([t or "" for t in batch.column(at).to_pylist()])):
+                if end:
+                    n = stop[-1:] if len(stop) else np.zeros(1, np.int64)
+                    ids, begin, stop = np.append(ids, np.int32(sp.eos)), np.append(begin, n), np.append(stop, n)
+                found.append((ids, begin, stop))
+                total += len(ids)
+                if total >= BATCH_PIECES or k == batch.num_rows - 1:
+                    ids, begin, stop = (pa.array(np.concatenate(x).astype(np.int32), pa.int32()) for x in zip(*found, strict=True))
+                    pieces = pa.StructArray.from_arrays([ids, sp.pieces.take(ids), begin, stop], ["id", "piece", "begin", "end"])
+                    offsets = np.zeros(len(found) + 1, np.int32)
+                    np.cumsum([len(x[0]) for x in found], out=offsets[1:])
+                    rows = batch.slice(first, len(found))
+                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.ListArray.from_arrays(pa.array(offsets), pieces)], names)
+                    found, first, total = [], k + 1, 0
+
+    pieces = T.ArrayType(T.StructType.fromDDL("id int, piece string, begin int, end int"))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("pieces", pieces)]))
 
 
 def decode(rows: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
     """Adds ``decoded``: the text of an array of ids. Null or no ids: the empty string."""
 
-    @F.pandas_udf("string")
-    def texts(batches: Iterator) -> Iterator:
-        import pandas as pd
+    at, names = rows.columns.index(ids_col), [*rows.columns, "decoded"]
 
+    def run(batches):
         sp = encoder(model)
-        for ids in batches:
-            yield pd.Series([sp.library.decode([int(i) for i in x]) if x is not None and len(x) else "" for x in ids])
+        for batch in batches:
+            ids = batch.column(at)
+            texts = [sp.decode(ids[k].values.to_pylist()) if ids[k].is_valid else "" for k in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
 
-    return rows.withColumn("decoded", texts(F.col(ids_col)))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
 __all__ = ["CharMap", "Encoder", "decode", "encode", "token_digests"]

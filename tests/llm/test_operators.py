@@ -113,6 +113,39 @@ def test_sentencepiece_is_the_library(spark):
         assert (got[k].n_tokens, got[k].ids_sha256, got[k].decoded_sha256) == (len(ids), sha(" ".join(map(str, ids)).encode()), sha(library.decode(ids).encode()))
 
 
+def test_sentencepiece_spans_are_the_librarys(spark, tmp_path, monkeypatch):
+    """Spans and digests of both queries come from encode() and decode(), also under a compiled character map."""
+    import sentencepiece
+
+    rng = random.Random(9)
+    lines = [" ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 7))) for _ in range(8)) for _ in range(400)] + ["ﬁne ① print ü é"] * 20
+    (tmp_path / "lines.txt").write_text("\n".join(lines))
+    sentencepiece.SentencePieceTrainer.train(input=str(tmp_path / "lines.txt"), model_prefix=str(tmp_path / "mapped"), vocab_size=110, model_type="bpe", normalization_rule_name="nmt_nfkc", hard_vocab_limit=False, minloglevel=2)
+    texts = [*odd_texts()[:5], "  a  b ", "ﬁne  print\u3000①②", "\u0000nul", "tab\tnew\nline  ", "日本語のテキスト abc 日本", "🙂👩‍👩‍👧", "e\u0301\u0302 u\u0308", " lead", "▁x▁▁ y", "\u200b", *lines[:3]]
+    calls = []
+    for name in ("encode", "decode"):
+        f = getattr(sentencepiece_spans, name)
+        monkeypatch.setattr(sentencepiece_spans, name, lambda *a, f=f, name=name, **b: calls.append(name) or f(*a, **b))
+    for path, mapped in ((llm.tokenizer_path(), False), (str(tmp_path / "mapped.model"), True)):
+        assert bool(sentencepiece_spans.Encoder(path).map.units) == mapped
+        library, byte = (x := sentencepiece.SentencePieceProcessor(model_file=path)), x.is_byte
+        got = {r.doc_id: r.pieces for r in sentencepiece_spans.encode(table(spark, texts), path).collect()}
+        calls.clear()
+        digests = {r.doc_id: r for r in sentencepiece_spans.token_digests(table(spark, texts), path).collect()}
+        assert calls == ["encode", "decode"]
+        for k, t in enumerate(texts):
+            source, want = (t or "").encode(), library.encode(t or "", return_type="proto").pieces
+            assert [x.id for x in want] == [x.id for x in got[k]]
+            # the bytes of a character share its span here
+            assert all((x.begin, x.end) == (y.begin, y.end) for x, y in zip(want, got[k], strict=True) if not byte(x.id))
+            assert all(source[y.begin : y.end].decode() and (y.begin, y.end) for y in got[k] if byte(y.id))
+            if not mapped:
+                assert all(source[y.begin : y.end].decode() == y.piece.replace("▁", " ")[y is got[k][0] :] for y in got[k] if not byte(y.id) and "▁" not in (t or ""))
+                assert not got[k] or (got[k][0].begin, got[k][-1].end) == (0, len(source))
+            ids = [x.id for x in want]
+            assert digests[k][1:] == (len(ids) + 1, sha(" ".join(map(str, [*ids, library.eos_id()])).encode()), sha(library.decode(ids).encode()))
+
+
 def test_license_base_counts(spark):
     texts = [None, "", "Under the MIT license, under the mit License", "Apache License Version 2.0", "cc-by-nc cc by nc", "nothing here"]
     got = {r.doc_id: r for r in license_scan.scan(table(spark, texts)).collect()}
