@@ -1,7 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
 Shared runs of ``least`` words are joined as seeds; a (document, item) pair goes on only if the item's
-words that its seeds cover could reach the threshold. Tiling then repeatedly marks the longest non-overlapping matches, found
+words that its seeds cover, each wherever it stands in the item, could reach the threshold. Tiling then repeatedly marks the longest non-overlapping matches, found
 by running Karp-Rabin, so passages count in any order; an item that is covered far enough contaminates the document.
 """
 
@@ -89,16 +89,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, cove
 
     def item_seeds(batches):
         for batch in batches:
-            column = batch.column(1)
+            column = batch.column(2)
             for i, j in K.passes(np.diff(K.raw(column)[0])):
                 w = K.Words(*K.joined(column, i, j), K.word_class("alnum"), True)
                 h, at = K.shingles(w.hash, w.text, least)
-                pairs = np.unique(np.stack([w.text[at], h.view(np.int64)]), axis=1) if len(h) else np.zeros((2, 0), np.int64)
-                ids = batch.column(0).slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(pairs[0])), pa.array(pairs[1]), pa.array(w.n[pairs[0]], pa.int64())], ["item", "seed", "n_words"])
+                pairs, times = np.unique(np.stack([w.text[at], h.view(np.int64)]), axis=1, return_counts=True) if len(h) else (np.zeros((2, 0), np.int64), np.zeros(0, np.int64))
+                ids, g = (batch.column(c).slice(i, j - i).take(pa.array(pairs[0])) for c in range(2))
+                yield pa.RecordBatch.from_arrays([ids, g, pa.array(pairs[1]), pa.array(times, pa.int64()), pa.array(w.n[pairs[0]], pa.int64())], ["item", "g", "seed", "times", "n_words"])
 
-    items = benchmark.select(id_or_least(item_col).alias("item"), text_bytes(item_text).alias("t")).distinct()
-    seeds = cut(items.mapInArrow(item_seeds, "item long, seed long, n_words long"))
+    items = benchmark.select(id_or_least(item_col).alias("item"), text_bytes(item_text).alias("t")).distinct().select("item", F.xxhash64("t").alias("g"), "t")
+    seeds = cut(items.mapInArrow(item_seeds, "item long, g long, seed long, times long, n_words long"))
     few = seeds.select("seed").distinct().limit(SEED_FILTER + 1)
     wanted = None
     if few.count() <= SEED_FILTER:
@@ -124,10 +124,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, cove
 
     source = docs.select(id_or_least(id_col).alias("id"), text_bytes(text_col).alias("t")).withColumn("h", F.xxhash64("t"))
     found = source.select("id", "t", "h").mapInArrow(doc_seeds, "id long, h long, seed long")
-    pairs = found.join(seeds, "seed").groupBy("id", "h", "item").agg(F.countDistinct("seed").alias("n"), F.max("n_words").alias("n_words"))
-    pairs = cut(pairs.where(F.col("n") * least >= F.col("n_words") * coverage).select("id", "h", "item"))
+    # rows that repeat an item's id are judged one by one; a seed counts as often as it stands in the item, once for all copies of a document's row
+    shared = found.join(seeds, "seed").groupBy("id", "h", "item", "g", "seed").agg(F.max("times").alias("times"), F.max("n_words").alias("n_words"))
+    pairs = shared.groupBy("id", "h", "item", "g").agg(F.sum("times").alias("n"), F.max("n_words").alias("n_words"))
+    pairs = cut(pairs.where(F.col("n") * least >= F.col("n_words") * coverage).select("id", "h", "item", "g"))
     texts = source.join(pairs.select("id", "h").distinct(), ["id", "h"], "left_semi").dropDuplicates(["id", "h"])
-    work = pairs.join(texts, ["id", "h"]).join(items.select("item", F.col("t").alias("p")), "item").select("id", "item", "t", "p")
+    work = pairs.join(texts, ["id", "h"]).join(items.select("item", "g", F.col("t").alias("p")), ["item", "g"]).select("id", "item", "t", "p")
 
     def tile(batches):
         for batch in batches:

@@ -210,6 +210,15 @@ def test_decontamination_finds_reordered_passages(spark):
     assert got[2, 1].coverage == 1.0 and got[3, 1].n_tiles == 2
 
 
+def test_decontamination_counts_repeated_seeds(spark):
+    """An item with few distinct seeds, and a short item whose id a long one has too."""
+    refrain, short = prose(10, 41) * 11, prose(30, 42)
+    docs = table(spark, [" ".join(prose(50, 43) + refrain), " ".join(short + prose(40, 44)), " ".join(prose(90, 45))])
+    items = [(1, " ".join(refrain)), (2, " ".join(short)), (2, " ".join(prose(400, 46))), (None, " ".join(short)), (None, " ".join(prose(400, 47)))]
+    got = {(r.doc_id, r.item_id): r.coverage for r in decontamination.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(0, 1): 1.0, (1, 2): 1.0, (1, -(2**63)): 1.0}
+
+
 def test_tiles_do_not_overlap():
     rng = np.random.default_rng(4)
     for _ in range(30):
