@@ -444,7 +444,7 @@ def q_read_support_codes(spark, d):
 @query("""WITH c AS (SELECT doc_id, coalesce(left(text, 60), '') AS s, doc_id % 40 AS q FROM documents)
 SELECT doc_id, len(list_filter(range(greatest(q - 5, 0), least(q + 5, length(s) - 1) + 1), lambda k: ascii(substr(s, CAST(k + 1 AS INT), 1)) - 33 < 10)) > 0 AS low FROM c WHERE length(s) > q""")
 def q_neighbour_quality(spark, d):
-    c = read(spark, d, "documents").select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, 60).alias("s"), (F.col("doc_id") % 40).cast("int").alias("q")).where("length(s) > q")
+    c = read(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("s"), (F.col("doc_id") % 40).cast("int").alias("q")).where("length(s) > q")
     return c.select("doc_id", reads.low_neighbours(F.col("s"), F.col("q")).alias("low"))
 
 

@@ -57,3 +57,10 @@ def test_filter_by_support_keeps_every_call(spark):
     judged = support.judge(records, core.DNA_LOW)
     assert judged.count() == records.count()
     assert judged.where("NOT array_contains(origin, 'DNA') OR size(filter) = 0").isEmpty()
+
+
+def test_neighbour_quality_reads_whole_texts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(core.reads, "low_neighbours", lambda s, q: F.length(s))
+    assert core.q_neighbour_quality(spark, SF).agg(F.max("low")).first()[0] > 60
