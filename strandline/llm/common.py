@@ -16,8 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The cluster names a shared folder in spark.checkpoint.dir; only where it names none (tests) a local one is set."""
+    """The cluster names a shared folder in spark.checkpoint.dir; a local one is set only in local mode, where none is named (tests)."""
     if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strandline-checkpoint-"))
 
 
@@ -36,6 +38,20 @@ def id_or_least(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(NULL_ID))
 
 
+def with_row(docs: DataFrame, id_col: str, text_col: str, carry: bool = False) -> tuple[DataFrame, bool]:
+    """Columns row (unique, in the order of the ids), id, t and, if asked, rest (a struct of the other columns); and whether row is the id.
+
+    Where ids repeat, rows that share one are ordered by their text's hash, and wholly equal rows as they come; a null id is the least.
+    """
+    rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]).alias("rest")] if carry else []
+    base = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("t"), *rest)
+    if base.groupBy(id_or_least("id").alias("i")).count().where("count > 1").isEmpty():
+        return base.withColumn("row", id_or_least("id")), True
+    keys = [id_or_least("id"), F.xxhash64("t"), F.col("_at")]
+    ordered = base.withColumn("_at", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return cut(ordered.drop("_at").withColumn("row", F.monotonically_increasing_id())), False
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest reachable id of every vertex of ``edges`` (columns a, b; long): columns id, component.
 

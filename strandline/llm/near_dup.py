@@ -2,9 +2,9 @@
 
 A shingle of five words weighs its count times the mean inverse document frequency of its words; document frequencies are
 counted over all documents in a fixed number of hashed word buckets, so the table that tasks receive has one size
-whatever the corpus. Equal texts are folded before banding. In each bucket a pivot is compared with the others (not all pairs);
-texts that a few pivots leave apart meet by the rarest shingles that hold a fifth of their weight: similar
-texts share one of these, texts that only share a common passage do not.
+whatever the corpus. Equal texts are folded before banding. In each bucket a few pivots are compared with the others; what they link
+makes components. Texts that share a bucket and are still in different components are then compared in
+pairs of blocks, and a task passes on only links that join components, so rows never grow with the square of a group.
 """
 
 from __future__ import annotations
@@ -15,17 +15,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import textkernel as K
-from strandline.llm.common import connected_components, cut, id_or_least, text_bytes
+from strandline.llm.common import connected_components, cut, id_or_least, text_bytes, with_row
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: 14 bands of 3 samples: a pair at the threshold shares a band with probability 0.99996.
 BANDS, ROWS = 14, 3
 #: Hashed word buckets of the document frequency table; entries of each sample's parameter table.
 BUCKET_BITS, TABLE_BITS = 18, 14
-#: Hashed shingle buckets of the table that orders the shingles of texts left apart.
-ORDER_BITS = 20
-#: Rounds of pivots before what is left is compared by rare shingles.
-PIVOT_ROUNDS = 3
+#: Pivots of a bucket; texts of one block, or of one pivot's group; text bytes that a task holds at a time.
+PIVOTS, BLOCK, BUNDLE_BYTES = 2, 128, 8 << 20
+#: Room for the rounding of sums.
+SLACK = 1e-9
 
 
 def parameters() -> tuple[np.ndarray, ...]:
@@ -36,8 +36,8 @@ def parameters() -> tuple[np.ndarray, ...]:
     return tuple(x.astype(np.float32) for x in (r, 1 / r, rng.random(shape), np.log(c) - r))
 
 
-def weighted_shingles(w: K.Words, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text, hash and weight of each distinct shingle, by text. A text of one to four words is one shingle."""
+def counted_shingles(w: K.Words, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, hash, weight of one and count of each distinct shingle, by text. A text of one to four words is one shingle."""
     h, at = K.shingles(w.hash, w.text, SHINGLE)
     value = idf[w.hash >> np.uint64(64 - BUCKET_BITS)]
     sums = np.append(0, np.cumsum(value))
@@ -50,8 +50,13 @@ def weighted_shingles(w: K.Words, idf: np.ndarray) -> tuple[np.ndarray, np.ndarr
     order = np.lexsort((h, text))
     h, text, weight = h[order], text[order], weight[order]
     new = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1]))) if len(h) else np.zeros(0, np.int64)
-    times = np.diff(np.append(new, len(h)))
-    return text[new], h[new], weight[new] * times
+    return text[new], h[new], weight[new], np.diff(np.append(new, len(h)))
+
+
+def weighted_shingles(w: K.Words, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, hash and weight of each distinct shingle, by text."""
+    text, h, weight, times = counted_shingles(w, idf)
+    return text, h, weight * times
 
 
 def bands(text: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int, tables) -> tuple[np.ndarray, np.ndarray]:
@@ -101,142 +106,168 @@ def document_frequencies(docs: DataFrame, text_col: str) -> np.ndarray:
     return np.log(1 + (total + 1) / (1 + df))
 
 
-def rare_shingles(texts: DataFrame, idf, threshold: float) -> DataFrame:
-    """The first shingles of each text (id, t), rarest first: (id, shingle, w, rest) with the text's weight and what of it is not before the shingle.
-
-    Texts of similarity ``threshold`` have their first common shingle among these, whatever the common order is.
+class Vectors:
+    """Shingle vectors of a column of texts: a shingle that a text holds k times is k features of the shingle's weight, so common weight is a sum over common features."""
+
+    def __init__(self, column: pa.Array, idf: np.ndarray):
+        text, feature, weight = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0)]
+        for i, j in K.passes(np.diff(K.raw(column)[0])):
+            own, h, one, n = counted_shingles(K.Words(*K.joined(column, i, j), K.word_class("alnum"), True), idf)
+            nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            text.append(np.repeat(own, n) + i)
+            feature.append(np.repeat(h, n) + K.mix(nth.astype(np.uint64)))
+            weight.append(np.repeat(one, n))
+        text, self.feature, self.weight = np.concatenate(text), np.concatenate(feature), np.concatenate(weight)
+        self.first = np.searchsorted(text, np.arange(len(column) + 1))
+        self.total = np.bincount(text, self.weight, len(column))
+
+    def features(self, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Feature indices of some texts, and each one's place among the texts."""
+        n = self.first[texts + 1] - self.first[texts]
+        return np.arange(n.sum()) + np.repeat(self.first[texts] - np.cumsum(n) + n, n), np.repeat(np.arange(len(texts)), n)
+
+    def similarities(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Weighted Jaccard similarity of every left with every right text."""
+        (a, row), (b, column) = self.features(left), self.features(right)
+        shared = np.intersect1d(self.feature[a], self.feature[b])
+        common = np.zeros((len(left), len(right)))
+        if len(shared):
+            ka, kb = (np.minimum(np.searchsorted(shared, self.feature[x]), len(shared) - 1) for x in (a, b))
+            hit = shared[ka] == self.feature[a]
+            a, row, ka = a[hit], row[hit], ka[hit]
+            hit = shared[kb] == self.feature[b]
+            column, kb = column[hit], kb[hit]
+            for c in range(0, len(shared), 2048):
+                x, y = np.zeros((len(left), 2048)), np.zeros((len(right), 2048))
+                here = (ka >= c) & (ka < c + 2048)
+                x[row[here], ka[here] - c] = self.weight[a[here]]
+                here = (kb >= c) & (kb < c + 2048)
+                y[column[here], kb[here] - c] = 1
+                common += x @ y.T
+        total = self.total[left][:, None] + self.total[right][None, :] - common
+        return np.divide(common, total, out=np.zeros_like(common), where=total > 0)
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Of the links between some labels, those that still join two trees."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    out = []
+    for x, y in np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0).tolist():
+        if (p := root(x)) != (q := root(y)):
+            up[max(p, q)] = min(p, q)
+            out.append((x, y))
+    return out
+
+
+def links(work: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """Links (a, b) between components, from groups of nodes to compare: rows (grp, side, node, component).
+
+    Side 0 is compared with side 1, or with itself where a group has no side 1. A group's links are thinned to a forest.
     """
-    size = 1 << ORDER_BITS
-
-    def parts(batches):
-        for batch in batches:
-            column = batch.column(1)
-            for i, j in K.passes(np.diff(K.raw(column)[0])):
-                yield batch.column(0).slice(i, j - i), weighted_shingles(K.Words(*K.joined(column, i, j), K.word_class("alnum"), True), idf.value)
-
-    def count(batches):
-        n = np.zeros(size, np.int64)
-        for _, (_, h, _) in parts(batches):
-            n += np.bincount((h >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=size)
-        k = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(n[k], pa.int64())], ["k", "n"])
-
-    got = texts.select("id", "t").mapInArrow(count, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros(size, np.int64)
-    table[got["k"].to_numpy()] = got["n"].to_numpy()
-    counts = texts.sparkSession.sparkContext.broadcast(table)
-
-    def emit(batches):
-        for ids, (text, h, weight) in parts(batches):
-            order = np.lexsort((h, counts.value[(h >> np.uint64(64 - ORDER_BITS)).astype(np.int64)], text))
-            text, h, weight = text[order], h[order], weight[order]
-            total = np.bincount(text, weight, minlength=len(ids))
-            sums = np.append(0, np.cumsum(weight))
-            begin = np.searchsorted(text, np.arange(len(ids)))
-            before = sums[:-1] - sums[begin][text]
-            keep = before <= (1 - threshold + 1e-9) * total[text]
-            w = total[text[keep]]
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(text[keep])), pa.array(h[keep].view(np.int64)), pa.array(w), pa.array(w - before[keep])], ["id", "shingle", "w", "rest"])
-
-    return texts.select("id", "t").mapInArrow(emit, "id long, shingle long, w double, rest double")
-
-
-def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    low = np.minimum(a[1][i], b[1][j]).sum()
-    total = a[1].sum() + b[1].sum() - low
-    return float(low / total) if total > 0 else 0.0
-
-
-def verify(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
-    """Similarity s of each pair (a, b) of text ids; their components ca and cb stay with them."""
-
-    def run(batches):
-        kept: dict[int, tuple] = {}
-
-        def vector(i: int, t: bytes):
-            if i not in kept:
-                if len(kept) > 64:
-                    kept.clear()
-                data, starts = K.joined(pa.array([t], pa.binary()), 0, 1)
-                _, h, weight = weighted_shingles(K.Words(data, starts, K.word_class("alnum"), True), idf.value)
-                kept[i] = h, weight
-            return kept[i]
-
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                s = [jaccard(vector(a, ta), vector(b, tb)) for a, b, ta, tb in zip(*(part.column(c).to_pylist() for c in (0, 1, 4, 5)), strict=True)]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in range(4)), pa.array(s, pa.float64())], ["a", "b", "ca", "cb", "s"])
-
-    left = texts.select(F.col("id").alias("a"), F.col("t").alias("ta"))
-    right = texts.select(F.col("id").alias("b"), F.col("t").alias("tb"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "ca", "cb", "ta", "tb").mapInArrow(run, "a long, b long, ca long, cb long, s double")
+    work = cut(work)
+    n, (held, size) = work.count(), texts.agg(F.count("*"), F.coalesce(F.sum(F.length("t")), F.lit(0))).first()
+    count = max(int(work.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(n * (size / max(1, held) + 64)) // BUNDLE_BYTES)
+    bundled = work.join(texts, "node").withColumn("bundle", F.pmod(F.xxhash64("grp"), F.lit(count)).cast("int"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        node, grp, side, component = (table[c].to_numpy() for c in ("node", "grp", "side", "component"))
+        _, first, back = np.unique(node, return_index=True, return_inverse=True)
+        column = table["t"].take(pa.array(first)).combine_chunks()
+        vectors = Vectors(column.chunk(0) if isinstance(column, pa.ChunkedArray) else column, idf.value)
+        order = np.lexsort((node, side, grp))
+        edge = np.flatnonzero(np.append(True, grp[order][1:] != grp[order][:-1])).tolist() + [len(order)]
+        found: list[tuple[int, int]] = []
+        for i, j in zip(edge[:-1], edge[1:], strict=True):
+            own = order[i:j]
+            cut_at = int(np.searchsorted(side[own], 1))
+            left, right = own[:cut_at], own[cut_at:] if cut_at < len(own) else own
+            near = (vectors.similarities(back[left], back[right]) >= threshold - SLACK) & (component[left][:, None] != component[right][None, :])
+            p, q = np.nonzero(near)
+            if len(p):
+                found += forest(component[left[p]], component[right[q]])
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return cut(bundled.select("bundle", "grp", "side", "node", "component", "t").groupBy("bundle").applyInArrow(compare, "a long, b long"))
+
+
+def pivot_groups(members: DataFrame) -> DataFrame:
+    """Each bucket's pivots against its other members; a pivot with many is met in groups of about BLOCK."""
+    order = [F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(PIVOTS)]
+    pivots = members.groupBy("bucket").agg(F.array(*order).alias("p"))
+    pairs = members.join(pivots, "bucket").select("node", F.explode("p").alias("p")).where("node <> p").distinct()
+    big = pairs.groupBy("p").count().where(F.col("count") > BLOCK)
+    grouped = pairs.join(big, "p", "left").select("node", "p", F.xxhash64("p", F.pmod(F.xxhash64("node"), F.coalesce(F.ceil(F.col("count") / BLOCK), F.lit(1)))).alias("grp"))
+    own = grouped.select("grp", F.lit(0).alias("side"), F.col("p").alias("node")).distinct()
+    return own.union(grouped.select("grp", F.lit(1), "node")).withColumn("component", F.col("node"))
+
+
+def block_groups(members: DataFrame, component: DataFrame) -> DataFrame:
+    """Pairs of blocks of the buckets that hold several components. A component with many members has blocks of its own, which never meet each other."""
+    labelled = members.join(component, "node")
+    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("m")).where("low < high").select("bucket", "m")
+    rows = cut(labelled.join(mixed, "bucket"))
+    big = rows.groupBy("bucket", "component").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+    part = lambda size: F.pmod(F.xxhash64("node"), F.ceil(F.col(size) / BLOCK))
+    rows = rows.join(big, ["bucket", "component"], "left")
+    rows = rows.select("bucket", "node", "component", F.when(F.col("n").isNull(), part("m")).otherwise(F.xxhash64("component", part("n"))).alias("blk"), F.when(F.col("n").isNotNull(), F.col("component")).alias("home"))
+    other = rows.select("bucket", F.col("blk").alias("blk2"), F.col("home").alias("home2")).distinct()
+    meet = rows.join(other, "bucket").where("home IS NULL OR home2 IS NULL OR home <> home2")
+    return meet.select(F.xxhash64("bucket", F.least("blk", "blk2"), F.greatest("blk", "blk2")).alias("grp"), (F.col("blk") > F.col("blk2")).cast("int").alias("side"), "node", "component")
 
 
 def classes(docs: DataFrame, threshold: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: its id, class_id (the smallest id of its class) and kept (id = class_id).
 
     Documents with equal texts, or with a weighted Jaccard similarity of at least ``threshold``, are linked; a class is what links
-    connect. Null and empty texts equal each other; texts of one to four words have one shingle, texts without words
-    link with equal texts only. A null id is the smallest; rows that share an id share a class.
+    connect. A pair at 0.8 shares no bucket, and is missed, with probability 0.00004. Null and empty texts equal each other; texts of
+    one to four words have one shingle, texts without words link with equal texts only; texts of any length are compared
+    whole. A null id is the smallest; each row is compared by its own text, and rows that share an id share a class. Other columns are not read.
     """
     spark = docs.sparkSession
-    source = docs.select(id_or_least(id_col).alias("id"), text_bytes(text_col).alias("t"))
+    source, own_id = with_row(docs, id_col, text_col)
     idf = spark.sparkContext.broadcast(document_frequencies(docs, text_col))
 
     def sign(batches):
         tables = parameters()
         for batch in batches:
-            column = batch.column(3)
+            column = batch.column(4)
             for i, j in K.passes(np.diff(K.raw(column)[0])):
                 w = K.Words(*K.joined(column, i, j), K.word_class("alnum"), True)
                 which, rows = bands(*weighted_shingles(w, idf.value), j - i, tables)
                 size = np.zeros(j - i, np.int64)
                 size[which] = BANDS
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(rows.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in range(3)), lists], ["id", "h", "g", "bands"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in range(4)), lists], ["row", "id", "h", "g", "bands"])
 
-    signed = cut(source.select("id", F.xxhash64("t").alias("h"), F.xxhash64(F.lit(1), "t").alias("g"), "t").mapInArrow(sign, "id long, h long, g long, bands array<long>"))
-    folded = signed.groupBy("h", "g").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
-    # a text id shared by rows of unequal text cannot stand for either: those rows' first text does
-    entries = folded.select(F.col("rep").alias("id"), F.explode("bands").alias("bucket"))
+    keyed = source.select("row", id_or_least("id").alias("id"), F.xxhash64("t").alias("h"), F.xxhash64(F.lit(1), "t").alias("g"), "t")
+    signed = cut(keyed.mapInArrow(sign, "row long, id long, h long, g long, bands array<long>"))
+    folded = cut(signed.groupBy("h", "g").agg(F.min("row").alias("node"), F.first("bands").alias("bands")))
+    entries = folded.select("node", F.explode("bands").alias("bucket"))
     full = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = cut(entries.join(full, "bucket").distinct())
-    involved = members.select("id").distinct()
-    texts = cut(source.join(involved, "id", "left_semi").groupBy("id").agg(F.min("t").alias("t")))
-    component = involved.withColumn("component", F.col("id"))
-    tested = None
-    for k in range(PIVOT_ROUNDS + 1):
-        labelled = members.join(component, "id")
-        mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-        open_rows = cut(labelled.join(mixed, "bucket"))
-        if open_rows.isEmpty():
-            break
-        if k < PIVOT_ROUNDS:
-            # each round's pivot is the smallest by a hash of its own, of the bucket's commonest kind after the first
-            pivot = open_rows.groupBy("bucket").agg(F.min_by(F.struct("id", "component"), F.xxhash64("id", F.lit(k))).alias("p"))
-            pairs = open_rows.join(pivot, "bucket").where("component <> p.component")
-            own = F.struct("id", "component")
-            pairs = pairs.select(F.least(own, "p").alias("l"), F.greatest(own, "p").alias("r"))
-        else:
-            keys = cut(rare_shingles(texts.join(open_rows.select("id").distinct(), "id", "left_semi"), idf, threshold))
-            again = keys.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
-            keys = keys.join(again, "shingle").join(component, "id")
-            l, r = keys.alias("l"), keys.alias("r")
-            # of the first common shingle on, both texts hold the weight that the threshold asks for
-            enough = F.least("l.rest", "r.rest") >= (threshold / (1 + threshold) - 1e-9) * (F.col("l.w") + F.col("r.w"))
-            pairs = l.join(r, (F.col("l.shingle") == F.col("r.shingle")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.component") != F.col("r.component")) & enough)
-        pairs = pairs.select(F.col("l.id").alias("a"), F.col("r.id").alias("b"), F.col("l.component").alias("ca"), F.col("r.component").alias("cb")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        found = cut(verify(pairs, texts, idf))
-        tested = found if tested is None else tested.unionByName(found)
-        # what is linked now joins components, so the graph shrinks from round to round
-        joined = connected_components(found.where(F.col("s") >= threshold).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-        joined = joined.select(F.col("id").alias("component"), F.col("component").alias("now"))
-        component = cut(component.join(joined, "component", "left").select("id", F.coalesce("now", "component").alias("component")))
-    rep = folded.select("h", "g", "rep").join(component.withColumnRenamed("id", "rep"), "rep", "left").select("h", "g", F.coalesce("component", "rep").alias("class_id"))
-    out = signed.select("id", "h", "g").join(rep, ["h", "g"]).select("id", "class_id")
-    # ids that several rows share: one class for all of them
-    return out.groupBy("id").agg(F.min("class_id").alias("class_id"), F.count("*").alias("n")).select(F.col("id").alias(id_col), "class_id", (F.col("id") == F.col("class_id")).alias("kept"), F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("_")).drop("_")
+    members = cut(entries.join(full, "bucket"))
+    involved = members.select("node").distinct()
+    texts = cut(source.join(involved, F.col("row") == F.col("node"), "left_semi").select(F.col("row").alias("node"), "t"))
+
+    first = connected_components(links(pivot_groups(members), texts, idf, threshold)).withColumnRenamed("id", "node")
+    component = cut(involved.join(first, "node", "left").select("node", F.coalesce("component", "node").alias("component")))
+    edges = links(block_groups(members, component), texts, idf, threshold)
+    nodes = folded.select("h", "g", "node").join(component, "node", "left").select("h", "g", F.coalesce("component", "node").alias("component"))
+    rows = signed.select("row", "id", "h", "g").join(nodes, ["h", "g"]).select("row", "id", "component")
+    if not own_id:  # rows that share an id
+        rows = cut(rows)
+        shared = rows.groupBy("id").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("id", "low")
+        edges = edges.union(rows.join(shared, "id").where("component <> low").select("component", "low"))
+    second = connected_components(edges).select(F.col("id").alias("component"), F.col("component").alias("now"))
+    out = rows.join(second, "component", "left").select("id", F.coalesce("now", "component").alias("class_id"))
+    if not own_id:
+        least = rows.select(F.col("row").alias("class_id"), F.col("id").alias("least"))
+        out = out.join(least, "class_id").select("id", F.col("least").alias("class_id"))
+    idf.unpersist()
+    return out.select(F.col("id").alias(id_col), "class_id", (F.col("id") == F.col("class_id")).alias("kept"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import textkernel as K
-from strandline.llm.common import cut, id_or_least, text_bytes
+from strandline.llm.common import cut, with_row
 
 #: Text bytes of a document group, and runs that a task holds before it sends them on.
 GROUP_BYTES, FLUSH_RUNS = 12 << 20, 600_000
@@ -156,16 +156,6 @@ def fold(runs: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     return firsts, marks_of(s[rest])
 
 
-def with_row(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
-    """Columns row (unique, in the order of the ids), id, t and, if asked, rest (a struct of the other columns). Rows that share an id are ordered by their text's hash."""
-    rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]).alias("rest")] if carry else []
-    base = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("t"), *rest)
-    ids = base.groupBy(id_or_least("id").alias("i")).count()
-    if ids.where("count > 1").isEmpty():
-        return base.withColumn("row", id_or_least("id"))
-    return cut(base.repartitionByRange(id_or_least("id"), F.xxhash64("t")).sortWithinPartitions(id_or_least("id"), F.xxhash64("t")).withColumn("row", F.monotonically_increasing_id()))
-
-
 def find(docs: DataFrame, shape: Shape, settle: Callable[[np.ndarray, list[np.ndarray]], np.ndarray], finish: Callable[..., pa.RecordBatch], schema: str, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """One result row for each document; with carry, a struct ``rest`` of the document's other columns too.
 
@@ -173,7 +163,7 @@ def find(docs: DataFrame, shape: Shape, settle: Callable[[np.ndarray, list[np.nd
     finish(ids, data, starts, marks of each text as (at, n) arrays) -> the result's rows.
     """
     carry = carry and len(set(docs.columns) - {id_col, text_col}) > 0
-    source = with_row(docs, id_col, text_col, carry)
+    source, _ = with_row(docs, id_col, text_col, carry)
     total = source.agg(F.sum(F.length("t"))).first()[0] or 0
     groups = max(1, math.ceil(total / GROUP_BYTES), int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 

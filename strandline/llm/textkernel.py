@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes that one numpy pass handles; a longer text makes a pass of its own.
-PASS_BYTES = 1 << 19
+PASS_BYTES = 1 << 17
 MULT = np.uint64(0x9E3779B97F4A7C15 | 1)
 MULT2 = np.uint64(0xC2B2AE3D27D4EB4F | 1)
 

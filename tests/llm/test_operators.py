@@ -178,29 +178,6 @@ def test_near_duplicates(spark):
     assert all(r.kept == (r.doc_id == r.class_id) for r in got)
 
 
-def test_similar_texts_share_a_rare_shingle(spark):
-    """Every pair over the threshold meets, by brute force."""
-    rng, base = random.Random(5), prose(90, 21)
-    texts = [" ".join(w if rng.random() > 0.02 else "z" + w for w in base) for _ in range(40)]
-    docs = table(spark, texts)
-    idf = spark.sparkContext.broadcast(near_dup.document_frequencies(docs, "text"))
-    rows = near_dup.rare_shingles(docs.select(F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("t")), idf, 0.8).collect()
-    own: dict[int, dict] = {}
-    for r in rows:
-        own.setdefault(r.id, {})[r.shingle] = r
-    meet = {(a, b) for a in own for b in own if a < b and any(min(own[a][s].rest, own[b][s].rest) >= (0.8 / 1.8 - 1e-9) * (own[a][s].w + own[b][s].w) for s in own[a].keys() & own[b].keys())}
-    import pyarrow as pa
-
-    from strandline.llm import textkernel as K
-
-    vectors = []
-    for t in texts:
-        data, starts = K.joined(pa.array([t.encode()], pa.binary()), 0, 1)
-        vectors.append(near_dup.weighted_shingles(K.Words(data, starts, K.word_class("alnum"), True), idf.value)[1:])
-    similar = {(a, b) for a in range(40) for b in range(a + 1, 40) if near_dup.jaccard(vectors[a], vectors[b]) >= 0.8}
-    assert similar and similar <= meet
-
-
 def test_decontamination_finds_reordered_passages(spark):
     item = prose(80, 31)
     docs = table(spark, [None, "", " ".join(prose(50, 32) + item + prose(20, 33)), " ".join(item[40:] + prose(40, 34) + item[:40]), " ".join(prose(100, 35)), " ".join(prose(60, 36) + item[:20])])
