@@ -5,9 +5,14 @@ units. Equal windows have equal anchors at equal offsets, so neighbouring window
 run, keyed by the anchor's hash, and a window whose key occurs once in the corpus cannot be repeated. What
 is exchanged is packed into numpy blobs, one for each task's flush and destination, so no row is made for each position.
 
-Flow: runs (equal runs of one flush are folded) -> exchange by key -> runs that are alone go; of equal runs all but
-the first are settled; the rest ("open" runs) fetch their text -> exchange by key -> the operator's own index (suffix trees,
-or a Burrows-Wheeler transform) settles their windows -> exchange by document, next to the texts.
+Flow: runs (equal runs of one flush are folded) -> exchange by key -> runs that are alone go; of runs with equal 64-bit content
+hashes all but the first are settled as copies, without a look at the index; the rest ("open" runs: one anchor, different content) fetch their
+text -> exchange by key -> the operator's own index (suffix trees, or a Burrows-Wheeler transform) settles their
+windows -> exchange by document, next to the texts.
+
+An anchor that very many runs share (a line that stands in a third of all documents) would put them all into one task. Such
+anchors are found first, in hashed counters of fixed size, and their runs are keyed by the hash of a whole window instead: the prefix
+is lengthened as far as it goes, so the runs spread over all tasks, and what still meets are copies, folded before the exchange.
 """
 
 from __future__ import annotations
@@ -25,7 +30,9 @@ from strandline.llm import textkernel as K
 from strandline.llm.common import cut, with_row
 
 #: Text bytes of a document group, and runs that a task holds before it sends them on.
-GROUP_BYTES, FLUSH_RUNS = 12 << 20, 600_000
+GROUP_BYTES, FLUSH_RUNS = 6 << 20, 200_000
+#: Runs from which on an anchor is hot; one run in COUNTED is counted, in 2 ** COUNTER_BITS counters.
+HOT_RUNS, COUNTED, COUNTER_BITS = 4096, 16, 24
 
 RUN = np.dtype([("key", "<u8"), ("same", "<u8"), ("row", "<i8"), ("at", "<u4"), ("n", "u1"), ("more", "u1")])
 MARK = np.dtype([("row", "<i8"), ("at", "<u4"), ("n", "<u4")])
@@ -57,8 +64,12 @@ def units_of(data: np.ndarray, starts: np.ndarray, words: bool) -> tuple[np.ndar
     return K.byte_values(False)[data], starts, None
 
 
-def runs_of(units: np.ndarray, first: np.ndarray, last: np.ndarray, rows: np.ndarray, shape: Shape) -> np.ndarray:
-    """Runs of the windows of each text; a text's units are first to last - 1."""
+def counter(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
+def runs_of(units: np.ndarray, first: np.ndarray, last: np.ndarray, rows: np.ndarray, shape: Shape, hot: np.ndarray | None = None) -> np.ndarray:
+    """Runs of the windows of each text; a text's units are first to last - 1. hot: counters whose runs come window by window, keyed by content (None: keys only)."""
     n = len(units) - shape.width + 1
     if n <= 0:
         return np.zeros(0, RUN)
@@ -76,11 +87,27 @@ def runs_of(units: np.ndarray, first: np.ndarray, last: np.ndarray, rows: np.nda
     begins[first[full]] = True
     start = np.flatnonzero(begins)
     stop = np.flatnonzero(inside & np.append((anchor[1:] != anchor[:-1]) | ~inside[1:] | begins[1:], True)) + 1
-    out = np.zeros(len(start), RUN)
-    out["key"], out["same"] = grams[anchor[start]], K.Spans(units).of(start, stop + shape.width - 1)
-    text = np.searchsorted(first, start, "right") - 1
-    out["row"], out["at"], out["n"] = rows[text], start - first[text], stop - start
-    return out
+
+    def made(key, start, stop, spans):
+        out = np.zeros(len(start), RUN)
+        text = np.searchsorted(first, start, "right") - 1
+        out["key"], out["row"], out["at"], out["n"] = key, rows[text], start - first[text], stop - start
+        if spans is not None:
+            out["same"] = spans.of(start, stop + shape.width - 1)
+        return out
+
+    key = grams[anchor[start]]
+    if hot is None:
+        return made(key, start, stop, None)
+    spans = K.Spans(units)
+    if not len(hot):
+        return made(key, start, stop, spans)
+    common = np.isin(counter(key), hot)
+    size = (stop - start)[common]
+    windows = np.repeat(start[common] - np.cumsum(size) + size, size) + np.arange(size.sum())
+    single = made(spans.of(windows, windows + shape.width), windows, windows + 1, None)
+    single["same"] = single["key"]
+    return np.concatenate([made(key[~common], start[~common], stop[~common], spans), single])
 
 
 def groups_of_equal(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -156,7 +183,35 @@ def fold(runs: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     return firsts, marks_of(s[rest])
 
 
-def find(docs: DataFrame, shape: Shape, settle: Callable[[np.ndarray, list[np.ndarray]], np.ndarray], finish: Callable[..., pa.RecordBatch], schema: str, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+def text_runs(column: pa.Array, rows: np.ndarray, shape: Shape, hot: np.ndarray | None) -> Iterator[np.ndarray]:
+    for i, j in K.passes(np.diff(K.raw(column)[0])):
+        data, starts = K.joined(column, i, j)
+        units, first, _ = units_of(data, starts, shape.words)
+        yield runs_of(units, first[:-1], first[1:] if shape.words else first[1:] - 1, rows[i:j], shape, hot)
+
+
+def survey(source: DataFrame, shape: Shape, hot_runs: int) -> tuple[int, np.ndarray]:
+    """Bytes of all texts, and the counters of hot anchors: those beyond ``hot_runs`` runs and four times the mean of all counters."""
+
+    def count(batches):
+        held, size = [np.zeros(0, np.int64)], 0
+        for batch in batches:
+            column, rows = batch.column(1), batch.column(0).to_numpy()
+            size += int(np.diff(K.raw(column)[0]).sum())
+            for runs in text_runs(column, rows, shape, None):
+                taken = K.mix(runs["key"] + K.mix(runs["row"].astype(np.uint64) + K.mix(runs["at"].astype(np.uint64)))) % np.uint64(COUNTED) == 0
+                held.append(counter(runs["key"][taken]))
+        at, n = np.unique(np.concatenate(held), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(n, size), pa.int64())], ["k", "n"])
+
+    counts = cut(source.select("row", "t").mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")))
+    total, size = counts.agg(F.sum(F.when(F.col("k") >= 0, F.col("n"))), F.sum(F.when(F.col("k") < 0, F.col("n")))).first()
+    least = max(hot_runs, 4 * COUNTED * (total or 0) >> COUNTER_BITS) / COUNTED
+    # at most a quarter of the counters lie over four times their mean
+    return size or 0, np.sort(counts.where((F.col("k") >= 0) & (F.col("n") >= least)).select("k").toArrow()["k"].to_numpy())
+
+
+def find(docs: DataFrame, shape: Shape, settle: Callable[[np.ndarray, list[np.ndarray]], np.ndarray], finish: Callable[..., pa.RecordBatch], schema: str, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, hot_runs: int = HOT_RUNS) -> DataFrame:
     """One result row for each document; with carry, a struct ``rest`` of the document's other columns too.
 
     settle(runs, units) -> (row, at, n) of the windows to remove among open runs of the same keys, with each run's units.
@@ -164,7 +219,8 @@ def find(docs: DataFrame, shape: Shape, settle: Callable[[np.ndarray, list[np.nd
     """
     carry = carry and len(set(docs.columns) - {id_col, text_col}) > 0
     source, _ = with_row(docs, id_col, text_col, carry)
-    total = source.agg(F.sum(F.length("t"))).first()[0] or 0
+    total, hot = survey(source, shape, hot_runs)
+    hot = source.sparkSession.sparkContext.broadcast(hot)
     groups = max(1, math.ceil(total / GROUP_BYTES), int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def send(batches):
@@ -174,12 +230,8 @@ def find(docs: DataFrame, shape: Shape, settle: Callable[[np.ndarray, list[np.nd
             held.clear()
             return batch_of([*blobs(RUNS, (firsts["key"] % np.uint64(groups)).astype(np.int32), firsts), *blobs(MARKS, row_group(marks["row"], groups), marks)])
         for batch in batches:
-            column, row = batch.column(1), batch.column(0).to_numpy()
-            for i, j in K.passes(np.diff(K.raw(column)[0])):
-                data, starts = K.joined(column, i, j)
-                units, first, _ = units_of(data, starts, shape.words)
-                last = first[1:] if shape.words else first[1:] - 1
-                held.append(runs_of(units, first[:-1], last, row[i:j], shape))
+            for runs in text_runs(batch.column(1), batch.column(0).to_numpy(), shape, hot.value):
+                held.append(runs)
                 if sum(map(len, held)) >= FLUSH_RUNS:
                     yield flush()
         if held:

@@ -1,8 +1,10 @@
 """Removal of repeated word sequences with prefix-partitioned suffix trees.
 
-Suffixes that may begin a repeated window are split by prefixes of variable length: a prefix whose suffixes
-fit the memory bound makes a group, a more frequent one is lengthened word by word. Each group's subtree is built from its sorted
-suffixes; an internal node at or below the window's depth is a repeat of all its leaves.
+Suffixes that may begin a repeated window are split by prefixes of variable length, in two stages: between tasks by an anchor inside the window,
+or by the whole window where an anchor is too common (see ``repeats``); inside a task by a first word, lengthened word by word until the
+suffixes that share the prefix fit the memory bound. Each group's subtree is its sorted suffixes with the common prefix lengths of
+neighbours; an internal node is an interval of these, and the topmost nodes at or below the window's depth are the repeats, each
+of all its leaves. Whole copies are settled by their hash before that.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame
 from strandline.llm import repeats
 
 #: Suffixes of one subtree, and words of one bundle of keys.
-SUBTREE, BUNDLE = 20_000, 1_000_000
+SUBTREE, BUNDLE = 20_000, 300_000
 
 
 def prefix_groups(words: np.ndarray, suffixes: np.ndarray, width: int, most: int = SUBTREE):
@@ -50,16 +52,22 @@ def prefix_groups(words: np.ndarray, suffixes: np.ndarray, width: int, most: int
             yield depth, np.concatenate(held)
 
 
-def deep_nodes(words: np.ndarray, suffixes: np.ndarray, depth: int, width: int) -> list[np.ndarray]:
-    """Leaves of each topmost node at depth >= width of the subtree of some suffixes that share ``depth`` words."""
-    if depth == width:
-        return [suffixes]
-    columns = words[suffixes[:, None] + np.arange(depth, width)]
-    order = np.lexsort(columns.T[::-1])
+def internal_nodes(words: np.ndarray, suffixes: np.ndarray, depth: int, width: int, ends: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(depth in words, leaves) of each topmost node at depth >= width of the subtree of suffixes that share ``depth`` words; a suffix stops before its own end."""
+    reach = np.arange(depth, max(int((ends - suffixes).max()), width))
+    at = suffixes[:, None] + reach
+    columns = np.where(at < ends[:, None], words[np.minimum(at, len(words) - 1)], -1)
+    order = np.lexsort(columns.T[::-1]) if len(reach) else np.arange(len(suffixes))
     columns = columns[order]
-    common = depth + np.cumprod(columns[1:] == columns[:-1], axis=1, dtype=np.int8).sum(axis=1)  # of neighbouring leaves
+    equal = (columns[1:] == columns[:-1]) & (columns[1:] >= 0)
+    common = depth + np.cumprod(equal, axis=1, dtype=np.int8).sum(axis=1, dtype=np.int64)  # of neighbouring leaves
     edge = np.flatnonzero(np.append(True, common < width)).tolist() + [len(order)]
-    return [suffixes[order[i:j]] for i, j in zip(edge[:-1], edge[1:], strict=True) if j - i > 1]
+    return [(int(common[i : j - 1].min()), suffixes[order[i:j]]) for i, j in zip(edge[:-1], edge[1:], strict=True) if j - i > 1]
+
+
+def deep_nodes(words: np.ndarray, suffixes: np.ndarray, depth: int, width: int, ends: np.ndarray | None = None) -> list[np.ndarray]:
+    """Leaves of each topmost node at depth >= width."""
+    return [leaves for _, leaves in internal_nodes(words, suffixes, depth, width, np.full(len(suffixes), len(words)) if ends is None else ends)]
 
 
 def settle(shape: repeats.Shape, bundle: int = BUNDLE, subtree: int = SUBTREE):
@@ -74,8 +82,9 @@ def settle(shape: repeats.Shape, bundle: int = BUNDLE, subtree: int = SUBTREE):
             run_of = np.repeat(np.arange(len(own)), n)
             where = np.zeros(len(words), np.int64)
             where[suffixes] = run_of
+            stop = base + np.fromiter(map(len, parts), np.int64, len(parts))
             for depth, group in prefix_groups(words, suffixes, shape.width, subtree):
-                for leaves in deep_nodes(words, group, depth, shape.width):
+                for leaves in deep_nodes(words, group, depth, shape.width, stop[where[group]]):
                     k = where[leaves]
                     found.append((own["row"][k], own["at"][k] + (leaves - base[k])))
         if not found:
@@ -85,12 +94,12 @@ def settle(shape: repeats.Shape, bundle: int = BUNDLE, subtree: int = SUBTREE):
     return run
 
 
-def remove_repeated_words(docs: DataFrame, width: int = 35, gram: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeated_words(docs: DataFrame, width: int = 35, gram: int = 12, id_col: str = "doc_id", text_col: str = "text", hot_runs: int = repeats.HOT_RUNS) -> DataFrame:
     """Each document without the words that a repeated window of ``width`` words covers: id, n_words, n_removed, kept_sha256, kept.
 
     Words are runs of anything but ASCII white space. Every occurrence of a repeated window goes, the first too, in the same
-    document or another; windows are judged on the input. Null and empty texts have no words. Rows that repeat an
-    id count as documents of their own.
+    document or another; windows are judged on the input. Null and empty texts have no words; texts of any length are read whole. Rows that repeat an
+    id count as documents of their own; other columns are not read. hot_runs: from how many windows' runs on an anchor counts as too common.
     """
     shape = repeats.Shape(width, gram, words=True, keep_first=False)
 
@@ -110,5 +119,5 @@ def remove_repeated_words(docs: DataFrame, width: int = 35, gram: int = 12, id_c
             sha.append(hashlib.sha256(kept[-1]).hexdigest())
         return pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary())], ["id", "n_words", "n_removed", "kept_sha256", "kept"])
 
-    out = repeats.find(docs, shape, settle(shape), finish, "id long, n_words long, n_removed long, kept_sha256 string, kept binary", id_col, text_col)
+    out = repeats.find(docs, shape, settle(shape), finish, "id long, n_words long, n_removed long, kept_sha256 string, kept binary", id_col, text_col, hot_runs=hot_runs)
     return out.withColumn("kept", out["kept"].cast("string")).withColumnRenamed("id", id_col)

@@ -3,7 +3,8 @@
 The suffixes of a bundle of texts are sorted as far as the threshold; breadth-first backward extension over a wavelet matrix of
 the transform then finds common prefix lengths by increasing value: an interval that ends at a boundary not met
 before sets it to the current length and is extended further. Boundaries still unset at the threshold separate
-suffixes that share at least that many bytes.
+suffixes that share at least that many bytes. Strings that are equal by their hash, and those around anchors that too many texts
+share, are settled before that (see ``repeats``).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from strandline.llm import repeats
 
 #: Bytes of one transform.
-BUNDLE = 1_000_000
+BUNDLE = 500_000
 
 
 def sorted_suffixes(symbols: np.ndarray, least: int) -> np.ndarray:
@@ -127,13 +128,13 @@ def settle(shape: repeats.Shape, bundle: int = BUNDLE):
     return run
 
 
-def remove_repeated_bytes(docs: DataFrame, width: int = 100, gram: int = 40, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, width: int = 100, gram: int = 40, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, hot_runs: int = repeats.HOT_RUNS) -> DataFrame:
     """Each document without the bytes that a ``width``-byte string covers which also starts earlier: id, n_bytes, n_removed, n_spans, kept_sha256, kept.
 
     Earlier is a smaller id, or the same document and an earlier start; a null id is the smallest. Strings never
     cross documents and are judged on the input. Null texts are empty. Of rows that share an id the one with the smaller text
     hash counts as earlier, and of wholly equal rows one. ``kept`` is the remaining text (n_* and kept_sha256 count
-    bytes; of a character that a removed string cuts in two, nothing stays in ``kept``). carry: adds ``rest``, the other columns.
+    bytes; of a character that a removed string cuts in two, nothing stays in ``kept``). carry: adds ``rest``, the other columns. Texts of any length are read whole. hot_runs: from how many windows' runs on an anchor counts as too common.
     """
     shape = repeats.Shape(width, gram, words=False, keep_first=True)
 
@@ -157,5 +158,5 @@ def remove_repeated_bytes(docs: DataFrame, width: int = 100, gram: int = 40, id_
             [ids, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.string())], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
         )
 
-    out = repeats.find(docs, shape, settle(shape), finish, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string", id_col, text_col, carry)
+    out = repeats.find(docs, shape, settle(shape), finish, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string", id_col, text_col, carry, hot_runs)
     return out.withColumnRenamed("id", id_col)
