@@ -23,10 +23,10 @@ from pyspark.sql import types as T
 
 
 MARK = "▁"
-#: Chunks kept in each of the two generations of a task's cache.
-CACHE_CHUNKS = 150_000
-#: Pieces of a batch that encoding hands on; a longer text makes a batch of its own.
-BATCH_PIECES = 1 << 17
+#: Bytes of each of the two generations of a task's chunk cache, by a chunk's text and pieces and about 200 for its objects.
+CACHE_BYTES = 12 << 20
+#: Texts that are taken from a batch and handed on at a time.
+TEXTS = 64
 
 
 class CharMap:
@@ -70,8 +70,6 @@ class Encoder:
             raise ValueError("models that mark the end of words, or do not mark spaces, are not supported")
         self.trim, self.prefix = spec.remove_extra_whitespaces, spec.add_dummy_prefix
         self.map = CharMap(spec.precompiled_charsmap)
-        self.library = sentencepiece.SentencePieceProcessor(model_file=model)
-        self.eos, self.unknown = self.library.eos_id(), self.library.unk_id()
         self.piece = [p.piece for p in proto.pieces]
         self.pieces = pa.array(self.piece, pa.string())
         self.byte = [p.type == 6 for p in proto.pieces]
@@ -82,9 +80,11 @@ class Encoder:
         self.split = re.compile(f"{MARK}+[^{MARK}]*").findall
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0
         # the same pieces for text that is normalised already
         spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces = b"", False, False
         self.segmenter = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+        self.eos, self.unknown = self.segmenter.eos_id(), self.segmenter.unk_id()
 
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text and, for each of its characters and its end, the byte of the source where it starts."""
@@ -160,11 +160,12 @@ class Encoder:
 
     def learn(self, missing: list[str]) -> None:
         """Segment new chunks."""
-        if len(self.young) + len(missing) > CACHE_CHUNKS:
-            self.old, self.young = self.young, {}
+        if self.held > CACHE_BYTES:
+            self.old, self.young, self.held = self.young, {}, 0
         whole = [MARK + c for c in missing]
         for chunk, norm, ids in zip(missing, whole, self.segmenter.encode(whole, num_threads=1), strict=True):
-            self.young[chunk] = self.packed(norm, ids)
+            self.young[chunk] = found = self.packed(norm, ids)
+            self.held += len(chunk) + len(found) + 200
 
     def segments(self, norms: list[str]) -> Iterator[np.ndarray]:
         """For each normalised text the id, first and end character of every piece."""
@@ -179,9 +180,10 @@ class Encoder:
         if len(again) < len(missing):
             self.learn([c for c in missing if c not in again])
         self.young.update(again)
+        self.held += sum(len(c) + len(x) + 200 for c, x in again.items())
         young = self.young
         for chunks, row in zip(split, known, strict=True):
-            parts = [x or young[c] for c, x in zip(chunks, row, strict=True)] if None in row else row
+            parts = [x or young.get(c) or self.old[c] for c, x in zip(chunks, row, strict=True)] if None in row else row
             out = np.frombuffer(b"".join(parts), np.int32).reshape(-1, 3).copy()
             lengths = np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1
             out[:, 1:] += np.repeat(np.cumsum(lengths) - lengths, np.fromiter(map(len, parts), np.int64, len(parts)) // 12)[:, None].astype(np.int32)
@@ -189,14 +191,11 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """For each text the ids of its pieces and where in the source's bytes each begins and ends."""
-        for k in range(0, len(texts), 64):
-            norms = [self.normalise(t) for t in texts[k : k + 64]]
+        for k in range(0, len(texts), TEXTS):
+            norms = [self.normalise(t) for t in texts[k : k + TEXTS]]
             for (_, where), found in zip(norms, self.segments([n for n, _ in norms]), strict=True):
                 yield found[:, 0], where[found[:, 1]], where[found[:, 2]]
 
-    def decode(self, ids: list[int]) -> str:
-        return self.library.decode(ids) if ids else ""
-
     def spans(self, text: str) -> list[tuple[int, str, int, int]]:
         """Id, piece and source byte span of every piece; the pieces' spans follow each other over the whole text."""
         ids, begin, end = (x.tolist() for x in next(self.encode([text])))
@@ -208,6 +207,14 @@ def encoder(model: str) -> Encoder:
     return Encoder(model)
 
 
+@lru_cache(1)
+def decoder(model: str):
+    """The library's processor: a task that only decodes loads nothing else."""
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=model)
+
+
 def token_digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Count and digest of the ids of each text (an end id last) and digest of the text decoded from these ids.
 
@@ -231,21 +238,19 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", end: bool = Fals
     def run(batches):
         sp = encoder(model)
         for batch in batches:
-            found, first, total = [], 0, 0
-            for k, (ids, begin, stop) in enumerate(sp.encode([t or "" for t in batch.column(at).to_pylist()])):
-                if end:
-                    n = stop[-1:] if len(stop) else np.zeros(1, np.int64)
-                    ids, begin, stop = np.append(ids, np.int32(sp.eos)), np.append(begin, n), np.append(stop, n)
-                found.append((ids, begin, stop))
-                total += len(ids)
-                if total >= BATCH_PIECES or k == batch.num_rows - 1:
-                    ids, begin, stop = (pa.array(np.concatenate(x).astype(np.int32), pa.int32()) for x in zip(*found, strict=True))
-                    pieces = pa.StructArray.from_arrays([ids, sp.pieces.take(ids), begin, stop], ["id", "piece", "begin", "end"])
-                    offsets = np.zeros(len(found) + 1, np.int32)
-                    np.cumsum([len(x[0]) for x in found], out=offsets[1:])
-                    rows = batch.slice(first, len(found))
-                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.ListArray.from_arrays(pa.array(offsets), pieces)], names)
-                    found, first, total = [], k + 1, 0
+            for k in range(0, batch.num_rows, TEXTS):
+                rows = batch.slice(k, TEXTS)
+                found = []
+                for ids, begin, stop in sp.encode([t or "" for t in rows.column(at).to_pylist()]):
+                    if end:
+                        n = stop[-1:] if len(stop) else np.zeros(1, np.int64)
+                        ids, begin, stop = np.append(ids, np.int32(sp.eos)), np.append(begin, n), np.append(stop, n)
+                    found.append((ids, begin, stop))
+                ids, begin, stop = (pa.array(np.concatenate(x).astype(np.int32), pa.int32()) for x in zip(*found, strict=True))
+                pieces = pa.StructArray.from_arrays([ids, sp.pieces.take(ids), begin, stop], ["id", "piece", "begin", "end"])
+                offsets = np.zeros(len(found) + 1, np.int32)
+                np.cumsum([len(x[0]) for x in found], out=offsets[1:])
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.ListArray.from_arrays(pa.array(offsets), pieces)], names)
 
     pieces = T.ArrayType(T.StructType.fromDDL("id int, piece string, begin int, end int"))
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("pieces", pieces)]))
@@ -257,11 +262,12 @@ def decode(rows: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
     at, names = rows.columns.index(ids_col), [*rows.columns, "decoded"]
 
     def run(batches):
-        sp = encoder(model)
+        library = decoder(model)
         for batch in batches:
-            ids = batch.column(at)
-            texts = [sp.decode(ids[k].values.to_pylist()) if ids[k].is_valid else "" for k in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
+            for k in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(k, TEXTS)
+                texts = [library.decode(ids) if ids else "" for ids in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names)
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())]))
 
