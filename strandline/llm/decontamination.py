@@ -1,15 +1,17 @@
 """Benchmark decontamination by greedy string tiling.
 
-Shared runs of ``least`` words are joined as seeds; a (document, item) pair goes on only if the item's
-words that its seeds cover, each wherever it stands in the item, could reach the threshold. Tiling then repeatedly marks the longest non-overlapping matches, found
-by running Karp-Rabin, so passages count in any order; an item that is covered far enough contaminates the document.
+Shared runs of ``least`` words are joined as seeds. A document that tiles cover far enough holds a certain number of an item's seeds, so it holds one
+that is not among the item's commonest: only those bring (document, item) pairs together, and a seed that stands everywhere makes no pairs. A pair
+goes on if the item's words that its seeds cover, each wherever it stands in the item, could reach the threshold. Tiling
+then repeatedly marks the longest non-overlapping matches, found by running Karp-Rabin, so passages count in
+any order; an item that is covered far enough contaminates the document.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.llm import textkernel as K
@@ -17,8 +19,8 @@ from strandline.llm.common import cut, id_or_least, text_bytes
 
 #: Words of the shortest match, and the share of an item's words that tiles must cover.
 LEAST, COVERAGE = 5, 0.5
-#: Distinct seeds up to which tasks get all seeds, to send on only words that match; beyond it every seed goes to the join.
-SEED_FILTER = 2_000_000
+#: Bits of each of the two hashed maps of seeds that tasks get; fuller maps let more seeds through to the join, which decides.
+MAP_BITS = 22
 
 
 def tokens(text: bytes) -> np.ndarray:
@@ -81,8 +83,8 @@ def tiles(pattern: np.ndarray, text: np.ndarray, least: int = LEAST) -> list[tup
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id, item_id, n_item_words, n_covered, coverage, n_tiles) of every document and benchmark item whose tiles reach the coverage.
 
-    Words are lower-cased alphanumeric runs. Items with fewer than ``least`` words, null and empty texts match nothing. Rows
-    that repeat a document's id are judged each by its own text and give one row for an item: the one with the highest
+    Words are lower-cased alphanumeric runs; texts of any length are tiled whole. Items with fewer than ``least`` words, null and empty texts
+    match nothing; a null id is the smallest; other columns are not read. Rows that repeat a document's id are judged each by its own text and give one row for an item: the one with the highest
     coverage; likewise rows that repeat an item's id.
     """
     spark = docs.sparkSession
@@ -99,40 +101,40 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, cove
 
     items = benchmark.select(id_or_least(item_col).alias("item"), text_bytes(item_text).alias("t")).distinct().select("item", F.xxhash64("t").alias("g"), "t")
     seeds = cut(items.mapInArrow(item_seeds, "item long, g long, seed long, times long, n_words long"))
-    few = seeds.select("seed").distinct().limit(SEED_FILTER + 1)
-    wanted = None
-    if few.count() <= SEED_FILTER:
-        wanted = spark.sparkContext.broadcast(np.sort(few.toArrow()["seed"].to_numpy().view(np.uint64)))
+    maps = np.zeros((2, 1 << MAP_BITS), bool)
+    for k, place in enumerate((F.shiftrightunsigned("seed", 64 - MAP_BITS), F.col("seed").bitwiseAND((1 << MAP_BITS) - 1))):
+        maps[k, seeds.select(place.alias("k")).distinct().toArrow()["k"].to_numpy()] = True
+    wanted = spark.sparkContext.broadcast(np.packbits(maps, axis=1))
 
     def doc_seeds(batches):
-        maybe = None
-        if wanted is not None:
-            maybe = np.zeros(1 << 22, bool)
-            maybe[wanted.value >> np.uint64(42)] = True
+        high, low = np.unpackbits(wanted.value, axis=1).astype(bool)
         for batch in batches:
             column = batch.column(1)
             for i, j in K.passes(np.diff(K.raw(column)[0])):
                 w = K.Words(*K.joined(column, i, j), K.word_class("alnum"), True)
                 h, at = K.shingles(w.hash, w.text, least)
-                if maybe is not None:
-                    k = np.flatnonzero(maybe[h >> np.uint64(42)])
-                    h, at = h[k], at[k]
-                    k = np.isin(h, wanted.value)
-                    h, at = h[k], at[k]
-                pairs = np.unique(np.stack([w.text[at], h.view(np.int64)]), axis=1) if len(h) else np.zeros((2, 0), np.int64)
+                k = np.flatnonzero(high[h >> np.uint64(64 - MAP_BITS)])
+                k = k[low[h[k] & np.uint64((1 << MAP_BITS) - 1)]]
+                pairs = np.unique(np.stack([w.text[at[k]], h[k].view(np.int64)]), axis=1) if len(k) else np.zeros((2, 0), np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i).take(pa.array(pairs[0])), batch.column(2).slice(i, j - i).take(pa.array(pairs[0])), pa.array(pairs[1])], ["id", "h", "seed"])
 
     source = docs.select(id_or_least(id_col).alias("id"), text_bytes(text_col).alias("t")).withColumn("h", F.xxhash64("t"))
-    found = source.select("id", "t", "h").mapInArrow(doc_seeds, "id long, h long, seed long")
+    held = source.select("id", "t", "h").mapInArrow(doc_seeds, "id long, h long, seed long").distinct()
+    found = cut(held.join(seeds.select("seed").distinct(), "seed", "left_semi"))
+    # tiles that reach the coverage hold so many seeds; of the commonest seeds fewer than that can be left out, as a document needs one of the others
+    common = Window.partitionBy("item", "g").orderBy(F.desc("df"), "seed").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spread = found.groupBy("seed").agg(F.count("*").alias("df")).join(seeds, "seed")
+    rare = spread.withColumn("upto", F.sum("times").over(common)).where(F.col("upto") >= F.ceil(F.col("n_words") * coverage / least - 1e-9)).select("seed", "item", "g")
+    near = found.join(rare, "seed").select("id", "h", "item", "g").distinct()
     # rows that repeat an item's id are judged one by one; a seed counts as often as it stands in the item, once for all copies of a document's row
-    shared = found.join(seeds, "seed").groupBy("id", "h", "item", "g", "seed").agg(F.max("times").alias("times"), F.max("n_words").alias("n_words"))
+    shared = near.join(found, ["id", "h"]).join(seeds, ["item", "g", "seed"])
     pairs = shared.groupBy("id", "h", "item", "g").agg(F.sum("times").alias("n"), F.max("n_words").alias("n_words"))
     pairs = cut(pairs.where(F.col("n") * least >= F.col("n_words") * coverage).select("id", "h", "item", "g"))
     texts = source.join(pairs.select("id", "h").distinct(), ["id", "h"], "left_semi").dropDuplicates(["id", "h"])
     work = pairs.join(texts, ["id", "h"]).join(items.select("item", "g", F.col("t").alias("p")), ["item", "g"]).select("id", "item", "t", "p")
 
     def tile(batches):
-        for batch in batches:
+        for batch in (whole.slice(k, 256) for whole in batches for k in range(0, whole.num_rows, 256)):
             out = []
             last: tuple[bytes, np.ndarray] = (b"", tokens(b""))
             for i, item, t, p in zip(*(c.to_pylist() for c in batch.columns), strict=True):

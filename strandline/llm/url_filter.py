@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 TRIE_RULES = 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+ADDED = ("host", "path", "rule", "verdict")
+
 #: The query's rules (host, path, verdict).
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -74,11 +76,13 @@ def judge(pages: DataFrame, rules: DataFrame | list[tuple[str, str, str]], url_c
 
     A rule (host, path, verdict) fits its host and all subdomains if the url's path starts with the rule's
     path; the longest host wins, then the longest path; of equal rules "block" wins. Null or malformed urls,
-    and urls that no rule fits, get a null rule and the default verdict. Rows are kept one for one.
+    and urls that no rule fits, get a null rule and the default verdict. Rows, repeated ones too, and all other columns are
+    kept one for one; urls of any length are judged whole.
     """
     spark = pages.sparkSession
-    host, path = host_and_path(F.col(url_col))
-    rows = pages.withColumns({"host": host, "path": path}).drop("rule", "verdict")
+    host, path = host_and_path(F.col(f"`{url_col}`"))
+    kept = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in ADDED]
+    rows = pages.select(*kept, host.alias("host"), path.alias("path"))
     if isinstance(rules, DataFrame):
         rules = rules.select("host", "path", "verdict").where("host IS NOT NULL AND path IS NOT NULL").groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
         few = rules.limit(TRIE_RULES + 1).count() <= TRIE_RULES
@@ -95,18 +99,38 @@ def by_trie(rows: DataFrame, rules: list[tuple[str, str, str]], default: str) ->
         found = [look_up(h, p) or (None, default) for h, p in zip(host, path, strict=True)]
         return pd.DataFrame(found, columns=["rule", "verdict"], dtype=object)
 
-    return rows.withColumn("_m", match("host", "path")).select(*[c for c in rows.columns], "_m.rule", "_m.verdict")
+    name = unused(rows, "m")
+    return rows.withColumn(name, match("host", "path")).select(*named(rows), f"{name}.rule", f"{name}.verdict")
+
+
+def unused(rows: DataFrame, name: str) -> str:
+    """A column name that rows don't have."""
+    while name.lower() in {c.lower() for c in rows.columns}:
+        name += "_"
+    return name
+
+
+def named(rows: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in rows.columns]
 
 
 def by_join(rows: DataFrame, rules: DataFrame, default: str) -> DataFrame:
-    """For rule lists beyond the broadcast bound: each url's own (host suffix, path prefix) keys meet the rules in a join."""
+    """For rule lists beyond the broadcast bound: the host suffixes and whole path segments of each distinct (host, path), no deeper than the deepest rule, meet the rules by a hash and are then compared."""
+    head = F.when(F.instr("path", "/") > 0, F.regexp_extract("path", r"(?s)\A.*/", 0)).otherwise("")
+    r = rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
+    r = r.select(F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), "verdict", F.xxhash64("host", head).alias("key"))
+    slashes = lambda c: F.length(c) - F.length(F.replace(c, F.lit("/"), F.lit("")))
+    most = r.agg(F.max(F.size(F.split("rule_host", r"\."))).alias("labels"), F.max(slashes(F.col("rule_path"))).alias("slashes")).first()
+    sites = rows.select("host", "path").distinct()
     labels = F.split("host", r"\.")
-    keyed = rows.withColumn("_id", F.monotonically_increasing_id())
-    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
-    keys = (
-        keyed.select("_id", "path", F.explode(F.array_union(hosts, F.array(F.lit("")))).alias("_h"))
-        .select("_id", "_h", F.explode(F.expr("transform(sequence(0, length(path)), k -> substring(path, 1, k))")).alias("_p"))
-    )
-    r = rules.groupBy(F.col("host").alias("_h"), F.col("path").alias("_p")).agg(F.max("verdict").alias("verdict"))
-    best = keys.join(r, ["_h", "_p"]).groupBy("_id").agg(F.max(F.struct(F.length("_h").alias("h"), F.length("_p").alias("p"), F.concat("_h", "_p").alias("rule"), "verdict")).alias("m"))
-    return keyed.join(best, "_id", "left").select(*rows.columns, F.col("m.rule").alias("rule"), F.coalesce("m.verdict", F.lit(default)).alias("verdict"))
+    hosts = F.transform(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(most.labels or 1))), lambda k: F.array_join(F.slice(labels, -k, k), "."))
+    keyed = sites.select("host", "path", F.explode(F.array_distinct(F.concat(hosts, F.array(F.lit(""))))).alias("h"))
+    deep = F.sequence(F.lit(0), F.least(slashes(F.col("path")), F.lit(most.slashes or 0)))
+    heads = F.transform(deep, lambda k: F.when(k > 0, F.concat(F.array_join(F.slice(F.split("path", "/"), F.lit(1), k), "/"), F.lit("/"))).otherwise(""))
+    keyed = keyed.select("host", "path", "h", F.explode(heads).alias("p")).select("host", "path", F.xxhash64("h", "p").alias("key"))
+    fits = ((F.col("rule_host") == "") | (F.col("host") == F.col("rule_host")) | F.endswith("host", F.concat(F.lit("."), "rule_host"))) & F.startswith("path", F.col("rule_path"))
+    order = F.struct(F.length("rule_host").alias("h"), F.length("rule_path").alias("p"), F.concat("rule_host", "rule_path").alias("rule"), "verdict")
+    name = unused(rows, "m")
+    best = keyed.join(r, "key").where(fits).groupBy("host", "path").agg(F.max(order).alias(name))
+    joined = rows.join(best, ["host", "path"], "left")
+    return joined.select(*named(rows), F.col(f"{name}.rule").alias("rule"), F.coalesce(f"{name}.verdict", F.lit(default)).alias("verdict"))
