@@ -13,8 +13,12 @@ from strandline.llm.common import cut, text_bytes
 
 #: Training sample: trusted positives and unlabelled rows at most.
 POSITIVES, UNLABELLED = 8_000, 16_000
-#: Toxicity: a word enters the vocabulary from so many positives on; words considered, and kept.
-SUPPORT, CANDIDATES, VOCABULARY = 4, 50_000, 384
+#: Toxicity: a term enters the vocabulary from so many positives on (a fifth of them, if they are few); terms considered, and features of the model.
+SUPPORT, CANDIDATES, VOCABULARY = 4, 50_000, 1024
+#: Z scores from which on a term's documents are counted over the whole corpus, and from which on it is kept.
+CONSIDERED, KEPT = 1, 3
+#: Class priors where there are too few labels to estimate them: most texts are good, few are toxic.
+QUALITY_PRIOR, TOXIC_PRIOR = 0.8, 0.05
 #: Estimated share of positives among the texts that hold a term, from which on the term counts.
 PURITY = 0.7
 #: Lengths of stems in bytes.
@@ -86,9 +90,15 @@ def terms(w: K.Words) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(text), np.concatenate(term) & ~np.uint64(3)
 
 
-def word_sets(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, term) pairs, each once; words are lower-cased alphanumeric runs. A term is a word's or stem's hash plus 1, plus 2 if the text holds it twice, plus 3 if three times."""
+def word_sets(data: np.ndarray, starts: np.ndarray, base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(text, term) pairs, each once; words are lower-cased alphanumeric runs. A term is a word's or stem's hash plus 1, plus 2 if the text holds it twice, plus 3 if three times. base: hashes to look for."""
     t, h = terms(K.Words(data, starts, K.word_class("alnum"), True))
+    if base is not None:
+        maybe = np.zeros(1 << 16, bool)
+        maybe[base >> np.uint64(48)] = True
+        at = np.flatnonzero(maybe[h >> np.uint64(48)])
+        at = at[np.isin(h[at], base)]
+        t, h = t[at], h[at]
     order = np.lexsort((h, t))
     t, h = t[order], h[order]
     new = np.flatnonzero(np.append(True, (t[1:] != t[:-1]) | (h[1:] != h[:-1]))) if len(t) else np.zeros(0, np.int64)
@@ -142,8 +152,9 @@ def scored(docs: DataFrame, features, model: pu_learning.Model, out: Column, id_
 def quality(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int = 3, remainder: int = 1, id_col: str = "doc_id", text_col: str = "text", positives: int = POSITIVES, unlabelled: int = UNLABELLED, accept: bool = False) -> DataFrame:
     """id, held_out, score, predicted for every document; the score sees the text's shape only. accept: the documents that are predicted 1, as they came.
 
-    Null texts count as empty; an empty text has a score too. Rows are kept one for one. With fewer than twenty positives or unlabelled
-    rows every score is 0.5.
+    Null texts count as empty; an empty text has a score too; texts of any length are read whole. Rows, repeated ones too, are kept one for one,
+    and with accept all their columns. With fewer than four positives or unlabelled rows the class prior is QUALITY_PRIOR; without any
+    every score is that. A document whose id is null is judged, and trains as unlabelled text.
     """
     out = held_out(id_col, modulus, remainder)
 
@@ -156,7 +167,7 @@ def quality(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus:
     p = rows["positive"].to_numpy() == 1
     order = np.lexsort(x.T)
     x, p = x[order], p[order]
-    model, _ = pu_learning.fit(x[p], x[~p], hidden=24, steps=500, rate=0.01)
+    model, _ = pu_learning.fit(x[p], x[~p], hidden=24, fallback=QUALITY_PRIOR, steps=500, rate=0.01)
     return scored(docs, shapes, model, out, id_col, text_col, accept)
 
 
@@ -181,49 +192,67 @@ def presence(vocabulary: np.ndarray):
     return make
 
 
-def vocabulary_of(rows: DataFrame, support: int, candidates: int, size: int) -> np.ndarray:
-    """Words that positives hold much more often than unlabelled rows, by their z score; sorted hashes."""
-
-    def count(wanted: np.ndarray | None):
-        def run(batches):
-            held, n = [], 0
-            def flush():
-                value, times = np.unique(np.concatenate(held), return_counts=True)
-                held.clear()
-                return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(times, pa.int64())], ["h", "n"])
-            for _, (_, h) in rows_of(batches, word_sets, 1):
-                h = h if wanted is None else h[np.isin(h, wanted)]
-                held.append(h)
-                n += len(h)
-                if n > 500_000:
-                    yield flush()
-                    n = 0
-            if held:
+def term_counts(docs: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
+    """(h, n): how many texts (column t) hold each term, of those wanted."""
+    base = None if wanted is None else np.unique(wanted & ~np.uint64(3))
+
+    def run(batches):
+        held, n = [], 0
+
+        def flush():
+            value, times = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(times, pa.int64())], ["h", "n"])
+
+        for _, (_, h) in rows_of(batches, lambda data, starts: word_sets(data, starts, base), 0):
+            h = h if wanted is None else h[np.isin(h, wanted)]
+            held.append(h)
+            n += len(h)
+            if n > 500_000:
                 yield flush()
-        return run
+                n = 0
+        if held:
+            yield flush()
+
+    return docs.select("t").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
-    def sums(where: str, wanted=None):
-        return rows.where(where).mapInArrow(count(wanted), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
+def vocabulary_of(rows: DataFrame, corpus: DataFrame, support: int, candidates: int, size: int) -> np.ndarray:
+    """Terms that positives hold much more often than the corpus (all texts that are not held out), by their z score; sorted hashes.
+
+    The sample of unlabelled rows only rules out terms that are plainly no more frequent in positives; the document frequencies
+    that decide are counted over the whole corpus.
+    """
     sizes = {r.positive: r.n for r in rows.groupBy("positive").agg(F.count("*").alias("n")).collect()}
-    in_p = {r.h: r.n for r in sums("positive = 1").where(F.col("n") >= support).orderBy(F.desc("n"), "h").limit(candidates).collect()}
-    wanted = np.sort(np.array(list(in_p), np.int64).view(np.uint64))
-    in_u = {r.h: r.n for r in sums("positive = 0", wanted).collect()} if len(wanted) else {}
-    n_p, n_u = max(1, sizes.get(1, 0)), max(1, sizes.get(0, 0))
-    z = {h: (n / n_p - in_u.get(h, 0) / n_u) / ((in_u.get(h, 0) + 1) / n_u / n_p + n / n_p / n_p) ** 0.5 for h, n in in_p.items()}
+    n_p = sizes.get(1, 0)
+    least = min(support, max(2, n_p // 5))
+    in_p = {r.h: r.n for r in term_counts(rows.where("positive = 1")).where(F.col("n") >= least).orderBy(F.desc("n"), "h").limit(candidates).collect()}
+
+    def z_over(texts: DataFrame, n_u: int, terms: dict[int, int]) -> dict[int, float]:
+        if not terms or not n_u:
+            return {}
+        wanted = np.sort(np.array(list(terms), np.int64).view(np.uint64))
+        in_u = {r.h: r.n for r in term_counts(texts, wanted).collect()}
+        return {h: (n / n_p - in_u.get(h, 0) / n_u) / ((in_u.get(h, 0) + 1) / n_u / n_p + n / n_p / n_p) ** 0.5 for h, n in terms.items()}
+
+    rough = z_over(rows.where("positive = 0"), sizes.get(0, 0), in_p)
+    z = z_over(corpus, corpus.count(), {h: in_p[h] for h, x in rough.items() if x > CONSIDERED})
     best = sorted(z, key=lambda h: (-z[h], h))[:size]
-    return np.sort(np.array([h for h in best if z[h] > 3], np.int64).view(np.uint64))
+    return np.sort(np.array([h for h in best if z[h] > KEPT], np.int64).view(np.uint64))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 5, remainder: int = 0, id_col: str = "doc_id", text_col: str = "text", positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> DataFrame:
     """id, held_out, score, predicted for every document; the score sees which words the text holds.
 
-    Null texts count as empty; an empty text has the score of a text without any listed word. Rows are kept one for one. With fewer than
-    twenty positives or unlabelled rows every score is 0.5.
+    Null texts count as empty; an empty text has the score of a text without any listed word; texts of any length are read whole. Rows,
+    repeated ones too, are kept one for one; other columns are not read. The model has at most VOCABULARY features, whatever the size of
+    the corpus, chosen from CANDIDATES terms of the positives. With fewer than four positives or unlabelled rows the class prior is
+    TOXIC_PRIOR; without any every score is that. A document whose id is null is judged, and trains as unlabelled text.
     """
     out = held_out(id_col, modulus, remainder)
     rows = cut(sample(docs, labels, label, out, id_col, text_col, positives, unlabelled))
-    features = presence(vocabulary_of(rows, SUPPORT, CANDIDATES, VOCABULARY))
+    corpus = docs.where(~out).select(text_bytes(text_col).alias("t"))
+    features = presence(vocabulary_of(rows, corpus, SUPPORT, CANDIDATES, VOCABULARY))
 
     def extract(batches):
         for part, x in rows_of(batches, features, 1):
@@ -238,7 +267,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus:
         x[i, k] = 1
     order = sorted(range(len(lists)), key=lambda i: lists[i])
     x, p = x[order], (got["positive"].to_numpy() == 1)[order]
-    options = {"steps": 300, "rate": 0.05, "decay": 1e-5, "standardise": False}
+    options = {"fallback": TOXIC_PRIOR, "steps": 300, "rate": 0.05, "decay": 1e-5, "standardise": False}
     model, prior = pu_learning.fit(x[p], x[~p], **options)
     # under that prior a term's own share of positives; terms that clean texts hold too often go
     if p.any() and not p.all():

@@ -3,7 +3,8 @@
 The risk of a classifier is estimated from trusted positives and unlabelled rows: prior * R_p(+1) + max(0, R_u(-1) - prior * R_p(-1)),
 with the logistic loss; where the second part falls below zero, only its own gradient is followed, upwards.
 The class prior is estimated from the two samples: a first classifier of positives against unlabelled rows ranks them,
-and the smallest ratio of the unlabelled to the positive share above a threshold bounds the prior.
+and the smallest ratio of the unlabelled to the positive share above a threshold bounds the prior. With fewer than LEAST rows
+of either kind, or where no threshold tells them apart, a given prior stands in; without any rows the scores are that prior.
 """
 
 from __future__ import annotations
@@ -13,6 +14,10 @@ from dataclasses import dataclass
 import numpy as np
 
 
+#: Rows of either kind from which on the prior is estimated.
+LEAST = 4
+
+
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -36,7 +41,7 @@ class Model:
 
     def gradient(self, x: np.ndarray, h: np.ndarray, dz: np.ndarray) -> list[np.ndarray]:
         if len(self.weights) == 2:
-            return [x.T @ dz, np.array(dz.sum())]
+            return [x.T @ dz.astype(x.dtype), np.array(dz.sum())]
         dh = np.outer(dz, self.weights[2]) * (h > 0)
         return [x.T @ dh, dh.sum(0), h.T @ dz, np.array(dz.sum())]
 
@@ -47,12 +52,14 @@ class Model:
 def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, hidden: int = 0, steps: int = 400, rate: float = 0.02, decay: float = 1e-4, seed: int = 7, standardise: bool = True) -> Model:
     """prior None: plain classification of positives against unlabelled rows."""
     rng = np.random.default_rng(seed)
-    both = np.concatenate([positive, unlabelled])
-    mean = both.mean(0) if standardise else np.zeros(both.shape[1])
-    scale = np.maximum(both.std(0), 1e-3) if standardise else np.ones(both.shape[1])
-    p, u = ((x - mean) / scale for x in (positive, unlabelled))
+    if standardise:
+        both = np.concatenate([positive, unlabelled])
+        mean, scale = both.mean(0), np.maximum(both.std(0), 1e-3)
+        p, u = ((x - mean) / scale for x in (positive, unlabelled))
+    else:
+        mean, scale, p, u = np.zeros(1, positive.dtype), np.ones(1, positive.dtype), positive, unlabelled
     d = p.shape[1]
-    weights = [rng.normal(0, d**-0.5, (d, hidden)), np.zeros(hidden), rng.normal(0, hidden**-0.5, hidden), np.zeros(())] if hidden else [np.zeros(d), np.zeros(())]
+    weights = [rng.normal(0, d**-0.5, (d, hidden)), np.zeros(hidden), rng.normal(0, hidden**-0.5, hidden), np.zeros(())] if hidden else [np.zeros(d, p.dtype), np.zeros((), p.dtype)]
     model = Model(mean, scale, weights)
     m, v = ([np.zeros_like(w) for w in weights] for _ in range(2))
     for t in range(1, steps + 1):
@@ -72,31 +79,36 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, hid
             g = g + decay * weights[k]
             m[k] = 0.9 * m[k] + 0.1 * g
             v[k] = 0.999 * v[k] + 0.001 * g * g
-            weights[k] = weights[k] - rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
+            weights[k] = (weights[k] - rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)).astype(weights[k].dtype)
         model.weights = weights
     return model
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, confidence: float = 0.05) -> float:
-    """Share of positives among unlabelled rows: the smallest upper bound of q_u(t) / q_p(t) over thresholds t of held-back scores."""
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, confidence: float = 0.05) -> float | None:
+    """Share of positives among unlabelled rows: q_u(t) / q_p(t) at the threshold t of held-back scores where its upper bound is smallest. None if that threshold takes in every unlabelled row."""
     z_p, z_u = np.sort(positive)[::-1], np.sort(unlabelled)[::-1]
     slack = np.sqrt(np.log(4 / confidence) / 2) * (len(z_p) ** -0.5 + len(z_u) ** -0.5)
-    share = np.arange(1, len(z_p) + 1) / len(z_p)
+    share = np.searchsorted(-z_p, -z_p, "right") / len(z_p)
     q_u = np.searchsorted(-z_u, -z_p, "right") / len(z_u)
-    use = share > max(0.02, 2 * slack)
-    use[-1:] = True  # few rows: the bound holds nowhere else
-    k = np.argmin((q_u[use] + slack) / share[use])
-    return float(np.clip(q_u[use][k] / share[use][k], 0.01, 0.99))
+    k = np.argmin((q_u + slack) / share)
+    return None if q_u[k] == 1 else float(np.clip(q_u[k] / share[k], 0.01, 0.99))
+
+
+def constant(columns: int, score: float) -> Model:
+    """The same score for every row."""
+    return Model(np.zeros(1), np.ones(1), [np.zeros(columns), np.array(np.log(score / (1 - score)))])
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, hidden: int = 0, **options) -> tuple[Model, float]:
-    """The non-negative PU classifier and the prior that it used. Halves of both samples rank each other for the prior."""
-    if len(positive) < 20 or len(unlabelled) < 20:
-        model = train(np.zeros((1, positive.shape[1])), np.zeros((1, positive.shape[1])), 0.5, 0, 1, standardise=False)
-        return model, 0.5
+def fit(positive: np.ndarray, unlabelled: np.ndarray, hidden: int = 0, fallback: float = 0.5, **options) -> tuple[Model, float]:
+    """The non-negative PU classifier and the prior that it used. Halves of both samples rank each other for the prior; where that can't be done it is ``fallback``."""
+    if not len(positive) or not len(unlabelled):
+        return constant(positive.shape[1], fallback), fallback
+    if min(len(positive), len(unlabelled)) < LEAST:
+        return train(positive, unlabelled, fallback, hidden, **options), fallback
     priors = []
     for k in range(2):
         ranker = train(positive[k::2], unlabelled[k::2], None, hidden, **options)
         priors.append(estimate_prior(ranker.raw(positive[1 - k :: 2]), ranker.raw(unlabelled[1 - k :: 2])))
-    prior = float(np.mean(priors))
+    known = [p for p in priors if p is not None]
+    prior = float(np.mean(known)) if known else fallback
     return train(positive, unlabelled, prior, hidden, **options), prior

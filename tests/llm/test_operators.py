@@ -234,13 +234,14 @@ def test_embedding_links_are_brute_force(spark):
     assert all(got[k].n_links == 0 and got[k].component_id == k for k in (900, 901, 902, 903))
 
 
-@pytest.mark.parametrize("name,label", [("op1_quality_classifier", "quality"), ("op9_toxicity", "toxic")])
-def test_scores_hold_on_labels_held_out(spark, name, label):
-    rows = llm.queries()[name](spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out").select("score", label, "predicted").toPandas().dropna()
+@pytest.mark.parametrize("name,label,least", [("op1_quality_classifier", "quality", 0.99), ("op9_toxicity", "toxic", 0.94)])
+def test_scores_hold_on_labels_held_out(spark, name, label, least):
+    large = SF.replace("sf0.01", "sf0.1")
+    rows = llm.queries()[name](spark, large).join(spark.read.parquet(f"{large}/labels.parquet"), "doc_id").where("held_out").select("score", label, "predicted").toPandas().dropna()
     s, y = rows["score"].to_numpy(), rows[label].to_numpy()
     pos, neg = s[y == 1], s[y == 0]
     auc = np.mean((pos[:, None] > neg[None, :]) + 0.5 * (pos[:, None] == neg[None, :]))
-    assert auc >= 0.8
+    assert auc >= least and np.mean((s >= 0.5) == y) >= 0.98
     assert ((s >= 0) & (s <= 1)).all() and (rows["predicted"] == (s >= 0.5)).all()
 
 
@@ -251,6 +252,9 @@ def test_few_labels(spark):
         out = llm.queries()[name](spark, small)
         assert out.count() == spark.read.parquet(f"{small}/documents.parquet").count()
         assert out.where("score IS NULL OR score < 0 OR score > 1").isEmpty()
+        # most documents are good, and few are toxic
+        share = out.agg(F.avg("predicted")).first()[0]
+        assert share > 0.5 if name.startswith("op1") else share < 0.3
 
 
 def test_empty_tables(spark):
@@ -262,13 +266,3 @@ def test_empty_tables(spark):
         url_filter.judge(spark.createDataFrame([], "page_id long, url string"), url_filter.RULES),
     ):
         assert out.count() == 0
-
-
-def test_pipeline_stages(spark):
-    import corpus_pipeline
-
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    assert [len(corpus_pipeline.STAGES), corpus_pipeline.STAGES[1][0]] == [5, "MinHash near-dedup"]
-    out = corpus_pipeline.run(spark, SF)
-    assert 0 < out.count() < docs.count()
-    assert out.join(docs, "doc_id", "left_anti").isEmpty()
