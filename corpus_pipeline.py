@@ -1,7 +1,8 @@
 """The corpus pipeline: quality, near duplicates, repeated bytes, benchmark passages, tokens.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and read again as the next stage's docs. All but
-the last return the columns that docs came with. An empty table passes through every stage; null texts count as empty.
+the last return the columns that docs came with, whatever they are called. An empty table passes through every stage; null texts count as
+empty; a null id is the smallest, and rows that share an id stay or go together; texts of any length are handled whole.
 """
 
 from __future__ import annotations
@@ -17,7 +18,10 @@ TOKENIZER = "piece_bpe_32k.model"
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows whose doc_id (null: the smallest id) is not in the column doc_id of ids."""
-    return docs.join(ids.select(F.col("doc_id").alias("_gone")).distinct(), id_or_least() == F.col("_gone"), "left_anti")
+    gone = "gone"
+    while gone in docs.columns:
+        gone += "_"
+    return docs.join(ids.select(F.col("doc_id").alias(gone)).distinct(), id_or_least() == F.col(gone), "left_anti")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,9 +37,8 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the bytes of strings that start earlier too; n_chars follows. A document may become empty."""
     done = suffix_array_dedup.remove_repeated_bytes(docs, carry=True)
-    rest = set(docs.columns) - {"doc_id", "text"}
-    made = {"doc_id": F.col("doc_id"), "text": F.col("kept"), "n_chars": F.length("kept").cast(docs.schema["n_chars"].dataType) if "n_chars" in rest else None}
-    return done.select(*[(made.get(c) if made.get(c) is not None else F.col("rest").getField(c)).alias(c) for c in docs.columns])
+    made = {"doc_id": F.col("doc_id"), "text": F.col("kept"), "n_chars": F.length("kept")}
+    return done.select(*[(made[c] if c in made else F.col("rest").getField(c)).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
