@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm import pu_learning
 from strandline.llm import textkernel as K
-from strandline.llm.common import cut, text_bytes
+from strandline.llm.common import cut, text_bytes, text_batches
 
 #: Training sample: trusted positives and unlabelled rows at most.
 POSITIVES, UNLABELLED = 8_000, 16_000
@@ -156,6 +156,7 @@ def quality(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus:
     and with accept all their columns. With fewer than four positives or unlabelled rows the class prior is QUALITY_PRIOR; without any
     every score is that. A document whose id is null is judged, and trains as unlabelled text.
     """
+    text_batches(docs.sparkSession)
     out = held_out(id_col, modulus, remainder)
 
     def extract(batches):
@@ -249,6 +250,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus:
     the corpus, chosen from CANDIDATES terms of the positives. With fewer than four positives or unlabelled rows the class prior is
     TOXIC_PRIOR; without any every score is that. A document whose id is null is judged, and trains as unlabelled text.
     """
+    text_batches(docs.sparkSession)
     out = held_out(id_col, modulus, remainder)
     rows = cut(sample(docs, labels, label, out, id_col, text_col, positives, unlabelled))
     corpus = docs.where(~out).select(text_bytes(text_col).alias("t"))

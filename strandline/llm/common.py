@@ -9,12 +9,21 @@ from pyspark.sql import functions as F
 
 #: A null doc_id takes part as the smallest id.
 NULL_ID = -(2**63)
+#: Rows of an Arrow batch of whole texts.
+BATCH_ROWS, SPARK_ROWS = 500, "10000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python tasks in batches of BATCH_ROWS: batches of Spark's own size hold tens of MB in each of a task's buffers. A size that the session was given stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == SPARK_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """The cluster names a shared folder in spark.checkpoint.dir; a local one is set only in local mode, where none is named (tests)."""
     if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.llm import textkernel as K
-from strandline.llm.common import cut, id_or_least, text_bytes
+from strandline.llm.common import cut, id_or_least, text_bytes, text_batches
 
 #: Words of the shortest match, and the share of an item's words that tiles must cover.
 LEAST, COVERAGE = 5, 0.5
@@ -88,6 +88,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, cove
     coverage; likewise rows that repeat an item's id.
     """
     spark = docs.sparkSession
+    text_batches(spark)
 
     def item_seeds(batches):
         for batch in batches:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import textkernel as K
-from strandline.llm.common import text_bytes
+from strandline.llm.common import text_bytes, text_batches
 
 #: Base phrases and their labels.
 BASE = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
@@ -149,6 +149,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     words, no places, empty label strings and score 0; texts of any length are scanned whole; other columns are not read. The score is the best share of a template's words found
     in place around its key phrase, 1 for a whole template. Overlapping and repeated places all count.
     """
+    text_batches(docs.sparkSession)
     index = Index(*document_frequencies(docs, text_col, template_words(templates, base)), templates, base)
     hit = pa.struct([("label", pa.string()), ("template", pa.int32()), ("first", pa.int64()), ("share", pa.float64())])
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import textkernel as K
-from strandline.llm.common import connected_components, cut, id_or_least, text_bytes, with_row
+from strandline.llm.common import connected_components, cut, id_or_least, text_bytes, with_row, text_batches
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: 14 bands of 3 samples: a pair at the threshold shares a band with probability 0.99996.
@@ -231,6 +231,7 @@ def classes(docs: DataFrame, threshold: float = SIMILARITY, id_col: str = "doc_i
     whole. A null id is the smallest; each row is compared by its own text, and rows that share an id share a class. Other columns are not read.
     """
     spark = docs.sparkSession
+    text_batches(spark)
     source, own_id = with_row(docs, id_col, text_col)
     idf = spark.sparkContext.broadcast(document_frequencies(docs, text_col))
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import textkernel as K
-from strandline.llm.common import cut, with_row
+from strandline.llm.common import cut, with_row, text_batches
 
 #: Text bytes of a document group, and runs that a task holds before it sends them on.
 GROUP_BYTES, FLUSH_RUNS = 6 << 20, 200_000
@@ -218,6 +218,7 @@ def find(docs: DataFrame, shape: Shape, settle: Callable[[np.ndarray, list[np.nd
     finish(ids, data, starts, marks of each text as (at, n) arrays) -> the result's rows.
     """
     carry = carry and len(set(docs.columns) - {id_col, text_col}) > 0
+    text_batches(docs.sparkSession)
     source, _ = with_row(docs, id_col, text_col, carry)
     total, hot = survey(source, shape, hot_runs)
     hot = source.sparkSession.sparkContext.broadcast(hot)

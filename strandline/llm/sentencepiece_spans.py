@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strandline.llm.common import text_batches
 
 MARK = "▁"
 #: Bytes of each of the two generations of a task's chunk cache, by a chunk's text and pieces and about 200 for its objects.
@@ -232,6 +233,7 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", end: bool = Fals
 
     end: an end piece with an empty span comes last, also for null text.
     """
+    text_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
     names = [*docs.columns, "pieces"]
 
