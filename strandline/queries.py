@@ -187,16 +187,16 @@ def q_consistent_reference(spark, d):
 
 
 def coordinates(spark, d) -> DataFrame:
-    return read(spark, d, "part").where("p_size <= 10").select((F.col("p_size") % 25).cast("string").alias("chrom"), F.col("p_partkey").alias("start"), (F.col("p_partkey") + 2).alias("stop"))
+    return read(spark, d, "part").select((F.col("p_size") % 25).cast("string").alias("chrom"), F.col("p_partkey").alias("start"), (F.col("p_partkey") + 2).alias("stop"))
 
 
-@query(f"""WITH {OBS}, c AS (SELECT CAST(p_size % 25 AS VARCHAR) AS chrom, p_partkey AS a, p_partkey + 2 AS b FROM part WHERE p_size <= 10)
+@query(f"""WITH {OBS}, c AS (SELECT CAST(p_size % 25 AS VARCHAR) AS chrom, p_partkey AS a, p_partkey + 2 AS b FROM part)
 SELECT chrom, pos, count(*) AS n FROM obs o WHERE EXISTS (SELECT 1 FROM c WHERE c.chrom = o.chrom AND o.pos BETWEEN c.a AND c.b) GROUP BY ALL""")
 def q_coordinates(spark, d):
     return calling.at_coordinates(obs(spark, d), coordinates(spark, d)).groupBy("chrom", "pos").agg(F.count("*").alias("n"))
 
 
-@query("SELECT CAST(p_size % 25 AS VARCHAR) AS chrom, min(p_partkey) AS start, max(p_partkey + 2) AS stop FROM part WHERE p_size <= 10 GROUP BY ALL")
+@query("SELECT CAST(p_size % 25 AS VARCHAR) AS chrom, min(p_partkey) AS start, max(p_partkey + 2) AS stop FROM part GROUP BY ALL")
 def q_coordinate_ranges(spark, d):
     return coordinates(spark, d).groupBy("chrom").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
 
@@ -349,11 +349,10 @@ def q_pre_filter(spark, d):
 
 
 def bed(spark, d) -> DataFrame:
-    p = read(spark, d, "part").where("p_partkey % 5 = 0")
-    return p.select((F.col("p_size") % 25).cast("string").alias("chrom"), (F.col("p_partkey") - F.col("p_partkey") % 3).alias("start"), (F.col("p_partkey") - F.col("p_partkey") % 3 + 1 + F.col("p_size") * 40).alias("end"), F.col("p_brand").alias("name"))
+    return read(spark, d, "part").select((F.col("p_size") % 25).cast("string").alias("chrom"), (F.col("p_partkey") - F.col("p_partkey") % 3).alias("start"), (F.col("p_partkey") - F.col("p_partkey") % 3 + 1 + F.col("p_size") * 40).alias("end"), F.col("p_brand").alias("name"))
 
 
-BED = "bed AS (SELECT CAST(p_size % 25 AS VARCHAR) AS chrom, p_partkey - p_partkey % 3 AS a, p_partkey - p_partkey % 3 + 1 + p_size * 40 AS b, p_brand AS name FROM part WHERE p_partkey % 5 = 0)"
+BED = "bed AS (SELECT CAST(p_size % 25 AS VARCHAR) AS chrom, p_partkey - p_partkey % 3 AS a, p_partkey - p_partkey % 3 + 1 + p_size * 40 AS b, p_brand AS name FROM part)"
 SOM_SITES = "som AS (SELECT DISTINCT chrom, pos FROM mods WHERE type = 'SOM')"
 
 
@@ -386,10 +385,10 @@ def q_interval_name(spark, d):
     return intervals.tag(som_sites(spark, d), bed(spark, d), "RADAR", to="info", value="name").select("chrom", "pos", strings.format_info(F.col("info")).alias("info"))
 
 
-@query(f"""WITH {BED}, o AS (SELECT CAST(o_orderkey % 25 AS VARCHAR) AS chrom, o_orderkey AS a, o_orderkey + 3 AS b FROM orders WHERE o_orderstatus = 'P')
+@query(f"""WITH {BED}, o AS (SELECT CAST(o_orderkey % 25 AS VARCHAR) AS chrom, o_orderkey AS a, o_orderkey + 3 AS b FROM orders)
 SELECT DISTINCT chrom, a AS start, b AS "end", name FROM bed WHERE EXISTS (SELECT 1 FROM o WHERE o.chrom = bed.chrom AND bed.a < o.b + 10 AND bed.b > o.a - 10)""")
 def q_interval_intersect(spark, d):
-    o = read(spark, d, "orders").where("o_orderstatus = 'P'").select((F.col("o_orderkey") % 25).cast("string").alias("chrom"), F.col("o_orderkey").alias("start"), (F.col("o_orderkey") + 3).alias("end"))
+    o = read(spark, d, "orders").select((F.col("o_orderkey") % 25).cast("string").alias("chrom"), F.col("o_orderkey").alias("start"), (F.col("o_orderkey") + 3).alias("end"))
     return intervals.intersect(bed(spark, d), o, buffer=10)
 
 
@@ -441,7 +440,7 @@ def q_read_support_codes(spark, d):
     return out.select("chrom", "pos", "mmp", F.array_join("codes", "_").alias("codes"))
 
 
-@query("""WITH c AS (SELECT doc_id, coalesce(left(text, 60), '') AS s, doc_id % 40 AS q FROM documents)
+@query("""WITH c AS (SELECT doc_id, coalesce(text, '') AS s, doc_id % 40 AS q FROM documents)
 SELECT doc_id, len(list_filter(range(greatest(q - 5, 0), least(q + 5, length(s) - 1) + 1), lambda k: ascii(substr(s, CAST(k + 1 AS INT), 1)) - 33 < 10)) > 0 AS low FROM c WHERE length(s) > q""")
 def q_neighbour_quality(spark, d):
     c = read(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("s"), (F.col("doc_id") % 40).cast("int").alias("q")).where("length(s) > q")
