@@ -6,14 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def log_factorials(most: int) -> Column:
-    """ln 0! .. ln most!; the size follows the deepest call, not the number of calls."""
-    import itertools
-    import math
-
-    return F.array(*[F.lit(x) for x in itertools.accumulate((math.log(k) if k else 0.0 for k in range(most + 1)))])
-
-
 def _lf(n: Column) -> Column:
     """ln n! as a sum of logs; n is bounded by a site's depth."""
     return F.aggregate(F.sequence(F.lit(1), F.greatest(n.cast("int"), F.lit(1))), F.lit(0.0), lambda acc, k: acc + F.ln(k.cast("double")))

@@ -33,6 +33,12 @@ def single(depths: Column, total: Column, min_depth: int = 2, min_pct: float = 0
     return F.array(F.when(_passes(-best["d"], total, min_depth, min_pct), best["i"]).otherwise(0))
 
 
+def single_alt(depths: Column, total: Column, min_depth: int = 4, min_pct: float = 0.10) -> Column:
+    """One index: the deepest allele but the first, if it passes both minimums, else 0."""
+    best = F.get(F.filter(_ranked(depths), lambda x: x["i"] > 0), 0)
+    return F.array(F.when(_passes(-best["d"], total, min_depth, min_pct), best["i"]).otherwise(0))
+
+
 def mitochondrial(depths: Column, total: Column, min_depth: int = 2, min_pct: float = 0.10) -> Column:
     """All alleles that pass both minimums; [0] if none does."""
     kept = F.filter(F.transform(depths, lambda d, i: F.when(_passes(d, total, min_depth, min_pct), i.cast("int"))), lambda i: i.isNotNull())
@@ -44,6 +50,13 @@ def genotype(chrom: Column, depths: Column, total: Column, min_depth: int = 2, m
     return F.when(chrom.isin(SEX_Y), single(*args)).when(chrom.isin(MITO), mitochondrial(*args)).otherwise(diploid(*args))
 
 
+def recomputed(chrom: Column, depths: Column, min_depth: int = 4, min_pct: float = 0.10) -> Column:
+    """The filter's genotype, from the depths of the called alleles alone."""
+    total = F.aggregate(depths, F.lit(0).cast("long"), lambda a, d: a + d)
+    args = (depths, total, min_depth, min_pct)
+    return F.when(chrom.isin(SEX_Y), single_alt(*args)).when(chrom.isin(MITO), mitochondrial(*args)).otherwise(diploid(*args))
+
+
 def text(gt: Column) -> Column:
     return F.array_join(F.transform(gt, lambda g: g.cast("string")), "/")
 

@@ -30,11 +30,15 @@ def format_info(info: Column) -> Column:
     return F.when(text == "", ".").otherwise(text)
 
 
+#: FORMAT keys with one value for each allele.
+PER_ALLELE = ["GT", "AD", "AF", "DP4", "MQ0", "MMQ", "MQA", "BQ", "SB", "MMP"]
+
+
 def parse_sample(sample: Column, keys: Column, n_alleles: Column) -> Column:
-    """FORMAT keys -> values; GT splits on "/", others on ","; a lone "." stands for every allele."""
+    """FORMAT keys -> values; GT splits on "/", others on ","; a lone "." stands for every allele under a key that has one value each, and for itself under others."""
     return F.map_from_arrays(
         keys,
-        F.zip_with(keys, F.split(sample, ":"), lambda k, v: F.when(v.isNull() | (v == "."), F.array_repeat(F.lit("."), n_alleles)).otherwise(F.when(k == "GT", F.split(v, "/")).otherwise(F.split(v, ",")))),
+        F.zip_with(keys, F.split(sample, ":"), lambda k, v: F.when(v.isNull() | (v == "."), F.array_repeat(F.lit("."), F.when(k.isin(PER_ALLELE), n_alleles).otherwise(1))).otherwise(F.when(k == "GT", F.split(v, "/")).otherwise(F.split(v, ",")))),
     )
 
 

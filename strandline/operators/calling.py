@@ -5,15 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.rounding import mean, ratio2
+from strandline.operators.intervals import overlaps
 
 #: The order in which alleles of one sample are visited, and samples.
 BASES = ["A", "C", "T", "G"]
 SAMPLES = ["DNA_NORMAL", "RNA_NORMAL", "DNA_TUMOR", "RNA_TUMOR"]
 SHORT = {"DNA_NORMAL": "dn", "RNA_NORMAL": "rn", "DNA_TUMOR": "dt", "RNA_TUMOR": "rt"}
+EDGES = ["ins", "del", "start", "stop"]
 SS_CODES = {"GERM": 1, "SOM": 2, "NOR_EDIT": 4, "TUM_EDIT": 4}
 
 
@@ -43,18 +45,36 @@ def batch_ranges(spark, start: int, end: int, size: int = 250_000_000) -> DataFr
 
 
 def at_coordinates(obs: DataFrame, coordinates: DataFrame, prune: bool = True) -> DataFrame:
-    """Observations inside the listed (chrom, start, stop) ranges; first by each chromosome's whole range, if asked."""
+    """Observations inside the listed (chrom, start, stop) ranges, by a join on bins; first by each chromosome's whole range, if asked."""
     if prune:
         whole = coordinates.groupBy("chrom").agg(F.min("start").alias("_low"), F.max("stop").alias("_high"))
         obs = obs.join(whole, "chrom").where(F.col("pos").between(F.col("_low"), F.col("_high"))).drop("_low", "_high")
-    places = coordinates.select("chrom", F.explode(F.sequence("start", "stop")).alias("pos")).distinct()
+    spans = coordinates.select("chrom", (F.col("start") - 1).alias("start"), F.col("stop").alias("end"))
+    places = overlaps(obs.select("chrom", "pos").distinct(), spans).select("chrom", "pos").distinct()
     return obs.join(places, ["chrom", "pos"], "left_semi")
 
 
 def consistent_reference(obs: DataFrame) -> DataFrame:
     """Positions whose observations agree on a reference base other than N."""
-    bad = obs.groupBy("chrom", "pos").agg(F.min("ref").alias("low"), F.max("ref").alias("high")).where("low <> high OR contains(low, 'N')")
-    return obs.join(bad, ["chrom", "pos"], "left_anti")
+    return reference_codes(obs).where(F.size("ref_codes") == 0).drop("ref_codes")
+
+
+def reference_codes(obs: DataFrame) -> DataFrame:
+    """Adds ref_codes: noref where a position's observations have an N reference, diffref where they don't agree on one."""
+    place = Window.partitionBy("chrom", "pos")
+    codes = F.array(F.when(F.max(F.contains("ref", F.lit("N"))).over(place), "noref"), F.when(F.min("ref").over(place) != F.max("ref").over(place), "diffref"))
+    return obs.withColumn("ref_codes", F.array_compact(codes))
+
+
+def emitted(found: DataFrame, codes: DataFrame, output_all: bool = False) -> DataFrame:
+    """Calls with a position's reference codes (chrom, pos, ref_codes) in front of their filter; without output_all only those that pass.
+
+    PASS goes when a code comes; positions with no code and no other filter pass.
+    """
+    out = found.join(codes.select("chrom", "pos", "ref_codes").dropDuplicates(["chrom", "pos"]), ["chrom", "pos"], "left")
+    every = F.concat(F.coalesce("ref_codes", F.array().cast("array<string>")), F.array_remove("filter", "PASS"))
+    out = out.withColumn("filter", F.when(F.size(every) > 0, every).otherwise(F.array(F.lit("PASS")))).drop("ref_codes")
+    return out if output_all else out.where(F.array_contains("filter", "PASS"))
 
 
 def allele_stats(obs: DataFrame, p: CallParams = CallParams()) -> DataFrame:
@@ -91,40 +111,39 @@ def find_variants(sites: DataFrame, p: CallParams = CallParams()) -> DataFrame:
     Samples are visited in order; each compares its bases with what its parents have shown: the bases of all earlier samples
     and, once one has reads, the reference. That is a function of the counts, so each visit is a column expression of its own.
     """
-    ref = F.col("ref")
+    # one SQL text for each column: a tree of this size takes seconds to build node by node
     earlier: list[str] = []
-    alts: list[Column] = []
-    mods: list[Column] = []
+    alts: list[str] = []
+    mods: list[str] = []
     below_total, below_alt = [], []
     for s in SAMPLES:
-        n = {b: F.col(count_column(s, b)) for b in BASES}
-        total = sum(n.values())
-        active = total > 0
-        empty = sum((F.col(count_column(e, b)) for e in earlier for b in BASES), F.lit(0)) == 0
+        n = {b: count_column(s, b) for b in BASES}
+        total = "(" + " + ".join(n.values()) + ")"
+        shown = " + ".join(count_column(e, b) for e in earlier for b in BASES) or "0"
         if s == "DNA_TUMOR":
-            pm, prev = p.min_alt["DNA_NORMAL"], {b: F.col(count_column("DNA_NORMAL", b)) for b in BASES}
+            pm, prev = p.min_alt["DNA_NORMAL"], {b: count_column("DNA_NORMAL", b) for b in BASES}
             kind = "SOM" if "DNA_NORMAL" in p.supplied else "DNA_TUM_VAR"
         elif s == "RNA_TUMOR":
             source = "DNA_TUMOR" if "DNA_TUMOR" in p.supplied else "RNA_NORMAL"
-            pm, prev = p.min_alt["DNA_TUMOR"], {b: F.col(count_column(source, b)) for b in BASES}
+            pm, prev = p.min_alt["DNA_TUMOR"], {b: count_column(source, b) for b in BASES}
             kind = "TUM_EDIT" if {"DNA_NORMAL", "DNA_TUMOR"} & set(p.supplied) else "RNA_TUM_VAR"
         else:
             pm = p.min_alt["DNA_NORMAL"]
-            prev = {b: F.lit(pm) for b in BASES}
+            prev = dict.fromkeys(BASES, str(pm))
             kind = "GERM" if s == "DNA_NORMAL" else "NOR_EDIT" if "DNA_NORMAL" in p.supplied else "RNA_NOR_VAR"
-        prev = {b: F.when(empty | (ref == b), pm).otherwise(prev[b]) for b in BASES}
-        inside = {b: (sum((F.col(count_column(e, b)) for e in earlier), F.lit(0)) > 0) | (ref == b) for b in BASES}
+        prev = {b: f"(CASE WHEN {shown} = 0 OR ref = '{b}' THEN {pm} ELSE {prev[b]} END)" for b in BASES}
+        inside = {b: "(" + (" + ".join(count_column(e, b) for e in earlier) or "0") + f" > 0 OR ref = '{b}')" for b in BASES}
         earlier.append(s)
         for b in BASES:
-            here = active & (n[b] > 0)
-            alts.append(F.when(here & ~inside[b], F.lit(b)))
-            differs = here & (~inside[b] | (prev[b] < pm))
-            called = differs & (total >= p.min_total[s]) & (n[b] >= p.min_alt[s])
-            below_total.append(differs & (total < p.min_total[s]))
-            below_alt.append(differs & (total >= p.min_total[s]) & (n[b] < p.min_alt[s]))
-            mods += [F.when(called & inside[d] & (prev[d] >= pm) & F.lit(d != b), F.struct(F.lit(kind).alias("type"), F.lit(d).alias("src"), F.lit(b).alias("tgt"))) for d in BASES if d != b]
-    any_of = lambda x: reduce(lambda a, b: a | b, x)
-    out = computed(sites, {"alts": F.array_distinct(F.array_compact(F.array(*alts))), "mods": F.array_compact(F.array(*mods)), "below_total": any_of(below_total), "below_alt": any_of(below_alt)})
+            alts.append(f"CASE WHEN {n[b]} > 0 AND NOT {inside[b]} THEN '{b}' END")
+            differs = f"({n[b]} > 0 AND (NOT {inside[b]} OR {prev[b]} < {pm}))"
+            enough = f"{total} >= {p.min_total[s]}"
+            below_total.append(f"({differs} AND NOT {enough})")
+            below_alt.append(f"({differs} AND {enough} AND {n[b]} < {p.min_alt[s]})")
+            called = f"{differs} AND {enough} AND {n[b]} >= {p.min_alt[s]}"
+            mods += [f"CASE WHEN {called} AND {inside[d]} AND {prev[d]} >= {pm} THEN named_struct('type', '{kind}', 'src', '{d}', 'tgt', '{b}') END" for d in BASES if d != b]
+    texts = {"alts": f"array_distinct(array_compact(array({', '.join(alts)})))", "mods": f"array_compact(array({', '.join(mods)}))", "below_total": " OR ".join(below_total), "below_alt": " OR ".join(below_alt)}
+    out = computed(sites, {k: F.expr(v) for k, v in texts.items()})
     first = F.get(F.col("mods"), 0)["type"]
     ss = reduce(lambda c, x: c.when(first == x[0], x[1]), list(SS_CODES.items())[1:], F.when(first == "GERM", 1))
     codes = F.array_compact(F.array(F.when(F.col("below_total"), F.lit("mbt")), F.when(F.col("below_alt"), F.lit("mba"))))
@@ -162,27 +181,46 @@ def site_summary(stats: DataFrame) -> DataFrame:
     )
 
 
-def records(obs: DataFrame, p: CallParams = CallParams()) -> DataFrame:
-    """Calls with per-sample, per-allele evidence: alleles (ref, then alts) and a struct for each sample, null without passing reads."""
-    stats = allele_stats(obs, p)
+def site_evidence(obs: DataFrame, p: CallParams = CallParams()) -> DataFrame:
+    """One row per position: the count of each base in each sample, and ``stats``, a map from sample and base to the allele's statistics."""
     value = F.struct("ad", "sum_bq", "sum_mq", "plus", "max_mq", "mq0")
+    counts = [F.sum(F.when((F.col("sample") == s) & (F.col("base") == b), F.col("ad")).otherwise(0)).alias(count_column(s, b)) for s in SAMPLES for b in BASES]
     # at most four bases for each of four samples
-    per_site = stats.groupBy("chrom", "pos").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("_", "sample", "base").alias("k"), value.alias("v")))).alias("stats"))
-    out = calls(obs, p).join(per_site, ["chrom", "pos"]).withColumn("alleles", F.concat(F.array("ref"), "alts"))
+    entries = F.map_from_entries(F.collect_list(F.struct(F.concat_ws("_", "sample", "base").alias("k"), value.alias("v"))))
+    return allele_stats(obs, p).groupBy("chrom", "pos", "ref").agg(*counts, entries.alias("stats"))
+
+
+def records(obs: DataFrame, p: CallParams = CallParams(), sites: DataFrame | None = None) -> DataFrame:
+    """Calls with per-sample, per-allele evidence: alleles (ref, then alts) and a struct for each sample, null without passing reads.
+
+    sites: unfiltered counts of insertions, deletions, read starts and ends (chrom, pos, sample, ins, del, start, stop); zero where
+    there is no row.
+    """
+    found = find_variants(site_evidence(obs, p), p)
+    out = found.where(F.size("mods") > 0).withColumn("alleles", F.concat(F.array("ref"), "alts"))
+    if sites is not None:
+        edges = [F.sum(F.when(F.col("sample") == s, F.col(c)).otherwise(0)).cast("long").alias(f"{SHORT[s]}_{c}") for s in SAMPLES for c in EDGES]
+        out = out.join(sites.groupBy("chrom", "pos").agg(*edges), ["chrom", "pos"], "left")
+    zero = F.lit(0).cast("long")
 
     def sample(s: str) -> Column:
-        get = lambda b, f: F.coalesce(F.col("stats")[F.concat(F.lit(f"{s}_"), b)][f], F.lit(0).cast("long"))
-        over = lambda fn: F.transform("alleles", fn)
+        # each allele's statistics once; the fields read them
+        own = F.transform("alleles", lambda b: F.col("stats")[F.concat(F.lit(f"{s}_"), b)])
+        get = lambda x, f: F.coalesce(x[f], zero)
+        over = lambda fn: F.transform(own, fn)
         dp = sum(F.col(count_column(s, b)) for b in BASES)
+        edge = {c: zero if sites is None else F.coalesce(f"{SHORT[s]}_{c}", zero) for c in EDGES}
         fields = [
-            dp.alias("dp"), F.lit(0).cast("long").alias("ins"), F.lit(0).cast("long").alias("del"), over(lambda b: get(b, "ad")).alias("ad"), over(lambda b: ratio2(get(b, "ad"), dp)).alias("af"),
-            over(lambda b: get(b, "mq0")).alias("mq0"), over(lambda b: get(b, "max_mq")).alias("mmq"), over(lambda b: F.coalesce(mean(get(b, "sum_mq"), get(b, "ad")), F.lit(0))).alias("mqa"),
-            over(lambda b: F.coalesce(mean(get(b, "sum_bq"), get(b, "ad")), F.lit(0))).alias("bq"), over(lambda b: F.coalesce(ratio2(get(b, "plus"), get(b, "ad")), F.lit(0.0))).alias("sb"),
+            dp.alias("dp"), edge["ins"].alias("ins"), edge["del"].alias("del"), edge["start"].alias("start"), edge["stop"].alias("stop"),
+            F.flatten(over(lambda x: F.array(get(x, "plus"), get(x, "ad") - get(x, "plus")))).alias("dp4"), over(lambda x: get(x, "ad")).alias("ad"), over(lambda x: ratio2(get(x, "ad"), dp)).alias("af"),
+            over(lambda x: get(x, "mq0")).alias("mq0"), over(lambda x: get(x, "max_mq")).alias("mmq"), over(lambda x: F.coalesce(mean(get(x, "sum_mq"), get(x, "ad")), F.lit(0))).alias("mqa"),
+            over(lambda x: F.coalesce(mean(get(x, "sum_bq"), get(x, "ad")), F.lit(0))).alias("bq"), over(lambda x: F.coalesce(ratio2(get(x, "plus"), get(x, "ad")), F.lit(0.0))).alias("sb"),
         ]
         return F.when(dp > 0, F.struct(*fields))
 
     counts = [count_column(s, b) for s in SAMPLES for b in BASES]
-    return computed(out, {SHORT[s]: sample(s) for s in SAMPLES}).drop("stats", *counts)
+    helpers = [f"{SHORT[s]}_{c}" for s in SAMPLES for c in EDGES] if sites is not None else []
+    return computed(out, {SHORT[s]: sample(s) for s in SAMPLES}).drop("stats", *counts, *helpers)
 
 
 def run_totals(called: DataFrame) -> DataFrame:

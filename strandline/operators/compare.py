@@ -26,15 +26,6 @@ def paired(left: DataFrame, right: DataFrame) -> DataFrame:
     return side(left, "l").join(side(right, "r"), ["chrom", "pos"], "full")
 
 
-def agreement(spec: list[tuple[str, list[str]]]):
-    """Left and right have types that the specification pairs."""
-    tests = [F.array_contains("l.types", a) & F.arrays_overlap("r.types", F.array(*[F.lit(b) for b in bs])) for a, bs in spec]
-    out = tests[0]
-    for t in tests[1:]:
-        out = out | t
-    return F.coalesce(out, F.lit(False))
-
-
 def counts(left: DataFrame, right: DataFrame, spec: list[tuple[str, list[str]]]) -> DataFrame:
     """Per key: left, right and overlapping calls, all and passing."""
     j = paired(left, right)

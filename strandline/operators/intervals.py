@@ -1,7 +1,8 @@
 """Range joins of calls (chrom, pos; 1-based) with intervals (chrom, start, end; 0-based half-open, name) over position bins.
 
-Each interval is copied to the bins it touches, a call has one bin, and the join is an equi-join on (chrom, bin) with the range
-as a residual test, so it is a hash or sort-merge join that adaptive execution can split or broadcast by size.
+Each interval is copied to the bins it touches, a call has one bin of each width, and the join is an equi-join on (chrom, width, bin) with the
+range as a residual test, so it is a hash or sort-merge join that adaptive execution can split or broadcast by size. Intervals
+of over LONG bins take bins that are LONG times as wide, so a whole chromosome's mask is some hundred rows.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BIN = 10_000
+BIN, LONG = 10_000, 64
 
 
 def plain_chrom(chrom: Column) -> Column:
@@ -18,18 +19,22 @@ def plain_chrom(chrom: Column) -> Column:
 
 
 def binned(intervals: DataFrame, size: int = BIN) -> DataFrame:
-    """Intervals as (_chrom, _bin, _start, _end, _name), one row for each bin touched; empty intervals go."""
+    """Intervals as (_chrom, _wide, _bin, _start, _end, _name), one row for each bin touched; empty intervals go."""
     i = intervals.where("start < end")
     name = F.col("name") if "name" in intervals.columns else F.lit("")
-    bins = F.explode(F.sequence(F.floor(F.col("start") / size), F.floor((F.col("end") - 1) / size)))
-    return i.select(plain_chrom(F.col("chrom")).alias("_chrom"), bins.alias("_bin"), F.col("start").alias("_start"), F.col("end").alias("_end"), name.alias("_name"))
+    wide = F.col("end") - F.col("start") > size * LONG
+    width = F.when(wide, size * LONG).otherwise(size)
+    bins = F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("end") - 1) / width)))
+    return i.select(plain_chrom(F.col("chrom")).alias("_chrom"), wide.alias("_wide"), bins.alias("_bin"), F.col("start").alias("_start"), F.col("end").alias("_end"), name.alias("_name"))
 
 
-def overlaps(calls: DataFrame, intervals: DataFrame, size: int = BIN, how: str = "inner") -> DataFrame:
+def overlaps(calls: DataFrame, intervals: DataFrame, size: int = BIN) -> DataFrame:
     """Calls with each interval that holds their base."""
     base = F.col("pos") - 1
-    on = (plain_chrom(F.col("chrom")) == F.col("_chrom")) & (F.floor(base / size) == F.col("_bin")) & (base >= F.col("_start")) & (base < F.col("_end"))
-    return calls.join(binned(intervals, size), on, how)
+    places = F.array(*[F.struct(F.lit(wide).alias("wide"), F.floor(base / width).alias("bin")) for wide, width in ((False, size), (True, size * LONG))])
+    keyed = calls.withColumn("_place", F.explode(places))
+    on = (plain_chrom(F.col("chrom")) == F.col("_chrom")) & (F.col("_place.wide") == F.col("_wide")) & (F.col("_place.bin") == F.col("_bin")) & (base >= F.col("_start")) & (base < F.col("_end"))
+    return keyed.join(binned(intervals, size), on).drop("_place", "_wide")
 
 
 def annotate(calls: DataFrame, intervals: DataFrame, size: int = BIN) -> DataFrame:
@@ -69,8 +74,9 @@ def intersect(left: DataFrame, right: DataFrame, buffer: int = 0, size: int = BI
     wide = right.select("chrom", (F.col("start") - buffer).alias("start"), (F.col("end") + buffer).alias("end"))
     keyed = left.withColumn("_row", F.struct(*left.columns))
     bins = F.explode(F.sequence(F.floor(F.col("start") / size), F.floor((F.col("end") - 1) / size)))
-    l = keyed.where("start < end").withColumn("_bin1", bins)
-    on = (plain_chrom(F.col("chrom")) == F.col("_chrom")) & (F.col("_bin1") == F.col("_bin")) & (F.col("start") < F.col("_end")) & (F.col("end") > F.col("_start"))
+    narrow = keyed.where("start < end").withColumn("_bin1", bins)
+    l = narrow.withColumn("_place", F.explode(F.array(F.struct(F.lit(False).alias("wide"), F.col("_bin1").alias("bin")), F.struct(F.lit(True).alias("wide"), F.floor(F.col("_bin1") / LONG).alias("bin")))))
+    on = (plain_chrom(F.col("chrom")) == F.col("_chrom")) & (F.col("_place.wide") == F.col("_wide")) & (F.col("_place.bin") == F.col("_bin")) & (F.col("start") < F.col("_end")) & (F.col("end") > F.col("_start"))
     return l.join(binned(wide, size), on, "left_semi").select(*left.columns).distinct()
 
 

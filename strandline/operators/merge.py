@@ -42,8 +42,12 @@ def merge_rna_and_dna(dna: DataFrame, rna: DataFrame, overlaps: DataFrame, non_o
     a passing one unless that mentions GERM or SOM. Failing rows add their filters to a failing DNA row, or stand for themselves.
     """
     fields = ["filter", "types", "origin", "mod_filters"]
-    side = lambda df, name: df.select(*KEYS, F.struct(*fields).alias(name))
-    j = side(dna, "d").join(overlaps.select(*KEYS, F.lit(True).alias("both")), KEYS, "full").join(side(non_overlaps, "n"), KEYS, "full").join(side(rna, "r"), KEYS, "full")
+    # one shuffle: the four sets as one, each row marked with the set it comes from; a set has a place once
+    kind = dna.select(F.struct(*fields).alias("x")).schema["x"].dataType
+    blank = F.lit(None).cast(kind)
+    parts = [df.select(*KEYS, F.lit(name).alias("s"), (F.struct(*fields).cast(kind) if name != "o" else blank).alias("x")) for df, name in ((dna, "d"), (overlaps, "o"), (non_overlaps, "n"), (rna, "r"))]
+    pick = lambda name: F.first(F.when(F.col("s") == name, F.col("x")), ignorenulls=True).alias(name)
+    j = reduce(DataFrame.unionByName, parts).groupBy(*KEYS).agg(pick("d"), pick("n"), pick("r"), F.bool_or(F.col("s") == "o").alias("both"))
     tagged = F.when(F.coalesce("both", F.lit(False)), F.array_union("d.origin", F.array(F.lit("RNA")))).otherwise(F.col("d.origin"))
     strong = F.coalesce(F.arrays_overlap("d.types", F.array(F.lit("GERM"), F.lit("SOM"))), F.lit(False))
     has_d, has_n, has_r = (F.col(f"{s}.filter").isNotNull() for s in "dnr")

@@ -145,6 +145,35 @@ def support_codes(s: DataFrame, least: int = 4, max_multi: float = 0.90, max_str
     return s.withColumns({"mmp": mmp, "codes": F.array_sort(F.array_compact(F.array(*[F.when(t, F.lit(c)) for c, t in tests])))})
 
 
+def germline_places(reads: DataFrame, calls: DataFrame, keys: list[str]) -> DataFrame:
+    """Reads (by keys, with chrom, start, seq) with ``germline``: a map from a place in the read to the germline bases called there (calls: chrom, pos, base)."""
+    spans = reads.select(*keys, "chrom", F.col("start").alias("read_start"), (F.col("start") + F.length("seq")).alias("_end"))
+    at = near_positions(calls.select("chrom", "pos", "base"), spans, "read_start", "_end").select(*keys, (F.col("pos") - 1 - F.col("read_start")).cast("int").alias("k"), "base")
+    maps = at.groupBy(*keys, "k").agg(F.array_sort(F.collect_set("base")).alias("bases")).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("k", "bases"))).alias("germline"))
+    return reads.join(maps, keys, "left").withColumn("germline", F.coalesce("germline", F.expr("map_from_arrays(cast(array() AS array<int>), cast(array() AS array<array<string>>))")))
+
+
+def filter_by_read_support(calls: DataFrame, reads: DataFrame, dna: bool = True, min_bq: int = 10, **limits) -> DataFrame:
+    """Calls (chrom, pos, alt, filter) judged by the reads over them: adds mmp, n_mut, n_ref, n_perfect, and the codes to the filter.
+
+    Reads over a call lose flagged ones, collapse overlapping mates, count as perfect or not, and are summed by place and strand. A read
+    may carry ``mutations``, its number of unexplained mismatches (0 where the column is missing). Calls without reads
+    have no perfect ones.
+    """
+    rows = reads if "mutations" in reads.columns else reads.withColumn("mutations", F.lit(0))
+    over = reads_at_calls(calls.select("chrom", "pos", "alt"), rows, rna=not dna).where(F.col("bq") >= min_bq)
+    over = over.withColumn("overlapping", mate_overlaps(F.col("read_start"), F.col("qpos"), F.col("mate_start"), F.col("seq")))
+    kept = resolve_mates(over, ["chrom", "pos"], min_bq=min_bq, order=["base", "qpos", "flag", "mapq", "read_start"])
+    reason = perfect_reason(F.lit(dna), F.col("flag"), F.col("cigar"), low_neighbours(F.col("qual"), F.col("qpos")), F.col("mutations"))
+    facts = kept.withColumns({
+        "mutated": F.col("base") == F.col("alt"), "perfect": reason.isNull(), "secondary": flag(F.col("flag"), SECONDARY), "plus": ~flag(F.col("flag"), MINUS), "place": third(F.col("qpos"), F.length("seq")),
+    })
+    judged = support_codes(support(facts, ["chrom", "pos"]), **limits).select("chrom", "pos", "mmp", "n_mut", "n_ref", "n_perfect", "codes")
+    out = calls.join(judged, ["chrom", "pos"], "left")
+    codes = F.coalesce("codes", F.array(F.lit("perfmnad"), F.lit("perfmnaf")))
+    return out.withColumn("filter", F.when(F.size(codes) > 0, F.array_sort(F.array_union(F.array_remove("filter", "PASS"), codes))).otherwise(F.col("filter"))).drop("codes")
+
+
 def neighbour_bases(reference: DataFrame) -> DataFrame:
     """Previous and next base of each position of a reference table (chrom, pos, base)."""
     prev = reference.select("chrom", (F.col("pos") + 1).alias("pos"), F.col("base").alias("pn"))

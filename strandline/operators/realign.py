@@ -51,3 +51,17 @@ def judge_calls(reads: DataFrame, keys: list[str], min_reads: int = 4, min_share
 def filter_calls(calls: DataFrame, judged: DataFrame, keys: list[str], code: str = "blat") -> DataFrame:
     """Sets the filter to the code for calls whose reads are not enough; calls without reads fail."""
     return calls.join(judged.select(*keys, "passes"), keys, "left").withColumn("filter", F.when(F.coalesce("passes", F.lit(False)), F.col("filter")).otherwise(F.array(F.lit(code)))).drop("passes")
+
+
+def filter_modifications(calls: DataFrame, judged: DataFrame, keep_filters: bool = False, code: str = "blat") -> DataFrame:
+    """Calls (chrom, pos, filter, mods) after each modification was judged on its own (chrom, pos, type, src, tgt, passes).
+
+    If one passes, those that don't go and the call passes; else all stay, and the code replaces the filters (keep_filters: comes to
+    them). A modification without a judgement fails.
+    """
+    mod = F.struct(F.col("type").alias("type"), F.col("src").alias("src"), F.col("tgt").alias("tgt"))
+    good = judged.where("passes").groupBy("chrom", "pos").agg(F.collect_set(mod).alias("_good"))
+    out = calls.join(good, ["chrom", "pos"], "left")
+    some = F.size(F.coalesce("_good", F.array().cast(calls.schema["mods"].dataType))) > 0
+    failed = F.array_sort(F.array_union(F.array_remove("filter", "PASS"), F.array(F.lit(code)))) if keep_filters else F.array(F.lit(code))
+    return out.withColumns({"mods": F.when(some, F.filter("mods", lambda m: F.array_contains("_good", m))).otherwise(F.col("mods")), "filter": F.when(some, F.array(F.lit("PASS"))).otherwise(failed)}).drop("_good")

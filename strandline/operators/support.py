@@ -10,7 +10,9 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandline.functions.genotype import recomputed
 from strandline.functions.rounding import floor2, hundredths
+from strandline.operators.calling import computed
 
 RNA_TYPES = ["NOR_EDIT", "RNA_NOR_VAR", "TUM_EDIT", "RNA_TUM_VAR"]
 #: Order in which types of surviving modifications decide the final type.
@@ -174,33 +176,34 @@ def pre_filter(records: DataFrame, p: Preset) -> DataFrame:
 
     survive = F.array_distinct(F.flatten(F.transform("mods", one)))
     found = F.array_sort(F.array_distinct(F.array_compact(F.flatten(F.transform("mods", codes)))))
-    out = records.withColumns({"_survive": survive, "_codes": found})
+    out = computed(records, {"_survive": survive, "_codes": found})
     return out.withColumns({"pre_codes": F.when(F.size("_survive") > 0, F.array().cast("array<string>")).otherwise(F.col("_codes")), "mods": F.when(F.size("_survive") > 0, F.col("_survive")).otherwise(F.col("mods"))}).drop("_survive", "_codes")
 
 
 def judge(records: DataFrame, p: Preset, with_pre_filter: bool = True) -> DataFrame:
-    """Filter calls by the preset: adds final_type, mod_filters (type, src, tgt, codes of each modification), and sets filter, mods and origin.
+    """Filter calls by the preset: adds final_type, mod_filters (type, src, tgt, codes of each modification) and each sample's recomputed genotype (dn_gt and so on), and sets filter, mods and origin.
 
     Modifications without a failing code survive; if none does, the call gets all codes.
     """
     r = pre_filter(records, p) if with_pre_filter else records.withColumn("pre_codes", F.array().cast("array<string>"))
     judged = F.transform("mods", lambda m: F.struct(m["type"].alias("type"), m["src"].alias("src"), m["tgt"].alias("tgt"), rule_codes(m, p).alias("codes")))
-    r = r.withColumn("mod_filters", judged)
+    r = computed(r, {"mod_filters": judged})
     alive = F.filter("mod_filters", lambda m: F.size(m["codes"]) == 0)
     every = F.array_sort(F.array_distinct(F.concat("pre_codes", F.flatten(F.transform("mod_filters", lambda m: m["codes"])))))
-    r = r.withColumn("_alive", F.when(F.size("pre_codes") == 0, alive).otherwise(F.array().cast(r.schema["mod_filters"].dataType)))
+    r = computed(r, {"_alive": F.when(F.size("pre_codes") == 0, alive).otherwise(F.array().cast(r.schema["mod_filters"].dataType)), "_every": every})
     ok = F.size("_alive") > 0
     earlier = F.array_remove("filter", "PASS") if "filter" in r.columns else F.array().cast("array<string>")
     r = r.withColumns({
-        "filter": F.when(ok & (F.size(earlier) == 0), F.array(F.lit("PASS"))).when(ok, earlier).otherwise(F.array_sort(F.array_union(earlier, every))),
+        "filter": F.when(ok & (F.size(earlier) == 0), F.array(F.lit("PASS"))).when(ok, earlier).otherwise(F.array_sort(F.array_union(earlier, "_every"))),
         "final_type": final_type(F.when(ok, F.transform("_alive", lambda m: m["type"])).otherwise(F.transform("mods", lambda m: m["type"]))),
         "mods": F.when(ok, F.transform("_alive", lambda m: F.struct(m["type"].alias("type"), m["src"].alias("src"), m["tgt"].alias("tgt")))).otherwise(F.col("mods")),
     })
-    r = r.withColumns({"ss": ss_of(F.col("final_type")), "somatic": F.col("final_type") == "SOM"})
+    genotypes = {f"{s}_gt": F.when(F.col(s).isNotNull(), recomputed(F.col("chrom"), F.col(f"{s}.ad"), p.genotype_min_depth, p.genotype_min_pct)) for s in ("dn", "rn", "dt", "rt")}
+    r = r.withColumns({"ss": ss_of(F.col("final_type")), "somatic": F.col("final_type") == "SOM", **genotypes})
     if p.origin:
         have = F.col("origin") if "origin" in r.columns else F.array().cast("array<string>")
         r = r.withColumn("origin", F.array_union(have, F.array(F.lit(p.origin))))
-    return r.drop("_alive")
+    return r.drop("_alive", "_every")
 
 
 def final_type(types: Column) -> Column:

@@ -8,9 +8,11 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SCHEMA = "chrom string, pos long, ref string, n_reads int, reads string, base_quals string, map_quals string"
-DECODED = "struct<ins:int,del:int,start:int,stop:int,obs:array<struct<base:string,bq:int,mq:int,plus:boolean>>>"
+OBSERVATION = T.StructType().add("base", "string").add("bq", "integer").add("mq", "integer").add("plus", "boolean")
+DECODED = T.StructType([*(T.StructField(c, T.IntegerType()) for c in ("ins", "del", "start", "stop")), T.StructField("obs", T.ArrayType(OBSERVATION))])
 TOKEN = re.compile(r"\^.|\$|[+-](\d+)|.", re.S)
 
 

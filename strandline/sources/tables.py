@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BLAST8 = "query string, subject string, identity double, length int, mismatches int, gaps int, q_start int, q_end int, s_start long, s_end long, evalue double, bitscore double"
@@ -23,7 +23,7 @@ def read_bed(spark: SparkSession, path) -> DataFrame:
 
 
 def write_bed(intervals: DataFrame, path: str, compression: str = "none") -> None:
-    intervals.select("chrom", "start", "end", "name").write.mode("overwrite").option("sep", "\t").option("compression", compression).csv(path)
+    intervals.select("chrom", "start", "end", "name").write.mode("overwrite").option("sep", "\t").option("emptyValue", "").option("compression", compression).csv(path)
 
 
 def chromosome_files(folder: str, chrom: str) -> list[str]:
@@ -51,11 +51,13 @@ def chrom_size(fai: DataFrame, chrom: str) -> int:
 
 
 def read_reference(spark: SparkSession, path) -> DataFrame:
-    """Reference bases (chrom, pos, base) of FASTA text whose files each hold whole sequences; lines are numbered inside a sequence."""
-    text = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "")
-    head = F.regexp_extract("value", r"^(\S+)", 1)
-    body = F.upper(F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s", ""))
-    return text.select(head.alias("chrom"), F.posexplode(F.split(body, ""))).select("chrom", (F.col("pos") + 1).cast("long").alias("pos"), F.col("col").alias("base")).where("base <> ''")
+    """Reference bases (chrom, pos, base) of FASTA text, line by line: a line's place is the length of the lines before it in its sequence."""
+    lines = spark.read.text(path).select(F.trim("value").alias("value"), F.col("_metadata.file_path").alias("file"), F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"))
+    named = lines.withColumn("chrom", F.last(F.when(F.col("value").startswith(">"), F.regexp_extract("value", r"^>\s*(\S+)", 1)), ignorenulls=True).over(Window.partitionBy("file").orderBy("at")))
+    bases = named.where("value <> '' AND NOT startswith(value, '>')").withColumn("n", F.length("value"))
+    begin = F.sum("n").over(Window.partitionBy("file", "chrom").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
+    placed = bases.withColumn("begin", F.coalesce(begin, F.lit(0)))
+    return placed.select("chrom", "begin", F.posexplode(F.split(F.upper("value"), ""))).where("col <> ''").select("chrom", (F.col("begin") + F.col("pos") + 1).cast("long").alias("pos"), F.col("col").alias("base"))
 
 
 def read_hits(spark: SparkSession, path, form: str = "blast") -> DataFrame:

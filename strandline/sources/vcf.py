@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import glob
+import os
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions.strings import format_info, parse_info, parse_sample
 
+#: The columns before the samples.
 FIXED = ["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT"]
 #: Order of the FORMAT fields.
 FORMAT = "GT:DP:AD:AF:INS:DEL:DP4:START:STOP:MQ0:MMQ:MQA:BQ:SB:MMP"
@@ -19,7 +22,26 @@ class HeaderError(ValueError):
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
-    return [r.value for r in spark.read.text(path).where(F.col("value").startswith("#")).distinct().collect()]
+    """Header lines in their order, down to the column line, of the first file under a path; no more of it is read than a little over the header."""
+    files = sorted(spark.read.text(path).inputFiles())
+    n = 256
+    while files:
+        lines = [r.value for r in spark.read.text(files[0]).limit(n).collect()]
+        head = [x for x in lines if x.startswith("#")]
+        if len(lines) < n or len(head) < len(lines):
+            return head
+        n *= 4
+    return []
+
+
+def check_paths(inputs: list[str], output: str | None = None) -> None:
+    """Raises where an input file is missing or an output's folder is, for paths on a local file system."""
+    local = lambda p: "://" not in p
+    missing = [p for p in inputs if local(p) and not glob.glob(p)]
+    if missing:
+        raise FileNotFoundError(", ".join(missing))
+    if output is not None and local(output) and not os.path.isdir(os.path.dirname(os.path.abspath(output))):
+        raise FileNotFoundError(os.path.dirname(output))
 
 
 def sample_columns(header: list[str]) -> list[str]:
@@ -88,8 +110,8 @@ def joined(values: Column, sep: str) -> Column:
     return F.when(F.size(values) > 0, F.array_join(values, sep)).otherwise(".")
 
 
-def format_lines(records: DataFrame, samples: list[str]) -> DataFrame:
-    """Records as lines; an absent sample is ``./.``, on Y a dot."""
+def format_lines(records: DataFrame, samples: list[str], *keep: str) -> DataFrame:
+    """Records as lines; an absent sample is ``./.``, on Y a dot. keep: columns that stay beside the line."""
     empty = F.when(F.col("chrom").isin("Y", "chrY"), ".").otherwise("./.")
 
     def sample(s: str) -> Column:
@@ -97,11 +119,22 @@ def format_lines(records: DataFrame, samples: list[str]) -> DataFrame:
         return F.when(F.col(s.lower()).isNull(), empty).otherwise(F.array_join(values, ":"))
 
     qual = F.when(F.col("qual").isNull(), ".").when(F.col("qual") == F.floor("qual"), F.col("qual").cast("long").cast("string")).otherwise(F.col("qual").cast("string"))
-    return records.select(F.concat_ws("\t", "chrom", F.col("pos").cast("string"), joined(F.col("id"), ";"), joined(F.col("ref"), ","), joined(F.col("alt"), ","), qual, joined(F.col("filter"), ";"), format_info(F.col("info")), joined(F.col("format"), ":"), *[sample(s) for s in samples]).alias("value"))
+    return records.select(*keep, F.concat_ws("\t", "chrom", F.col("pos").cast("string"), joined(F.col("id"), ";"), joined(F.col("ref"), ","), joined(F.col("alt"), ","), qual, joined(F.col("filter"), ";"), format_info(F.col("info")), joined(F.col("format"), ":"), *[sample(s) for s in samples]).alias("value"))
 
 
-def write_vcf(records: DataFrame, samples: list[str], header: list[str], path: str, compression: str = "none") -> None:
-    """A folder of text parts: the header in parts that sort first, the records after it in their order."""
-    spark = records.sparkSession
-    spark.createDataFrame([(h,) for h in header], "value string").coalesce(1).write.mode("overwrite").option("compression", compression).text(f"{path}/header")
-    format_lines(records, samples).write.mode("overwrite").option("compression", compression).text(f"{path}/records")
+def write_vcf(records: DataFrame, samples: list[str], header: list[str], path: str, compression: str = "none", mode: str = "overwrite") -> None:
+    """A folder of text parts that, one after another by name, are one file: the header, then the records by chromosome and position.
+
+    Mode "append" adds records to a folder that has a header.
+    """
+    lines = format_lines(records, samples, "chrom", "pos").select(F.lit(1).alias("k"), F.expr("try_cast(chrom AS int)").alias("n"), "chrom", "pos", "value")
+    if mode != "append":
+        head = records.sparkSession.createDataFrame([(0, None, "", k, h) for k, h in enumerate(header)], "k int, n int, chrom string, pos long, value string")
+        lines = head.unionByName(lines)
+    ordered = lines.orderBy("k", F.col("n").asc_nulls_last(), "chrom", "pos")
+    ordered.select("value").write.mode(mode).option("compression", compression).text(path)
+
+
+def write_table(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Counts (run totals, positions with data, comparisons) as tab-separated text with a header line."""
+    rows.write.mode(mode).option("sep", "\t").option("header", "true").csv(path)
