@@ -14,6 +14,7 @@ import struct
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from strandline.llm.common import text_batches
 
 MARK = "▁"
 #: Bytes of each of the two generations of a task's chunk cache, by a chunk's text and pieces and about 200 for its objects.
-CACHE_BYTES = 12 << 20
+CACHE_BYTES = 24 << 20
 #: Texts that are taken from a batch and handed on at a time.
 TEXTS = 64
 
@@ -74,6 +75,7 @@ class Encoder:
         self.piece = [p.piece for p in proto.pieces]
         self.pieces = pa.array(self.piece, pa.string())
         self.byte = [p.type == 6 for p in proto.pieces]
+        self.chars = np.array([len(p) for p in self.piece], np.int64)
         #: Pieces that are copied as they stand, the longest first.
         self.fixed = sorted((p.piece.encode() for p in proto.pieces if p.type == 4), key=len, reverse=True)
         #: Chunks segment on their own only if each starts with a piece of its own and none runs on over a space mark.
@@ -86,6 +88,9 @@ class Encoder:
         spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces = b"", False, False
         self.segmenter = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
         self.eos, self.unknown = self.segmenter.eos_id(), self.segmenter.unk_id()
+        #: Pieces that don't stand for their own characters.
+        self.special = np.array(self.byte)
+        self.special[self.unknown] = True
 
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text and, for each of its characters and its end, the byte of the source where it starts."""
@@ -164,9 +169,22 @@ class Encoder:
         if self.held > CACHE_BYTES:
             self.old, self.young, self.held = self.young, {}, 0
         whole = [MARK + c for c in missing]
-        for chunk, norm, ids in zip(missing, whole, self.segmenter.encode(whole, num_threads=1), strict=True):
-            self.young[chunk] = found = self.packed(norm, ids)
-            self.held += len(chunk) + len(found) + 200
+        found = self.segmenter.encode(whole, num_threads=1)
+        # all chunks at once; those with bytes or unknown characters one by one
+        first = np.zeros(len(found) + 1, np.int64)
+        np.cumsum([len(ids) for ids in found], out=first[1:])
+        ids = np.fromiter(chain.from_iterable(found), np.int32, first[-1])
+        end = np.append(0, np.cumsum(self.chars[ids]))
+        n = np.diff(end[first])
+        base = np.repeat(end[first[:-1]], np.diff(first))
+        blob = np.stack([ids, end[:-1] - base, end[1:] - base], 1).astype(np.int32).tobytes()
+        edge = (first * 12).tolist()
+        plain = (n == np.fromiter(map(len, whole), np.int64, len(whole))).tolist()
+        for k in np.unique(np.searchsorted(first, np.flatnonzero(self.special[ids]), "right") - 1).tolist():
+            plain[k] = False
+        for k, chunk in enumerate(missing):
+            self.young[chunk] = blob[edge[k] : edge[k + 1]] if plain[k] else self.packed(whole[k], found[k])
+        self.held += len(blob) + sum(map(len, missing)) + 200 * len(missing)
 
     def segments(self, norms: list[str]) -> Iterator[np.ndarray]:
         """For each normalised text the id, first and end character of every piece."""
