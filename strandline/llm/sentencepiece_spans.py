@@ -284,9 +284,12 @@ def decode(rows: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
     def run(batches):
         library = decoder(model)
         for batch in batches:
+            ids = batch.column(at)
+            flat, edge, valid = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False)
             for k in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(k, TEXTS)
-                texts = [library.decode(ids) if ids else "" for ids in part.column(at).to_pylist()]
+                rows = range(k, k + part.num_rows)
+                texts = [library.decode(flat[edge[r] : edge[r + 1]].tolist()) if valid[r] and edge[r + 1] > edge[r] else "" for r in rows]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names)
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())]))
