@@ -163,7 +163,7 @@ def filter_by_read_support(calls: DataFrame, reads: DataFrame, dna: bool = True,
     rows = reads if "mutations" in reads.columns else reads.withColumn("mutations", F.lit(0))
     over = reads_at_calls(calls.select("chrom", "pos", "alt"), rows, rna=not dna).where(F.col("bq") >= min_bq)
     over = over.withColumn("overlapping", mate_overlaps(F.col("read_start"), F.col("qpos"), F.col("mate_start"), F.col("seq")))
-    kept = resolve_mates(over, ["chrom", "pos"], min_bq=min_bq, order=["base", "qpos", "flag", "mapq", "read_start"])
+    kept = resolve_mates(over, ["chrom", "pos"], min_bq=min_bq, order=["base", "qpos", "flag", "mapq", "read_start", "mutations", "qual", "cigar"])
     reason = perfect_reason(F.lit(dna), F.col("flag"), F.col("cigar"), low_neighbours(F.col("qual"), F.col("qpos")), F.col("mutations"))
     facts = kept.withColumns({
         "mutated": F.col("base") == F.col("alt"), "perfect": reason.isNull(), "secondary": flag(F.col("flag"), SECONDARY), "plus": ~flag(F.col("flag"), MINUS), "place": third(F.col("qpos"), F.length("seq")),

@@ -430,11 +430,14 @@ def q_perfect_counts(spark, d):
     return reads.support(tumor_reads(spark, d), ["chrom", "pos"]).select("chrom", "pos", "n_ref", "n_perfect", "p_start", "p_end", "p_plus", "n_multi")
 
 
-@query(f"""{READS}, {COUNTS}, c AS (SELECT *, CASE WHEN n_mut > 0 THEN {hundredths_sql('n_multi', 'n_mut')} / 100.0 ELSE 0.0 END AS mmp FROM s)
+JUDGED = f"""c AS (SELECT *, CASE WHEN n_mut > 0 THEN {hundredths_sql('n_multi', 'n_mut')} / 100.0 ELSE 0.0 END AS mmp FROM s)
 SELECT chrom, pos, mmp, array_to_string(list_sort(list_filter([
   CASE WHEN n_mut >= 4 AND mmp >= 0.9 THEN 'mxmmp' END, CASE WHEN n_perfect >= 4 AND (p_plus / n_perfect > 0.9 OR p_plus / n_perfect < 1 - CAST(0.9 AS DOUBLE)) THEN 'perfsbias' END,
   CASE WHEN n_mut >= 4 AND (n_start / n_mut >= 0.95 OR n_end / n_mut >= 0.95) THEN 'pbias' END, CASE WHEN n_perfect >= 4 AND (p_start / n_perfect >= 0.95 OR p_end / n_perfect >= 0.95) THEN 'perfpbias' END,
-  CASE WHEN n_perfect < 4 THEN 'perfmnad' END, CASE WHEN n_perfect / (n_mut + n_ref) < 0.1 THEN 'perfmnaf' END], lambda x: x IS NOT NULL)), '_') AS codes FROM c""")
+  CASE WHEN n_perfect < 4 THEN 'perfmnad' END, CASE WHEN n_perfect / (n_mut + n_ref) < 0.1 THEN 'perfmnaf' END], lambda x: x IS NOT NULL)), '_') AS codes FROM c"""
+
+
+@query(f"{READS}, {COUNTS}, {JUDGED}")
 def q_read_support_codes(spark, d):
     out = reads.support_codes(reads.support(tumor_reads(spark, d), ["chrom", "pos"]))
     return out.select("chrom", "pos", "mmp", F.array_join("codes", "_").alias("codes"))
@@ -663,3 +666,118 @@ def q_sam_flags(spark, d):
 def q_tissue_and_flag_codes(spark, d):
     codes = F.create_map(F.lit("BUILDING"), F.lit("B"), F.lit("MACHINERY"), F.lit("M"))
     return read(spark, d, "customer").select(F.col("c_custkey").alias("k"), strings.tissue_codes(F.concat("c_mktsegment", F.lit(", BUILDING")), codes).alias("codes"), strings.pack_flags([("A", F.col("c_acctbal") > 0), ("N", F.col("c_nationkey") > 12)]).alias("flags"))
+
+
+# Reference codes, genotypes of the filter, indels and depths, normal RNA
+
+
+def unsure(spark, d) -> DataFrame:
+    """Observations of which some have no reference base or another one."""
+    at, n = F.col("pos"), F.col("line")
+    return obs(spark, d).withColumn("ref", F.when((at % 11 == 0) & (n == 2), "N").when((at % 7 == 0) & (n == 4), "G").otherwise(F.col("ref")))
+
+
+UNSURE = f"""{CALLS}, u AS (SELECT chrom, pos, CASE WHEN pos % 11 = 0 AND line = 2 THEN 'N' WHEN pos % 7 = 0 AND line = 4 THEN 'G' ELSE ref END AS ref FROM obs),
+c AS (SELECT chrom, pos, concat_ws(';', CASE WHEN bool_or(ref = 'N') THEN 'noref' END, CASE WHEN min(ref) <> max(ref) THEN 'diffref' END) AS codes FROM u GROUP BY ALL)"""
+
+
+@query(f"{UNSURE} SELECT chrom, pos, codes FROM c")
+def q_reference_codes(spark, d):
+    return calling.reference_codes(unsure(spark, d)).select("chrom", "pos", F.array_join("ref_codes", ";").alias("codes")).distinct()
+
+
+@query(f"{UNSURE} SELECT k.chrom, k.pos, CASE WHEN codes = '' THEN 'PASS' ELSE codes END AS filter FROM (SELECT DISTINCT chrom, pos FROM mods) k JOIN c ON c.chrom = k.chrom AND c.pos = k.pos")
+def q_emit_gate(spark, d):
+    out = calling.emitted(called(spark, d), calling.reference_codes(unsure(spark, d)), output_all=True)
+    return out.select("chrom", "pos", F.array_join("filter", ";").alias("filter"))
+
+
+@query(f"""{RANKED}, f AS (SELECT *, n >= 4 AND {hundredths_sql('n', 'total')} >= 10 AS good, row_number() OVER (PARTITION BY chrom, pos, i > 0 ORDER BY k) AS ka FROM r),
+h AS (SELECT chrom, pos, max(i) FILTER (k = 1) AS a, coalesce(max(i) FILTER (k = 2 AND good), max(i) FILTER (k = 1)) AS b, coalesce(max(i) FILTER (i > 0 AND ka = 1 AND good), 0) AS y, coalesce(string_agg(CAST(i AS VARCHAR), '/' ORDER BY i) FILTER (good), '0') AS m FROM f GROUP BY ALL)
+SELECT chrom, pos, least(a, b) || '/' || greatest(a, b) AS gt, CAST(y AS VARCHAR) AS gt_y, m AS gt_m FROM h""")
+def q_genotype_recomputed(spark, d):
+    gt = lambda chrom: genotype.text(genotype.recomputed(F.lit(chrom), F.col("depths")))
+    return tumor_depths(spark, d).select("chrom", "pos", gt("1").alias("gt"), gt("Y").alias("gt_y"), gt("MT").alias("gt_m"))
+
+
+INDELS = support.with_limits(DNA_LOW, max_indels=6, max_depth=14)
+
+
+@query(f"""{CALLS}, {DEPTHS}, e AS (SELECT chrom, pos, count(*) FILTER (sample = 'DNA_NORMAL') AS dn, count(*) FILTER (sample = 'DNA_TUMOR') AS dt, count(*) FILTER (sample = 'RNA_TUMOR') AS rt FROM obs WHERE line <= 2 GROUP BY ALL)
+SELECT g.chrom, g.pos, g.src, g.tgt, concat_ws('_', CASE WHEN dnt >= 14 THEN 'dnmxdp' END, CASE WHEN dtt >= 14 THEN 'dtmxdp' END, CASE WHEN dtt > 0 AND coalesce(dt, 0) >= 6 THEN 'dtmxindel' END,
+  CASE WHEN CASE WHEN dnt > 0 THEN coalesce(dn, 0) ELSE 0 END + CASE WHEN dtt > 0 THEN coalesce(dt, 0) ELSE 0 END + CASE WHEN rtt > 0 THEN coalesce(rt, 0) ELSE 0 END >= 6 THEN 'indel' END) AS codes
+FROM (SELECT chrom, pos, type, src, tgt, dnt, dtt, rtt FROM g) g LEFT JOIN e ON e.chrom = g.chrom AND e.pos = g.pos WHERE type = 'SOM'""")
+def q_indels_and_depths(spark, d):
+    o = obs(spark, d)
+    sites = o.groupBy("chrom", "pos", "sample").agg(*[F.count_if(F.col("line") == k).alias(c) for k, c in enumerate(calling.EDGES, 1)])
+    r = calling.records(o, sites=sites).select("*", F.explode("mods").alias("m")).where(F.col("m.type") == "SOM")
+    codes = F.filter(support.rule_codes(F.col("m"), INDELS), lambda c: c.isin("dnmxdp", "dtmxdp", "dtmxindel", "indel"))
+    return r.select("chrom", "pos", "m.src", "m.tgt", F.array_join(codes, "_").alias("codes"))
+
+
+@query(f"""WITH {OBS.replace("ELSE 'RNA_TUMOR' END", "ELSE 'RNA_NORMAL' END")}, {STATS}, {STATE.replace("'RNA_TUMOR'", "'RNA_NORMAL'")}, g AS (
+  SELECT b.chrom, b.pos, b.ref, 'NOR_EDIT' AS type, d.base AS src, b.base AS tgt, b.dnt, b.rtt FROM state b JOIN state d ON b.chrom = d.chrom AND b.pos = d.pos AND b.base <> d.base
+  WHERE b.rtt >= 4 AND b.rt >= 2 AND b.dn = 0 AND NOT b.isref AND (d.dn > 0 OR d.isref)
+), {evidence_sql('dn', 'DNA_NORMAL')}, {evidence_sql('rt', 'RNA_NORMAL')}, f AS ({full_sql('rt', 'e_rt', 10, 0.10)} UNION ALL {context_sql('dn', 'e_dn', 0.10)})
+SELECT g.chrom, g.pos, g.src, g.tgt, coalesce(string_agg(DISTINCT regexp_replace(code, '^rt', 'rn'), '_' ORDER BY regexp_replace(code, '^rt', 'rn')), '') AS codes
+FROM g LEFT JOIN f ON f.chrom = g.chrom AND f.pos = g.pos AND f.src = g.src AND f.tgt = g.tgt GROUP BY g.chrom, g.pos, g.src, g.tgt""")
+def q_support_normal_rna(spark, d):
+    """Rules of edits in normal RNA: the RNA observations count as the normal's."""
+    o = obs(spark, d).where("sample <> 'DNA_TUMOR'").withColumn("sample", F.when(F.col("sample") == "RNA_TUMOR", "RNA_NORMAL").otherwise(F.col("sample")))
+    r = calling.records(o).select("*", F.explode("mods").alias("m")).where(F.col("m.type") == "NOR_EDIT")
+    return r.select("chrom", "pos", "m.src", "m.tgt", F.array_join(support.rule_codes(F.col("m"), RNA_LOW), "_").alias("codes"))
+
+
+# Read support from reads to filters
+
+
+def short_reads(spark, d) -> tuple[DataFrame, DataFrame]:
+    """A call every ten places, one for each part, and reads of ten bases over them, one for each line item."""
+    part = read(spark, d, "part").select("p_partkey", (F.col("p_size") % 25).cast("string").alias("chrom"))
+    calls = part.select("chrom", (F.col("p_partkey") * 10).alias("pos"), letter(F.col("p_partkey") + 1).alias("alt"), F.array(F.lit("PASS")).alias("filter"))
+    line = read(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_suppkey", "l_linenumber", "l_linestatus", "l_quantity", "l_discount")
+    n, k = F.col("l_linenumber"), F.col("l_orderkey")
+    piece = lambda op, size: F.struct(F.lit(op).alias("op"), F.lit(size).alias("len"))
+    cigar = F.when(k % 10 == 0, F.array(piece(4, 2), piece(0, 8))).when(k % 10 == 1, F.array(piece(0, 5), piece(1, 1), piece(0, 4))).when(k % 10 == 2, F.array(piece(0, 5), piece(2, 1), piece(0, 5))).otherwise(F.array(piece(0, 10)))
+    start = F.col("l_partkey") * 10 - 1 - n
+    quality = lambda q: F.repeat(F.chr(q + 33), F.lit(5))
+    flags = F.lit(1) + F.when(F.col("l_discount") > 0.02, 2).otherwise(0) + F.when(F.col("l_linestatus") == "F", 16).otherwise(0) + F.when(F.col("l_suppkey") % 5 == 0, 256).otherwise(0) + F.when(k % 17 == 0, 1024).otherwise(0)
+    rows = line.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        "chrom", start.alias("start"), F.col("l_suppkey").cast("string").alias("read_name"), flags.alias("flag"), k.alias("mapq"), cigar.alias("cigar"), (start + F.when(n % 2 == 0, 0).otherwise(30)).alias("mate_start"),
+        F.repeat(letter(F.col("l_partkey") + F.when(n % 3 == 0, 1).otherwise(0)), F.lit(10)).alias("seq"), F.concat(quality(F.least(F.col("l_quantity").cast("int"), F.lit(40))), quality(n + 8)).alias("qual"), (k % 6).alias("mutations"),
+    )
+    return calls, rows
+
+
+@query(f"""WITH c AS (SELECT p_partkey, CAST(p_size % 25 AS VARCHAR) AS chrom, p_partkey * 10 AS pos, substr('ACGT', CAST(1 + (p_partkey + 1) % 4 AS INT), 1) AS alt FROM part),
+l AS (SELECT chrom, pos, alt, l_suppkey AS name, l_orderkey AS k, l_linenumber AS n, l_orderkey % 10 AS kind, least(CAST(l_quantity AS INT), 40) AS q, l_discount > 0.02 AS proper, l_linestatus <> 'F' AS plus, l_suppkey % 5 = 0 AS secondary,
+  substr('ACGT', CAST(1 + (l_partkey + CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE 0 END) % 4 AS INT), 1) AS base, l_linenumber % 2 = 0 AS overlapping FROM lineitem JOIN c ON l_partkey = p_partkey WHERE l_orderkey % 17 <> 0),
+a AS (SELECT *, CASE WHEN kind = 0 THEN n + 2 WHEN kind = 1 AND n >= 5 THEN n + 1 WHEN kind = 2 AND n >= 5 THEN n - 1 ELSE n END AS qpos FROM l WHERE NOT (kind IN (1, 2) AND n = 4) AND NOT (kind = 2 AND n = 5)),
+o AS (SELECT *, CASE WHEN qpos < 5 THEN q ELSE n + 8 END AS bq FROM a WHERE CASE WHEN qpos < 5 THEN q ELSE n + 8 END >= 10),
+w AS (SELECT *, count(*) OVER (PARTITION BY chrom, pos, name) AS rows_of_name, count(*) OVER v AS m, min(base) OVER v AS lo, max(base) OVER v AS hi, row_number() OVER (v ORDER BY bq DESC, base, qpos, 2 * proper::INT + 16 * (NOT plus)::INT + 256 * secondary::INT, k) AS place_of FROM o WINDOW v AS (PARTITION BY chrom, pos, name, overlapping)),
+r AS (SELECT *, base = alt AS mutated, proper AND kind > 2 AND q >= 10 AND n > 1 AND k % 6 < 4 AS perfect, CASE WHEN qpos <= 3 THEN 'start' WHEN qpos <= 6 THEN 'middle' ELSE 'end' END AS place FROM w WHERE rows_of_name = 1 OR NOT overlapping OR m = 1 OR (place_of = 1 AND lo = hi)),
+{COUNTS}, j AS (WITH {JUDGED.replace("SELECT chrom, pos, mmp,", "SELECT chrom, pos, mmp, n_mut, n_ref, n_perfect,")})
+SELECT c.chrom, c.pos, mmp, n_mut, n_ref, n_perfect, CASE WHEN j.pos IS NULL THEN 'perfmnad_perfmnaf' WHEN codes = '' THEN 'PASS' ELSE codes END AS filter FROM c LEFT JOIN j ON j.chrom = c.chrom AND j.pos = c.pos""")
+def q_read_support(spark, d):
+    """Reads over calls, flags, mates, perfect reads, counts, codes and filter in one plan."""
+    out = reads.filter_by_read_support(*short_reads(spark, d))
+    return out.select("chrom", "pos", "mmp", "n_mut", "n_ref", "n_perfect", F.array_join("filter", "_").alias("filter"))
+
+
+# Merge with RNA rows
+
+
+@query(f"""{SIDES}, fresh AS (SELECT r.* FROM r WHERE pos % 2 = 0 AND NOT EXISTS (SELECT 1 FROM l WHERE l.ok AND l.chrom = r.chrom AND l.pos = r.pos)), o AS (SELECT r.chrom, r.pos FROM r JOIN l ON r.chrom = l.chrom AND r.pos = l.pos WHERE r.ok AND l.ok),
+j AS (SELECT coalesce(l.chrom, r.chrom) AS chrom, coalesce(l.pos, r.pos) AS pos, l.chrom IS NOT NULL AS hd, coalesce(l.ok, false) AS lok, r.chrom IS NOT NULL AS hr, coalesce(r.ok, false) AS rok, n.chrom IS NOT NULL AS hn, o.chrom IS NOT NULL AS in_both,
+    coalesce(l.germ, r.germ) AS germ, coalesce(l.som, r.som) AS som, coalesce(l.edit, r.edit) AS edit
+  FROM l FULL JOIN r ON r.chrom = l.chrom AND r.pos = l.pos LEFT JOIN fresh n ON n.chrom = r.chrom AND n.pos = r.pos LEFT JOIN o ON o.chrom = r.chrom AND o.pos = r.pos),
+x AS (SELECT *, hn AND rok AND NOT lok AS win, hn AND NOT rok AND NOT lok AS an, hr AND NOT rok AND NOT lok AS ar FROM j),
+y AS (SELECT *, CASE WHEN win OR (hd AND lok) THEN 'PASS' ELSE nullif(concat_ws(';', CASE WHEN hd THEN 'dtmnad' END, CASE WHEN ar THEN 'rtmnad' END, CASE WHEN an THEN 'rtmnbq' END), '') END AS filter FROM x)
+SELECT chrom, pos, filter, concat_ws(',', CASE WHEN germ THEN 'GERM' END, CASE WHEN som THEN 'SOM' END, CASE WHEN edit THEN 'TUM_EDIT' END) AS types, CASE WHEN win OR NOT hd THEN 'RNA' WHEN in_both OR ar THEN 'DNA,RNA' ELSE 'DNA' END AS origin FROM y WHERE filter IS NOT NULL""")
+def q_merge_with_rna(spark, d):
+    left, right = sides(spark, d)
+    full = lambda df, o: df.withColumns({"origin": F.array(F.lit(o)), "mod_filters": F.array().cast("array<string>")})
+    apart = compare.non_overlap(right.withColumn("filter", F.array(F.lit("PASS"))), merge.passing(left)).where("pos % 2 = 0").select("chrom", "pos")
+    only = right.join(apart, ["chrom", "pos"], "left_semi").withColumn("filter", F.array(F.when(F.col("pos") % 5 == 0, "rtmnbq").otherwise("PASS")))
+    out = merge.merge_rna_and_dna(full(left, "DNA"), full(right, "RNA"), compare.overlap(right, left), full(only, "RNA"))
+    return out.select("chrom", "pos", *[F.array_join(F.array_sort(c), s).alias(c) for c, s in (("filter", ";"), ("types", ","), ("origin", ","))])
