@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from strandline.llm import classifiers, decontamination, embedding_dedup, license_scan, near_dup, periodic_runs, sentencepiece_spans, substring_dedup, suffix_array_dedup, url_filter
+from strandline.llm import classifiers, conversation_repair, decontamination, embedding_dedup, license_scan, near_dup, periodic_runs, sentencepiece_spans, substring_dedup, suffix_array_dedup, url_filter
 from strandline.llm.common import table
 
 MODEL = "piece_bpe_32k.model"
@@ -57,6 +57,10 @@ def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("hits")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repaired(table(spark, sf_dir, "conversations"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.planted(table(spark, sf_dir, "documents"))))
 
@@ -74,6 +78,7 @@ def queries() -> dict:
         "op6_suffix_array_dedup": op6_suffix_array_dedup,
         "op5_sentencepiece": op5_sentencepiece,
         "op7_license_scans": op7_license_scans,
+        "op11_conversation_repair": op11_conversation_repair,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
