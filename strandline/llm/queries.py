@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from strandline.llm import classifiers, conversation_repair, decontamination, embedding_dedup, license_scan, near_dup, periodic_runs, sentencepiece_spans, substring_dedup, suffix_array_dedup, url_filter
+from strandline.llm import classifiers, conversation_repair, decontamination, embedding_dedup, exact_topk, license_scan, near_dup, periodic_runs, sentencepiece_spans, substring_dedup, suffix_array_dedup, url_filter
 from strandline.llm.common import table
 
 MODEL = "piece_bpe_32k.model"
@@ -61,6 +61,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repaired(table(spark, sf_dir, "conversations"))
 
 
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.planted(table(spark, sf_dir, "documents"))))
 
@@ -79,6 +84,7 @@ def queries() -> dict:
         "op5_sentencepiece": op5_sentencepiece,
         "op7_license_scans": op7_license_scans,
         "op11_conversation_repair": op11_conversation_repair,
+        "op12_exact_topk": op12_exact_topk,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
