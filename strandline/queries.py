@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from strandline.functions import genotype, strings
 from strandline.functions.rounding import hundredths_sql, ratio2
-from strandline.operators import calling, compare, genes, intervals, merge, realign, reads, score, support
+from strandline.operators import calling, compare, genes, intervals, merge, read_evidence, realign, reads, score, support
 from strandline.operators.calling import BASES
+from strandline.sources import reference
 
 #: Lower minimums than the presets': a position has about thirty reads over three samples.
 LOW = {"min_depth": 4, "min_alt": 3, "min_bq": 20, "min_mqa": 25, "min_mmq": 30}
@@ -333,7 +334,7 @@ def q_final_mod_type(spark, d):
 
 @query(None)
 def q_filter_by_support(spark, d):
-    """Pre-filter, rules and final type together, with the DNA preset at lower minimums."""
+    """Pre-filter, rules and final type together, with the DNA preset qp lower minimums."""
     r = support.judge(calling.records(obs(spark, d)), DNA_LOW)
     return r.select("chrom", "pos", "final_type", "ss", "somatic", F.array_join("filter", ";").alias("filter"), F.array_join("origin", ",").alias("origin"), F.array_join(F.transform("mods", lambda m: F.concat(m["type"], F.lit(":"), m["src"], F.lit(">"), m["tgt"])), ",").alias("mods"))
 
@@ -465,8 +466,8 @@ def q_perfect_reads(spark, d):
 @query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 90 < 40 THEN o_orderkey % 90 WHEN o_orderkey % 90 < 45 THEN NULL ELSE o_orderkey % 90 - 5 END AS qpos FROM orders")
 def q_cigar_walk(spark, d):
     piece = lambda o, k: F.struct(F.lit(o).alias("op"), F.lit(k).alias("len"))
-    at = reads.position_in_read(F.array(piece(0, 40), piece(2, 5), piece(0, 60)), (F.col("o_orderkey") % 90).cast("int"))
-    return read(spark, d, "orders").select(F.col("o_orderkey").alias("k"), at["qpos"].cast("long").alias("qpos"))
+    qp = reads.position_in_read(F.array(piece(0, 40), piece(2, 5), piece(0, 60)), (F.col("o_orderkey") % 90).cast("int"))
+    return read(spark, d, "orders").select(F.col("o_orderkey").alias("k"), qp["qpos"].cast("long").alias("qpos"))
 
 
 @query("""SELECT p_size % 25 AS chrom, p_partkey AS pos, substr('ACGT', CAST(1 + p_partkey % 4 AS INT), 1) AS base, lag_b.base AS pn, lead_b.base AS nn FROM part p
@@ -673,8 +674,8 @@ def q_tissue_and_flag_codes(spark, d):
 
 def unsure(spark, d) -> DataFrame:
     """Observations of which some have no reference base or another one."""
-    at, n = F.col("pos"), F.col("line")
-    return obs(spark, d).withColumn("ref", F.when((at % 11 == 0) & (n == 2), "N").when((at % 7 == 0) & (n == 4), "G").otherwise(F.col("ref")))
+    qp, n = F.col("pos"), F.col("line")
+    return obs(spark, d).withColumn("ref", F.when((qp % 11 == 0) & (n == 2), "N").when((qp % 7 == 0) & (n == 4), "G").otherwise(F.col("ref")))
 
 
 UNSURE = f"""{CALLS}, u AS (SELECT chrom, pos, CASE WHEN pos % 11 = 0 AND line = 2 THEN 'N' WHEN pos % 7 = 0 AND line = 4 THEN 'G' ELSE ref END AS ref FROM obs),
@@ -764,6 +765,105 @@ def q_read_support(spark, d):
     return out.select("chrom", "pos", "mmp", "n_mut", "n_ref", "n_perfect", F.array_join("filter", "_").alias("filter"))
 
 
+# Read evidence: mismatches against a packed reference, known variants, origins and transcript loci
+
+
+def evidence_calls(spark, d) -> DataFrame:
+    """A call for each part, fifty bases into a hundred of its own: somatic in DNA, RNA or both, an edit of tumor RNA, or (one in four, six bases before) a known variant."""
+    p, b = F.col("p_partkey"), lambda k: letter(F.col("p_partkey") + k)
+    mod = lambda kind, tgt: F.array(F.struct(kind.alias("type"), b(0).alias("src"), tgt.alias("tgt")))
+    edit = p % 8 < 2
+    origin = F.when(edit | (p % 3 == 2), F.array(F.lit("RNA"))).when(p % 3 == 1, F.array(F.lit("DNA"))).otherwise(F.array(F.lit("DNA"), F.lit("RNA")))
+    base = read(spark, d, "part").select("p_partkey", (F.col("p_size") % 25).cast("string").alias("chrom"), b(0).alias("ref"), F.array(b(0), b(1)).alias("alleles"), F.array(F.lit("PASS")).alias("filter"))
+    judged = base.select("*", origin.alias("origin"), mod(F.when(edit, "TUM_EDIT").otherwise("SOM"), b(1)).alias("mods"), F.when(edit, 4).otherwise(2).alias("ss"), (p * 100 + 50).alias("pos"))
+    known = base.where(p % 4 == 1).select("*", F.array(F.lit("DNA")).alias("origin"), mod(F.lit("GERM"), b(2)).alias("mods"), F.lit(1).alias("ss"), (p * 100 + 42).alias("pos"))
+    return judged.unionByName(known)
+
+
+def evidence_reads(spark, d) -> DataFrame:
+    """A read of twenty bases for each line item: up to five mismatches qp its start, the call's base six to twelve bases in, some clipped."""
+    line = read(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_suppkey", "l_linenumber", "l_linestatus", "l_quantity", "l_discount")
+    j = line.join(read(spark, d, "part").select("p_partkey", (F.col("p_size") % 25).cast("string").alias("chrom")), F.col("l_partkey") == F.col("p_partkey"))
+    n, k, qp, m = F.col("l_linenumber").cast("int"), F.col("l_orderkey"), (F.col("l_linenumber") + 5).cast("int"), (F.col("l_orderkey") % 6).cast("int")
+    own = lambda s: letter(F.col("l_partkey") + s)
+    base = F.when(k % 7 == 0, own(2)).when(n % 3 == 0, own(1)).otherwise(own(0))
+    seq = F.concat(F.repeat(own(2), m), F.repeat(own(0), qp - m), base, F.repeat(own(0), F.lit(19) - qp))
+    clip = F.when(k % 10 == 0, 1).when(k % 10 == 1, 3).otherwise(0).cast("int")
+    piece = lambda op, size: F.struct(F.lit(op).alias("op"), size.cast("int").alias("len"))
+    start = F.col("l_partkey") * 100 + 49 - qp
+    quality = lambda q: F.repeat(F.chr(q + 33), F.lit(10))
+    flags = F.lit(1) + F.when(F.col("l_discount") > 0.02, 2).otherwise(0) + F.when(F.col("l_linestatus") == "F", 16).otherwise(0) + F.when(F.col("l_suppkey") % 5 == 0, 256).otherwise(0) + F.when(k % 17 == 0, 1024).otherwise(0)
+    return j.select(
+        F.when(F.col("l_suppkey") % 2 == 0, "DNA_TUMOR").otherwise("RNA_TUMOR").alias("sample"), "chrom", (start + clip).alias("start"), F.col("l_suppkey").cast("string").alias("read_name"), flags.alias("flag"), F.when(k % 13 == 0, -k).otherwise(k + 10).cast("int").alias("mapq"),
+        F.filter(F.array(piece(4, clip), piece(0, F.lit(20) - clip)), lambda c: c["len"] > 0).alias("cigar"), (start + F.when(n % 2 == 0, 0).otherwise(300)).alias("mate_start"), seq.alias("seq"),
+        F.concat(quality(F.least(F.col("l_quantity").cast("int"), F.lit(40))), quality(n + 8)).alias("qual"), F.col("l_partkey").alias("part"),
+    )
+
+
+def evidence_reference(spark, d) -> DataFrame:
+    part = read(spark, d, "part").select((F.col("p_size") % 25).cast("string").alias("chrom"), (F.col("p_partkey") * 100).alias("begin"), F.repeat(letter(F.col("p_partkey")), F.lit(100)).alias("value"))
+    return reference.packed(part)
+
+
+def evidence_sql(lanes: str, forward: str = "true") -> str:
+    """The judged lanes of evidence_calls over evidence_reads; ``lanes`` says which lanes a part p has, ``forward`` which reads lie on the genome's strand."""
+    return f"""WITH c AS (SELECT p_partkey AS p, CAST(p_size % 25 AS VARCHAR) AS chrom, p_partkey % 8 < 2 AS edit FROM part),
+lanes AS ({lanes}),
+l AS (SELECT l_partkey AS p, CASE WHEN l_suppkey % 2 = 0 THEN 'DNA' ELSE 'RNA' END AS lane, l_suppkey AS name, l_orderkey AS k, CAST(l_linenumber AS INT) AS n, CAST(l_linenumber AS INT) + 5 AS qp, l_orderkey % 6 AS m,
+  CASE WHEN l_orderkey % 10 = 0 THEN 1 WHEN l_orderkey % 10 = 1 THEN 3 ELSE 0 END AS clip, least(CAST(l_quantity AS INT), 40) AS q, l_discount > 0.02 AS proper, l_linestatus <> 'F' AS plus, l_suppkey % 5 = 0 AS secondary, l_linenumber % 3 = 0 AS mutated, l_linenumber % 2 = 0 AS overlapping
+  FROM lineitem WHERE l_orderkey % 17 <> 0 AND l_orderkey % 7 <> 0),
+o AS (SELECT lanes.*, l.* EXCLUDE (p, lane), CASE WHEN qp < 10 THEN q ELSE n + 8 END AS bq, CASE WHEN k % 13 = 0 THEN -k ELSE k + 10 END AS mapq FROM lanes JOIN l ON l.p = lanes.p AND l.lane = lanes.lane WHERE l.lane = 'DNA' OR NOT secondary),
+w AS (SELECT *, count(*) OVER (PARTITION BY p, lane, name) AS of_name, count(*) OVER v AS size, min(mutated::INT) OVER v AS lo, max(mutated::INT) OVER v AS hi, max(bq) OVER v AS top, row_number() OVER (v ORDER BY bq DESC, mutated, qp, 2 * proper::INT + 16 * (NOT plus)::INT + 256 * secondary::INT, mapq) AS rank FROM o WINDOW v AS (PARTITION BY p, lane, name, overlapping)),
+x AS (SELECT *, max(bq) FILTER (rank > 1) OVER (PARTITION BY p, lane, name, overlapping) AS next FROM w),
+f AS (SELECT *, mapq >= 10 AND bq >= 10 AS good, CASE WHEN qp <= 6 THEN 'start' WHEN qp <= 13 THEN 'middle' ELSE 'end' END AS place,
+  (lane = 'RNA' OR proper) AND q >= 10 AND n > 1 AND clip < 2 AND (SELECT count(*) FROM (SELECT unnest(range(6)) AS i) WHERE i < m AND i >= clip AND NOT (p % 4 = 1 AND i = qp - 8) AND NOT (edit AND p % 4 = 0 AND {forward})) + 1 < 4 AS clean
+  FROM x WHERE of_name = 1 OR NOT overlapping OR size = 1 OR (rank = 1 AND (lo = hi OR (top >= 10 AND next < 10)))),
+s AS (SELECT p, lane, count(*) FILTER (mutated) AS n_mut, count(*) FILTER (NOT mutated) AS n_ref, count(*) FILTER (mutated AND good) AS n_good, count(*) FILTER (mutated AND secondary) AS n_mut2, count(*) FILTER (NOT mutated AND secondary) AS n_ref2,
+  count(*) FILTER (mutated AND good AND clean) AS n_perfect, count(*) FILTER (mutated AND good AND clean AND plus) AS p_plus, count(*) FILTER (mutated AND good AND place = 'start') AS n_start, count(*) FILTER (mutated AND good AND place = 'end') AS n_end,
+  count(*) FILTER (mutated AND good AND clean AND place = 'start') AS p_start, count(*) FILTER (mutated AND good AND clean AND place = 'end') AS p_end FROM f GROUP BY ALL),
+j AS (SELECT lanes.p, lanes.chrom, lanes.lane, coalesce(n_mut, 0) AS n_mut, coalesce(n_ref, 0) AS n_ref, coalesce(n_perfect, 0) AS n_perfect, coalesce(n_mut2, 0) AS n_mut2, coalesce(n_ref2, 0) AS n_ref2, concat_ws(',',
+  CASE WHEN n_mut >= 4 AND {hundredths_sql('n_mut2', 'n_mut')} >= 90 THEN 'mxmmp' END,
+  CASE WHEN n_good >= 4 AND greatest({hundredths_sql('n_start', 'n_good')}, {hundredths_sql('n_end', 'n_good')}) >= 95 THEN 'pbias' END,
+  CASE WHEN coalesce(n_perfect, 0) < 4 THEN 'perfmnad' END, CASE WHEN coalesce(n_mut + n_ref, 0) > 0 AND {hundredths_sql('n_perfect', 'n_mut + n_ref')} < 10 THEN 'perfmnaf' END,
+  CASE WHEN n_perfect >= 4 AND greatest({hundredths_sql('p_start', 'n_perfect')}, {hundredths_sql('p_end', 'n_perfect')}) >= 95 THEN 'perfpbias' END,
+  CASE WHEN n_perfect >= 4 AND ({hundredths_sql('p_plus', 'n_perfect')} > 90 OR {hundredths_sql('p_plus', 'n_perfect')} < 10) THEN 'perfsbias' END) AS codes FROM lanes LEFT JOIN s ON s.p = lanes.p AND s.lane = lanes.lane)"""
+
+
+LANES = "SELECT p, chrom, edit, 'DNA' AS lane FROM c WHERE NOT edit AND p % 3 < 2 UNION ALL SELECT p, chrom, edit, 'RNA' FROM c WHERE edit OR p % 3 <> 1"
+
+
+@query(f"""{evidence_sql(LANES)}, e AS (SELECT p, chrom, bool_or(lane = 'DNA' AND codes = '') AS dna, bool_or(codes = '') AS ok FROM j GROUP BY ALL),
+r AS (SELECT j.p, code FROM j, unnest(string_split(codes, ',')) AS t(code) WHERE code <> '')
+SELECT e.chrom, e.p * 100 + 50 AS pos, CASE WHEN ok THEN 'PASS' ELSE (SELECT string_agg(DISTINCT code, '_' ORDER BY code) FROM r WHERE r.p = e.p) END AS filter,
+  (SELECT coalesce({hundredths_sql('n_mut2', 'n_mut')}, 0) FROM j WHERE j.p = e.p AND j.lane = 'DNA') AS dt_mmp, substr('ACGT', CAST(1 + e.p % 4 AS INT), 1) AS pn FROM e
+UNION ALL SELECT chrom, p * 100 + 42, 'PASS', NULL, NULL FROM c WHERE p % 4 = 1""")
+def q_read_evidence(spark, d):
+    """Reads to filters with mismatches against the reference, known variants and expected edits left out of them, DNA before RNA."""
+    out = read_evidence.filter_by_reads(evidence_calls(spark, d), evidence_reads(spark, d).drop("part"), evidence_reference(spark, d))
+    share = F.get(F.col("mmp")["DNA_TUMOR"], 1)
+    return out.select("chrom", "pos", F.array_join("filter", "_").alias("filter"), F.round(share * 100).cast("long").alias("dt_mmp"), "pn")
+
+
+@query(f"""{evidence_sql("SELECT p, chrom, edit, 'RNA' AS lane FROM c WHERE edit OR p % 3 <> 1", "name % 3 <> 0")}
+SELECT chrom, p * 100 + 50 AS pos, n_mut, n_ref, n_perfect, codes FROM j""")
+def q_read_loci(spark, d):
+    """RNA lanes over two transcripts: reads and reference of the one lie on the other strand, those of the other thirty bases on; both are folded into one verdict."""
+    calls = evidence_calls(spark, d).where(F.array_contains("origin", "RNA") | (F.col("ss") == 1))
+    own = (F.floor(F.when(F.col("ss") == 1, F.col("pos") - 42).otherwise(F.col("pos") - 50) / 100)).cast("string")
+    off = F.when(F.col("ss") == 1, 42).otherwise(50).cast("long")
+    calls = calls.withColumns({"origin": F.array(F.lit("RNA")), "tx_names": F.array(F.concat(F.lit("M"), own), F.concat(F.lit("P"), own)), "tx_coords": F.array(off, off + 30), "tx_strands": F.array(F.lit("-"), F.lit("+"))})
+    minus = F.col("l_minus")
+    part = F.col("part").cast("string")
+    at = lambda c: F.col(c) - F.col("part") * 100 + F.when(minus, 0).otherwise(30)
+    rows = evidence_reads(spark, d).where("sample = 'RNA_TUMOR'").withColumn("l_minus", F.col("read_name").cast("long") % 3 == 0)
+    rows = rows.withColumns({"chrom": F.concat(F.when(minus, "M").otherwise("P"), part), "start": at("start"), "mate_start": at("mate_start"), "seq": F.when(minus, strings.reverse_complement(F.col("seq"))).otherwise(F.col("seq"))})
+    letters = read(spark, d, "part").select(F.col("p_partkey").cast("string").alias("k"), letter(F.col("p_partkey")).alias("b"))
+    ref = letters.select(F.concat(F.lit("M"), "k").alias("chrom"), F.lit(0).alias("begin"), F.repeat(strings.reverse_complement(F.col("b")), F.lit(100)).alias("value"))
+    ref = ref.union(letters.select(F.concat(F.lit("P"), "k"), F.lit(30), F.repeat("b", F.lit(100))))
+    each = read_evidence.lane_evidence(calls, rows.drop("part", "l_minus"), reference.packed(ref), read_evidence.germline_bases(calls))
+    return each.select(F.col("call_chrom").alias("chrom"), F.col("call_pos").alias("pos"), "n_mut", "n_ref", "n_perfect", F.array_join("codes", ",").alias("codes"))
+
+
 # Merge with RNA rows
 
 

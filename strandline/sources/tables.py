@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.sources import reference
+
 BLAST8 = "query string, subject string, identity double, length int, mismatches int, gaps int, q_start int, q_end int, s_start long, s_end long, evalue double, bitscore double"
 #: The 21 columns of PSL.
 PSL = (
@@ -50,14 +52,9 @@ def chrom_size(fai: DataFrame, chrom: str) -> int:
     return row.n if row.n is not None else -1
 
 
-def read_reference(spark: SparkSession, path) -> DataFrame:
-    """Reference bases (chrom, pos, base) of FASTA text, line by line: a line's place is the length of the lines before it in its sequence."""
-    lines = spark.read.text(path).select(F.trim("value").alias("value"), F.col("_metadata.file_path").alias("file"), F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"))
-    named = lines.withColumn("chrom", F.last(F.when(F.col("value").startswith(">"), F.regexp_extract("value", r"^>\s*(\S+)", 1)), ignorenulls=True).over(Window.partitionBy("file").orderBy("at")))
-    bases = named.where("value <> '' AND NOT startswith(value, '>')").withColumn("n", F.length("value"))
-    begin = F.sum("n").over(Window.partitionBy("file", "chrom").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
-    placed = bases.withColumn("begin", F.coalesce(begin, F.lit(0)))
-    return placed.select("chrom", "begin", F.posexplode(F.split(F.upper("value"), ""))).where("col <> ''").select("chrom", (F.col("begin") + F.col("pos") + 1).cast("long").alias("pos"), F.col("col").alias("base"))
+def read_reference(spark: SparkSession, path, fai: DataFrame | None = None) -> DataFrame:
+    """Reference bases (chrom, pos, base) of FASTA text, one row for each base; joins take the packed rows of ``reference.read_packed_reference``."""
+    return reference.bases_of(reference.read_packed_reference(spark, path, fai))
 
 
 def read_hits(spark: SparkSession, path, form: str = "blast") -> DataFrame:
