@@ -805,7 +805,7 @@ def evidence_reference(spark, d) -> DataFrame:
     return reference.packed(part)
 
 
-def evidence_sql(lanes: str, forward: str = "true") -> str:
+def lane_sql(lanes: str, forward: str = "true") -> str:
     """The judged lanes of evidence_calls over evidence_reads; ``lanes`` says which lanes a part p has, ``forward`` which reads lie on the genome's strand."""
     return f"""WITH c AS (SELECT p_partkey AS p, CAST(p_size % 25 AS VARCHAR) AS chrom, p_partkey % 8 < 2 AS edit FROM part),
 lanes AS ({lanes}),
@@ -832,7 +832,7 @@ j AS (SELECT lanes.p, lanes.chrom, lanes.lane, coalesce(n_mut, 0) AS n_mut, coal
 LANES = "SELECT p, chrom, edit, 'DNA' AS lane FROM c WHERE NOT edit AND p % 3 < 2 UNION ALL SELECT p, chrom, edit, 'RNA' FROM c WHERE edit OR p % 3 <> 1"
 
 
-@query(f"""{evidence_sql(LANES)}, e AS (SELECT p, chrom, bool_or(lane = 'DNA' AND codes = '') AS dna, bool_or(codes = '') AS ok FROM j GROUP BY ALL),
+@query(f"""{lane_sql(LANES)}, e AS (SELECT p, chrom, bool_or(lane = 'DNA' AND codes = '') AS dna, bool_or(codes = '') AS ok FROM j GROUP BY ALL),
 r AS (SELECT j.p, code FROM j, unnest(string_split(codes, ',')) AS t(code) WHERE code <> '')
 SELECT e.chrom, e.p * 100 + 50 AS pos, CASE WHEN ok THEN 'PASS' ELSE (SELECT string_agg(DISTINCT code, '_' ORDER BY code) FROM r WHERE r.p = e.p) END AS filter,
   (SELECT coalesce({hundredths_sql('n_mut2', 'n_mut')}, 0) FROM j WHERE j.p = e.p AND j.lane = 'DNA') AS dt_mmp, substr('ACGT', CAST(1 + e.p % 4 AS INT), 1) AS pn FROM e
@@ -844,7 +844,7 @@ def q_read_evidence(spark, d):
     return out.select("chrom", "pos", F.array_join("filter", "_").alias("filter"), F.round(share * 100).cast("long").alias("dt_mmp"), "pn")
 
 
-@query(f"""{evidence_sql("SELECT p, chrom, edit, 'RNA' AS lane FROM c WHERE edit OR p % 3 <> 1", "name % 3 <> 0")}
+@query(f"""{lane_sql("SELECT p, chrom, edit, 'RNA' AS lane FROM c WHERE edit OR p % 3 <> 1", "name % 3 <> 0")}
 SELECT chrom, p * 100 + 50 AS pos, n_mut, n_ref, n_perfect, codes FROM j""")
 def q_read_loci(spark, d):
     """RNA lanes over two transcripts: reads and reference of the one lie on the other strand, those of the other thirty bases on; both are folded into one verdict."""
