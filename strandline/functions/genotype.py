@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strandline.functions.rounding import hundredths
+from strandline.functions.rounding import hundredths, hundredths_text, let
 
 MITO = ["M", "MT", "chrM", "chrMT"]
 SEX_Y = ["Y", "chrY"]
@@ -57,6 +57,17 @@ def recomputed(chrom: Column, depths: Column, min_depth: int = 4, min_pct: float
     return F.when(chrom.isin(SEX_Y), single_alt(*args)).when(chrom.isin(MITO), mitochondrial(*args)).otherwise(diploid(*args))
 
 
+def recomputed_text(chrom: str, depths: str, min_depth: int = 4, min_pct: float = 0.10) -> str:
+    """``recomputed`` as SQL text."""
+    quoted = lambda names: ", ".join(f"'{n}'" for n in names)
+    good = f"transform({depths}, d -> d >= {min_depth} AND coalesce({hundredths_text('d', f'aggregate({depths}, 0L, (a, x) -> a + x)')}, 0L) >= {round(min_pct * 100)})"
+    ranked = f"array_sort(transform({depths}, (d, i) -> named_struct('d', -d, 'i', i)))"
+    alt = let("b", "get(filter(g.r, x -> x.i > 0), 0)", "array(if(get(g.ok, b.i), b.i, 0))")
+    every = let("k", "filter(transform(g.ok, (o, i) -> if(o, i, null)), i -> i IS NOT NULL)", "if(size(k) > 0, k, array(0))")
+    two = "array_sort(array(get(g.r, 0).i, if(get(g.ok, get(g.r, 1).i), get(g.r, 1).i, get(g.r, 0).i)))"
+    return let("g", f"named_struct('r', {ranked}, 'ok', {good})", f"CASE WHEN {chrom} IN ({quoted(SEX_Y)}) THEN {alt} WHEN {chrom} IN ({quoted(MITO)}) THEN {every} ELSE {two} END")
+
+
 def text(gt: Column) -> Column:
     return F.array_join(F.transform(gt, lambda g: g.cast("string")), "/")
 

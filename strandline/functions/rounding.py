@@ -24,6 +24,20 @@ def hundredths(c: Column, t: Column) -> Column:
     return F.when(tie & k.isin(TIES_UP), div(k + 1, F.lit(2))).when(tie & (k < 200), div(k - 1, F.lit(2))).otherwise(div(200 * c + t, 2 * t))
 
 
+def let(name: str, value: str, body: str) -> str:
+    """SQL text of ``body`` with a name for a value that it reads more than once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def hundredths_text(c: str, t: str) -> str:
+    """``hundredths`` as SQL text."""
+    ups = "".join("1" if k in TIES_UP else "0" for k in range(200))
+    k = "(200L * z.c div z.t)"
+    tie = f"200L * z.c % z.t = 0 AND {k} % 2 = 1"
+    body = f"CASE WHEN {tie} AND substring('{ups}', cast(least({k}, 200L) + 1 AS int), 1) = '1' THEN ({k} + 1) div 2 WHEN {tie} AND {k} < 200 THEN ({k} - 1) div 2 ELSE (200L * z.c + z.t) div (2L * z.t) END"
+    return let("z", f"named_struct('c', cast({c} AS bigint), 't', nullif(cast({t} AS bigint), 0L))", body)
+
+
 def ratio2(c: Column, t: Column) -> Column:
     return hundredths(c, t) / 100.0
 

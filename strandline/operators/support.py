@@ -5,13 +5,13 @@ Works on records: alleles, samples dn, rn, dt, rt (structs of per-allele arrays)
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field, fields, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.functions.genotype import recomputed
-from strandline.functions.rounding import floor2, hundredths
+from strandline.functions.genotype import recomputed_text
+from strandline.functions.rounding import floor2, hundredths_text, let
 from strandline.operators.calling import computed
 
 RNA_TYPES = ["NOR_EDIT", "RNA_NOR_VAR", "TUM_EDIT", "RNA_TUM_VAR"]
@@ -86,98 +86,109 @@ def error_fails(s: str, src: Column, tgt: Column, x: Limits, with_target: bool)
     return (errors >= x.min_error_depth) & (floor2(errors, F.col(f"{s}.dp")) > x.max_error_pct)
 
 
-def share_fails(s: str, tgt: Column, x: Limits) -> Column:
-    h = hundredths(at(s, "ad", tgt), F.col(f"{s}.dp"))
-    limit = x.min_alt_pct if x.purity == 1.0 else round(x.min_alt_pct / x.purity if s == "dn" else x.min_alt_pct * x.purity, 2)
-    return h < round(limit * 100)
-
-
-def full_rules(s: str, src: Column, tgt: Column, x: Limits) -> list[tuple[str, Column]]:
-    dp = F.col(f"{s}.dp")
-    return [
-        ("mndp", F.coalesce(dp, F.lit(0)) < x.min_depth), ("mxdp", dp >= x.max_depth), ("mnad", at(s, "ad", tgt) < x.min_alt), ("mnaf", share_fails(s, tgt, x)), ("mnbq", at(s, "bq", tgt) < x.min_bq),
-        ("mnmqa", at(s, "mqa", tgt) < x.min_mqa), ("mnmq", at(s, "mmq", tgt) < x.min_mmq), ("mxmq0", mq0_fails(s, tgt, x)), ("mxindel", F.col(f"{s}.ins") + F.col(f"{s}.del") >= x.max_indels),
-        ("sbias", strand_fails(s, src, tgt, x)), ("mxerr", error_fails(s, src, tgt, x, with_target=False)),
-    ]
-
-
-def context_rules(s: str, src: Column, tgt: Column, x: Limits) -> list[tuple[str, Column]]:
-    dp = F.col(f"{s}.dp")
-    return [("mndp", F.coalesce(dp, F.lit(0)) < x.min_depth), ("mxdp", dp >= x.max_depth), ("mxerr", error_fails(s, src, tgt, x, with_target=True))]
-
-
-def rule_codes(mod: Column, p: Preset) -> Column:
-    """Codes that fail one modification (a struct of type, src, tgt)."""
-    kind, src, tgt = mod["type"], mod["src"], mod["tgt"]
-    rules: list[tuple[Column, str, Column]] = []
-
-    def add(when: Column, s: str, pairs: list[tuple[str, Column]]) -> None:
-        rules.extend((when, s + suffix, test) for suffix, test in pairs)
-
-    germ, som = kind == "GERM", kind == "SOM"
-    nor, tum = kind.isin("NOR_EDIT", "RNA_NOR_VAR"), kind.isin("TUM_EDIT", "RNA_TUM_VAR")
-    add(germ, "dn", full_rules("dn", src, tgt, p.dn))
-    add(som, "dt", full_rules("dt", src, tgt, p.dt))
-    add(som, "dn", context_rules("dn", src, tgt, p.dn))
-    add(kind.isin("NOR_EDIT", "TUM_EDIT"), "dn", context_rules("dn", src, tgt, p.dn))
-    add(kind == "TUM_EDIT", "dt", context_rules("dt", src, tgt, p.dt))
-    if p.rna:
-        add(germ & F.col("rn").isNotNull(), "rn", full_rules("rn", src, tgt, p.rn))
-        add(nor, "rn", full_rules("rn", src, tgt, p.rn))
-        add(som & F.col("rt").isNotNull(), "rt", full_rules("rt", src, tgt, p.rt))
-        add(tum, "rt", full_rules("rt", src, tgt, p.rt))
-        if p.rn.min_depth > 0:
-            rules.append((germ, "dnacall", F.col("rn").isNull()))
-        if p.rt.min_depth > 0:
-            rules.append((som, "rtmndp", F.col("rt").isNull()))
-    else:
-        rules.append((kind.isin(RNA_TYPES), "rnacall", F.lit(True)))
-    indels = sum(F.coalesce(F.col(f"{s}.ins") + F.col(f"{s}.del"), F.lit(0)) for s in ("dn", "rn", "dt", "rt"))
-    rules.append((F.lit(True), "indel", indels >= p.dt.max_indels))
-    return F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(when & F.coalesce(test, F.lit(False)), F.lit(code)) for when, code, test in rules]))))
-
-
-def enough(s: str, allele: Column, p: Preset, either: bool = False) -> Column:
-    """An allele has the depth and share that a modification needs in a sample (either: one of them)."""
-    depth = F.coalesce(at(s, "ad", allele) >= p.mod_min_depth, F.lit(False))
-    share = F.coalesce(hundredths(at(s, "ad", allele), F.col(f"{s}.dp")) >= round(p.mod_min_pct * 100), F.lit(False))
-    return depth | share if either else depth & share
+# Rules as data: which sample is looked at for which type and how, the limits of each sample, and one fold that reads both.
+
+SAMPLES = ("dn", "rn", "dt", "rt")
+#: (type, sample, how): all tests, all tests where the sample is there, or depth and errors only (the target's reads are errors there).
+RULES = [("GERM", "dn", "all"), ("SOM", "dt", "all"), ("SOM", "dn", "context"), ("NOR_EDIT", "dn", "context"), ("TUM_EDIT", "dn", "context"), ("TUM_EDIT", "dt", "context")]
+RNA_RULES = [("GERM", "rn", "present"), ("NOR_EDIT", "rn", "all"), ("RNA_NOR_VAR", "rn", "all"), ("SOM", "rt", "present"), ("TUM_EDIT", "rt", "all"), ("RNA_TUM_VAR", "rt", "all")]
+SHARE = "(CASE WHEN {t} > 0 THEN floor(cast({c} AS double) / cast({t} AS double) * 100) / 100.0D ELSE 0.0D END)"
+#: Code, whether depth-and-errors rules have it, and its test: v.l holds the sample's limits, w its values, of target (t) and source (q).
+TESTS = [
+    ("mndp", True, "coalesce(w.dp, 0L) < v.l.min_depth"),
+    ("mxdp", True, "w.dp >= v.l.max_depth"),
+    ("mnad", False, "w.t.ad < v.l.min_alt"),
+    ("mnaf", False, hundredths_text("w.t.ad", "w.dp") + " < v.l.min_share"),
+    ("mnbq", False, "w.t.bq < v.l.min_bq"),
+    ("mnmqa", False, "w.t.mqa < v.l.min_mqa"),
+    ("mnmq", False, "w.t.mmq < v.l.min_mmq"),
+    ("mxmq0", False, f"w.t.ad > 0 AND {SHARE.format(c='w.t.mq0', t='w.t.ad')} > v.l.max_mq0_pct"),
+    ("mxindel", False, "w.indels >= v.l.max_indels"),
+    ("sbias", False, "w.t.ad >= v.l.min_strand_bias_depth AND (w.t.sb > v.l.max_strand_bias OR w.t.sb < 1.0D - v.l.max_strand_bias) AND NOT coalesce(w.q.ad >= v.l.min_strand_bias_depth AND ((w.t.sb = 0 AND w.q.sb = 0) OR (w.t.sb = 1 AND w.q.sb = 1)), false)"),
+    ("mxerr", True, f"w.errors >= v.l.min_error_depth AND {SHARE.format(c='w.errors', t='w.dp')} > v.l.max_error_pct"),
+]
+PER_ALLELE = ("ad", "bq", "mqa", "mmq", "mq0", "sb")
+NO_CODES = "cast(array() AS array<string>)"
+
+
+def limits_text(p: Preset) -> str:
+    """The limits of the four samples as an array of structs."""
+    rows = []
+    for s in SAMPLES:
+        x = getattr(p, s)
+        share = x.min_alt_pct if x.purity == 1.0 else round(x.min_alt_pct / x.purity if s == "dn" else x.min_alt_pct * x.purity, 2)
+        own = {"s": f"'{s}'", "min_share": f"{round(share * 100)}L"}
+        own |= {f.name: f"{getattr(x, f.name)!r}D" if isinstance(f.default, float) else f"{getattr(x, f.name)}L" for f in fields(x)}
+        rows.append(f"named_struct({', '.join(f'{k!r}, {v}' for k, v in own.items())})")
+    return f"array({', '.join(rows)})"
+
+
+def place_text(allele: str) -> str:
+    return f"cast(array_position(alleles, {allele}) - 1 AS int)"
+
+
+def rule_text(m: str, p: Preset) -> str:
+    """Sorted codes that fail a modification named ``m`` (a struct of type, src, tgt), as SQL text."""
+    rows = ", ".join(f"named_struct('type', '{t}', 'i', {SAMPLES.index(s)}, 'how', '{how}')" for t, s, how in RULES + RNA_RULES * p.rna)
+    of = lambda k: f"named_struct({', '.join(f'{f!r}, get(v.s.{f}, v.{k})' for f in PER_ALLELE)})"
+    value = f"named_struct('s', get(array({', '.join(SAMPLES)}), x.i), 'l', get({limits_text(p)}, x.i), 't', {place_text(f'{m}.tgt')}, 'q', {place_text(f'{m}.src')}, 'full', x.how <> 'context', 'how', x.how)"
+    errors = "aggregate(v.s.ad, 0L, (a, y) -> a + coalesce(y, 0L)) - coalesce(get(v.s.ad, v.q), 0L) - if(v.full, coalesce(get(v.s.ad, v.t), 0L), 0L)"
+    held = f"named_struct('dp', cast(v.s.dp AS bigint), 't', {of('t')}, 'q', {of('q')}, 'indels', v.s.ins + v.s.del, 'errors', {errors})"
+    codes = ", ".join(f"CASE WHEN {'' if context else 'v.full AND '}{test} THEN '{code}' END" for code, context, test in TESTS)
+    one = let("v", value, f"if(v.how = 'present' AND v.s IS NULL, {NO_CODES}, transform({let('w', held, f'array_compact(array({codes}))')}, c -> concat(v.l.s, c)))")
+    indels = " + ".join(f"coalesce({s}.ins + {s}.del, 0L)" for s in SAMPLES)
+    more = [f"CASE WHEN {indels} >= {p.dt.max_indels} THEN 'indel' END"]
+    if p.rna and p.rn.min_depth > 0:
+        more.append(f"CASE WHEN {m}.type = 'GERM' AND rn IS NULL THEN 'dnacall' END")
+    if p.rna and p.rt.min_depth > 0:
+        more.append(f"CASE WHEN {m}.type = 'SOM' AND rt IS NULL THEN 'rtmndp' END")
+    if not p.rna:
+        more.append(f"CASE WHEN {m}.type IN ({', '.join(map(repr, RNA_TYPES))}) THEN 'rnacall' END")
+    return f"array_sort(array_distinct(concat(flatten(transform(filter(array({rows}), r -> r.type = {m}.type), x -> {one})), array_compact(array({', '.join(more)})))))"
+
+
+def rule_codes(mod: str, p: Preset) -> Column:
+    """Codes that fail one modification, the name of a struct of type, src, tgt."""
+    return F.expr(rule_text(mod, p))
 
 
 def pre_filter(records: DataFrame, p: Preset) -> DataFrame:
     """Drops or re-types modifications that the parents' evidence contradicts; adds pre_codes. If none is left, the list stays as it was."""
-    entry = "struct<type:string,src:string,tgt:string>"
-
-    def typed(m: Column, kind: str) -> Column:
-        return F.struct(F.lit(kind).alias("type"), m["src"].alias("src"), m["tgt"].alias("tgt"))
-
-    def one(m: Column) -> Column:
-        kind, src, tgt = m["type"], m["src"], m["tgt"]
-        keep = F.array(F.struct(kind.alias("type"), src.alias("src"), tgt.alias("tgt")))
-        none = F.array().cast(f"array<{entry}>")
-        retry = F.when(enough("dt", tgt, p, either=True), F.array(typed(m, "SOM"))).otherwise(none)
-        germ = F.when(enough("dn", tgt, p), keep).otherwise(retry)
-        som = F.when(F.col("dn").isNull() | ~enough("dn", src, p), none).otherwise(keep)
-        nor = F.when(enough("dn", tgt, p), F.concat(keep, F.array(typed(m, "GERM")))).when((kind == "RNA_NOR_VAR") & F.col("dn").isNotNull(), F.concat(keep, F.array(typed(m, "NOR_EDIT")))).when(
-            ~enough("rn", tgt, p) & enough("rt", tgt, p), F.concat(keep, F.array(typed(m, "TUM_EDIT")))
-        ).otherwise(keep)
-        tum = F.when(enough("dt", tgt, p), F.concat(keep, F.array(typed(m, "SOM")))).when((kind == "RNA_TUM_VAR") & (F.coalesce(at("dt", "ad", tgt), F.lit(0)) == 0), F.concat(keep, F.array(typed(m, "TUM_EDIT")))).otherwise(keep)
-        loh = F.when(enough("dn", src, p), keep).otherwise(none)
-        return F.when(kind == "GERM", germ).when(kind == "SOM", som).when(kind.isin("NOR_EDIT", "RNA_NOR_VAR"), nor).when(kind.isin("TUM_EDIT", "RNA_TUM_VAR"), tum).when(kind == "LOH", loh).otherwise(keep)
-
-    def weak(s: str, allele: Column, ad: str, af: str) -> Column:
-        low = F.coalesce(at(s, "ad", allele), F.lit(0)) < p.mod_min_depth
-        few = F.coalesce(hundredths(at(s, "ad", allele), F.col(f"{s}.dp")), F.lit(0)) < round(p.mod_min_pct * 100)
-        return F.array(F.when(low, F.lit(ad)), F.when(few, F.lit(af)))
-
-    def codes(m: Column) -> Column:
-        som = F.when(F.col("dn").isNull(), F.array(F.lit("dnmndp"))).otherwise(weak("dn", m["src"], "dnmnrefad", "dnmnrefaf"))
-        return F.when(m["type"] == "GERM", weak("dn", m["tgt"], "dnmnad", "dnmnaf")).when(m["type"] == "SOM", som).otherwise(F.array().cast("array<string>"))
-
-    survive = F.array_distinct(F.flatten(F.transform("mods", one)))
-    found = F.array_sort(F.array_distinct(F.array_compact(F.flatten(F.transform("mods", codes)))))
-    out = computed(records, {"_survive": survive, "_codes": found})
-    return out.withColumns({"pre_codes": F.when(F.size("_survive") > 0, F.array().cast("array<string>")).otherwise(F.col("_codes")), "mods": F.when(F.size("_survive") > 0, F.col("_survive")).otherwise(F.col("mods"))}).drop("_survive", "_codes")
+    share = round(p.mod_min_pct * 100)
+    asked = [("dn", "tgt"), ("dn", "src"), ("rn", "tgt"), ("dt", "tgt"), ("rt", "tgt")]
+    rows = ", ".join(f"named_struct('s', {s}, 'a', m.{a})" for s, a in asked)
+    depth = let("k", place_text("y.a"), f"named_struct('ad', get(y.s.ad, k), 'h', {hundredths_text('get(y.s.ad, k)', 'y.s.dp')})")
+    held = f"transform(array({rows}), y -> {depth})"
+
+    def enough(s: str, a: str, either: bool = False) -> str:
+        """An allele has the depth and share that a modification needs in a sample (either: one of them)."""
+        e = f"get(e, {asked.index((s, a))})"
+        return f"(coalesce({e}.ad >= {p.mod_min_depth}, false) {'OR' if either else 'AND'} coalesce({e}.h >= {share}, false))"
+
+    def weak(a: str, ad: str, af: str) -> str:
+        e = f"get(e, {asked.index(('dn', a))})"
+        return f"array(CASE WHEN coalesce({e}.ad, 0L) < {p.mod_min_depth} THEN '{ad}' END, CASE WHEN coalesce({e}.h, 0L) < {share} THEN '{af}' END)"
+
+    typed = lambda kind: f"named_struct('type', {kind}, 'src', m.src, 'tgt', m.tgt)"
+    keep, none = typed("m.type"), "cast(array() AS array<struct<type:string,src:string,tgt:string>>)"
+    also = lambda kind: f"array({keep}, {typed(repr(kind))})"
+    survive = f"""CASE m.type
+      WHEN 'GERM' THEN CASE WHEN {enough('dn', 'tgt')} THEN array({keep}) WHEN {enough('dt', 'tgt', either=True)} THEN array({typed("'SOM'")}) ELSE {none} END
+      WHEN 'SOM' THEN CASE WHEN dn IS NULL OR NOT {enough('dn', 'src')} THEN {none} ELSE array({keep}) END
+      WHEN 'LOH' THEN CASE WHEN {enough('dn', 'src')} THEN array({keep}) ELSE {none} END
+      ELSE CASE
+        WHEN m.type IN ('NOR_EDIT', 'RNA_NOR_VAR') AND {enough('dn', 'tgt')} THEN {also('GERM')}
+        WHEN m.type = 'RNA_NOR_VAR' AND dn IS NOT NULL THEN {also('NOR_EDIT')}
+        WHEN m.type IN ('NOR_EDIT', 'RNA_NOR_VAR') AND NOT {enough('rn', 'tgt')} AND {enough('rt', 'tgt')} THEN {also('TUM_EDIT')}
+        WHEN m.type IN ('TUM_EDIT', 'RNA_TUM_VAR') AND {enough('dt', 'tgt')} THEN {also('SOM')}
+        WHEN m.type = 'RNA_TUM_VAR' AND coalesce(get(e, 3).ad, 0L) = 0 THEN {also('TUM_EDIT')}
+        ELSE array({keep}) END END"""
+    codes = f"CASE WHEN m.type = 'GERM' THEN {weak('tgt', 'dnmnad', 'dnmnaf')} WHEN m.type = 'SOM' AND dn IS NULL THEN array('dnmndp') WHEN m.type = 'SOM' THEN {weak('src', 'dnmnrefad', 'dnmnrefaf')} ELSE {NO_CODES} END"
+    each = let("e", held, f"named_struct('survive', {survive}, 'codes', {codes})")
+    out = computed(records, {"_each": F.expr(f"transform(mods, m -> {each})")})
+    out = computed(out, {"_survive": F.expr("array_distinct(flatten(transform(_each, x -> x.survive)))"), "_codes": F.expr("array_sort(array_distinct(array_compact(flatten(transform(_each, x -> x.codes)))))")})
+    some = "size(_survive) > 0"
+    return out.withColumns({"pre_codes": F.expr(f"if({some}, {NO_CODES}, _codes)"), "mods": F.expr(f"if({some}, _survive, mods)")}).drop("_each", "_survive", "_codes")
 
 
 def judge(records: DataFrame, p: Preset, with_pre_filter: bool = True) -> DataFrame:
@@ -186,24 +197,23 @@ def judge(records: DataFrame, p: Preset, with_pre_filter: bool = True) -> DataFr
     Modifications without a failing code survive; if none does, the call gets all codes.
     """
     r = pre_filter(records, p) if with_pre_filter else records.withColumn("pre_codes", F.array().cast("array<string>"))
-    judged = F.transform("mods", lambda m: F.struct(m["type"].alias("type"), m["src"].alias("src"), m["tgt"].alias("tgt"), rule_codes(m, p).alias("codes")))
-    r = computed(r, {"mod_filters": judged})
-    alive = F.filter("mod_filters", lambda m: F.size(m["codes"]) == 0)
-    every = F.array_sort(F.array_distinct(F.concat("pre_codes", F.flatten(F.transform("mod_filters", lambda m: m["codes"])))))
-    r = computed(r, {"_alive": F.when(F.size("pre_codes") == 0, alive).otherwise(F.array().cast(r.schema["mod_filters"].dataType)), "_every": every})
-    ok = F.size("_alive") > 0
-    earlier = F.array_remove("filter", "PASS") if "filter" in r.columns else F.array().cast("array<string>")
-    r = r.withColumns({
-        "filter": F.when(ok & (F.size(earlier) == 0), F.array(F.lit("PASS"))).when(ok, earlier).otherwise(F.array_sort(F.array_union(earlier, "_every"))),
-        "final_type": final_type(F.when(ok, F.transform("_alive", lambda m: m["type"])).otherwise(F.transform("mods", lambda m: m["type"]))),
-        "mods": F.when(ok, F.transform("_alive", lambda m: F.struct(m["type"].alias("type"), m["src"].alias("src"), m["tgt"].alias("tgt")))).otherwise(F.col("mods")),
+    gt = f"transform(array({', '.join(SAMPLES)}), s -> CASE WHEN s IS NOT NULL THEN {recomputed_text('chrom', 's.ad', p.genotype_min_depth, p.genotype_min_pct)} END)"
+    r = computed(r, {"mod_filters": F.expr(f"transform(mods, m -> named_struct('type', m.type, 'src', m.src, 'tgt', m.tgt, 'codes', {rule_text('m', p)}))"), "_gt": F.expr(gt)})
+    alive = "filter(mod_filters, m -> size(m.codes) = 0 AND size(pre_codes) = 0)"
+    every = "array_sort(array_distinct(concat(pre_codes, flatten(transform(mod_filters, m -> m.codes)))))"
+    r = computed(r, {"_alive": F.expr(f"transform({alive}, m -> named_struct('type', m.type, 'src', m.src, 'tgt', m.tgt))"), "_every": F.expr(every)})
+    have = r.columns
+    earlier = "array_remove(`filter`, 'PASS')" if "filter" in have else NO_CODES
+    kinds = ", ".join(map(repr, PRIORITY))
+    r = computed(r, {
+        "_filter": F.expr(f"CASE WHEN size(_alive) = 0 THEN array_sort(array_union({earlier}, _every)) WHEN size({earlier}) = 0 THEN array('PASS') ELSE {earlier} END"),
+        "_final": F.expr(f"get(filter(array({kinds}), t -> exists(if(size(_alive) > 0, _alive, mods), m -> m.type = t)), 0)"),
     })
-    genotypes = {f"{s}_gt": F.when(F.col(s).isNotNull(), recomputed(F.col("chrom"), F.col(f"{s}.ad"), p.genotype_min_depth, p.genotype_min_pct)) for s in ("dn", "rn", "dt", "rt")}
-    r = r.withColumns({"ss": ss_of(F.col("final_type")), "somatic": F.col("final_type") == "SOM", **genotypes})
+    made = {"filter": F.col("_filter"), "mods": F.expr("if(size(_alive) > 0, _alive, mods)"), "final_type": F.col("_final"), "ss": ss_of(F.col("_final")), "somatic": F.expr("_final = 'SOM'")}
+    made |= {f"{s}_gt": F.get("_gt", i) for i, s in enumerate(SAMPLES)}
     if p.origin:
-        have = F.col("origin") if "origin" in r.columns else F.array().cast("array<string>")
-        r = r.withColumn("origin", F.array_union(have, F.array(F.lit(p.origin))))
-    return r.drop("_alive", "_every")
+        made["origin"] = F.array_union(F.col("origin") if "origin" in have else F.array().cast("array<string>"), F.array(F.lit(p.origin)))
+    return r.withColumns(made).drop("_alive", "_every", "_filter", "_gt", "_final")
 
 
 def final_type(types: Column) -> Column:

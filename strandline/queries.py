@@ -311,7 +311,7 @@ def context_sql(s: str, table: str, limit: float) -> str:
 
 def support_query(spark, d, kinds: list[str], preset: support.Preset) -> DataFrame:
     r = calling.records(obs(spark, d)).select("*", F.explode("mods").alias("m")).where(F.col("m.type").isin(kinds))
-    return r.select("chrom", "pos", "m.type", "m.src", "m.tgt", F.array_join(support.rule_codes(F.col("m"), preset), "_").alias("codes"))
+    return r.select("chrom", "pos", "m.type", "m.src", "m.tgt", F.array_join(support.rule_codes("m", preset), "_").alias("codes"))
 
 
 @query(f"""{EVIDENCE}, f AS ({full_sql('dt', "(SELECT * FROM e_dt WHERE type = 'SOM')", 10, 0.10)} UNION ALL {context_sql('dn', "(SELECT * FROM e_dn WHERE type = 'SOM')", 0.10)} UNION ALL {full_sql('dn', "(SELECT * FROM e_dn WHERE type = 'GERM')", 10, 0.10)})
@@ -332,11 +332,42 @@ def q_final_mod_type(spark, d):
     return out.withColumn("ss", support.ss_of(F.col("final_type")))
 
 
-@query(None)
+def enough_sql(n: str, total: str, how: str = "AND") -> str:
+    return f"({n} >= 4 {how} coalesce({hundredths_sql(f'CAST({n} AS BIGINT)', f'CAST({total} AS BIGINT)')}, 0) >= 10)"
+
+
+def weak_sql(n: str, code: str) -> str:
+    return f"CASE WHEN {n} < 4 THEN 'dn{code}ad' END, CASE WHEN coalesce({hundredths_sql(f'CAST({n} AS BIGINT)', 'CAST(dnt AS BIGINT)')}, 0) < 10 THEN 'dn{code}af' END"
+
+
+#: Modifications after the pre-filter, the codes of those that none survived, and the failing rules of each.
+PRE_FILTERED = f"""{CALLS}, {DEPTHS.replace('g AS', 'g0 AS')},
+one AS (SELECT chrom, pos, ref, src, tgt, unnest(CASE
+    WHEN type = 'GERM' THEN CASE WHEN {enough_sql('dn_tgt', 'dnt')} THEN ['GERM'] WHEN {enough_sql('dt_tgt', 'dtt', 'OR')} THEN ['SOM'] ELSE [] END
+    WHEN type = 'SOM' THEN CASE WHEN dnt > 0 AND {enough_sql('dn_src', 'dnt')} THEN ['SOM'] ELSE [] END
+    ELSE CASE WHEN {enough_sql('dt_tgt', 'dtt')} THEN ['TUM_EDIT', 'SOM'] ELSE ['TUM_EDIT'] END END) AS type FROM g0),
+live AS (SELECT DISTINCT chrom, pos FROM one),
+pre AS (SELECT chrom, pos, unnest(CASE WHEN type = 'GERM' THEN [{weak_sql('dn_tgt', 'mn')}] WHEN type = 'SOM' AND dnt = 0 THEN ['dnmndp'] WHEN type = 'SOM' THEN [{weak_sql('dn_src', 'mnref')}] ELSE [] END) AS code FROM g0 ANTI JOIN live USING (chrom, pos)),
+mods2 AS (SELECT DISTINCT chrom, pos, ref, type, src, tgt FROM one UNION ALL SELECT chrom, pos, ref, type, src, tgt FROM mods ANTI JOIN live USING (chrom, pos)),
+{DEPTHS.replace('FROM mods m', 'FROM mods2 m')}, {evidence_sql('dn', 'DNA_NORMAL')}, {evidence_sql('dt', 'DNA_TUMOR')}"""
+
+
+@query(f"""{PRE_FILTERED}, f AS ({full_sql('dt', "(SELECT * FROM e_dt WHERE type = 'SOM')", 10, 0.10)} UNION ALL {full_sql('dn', "(SELECT * FROM e_dn WHERE type = 'GERM')", 10, 0.10)}
+  UNION ALL {context_sql('dn', "(SELECT * FROM e_dn WHERE type IN ('SOM', 'TUM_EDIT'))", 0.10)} UNION ALL {context_sql('dt', "(SELECT * FROM e_dt WHERE type = 'TUM_EDIT')", 0.10)}
+  UNION ALL SELECT chrom, pos, type, src, tgt, 'rnacall' FROM g WHERE type = 'TUM_EDIT'),
+c AS (SELECT chrom, pos, code FROM f WHERE code IS NOT NULL UNION SELECT chrom, pos, code FROM pre WHERE code IS NOT NULL),
+every AS (SELECT chrom, pos, string_agg(code, ';' ORDER BY code) AS codes FROM c GROUP BY ALL),
+m AS (SELECT g.*, pre.chrom IS NULL AND f.chrom IS NULL AS alive FROM g LEFT JOIN (SELECT DISTINCT chrom, pos FROM pre WHERE code IS NOT NULL) pre ON pre.chrom = g.chrom AND pre.pos = g.pos
+  LEFT JOIN (SELECT DISTINCT chrom, pos, type, src, tgt FROM f WHERE code IS NOT NULL) f ON f.chrom = g.chrom AND f.pos = g.pos AND f.type = g.type AND f.src = g.src AND f.tgt = g.tgt),
+k AS (SELECT *, bool_or(alive) OVER (PARTITION BY chrom, pos) AS ok FROM m),
+o AS (SELECT chrom, pos, ok, CASE WHEN bool_or(type = 'GERM') THEN 'GERM' WHEN bool_or(type = 'SOM') THEN 'SOM' ELSE 'TUM_EDIT' END AS final_type, string_agg(type || ':' || src || '>' || tgt, ',' ORDER BY type || ':' || src || '>' || tgt) AS mods FROM k WHERE alive OR NOT ok GROUP BY ALL)
+SELECT o.chrom, o.pos, final_type, CAST(CASE final_type WHEN 'GERM' THEN 1 WHEN 'SOM' THEN 2 ELSE 4 END AS INT) AS ss, final_type = 'SOM' AS somatic, CASE WHEN ok THEN 'PASS' ELSE codes END AS filter, 'DNA' AS origin, mods
+FROM o LEFT JOIN every ON every.chrom = o.chrom AND every.pos = o.pos""")
 def q_filter_by_support(spark, d):
-    """Pre-filter, rules and final type together, with the DNA preset qp lower minimums."""
+    """Pre-filter, rules and final type together, with the DNA preset at lower minimums; modifications in order of their text."""
     r = support.judge(calling.records(obs(spark, d)), DNA_LOW)
-    return r.select("chrom", "pos", "final_type", "ss", "somatic", F.array_join("filter", ";").alias("filter"), F.array_join("origin", ",").alias("origin"), F.array_join(F.transform("mods", lambda m: F.concat(m["type"], F.lit(":"), m["src"], F.lit(">"), m["tgt"])), ",").alias("mods"))
+    mods = F.array_sort(F.transform("mods", lambda m: F.concat(m["type"], F.lit(":"), m["src"], F.lit(">"), m["tgt"])))
+    return r.select("chrom", "pos", "final_type", "ss", "somatic", F.array_join("filter", ";").alias("filter"), F.array_join("origin", ",").alias("origin"), F.array_join(mods, ",").alias("mods"))
 
 
 @query(f"""{CALLS}, {DEPTHS}, h AS (SELECT chrom, pos, type, src, tgt, dt_tgt >= 4 AND {hundredths_sql('CAST(dt_tgt AS BIGINT)', 'CAST(dtt AS BIGINT)')} >= 10 AS ok FROM g WHERE type = 'TUM_EDIT')
@@ -466,8 +497,8 @@ def q_perfect_reads(spark, d):
 @query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 90 < 40 THEN o_orderkey % 90 WHEN o_orderkey % 90 < 45 THEN NULL ELSE o_orderkey % 90 - 5 END AS qpos FROM orders")
 def q_cigar_walk(spark, d):
     piece = lambda o, k: F.struct(F.lit(o).alias("op"), F.lit(k).alias("len"))
-    qp = reads.position_in_read(F.array(piece(0, 40), piece(2, 5), piece(0, 60)), (F.col("o_orderkey") % 90).cast("int"))
-    return read(spark, d, "orders").select(F.col("o_orderkey").alias("k"), qp["qpos"].cast("long").alias("qpos"))
+    at = reads.position_in_read(F.array(piece(0, 40), piece(2, 5), piece(0, 60)), (F.col("o_orderkey") % 90).cast("int"))
+    return read(spark, d, "orders").select(F.col("o_orderkey").alias("k"), at["qpos"].cast("long").alias("qpos"))
 
 
 @query("""SELECT p_size % 25 AS chrom, p_partkey AS pos, substr('ACGT', CAST(1 + p_partkey % 4 AS INT), 1) AS base, lag_b.base AS pn, lead_b.base AS nn FROM part p
@@ -674,8 +705,8 @@ def q_tissue_and_flag_codes(spark, d):
 
 def unsure(spark, d) -> DataFrame:
     """Observations of which some have no reference base or another one."""
-    qp, n = F.col("pos"), F.col("line")
-    return obs(spark, d).withColumn("ref", F.when((qp % 11 == 0) & (n == 2), "N").when((qp % 7 == 0) & (n == 4), "G").otherwise(F.col("ref")))
+    at, n = F.col("pos"), F.col("line")
+    return obs(spark, d).withColumn("ref", F.when((at % 11 == 0) & (n == 2), "N").when((at % 7 == 0) & (n == 4), "G").otherwise(F.col("ref")))
 
 
 UNSURE = f"""{CALLS}, u AS (SELECT chrom, pos, CASE WHEN pos % 11 = 0 AND line = 2 THEN 'N' WHEN pos % 7 = 0 AND line = 4 THEN 'G' ELSE ref END AS ref FROM obs),
@@ -712,7 +743,7 @@ def q_indels_and_depths(spark, d):
     o = obs(spark, d)
     sites = o.groupBy("chrom", "pos", "sample").agg(*[F.count_if(F.col("line") == k).alias(c) for k, c in enumerate(calling.EDGES, 1)])
     r = calling.records(o, sites=sites).select("*", F.explode("mods").alias("m")).where(F.col("m.type") == "SOM")
-    codes = F.filter(support.rule_codes(F.col("m"), INDELS), lambda c: c.isin("dnmxdp", "dtmxdp", "dtmxindel", "indel"))
+    codes = F.filter(support.rule_codes("m", INDELS), lambda c: c.isin("dnmxdp", "dtmxdp", "dtmxindel", "indel"))
     return r.select("chrom", "pos", "m.src", "m.tgt", F.array_join(codes, "_").alias("codes"))
 
 
@@ -726,7 +757,7 @@ def q_support_normal_rna(spark, d):
     """Rules of edits in normal RNA: the RNA observations count as the normal's."""
     o = obs(spark, d).where("sample <> 'DNA_TUMOR'").withColumn("sample", F.when(F.col("sample") == "RNA_TUMOR", "RNA_NORMAL").otherwise(F.col("sample")))
     r = calling.records(o).select("*", F.explode("mods").alias("m")).where(F.col("m.type") == "NOR_EDIT")
-    return r.select("chrom", "pos", "m.src", "m.tgt", F.array_join(support.rule_codes(F.col("m"), RNA_LOW), "_").alias("codes"))
+    return r.select("chrom", "pos", "m.src", "m.tgt", F.array_join(support.rule_codes("m", RNA_LOW), "_").alias("codes"))
 
 
 # Read support from reads to filters
@@ -781,16 +812,16 @@ def evidence_calls(spark, d) -> DataFrame:
 
 
 def evidence_reads(spark, d) -> DataFrame:
-    """A read of twenty bases for each line item: up to five mismatches qp its start, the call's base six to twelve bases in, some clipped."""
+    """A read of twenty bases for each line item: up to five mismatches at its start, the call's base six to twelve bases in, some clipped."""
     line = read(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_suppkey", "l_linenumber", "l_linestatus", "l_quantity", "l_discount")
     j = line.join(read(spark, d, "part").select("p_partkey", (F.col("p_size") % 25).cast("string").alias("chrom")), F.col("l_partkey") == F.col("p_partkey"))
-    n, k, qp, m = F.col("l_linenumber").cast("int"), F.col("l_orderkey"), (F.col("l_linenumber") + 5).cast("int"), (F.col("l_orderkey") % 6).cast("int")
+    n, k, at, m = F.col("l_linenumber").cast("int"), F.col("l_orderkey"), (F.col("l_linenumber") + 5).cast("int"), (F.col("l_orderkey") % 6).cast("int")
     own = lambda s: letter(F.col("l_partkey") + s)
     base = F.when(k % 7 == 0, own(2)).when(n % 3 == 0, own(1)).otherwise(own(0))
-    seq = F.concat(F.repeat(own(2), m), F.repeat(own(0), qp - m), base, F.repeat(own(0), F.lit(19) - qp))
+    seq = F.concat(F.repeat(own(2), m), F.repeat(own(0), at - m), base, F.repeat(own(0), F.lit(19) - at))
     clip = F.when(k % 10 == 0, 1).when(k % 10 == 1, 3).otherwise(0).cast("int")
     piece = lambda op, size: F.struct(F.lit(op).alias("op"), size.cast("int").alias("len"))
-    start = F.col("l_partkey") * 100 + 49 - qp
+    start = F.col("l_partkey") * 100 + 49 - at
     quality = lambda q: F.repeat(F.chr(q + 33), F.lit(10))
     flags = F.lit(1) + F.when(F.col("l_discount") > 0.02, 2).otherwise(0) + F.when(F.col("l_linestatus") == "F", 16).otherwise(0) + F.when(F.col("l_suppkey") % 5 == 0, 256).otherwise(0) + F.when(k % 17 == 0, 1024).otherwise(0)
     return j.select(
