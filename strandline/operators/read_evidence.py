@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions.rounding import hundredths
 from strandline.functions.strings import flag, reverse_complement
+from strandline.operators.calling import computed
 from strandline.operators.intervals import near_positions
 from strandline.operators.reads import DUPLICATE, MINUS, ON_READ, ON_REFERENCE, PROPER, QC_FAIL, SECONDARY, UNMAPPED, low_neighbours, mate_overlaps, position_in_read, reference_span, resolve_mates, stranded_base, third
 from strandline.sources.reference import stretches
@@ -87,10 +88,11 @@ def reads_over(loci: DataFrame, reads: DataFrame, p: ReadLimits) -> DataFrame:
     over = near_positions(loci, spans.where(~bad), "start", "_end").where(F.col("sample") == F.col("_sample"))
     if not p.include_secondary:
         over = over.where(F.col("dna") | ~flag(F.col("flag"), SECONDARY))
-    over = over.withColumn("_at", position_in_read(F.col("cigar"), (F.col("pos") - 1 - F.col("start")).cast("int"))).where(F.col("_at.op").isin(0, 7, 8) & (F.col("_at.indel") == 0))
+    # as a generator's output: the walk and the filters above it are not evaluated again for each column that reads them
+    over = computed(over, {"_at": position_in_read(F.col("cigar"), (F.col("pos") - 1 - F.col("start")).cast("int"))}).where(F.col("_at.op").isin(0, 7, 8) & (F.col("_at.indel") == 0))
     qpos = F.col("_at.qpos")
-    over = over.withColumns({"qpos": qpos, "base": F.upper(F.substring("seq", qpos + 1, F.lit(1))), "bq": F.ascii(F.substring("qual", qpos + 1, F.lit(1))) - 33})
-    over = over.withColumn("own", stranded_base(F.col("base"), F.col("strand") == "-"))
+    base = F.upper(F.substring("seq", qpos + 1, F.lit(1)))
+    over = computed(over, {"qpos": qpos, "base": base, "bq": F.ascii(F.substring("qual", qpos + 1, F.lit(1))) - 33, "own": stranded_base(base, F.col("strand") == "-")})
     return over.where(F.col("own").isin(F.col("src"), F.col("tgt"))).drop("_at", "_end", "_sample")
 
 
@@ -188,7 +190,7 @@ def lane_evidence(calls: DataFrame, reads: DataFrame, reference: DataFrame, germ
     keyed = kept.withColumn("key", F.when(F.col("mutated") & F.col("good"), F.sha2(text, 256)))
     found = mismatches(keyed.where("key IS NOT NULL").select("key", "strand", *ALIGNMENT).distinct(), reference, germline)
     facts = keyed.join(found, ["key", "strand"], "left").withColumn("mism", F.coalesce("mism", F.array().cast("array<struct<r:bigint,ref:string,base:string>>")))
-    facts = facts.withColumns({"why": F.when(F.col("mutated") & F.col("good"), imperfect(p)), "place": third(F.col("qpos"), F.length("seq"))})
+    facts = computed(facts, {"why": F.when(F.col("mutated") & F.col("good"), imperfect(p)), "place": third(F.col("qpos"), F.length("seq"))})
     each = sums(facts)
     zero = [c for c in each.columns if c not in LANE]
     all_ = loci.select(*LANE, "sample", "src", "tgt", "dna").distinct().join(each, LANE, "left").na.fill(0, zero)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandline.functions.rounding import hundredths
 from strandline.functions.strings import flag
 from strandline.operators.intervals import plain_chrom
 from strandline.operators.reads import PAIRED, PROPER, SECONDARY
@@ -43,9 +44,9 @@ def valid_reads_psl(hits: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def judge_calls(reads: DataFrame, keys: list[str], min_reads: int = 4, min_share: float = 0.10) -> DataFrame:
-    """Per call: reads, valid reads, and whether they are enough."""
+    """Per call: reads, valid reads, and whether they are enough; the share is compared after rounding to two decimals."""
     out = reads.groupBy(*keys).agg(F.count("*").alias("n_reads"), F.count_if("valid").alias("n_valid"))
-    return out.withColumn("passes", (F.col("n_valid") >= min_reads) & (F.col("n_valid") / F.col("n_reads") >= min_share))
+    return out.withColumn("passes", (F.col("n_valid") >= min_reads) & (hundredths(F.col("n_valid"), F.col("n_reads")) >= round(min_share * 100)))
 
 
 def filter_calls(calls: DataFrame, judged: DataFrame, keys: list[str], code: str = "blat") -> DataFrame:
@@ -65,3 +66,41 @@ def filter_modifications(calls: DataFrame, judged: DataFrame, keep_filters: bool
     some = F.size(F.coalesce("_good", F.array().cast(calls.schema["mods"].dataType))) > 0
     failed = F.array_sort(F.array_union(F.array_remove("filter", "PASS"), F.array(F.lit(code)))) if keep_filters else F.array(F.lit(code))
     return out.withColumns({"mods": F.when(some, F.filter("mods", lambda m: F.array_contains("_good", m))).otherwise(F.col("mods")), "filter": F.when(some, F.array(F.lit("PASS"))).otherwise(failed)}).drop("_good")
+
+
+#: Which reads stand for a type of modification, in the order in which they are looked for.
+READS_OF = {"GERM": ["dnaNormal"], "NOR_EDIT": ["rnaNormal"], "SOM": ["dnaTumor", "rnaTumor"], "TUM_EDIT": ["rnaTumor"]}
+
+
+def filter_by_hits(
+    calls: DataFrame, hits: DataFrame, realigned: list[str], form: str = "psl", min_reads: int = 4, min_share: float = 0.10, magnitude: int = 0, secondary: bool = False, keep_filters: bool = False, passing_only: bool = True
+) -> DataFrame:
+    """Calls (chrom, pos, filter, mods; optionally tx_names, tx_coords, mod_filters) judged by the hits of their realigned reads (``tables.read_hits``).
+
+    ``realigned`` names the samples whose reads were realigned (dnaNormal, rnaNormal, dnaTumor, rnaTumor). Each type of modification has the hits of
+    its sample at the call's place; a read is valid if its best usable hit is at the call, or at one of its transcript loci where it has any. Types with too few
+    valid reads, and types without hits, fail; if another type passes their modifications go, else the call fails. passing_only: other calls are left out.
+    """
+    kinds = {t: next((s for s in samples if s in realigned), None) for t, samples in READS_OF.items()}
+    sample = F.create_map(*[F.lit(x) for t, s in kinds.items() if s for x in (t, s)])
+    asked = calls.where(F.array_contains("filter", "PASS")) if passing_only else calls
+    own = F.array(F.struct(F.col("chrom").alias("n"), F.col("pos").cast("long").alias("c")))
+    loci = own
+    if "tx_names" in calls.columns:
+        on_tx = F.zip_with("tx_names", "tx_coords", lambda n, c: F.struct(n.alias("n"), c.cast("long").alias("c")))
+        loci = F.when(F.size("tx_names") > 0, on_tx).otherwise(own)
+    types = F.explode(F.array_distinct(F.transform("mods", lambda m: m["type"])))
+    each = asked.select("chrom", "pos", loci.alias("loci"), types.alias("type")).withColumn("sample", sample[F.col("type")])
+    values = ["score"] if form == "psl" else ["evalue", "identity", "length", "read_length"]
+    rows = hits.select("sample", "chrom", "pos", "read_name", "flag", "subject", "s_start", "s_end", *values)
+    j = each.join(rows, ["sample", "chrom", "pos"])
+    here = F.exists("loci", lambda x: overlaps_call(F.col("subject"), F.col("s_start"), F.col("s_end"), x["n"], x["c"]))
+    keys = ["chrom", "pos", "type"]
+    j = j.select(*keys, "read_name", here.alias("overlapping"), considered(F.col("flag"), ~F.col("sample").startswith("rna"), secondary).alias("usable"), *values)
+    valid = valid_reads_psl(j, [*keys, "read_name"]) if form == "psl" else valid_reads_blast(j, [*keys, "read_name"], magnitude)
+    judged = judge_calls(valid, keys, min_reads, min_share).select(*keys, "passes")
+    mods = asked.select("chrom", "pos", F.inline("mods")).join(judged, keys, "left").withColumn("passes", F.coalesce("passes", F.lit(False)))
+    out = filter_modifications(asked, mods, keep_filters)
+    if "mod_filters" in calls.columns:
+        out = out.withColumn("mod_filters", F.when(F.array_contains("filter", "PASS"), F.col("mod_filters")).otherwise(F.array_union("mod_filters", F.array(F.lit("blat")))))
+    return out

@@ -104,7 +104,7 @@ class FilterPlan:
         wide = again.select(*own, "r", "d", (passes("r") & passes("d") & som("r") & som("d")).alias("both"), F.when(rescued, n).alias("n"))
         if self.realigned:  # by the place: what stands for hits decides on the calls that only RNA has
             only = typed(self.realigned(wide.where("n IS NOT NULL").select(*own, "n.*")))
-            judged_n = only.select(*merge.KEYS, F.struct(*[f.name for f in kind.fields]).cast(kind).alias("n"))
+            judged_n = only.select(*merge.KEYS, F.struct(*[f.name for f in kind.fields]).alias("n"))
             wide = wide.drop("n").join(judged_n, merge.KEYS, "left")
         return merge.resolved(wide, [f.name for f in kind.fields if f.name not in merge.FIELDS])
 

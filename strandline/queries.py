@@ -553,7 +553,7 @@ def q_psl_valid(spark, d):
     return psl_reads(spark, d).select("call", "read", "valid")
 
 
-@query(f"{PSL_SQL} SELECT call, count(*) AS n_reads, count(*) FILTER (valid) AS n_valid, count(*) FILTER (valid) >= 4 AND count(*) FILTER (valid) / count(*) >= 0.1 AS passes FROM v GROUP BY call")
+@query(f"{PSL_SQL} SELECT call, count(*) AS n_reads, count(*) FILTER (valid) AS n_valid, count(*) FILTER (valid) >= 4 AND {hundredths_sql('count(*) FILTER (valid)', 'count(*)')} >= 10 AS passes FROM v GROUP BY call")
 def q_blat_calls(spark, d):
     return realign.judge_calls(psl_reads(spark, d), ["call"])
 
@@ -564,6 +564,48 @@ def q_blat_overlap(spark, d):
     return read(spark, d, "orders").select(F.col("o_orderkey").alias("k"), realign.overlaps_call(F.concat(F.lit("chr"), chrom("o_orderkey")), F.col("o_orderkey"), F.col("o_custkey"), chrom("o_custkey"), F.col("o_custkey") + 1).alias("here"))
 
 
+HIT_CALLS = "SELECT p_partkey AS p, CAST(p_size % 25 AS VARCHAR) AS chrom, p_partkey % 2 = 0 AS edited, p_partkey % 3 = 0 AS tx FROM part"
+
+
+def hit_calls(spark, d) -> DataFrame:
+    """Somatic calls, every second one an edit too; every third one has a transcript locus."""
+    p = F.col("p_partkey")
+    mod = lambda t: F.struct(F.lit(t).alias("type"), letter(p).alias("src"), letter(p + 1).alias("tgt"))
+    mods = F.when(p % 2 == 0, F.array(mod("SOM"), mod("TUM_EDIT"))).otherwise(F.array(mod("SOM")))
+    on_tx = lambda c: F.when(p % 3 == 0, F.array(c))
+    return read(spark, d, "part").select((F.col("p_size") % 25).cast("string").alias("chrom"), p.alias("pos"), F.array(F.when(p % 11 == 0, "blck").otherwise("PASS")).alias("filter"), mods.alias("mods"), on_tx(F.concat(F.lit("T"), p.cast("string"))).alias("tx_names"), on_tx(F.lit(10).cast("long")).alias("tx_coords"))
+
+
+def read_hits(spark, d) -> DataFrame:
+    """Hits of one read for each order and part: some at the call in either direction, some on its transcript, some elsewhere."""
+    line = read(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_suppkey", "l_linenumber", "l_linestatus", "l_quantity", "l_discount", "l_tax")
+    j = line.join(read(spark, d, "part").select("p_partkey", (F.col("p_size") % 25).cast("string").alias("chrom")), F.col("l_partkey") == F.col("p_partkey"))
+    p, n = F.col("l_partkey"), F.col("l_linenumber")
+    on_tx = (p % 3 == 0) & (F.col("l_tax") > 0.02)
+    at = F.when(on_tx, 10).otherwise(p) - 1
+    ends = (F.when(n % 2 == 0, at - n).otherwise(at + n), F.when(n % 2 == 0, at + n).otherwise(at - n))
+    subject = F.when(F.col("l_linestatus") == "F", F.when(on_tx, F.concat(F.lit("T"), p.cast("string"))).when(n % 3 == 0, F.concat(F.lit("chr"), "chrom")).otherwise(F.col("chrom"))).otherwise("other")
+    flags = F.lit(1) + F.when(F.col("l_discount") > 0.02, 2).otherwise(0) + F.when(F.col("l_suppkey") % 5 == 0, 256).otherwise(0)
+    return j.select(
+        F.when(F.col("l_suppkey") % 2 == 0, "dnaTumor").otherwise("rnaTumor").alias("sample"), "chrom", p.alias("pos"), (F.col("l_orderkey") % 5 + F.col("l_suppkey") % 4).cast("string").alias("read_name"), flags.alias("flag"), subject.alias("subject"),
+        ends[0].alias("s_start"), ends[1].alias("s_end"), F.col("l_quantity").cast("long").alias("score"),
+    )
+
+
+@query(f"""WITH c AS ({HIT_CALLS}), k AS (SELECT *, unnest(CASE WHEN edited THEN ['SOM', 'TUM_EDIT'] ELSE ['SOM'] END) AS type FROM c WHERE p % 11 <> 0),
+h AS (SELECT k.p, k.type, l_orderkey % 5 + l_suppkey % 4 AS name, CAST(l_quantity AS BIGINT) AS score, l_linestatus = 'F' AND (NOT tx OR l_tax > 0.02) AS here, CASE WHEN type = 'SOM' THEN l_discount > 0.02 ELSE true END AND l_suppkey % 5 <> 0 AS usable
+  FROM k JOIN lineitem ON l_partkey = k.p AND (l_suppkey % 2 = 0) = (type = 'SOM')),
+v AS (SELECT p, type, name, max(score) FILTER (usable AND here) AS a, max(score) FILTER (usable AND NOT here) AS b FROM h GROUP BY ALL),
+j AS (SELECT p, type, count(*) AS n, count(*) FILTER (a IS NOT NULL AND NOT coalesce(b > a, false)) AS good FROM v GROUP BY ALL),
+t AS (SELECT k.p, k.chrom, k.type, coalesce(good >= 3 AND {hundredths_sql('good', 'n')} >= 40, false) AS ok FROM k LEFT JOIN j ON j.p = k.p AND j.type = k.type),
+o AS (SELECT *, bool_or(ok) OVER (PARTITION BY p) AS passed FROM t)
+SELECT chrom, p AS pos, CASE WHEN passed THEN 'PASS' ELSE 'blat' END AS filter, string_agg(type, ',' ORDER BY type) AS types FROM o WHERE ok OR NOT passed GROUP BY ALL""")
+def q_hits_to_calls(spark, d):
+    """Hits by sample, place and read to filters and modifications of calls, some on transcripts."""
+    out = realign.filter_by_hits(hit_calls(spark, d), read_hits(spark, d), ["dnaTumor", "rnaTumor"], min_reads=3, min_share=0.40)
+    return out.select("chrom", "pos", F.array_join("filter", ";").alias("filter"), F.array_join(F.array_sort(F.transform("mods", lambda m: m["type"])), ",").alias("types"))
+
+
 LISTED = " OR ".join(f"contains(p_name, '{g}')" for g in GENES)
 
 

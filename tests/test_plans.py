@@ -7,9 +7,10 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
+from strandline import queries
 from strandline.functions import genotype
 from strandline.operators import calling, intervals, merge, reads, realign, support
-from strandline.plans.filtering import FilterPlan
+from strandline.plans.filtering import FilterPlan, judged
 
 OBS = "chrom string, pos long, ref string, sample string, base string, bq int, mq int, plus boolean"
 
@@ -191,6 +192,44 @@ def test_filter_plan(spark):
     assert 30 in rna and 20 not in rna
 
 
+def test_plan_carries_what_the_standing_branch_judged(spark):
+    """Modifications, types, status and genotypes are those of the branch whose row stands, also where judging dropped or re-typed some."""
+    r = calling.records(queries.obs(spark, "/root/testdata/sf0.001")).withColumns({"id": F.array().cast("array<string>"), "info": F.expr("map('SS', array('2'))")}).cache()
+    plan = FilterPlan(dna=queries.DNA_LOW, rna=queries.RNA_LOW)
+    key = lambda x: (x.chrom, x.pos)
+    given = {key(x): [tuple(m) for m in x.mods] for x in r.collect()}
+    d, q = ({key(x): x for x in judged(r, p).collect()} for p in (queries.DNA_LOW, queries.RNA_LOW))
+    out = {key(x): x for x in plan.run(r).collect()}
+    assert set(out) == set(given)
+    changed, rescued = 0, 0
+    for k, x in out.items():
+        stands = d[k]
+        if "PASS" in q[k].filter and "PASS" not in d[k].filter and x.filter == ["PASS"]:
+            stands, rescued = q[k], rescued + 1
+        assert [tuple(m) for m in x.mods] == [tuple(m) for m in stands.mods]
+        assert (x.types, x.ss, x.somatic, x.final_type, x.dt_gt, x.rt_gt) == (stands.types, stands.ss, stands.somatic, stands.final_type, stands.dt_gt, stands.rt_gt)
+        assert set(x.types) == {m[0] for m in x.mods}
+        changed += [tuple(m) for m in x.mods] != given[k]
+        both = "PASS" in d[k].filter and "PASS" in q[k].filter and "SOM" in d[k].types and "SOM" in q[k].types
+        assert x.origin == (["RNA"] if stands is q[k] else ["DNA", "RNA"] if both else x.origin)
+    assert changed > 20 and rescued > 3
+
+
+def test_hits_decide_on_calls_that_only_rna_has(spark):
+    """Realigned reads inside the plan: a call without valid reads fails, one with them keeps the passing modification and its types."""
+    r = records(spark)
+    only = FilterPlan().run(r).where("origin = array('RNA')").select("pos", "types").collect()
+    assert [(x.pos, x.types) for x in only] == [(30, ["TUM_EDIT"])]
+    row = lambda k, subject, score: ("rnaTumor", "1", 30, f"r{k}", 1, subject, 20, 40, score)
+    schema = "sample string, chrom string, pos long, read_name string, flag int, subject string, s_start long, s_end long, score int"
+    for subject, want in (("chr1", ["PASS"]), ("9", ["blat"])):
+        found = spark.createDataFrame([row(k, subject, 30) for k in range(5)] + [row(9, "9", 40)], schema)
+        plan = FilterPlan(realigned=lambda c, found=found: realign.filter_by_hits(c, found, ["rnaTumor"]))
+        got = {x.pos: x for x in plan.run(r).collect()}
+        assert ("PASS" in got[30].filter) == (want == ["PASS"]) and ("blat" in got[30].filter) == (want != ["PASS"])
+        assert got[30].types == ["TUM_EDIT"]
+
+
 def label(spark, kind, origin):
     return spark.range(1).select(merge.support_label(F.lit(kind), F.array(*map(F.lit, origin)))).first()[0]
 

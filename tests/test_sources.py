@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import gzip
+import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +55,41 @@ def test_decoder_is_a_plain_scan():
         assert {k: got[k] for k in expected} == expected and len(got["obs"]) == bases
 
 
+TOKEN = re.compile(r"\^.|\$|[+-](\d+)|.", re.S)
+
+
+def plain_decode(reads, ref, base_quals, map_quals):
+    """Token by token."""
+    n, obs, at, k = dict.fromkeys("+-^$", 0), [], 0, 0
+    while at < len(reads):
+        m = TOKEN.match(reads, at)
+        token, at = m[0], m.end()
+        if token[0] in n and (token[0] in "^$" or m[1]):
+            n[token[0]] += 1
+            at += int(m[1]) if m[1] else 0
+            continue
+        have = k < len(base_quals) and k < len(map_quals)
+        q = (ord(base_quals[k]) - 33, ord(map_quals[k]) - 33) if have else (-1, -1)
+        k += 1
+        base = ref if token in ".," else token.upper()
+        if base in ("A", "C", "G", "T"):
+            obs.append((base, *q, token == "." or token.isupper()))
+    return (n["+"], n["-"], n["^"], n["$"]), obs
+
+
+def test_batches_are_decoded_token_by_token(spark):
+    """Rows of any bytes, indels and read starts inside and at the end of others, and qualities that run out."""
+    rng = random.Random(5)
+    rows = [("1", k, rng.choice("ACGTN"), 1, "".join(rng.choice("ACgt.,^^$+-*<N0123") for _ in range(rng.randrange(40))), "I5#" * rng.randrange(8), "?J" * rng.randrange(12)) for k in range(400)]
+    rows += [("1", 400, None, 1, None, None, None), ("1", 401, "A", 1, "", "", ""), ("1", 402, "C", 1, "^", "I", "I"), ("1", 403, "C", 1, "..+99999999999999999999A", "III", "III"), ("1", 404, "C", 1, "^^^+2AC.-1", "III", "III")]
+    out = pileup.with_decoded(spark.createDataFrame(rows, pileup.SCHEMA)).collect()
+    for r in out:
+        counts, obs = plain_decode(r.reads or "", r.ref or "", r.base_quals or "", r.map_quals or "")
+        p = r.pileup
+        assert ((p.ins, p["del"], p.start, p.stop), [tuple(o) for o in p.obs]) == (counts, obs), r
+    assert sum(len(r.pileup.obs) for r in out) > 2000
+
+
 def test_pileup_file_to_calls(spark, tmp_path):
     """Two samples from text to calls with insertions, deletions, starts and stops; tool lines and blank lines are no rows."""
     q = "I" * 20
@@ -169,3 +206,9 @@ def test_query_sequences_and_text(spark):
     one = spark.createDataFrame([('##SAMPLE=<ID=N,x=1>', "/d/TCGA-AB-1234-01A-x.bam", 0.000123)], "l string, b string, p double")
     got = one.select(strings.meta_id(F.col("l")), strings.meta_key(F.col("l")), strings.barcode(F.col("b")), fisher.p_text(F.col("p")), strings.phred(F.lit("I"))).first()
     assert tuple(got) == ("N", "SAMPLE", "TCGA-AB-1234-01A-x", "1.23e-04", 40)
+
+
+def test_log_factorials_at_any_depth(spark):
+    n = [-3, 0, 1, 2, 15, 16, 17, 40, 1000, 8000, 123456]
+    got = spark.createDataFrame([(k,) for k in n], "n long").select("n", fisher.log_factorial(F.col("n")).alias("v")).collect()
+    assert all(abs(r.v - math.lgamma(max(r.n, 0) + 1)) <= 2e-14 * max(1, math.lgamma(max(r.n, 0) + 1)) for r in got)
