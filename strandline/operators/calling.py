@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.functions.rounding import mean, ratio2
+from strandline.functions.rounding import hundredths_text, let, mean, ratio2
 from strandline.operators.intervals import overlaps
 
 #: The order in which alleles of one sample are visited, and samples.
@@ -190,10 +190,42 @@ def site_evidence(obs: DataFrame, p: CallParams = CallParams()) -> DataFrame:
     return allele_stats(obs, p).groupBy("chrom", "pos", "ref").agg(*counts, entries.alias("stats"))
 
 
-def records(obs: DataFrame, p: CallParams = CallParams(), sites: DataFrame | None = None) -> DataFrame:
+def site_struct() -> Column:
+    """The site across samples, from ``stats`` and the samples' structs: counts and shares of each alternate in the order of alts, depth, edges of reads, means."""
+    short = [SHORT[s] for s in SAMPLES]
+    total = lambda f, where="true": f"aggregate(filter(map_entries(stats), e -> {where}), 0L, (a, e) -> a + e.value.{f})"
+    every = lambda f: " + ".join(f"coalesce({s}.{f}, 0L)" for s in short)
+    base = "substring_index(e.key, '_', -1)"
+    ac = f"transform(alts, (b, i) -> {' + '.join(f'coalesce(get({s}.ad, i + 1), 0L)' for s in short)})"
+    shown = f"transform(filter(map_entries(stats), e -> e.value.ad > 0), e -> {base})"
+    values = {
+        "ns": f"cast(size(filter(array({', '.join(short)}), s -> s IS NOT NULL)) AS bigint)", "an": f"cast(size(array_union(array(ref), {shown})) AS bigint)", "dp": total("ad"), "ac": ac, "mq0": total("mq0"),
+        **{c: every(c) for c in EDGES}, "_bq": total("sum_bq"), "_mq": total("sum_mq"), "_plus": total("plus"), "_alt": total("ad", f"{base} <> ref"),
+    }
+    share = lambda c: f"{hundredths_text(c, 'v.dp')} / 100.0D"
+    mean = lambda c: f"CASE WHEN v.dp > 0 THEN (2L * {c} + v.dp) div (2L * v.dp) END"
+    kept = [f"'{c}', v.{c}" for c in values if not c.startswith("_")]
+    more = [f"'af', transform(v.ac, c -> {share('c')})", f"'bq', {mean('v._bq')}", f"'mq', {mean('v._mq')}", f"'sb', {share('v._plus')}", f"'fa', {share('v._alt')}"]
+    text = ", ".join(f"'{k}', {v}" for k, v in values.items())
+    return F.expr(let("v", f"named_struct({text})", f"named_struct({', '.join(kept + more)})"))
+
+
+def site_info(records: DataFrame) -> DataFrame:
+    """Records with their ``site`` and modifications as entries of ``info`` (key -> values), as text in the order of the alternates."""
+    text = lambda f: F.array(F.col(f"site.{f}").cast("string"))
+    each = lambda c: F.transform(c, lambda x: x.cast("string"))
+    entries = {k: text(k.lower()) for k in ("NS", "AN", "DP", "INS", "DEL", "START", "STOP", "MQ0", "BQ", "MQ", "SB", "FA")}
+    entries |= {"AC": each("site.ac"), "AF": each("site.af"), "MT": F.transform("mods", lambda m: m["type"]), "MC": F.transform("mods", lambda m: F.concat_ws(">", m["src"], m["tgt"])), "SS": F.array(F.col("ss").cast("string")), "VT": F.array(F.lit("SNP"))}
+    made = F.create_map(*[x for k, v in entries.items() for x in (F.lit(k), v)])
+    made = F.when(F.col("somatic"), F.map_concat(made, F.create_map(F.lit("SOMATIC"), F.array(F.lit("True"))))).otherwise(made)
+    have = "info" in records.columns
+    return records.withColumn("info", F.map_concat(F.map_filter("info", lambda k, _: ~k.isin([*entries, "SOMATIC"])), made) if have else made)
+
+
+def records(obs: DataFrame, p: CallParams = CallParams(), sites: DataFrame | None = None, site: bool = False) -> DataFrame:
     """Calls with per-sample, per-allele evidence: alleles (ref, then alts) and a struct for each sample, null without passing reads.
 
-    sites: unfiltered counts of insertions, deletions, read starts and ends (chrom, pos, sample, ins, del, start, stop); zero where
+    site: with a struct of the place across samples (``site_struct``), from the same aggregate. sites: unfiltered counts of insertions, deletions, read starts and ends (chrom, pos, sample, ins, del, start, stop); zero where
     there is no row.
     """
     found = find_variants(site_evidence(obs, p), p)
@@ -220,7 +252,9 @@ def records(obs: DataFrame, p: CallParams = CallParams(), sites: DataFrame | Non
 
     counts = [count_column(s, b) for s in SAMPLES for b in BASES]
     helpers = [f"{SHORT[s]}_{c}" for s in SAMPLES for c in EDGES] if sites is not None else []
-    return computed(out, {SHORT[s]: sample(s) for s in SAMPLES}).drop("stats", *counts, *helpers)
+    out = computed(out, {SHORT[s]: sample(s) for s in SAMPLES})
+    out = computed(out, {"site": site_struct()}) if site else out
+    return out.drop("stats", *counts, *helpers)
 
 
 def run_totals(called: DataFrame) -> DataFrame:

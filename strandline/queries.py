@@ -789,6 +789,26 @@ def q_indels_and_depths(spark, d):
     return r.select("chrom", "pos", "m.src", "m.tgt", F.array_join(codes, "_").alias("codes"))
 
 
+@query(f"""{CALLS}, e AS (SELECT chrom, pos, sample, count(*) FILTER (line = 1) AS ins, count(*) FILTER (line = 2) AS del, count(*) FILTER (line = 3) AS st, count(*) FILTER (line = 4) AS en FROM obs GROUP BY ALL),
+k AS (SELECT DISTINCT chrom, pos, ref FROM mods), has AS (SELECT chrom, pos, sample, sum(ad) AS dp FROM stats GROUP BY ALL HAVING sum(ad) > 0),
+edges AS (SELECT chrom, pos, CAST(sum(ins) AS BIGINT) AS ins, CAST(sum(del) AS BIGINT) AS del, CAST(sum(st) AS BIGINT) AS start, CAST(sum(en) AS BIGINT) AS stop FROM e JOIN has USING (chrom, pos, sample) GROUP BY ALL),
+sums AS (SELECT chrom, pos, CAST(sum(ad) AS BIGINT) AS dp, CAST(sum(mq0) AS BIGINT) AS mq0, CAST(sum(sum_bq) AS BIGINT) AS b, CAST(sum(sum_mq) AS BIGINT) AS m, CAST(sum(plus) AS BIGINT) AS pl, CAST(coalesce(sum(ad) FILTER (base <> ref), 0) AS BIGINT) AS alt,
+  1 + count(DISTINCT base) FILTER (ad > 0 AND base <> ref) AS an FROM stats GROUP BY ALL),
+c AS (SELECT m.chrom, m.pos, m.tgt, CAST(dn + dt + rt AS BIGINT) AS n FROM (SELECT DISTINCT chrom, pos, tgt FROM mods WHERE tgt <> ref) m JOIN state s ON s.chrom = m.chrom AND s.pos = m.pos AND s.base = m.tgt),
+l AS (SELECT c.chrom, c.pos, string_agg(tgt || n || '=' || CAST({hundredths_sql('n', 'dp')} AS VARCHAR), ',' ORDER BY tgt) AS alts FROM c JOIN sums ON sums.chrom = c.chrom AND sums.pos = c.pos GROUP BY ALL)
+SELECT k.chrom, k.pos, an, dp, mq0, ins, del, start, stop, (2 * b + dp) // (2 * dp) AS bq, (2 * m + dp) // (2 * dp) AS mq, {hundredths_sql('pl', 'dp')} AS sb, {hundredths_sql('alt', 'dp')} AS fa, coalesce(alts, '') AS alts
+FROM k JOIN sums ON sums.chrom = k.chrom AND sums.pos = k.pos JOIN edges ON edges.chrom = k.chrom AND edges.pos = k.pos LEFT JOIN l ON l.chrom = k.chrom AND l.pos = k.pos""")
+def q_site_alleles(spark, d):
+    """The site across samples in the records' own aggregate: edges of reads, and count and share of each alternate (hundredths; here by letter, in records in the order of alts)."""
+    o = obs(spark, d)
+    sites = o.groupBy("chrom", "pos", "sample").agg(*[F.count_if(F.col("line") == k).alias(c) for k, c in enumerate(calling.EDGES, 1)])
+    r = calling.records(o, sites=sites, site=True)
+    called = F.filter(F.arrays_zip(F.col("alts").alias("b"), F.col("site.ac").alias("n"), F.col("site.af").alias("f")), lambda z: F.exists("mods", lambda m: m["tgt"] == z["b"]))
+    alts = F.array_join(F.array_sort(F.transform(called, lambda z: F.concat(z["b"], z["n"].cast("string"), F.lit("="), F.round(z["f"] * 100).cast("int").cast("string")))), ",")
+    share = lambda c: F.round(F.col(f"site.{c}") * 100).cast("long").alias(c)
+    return r.select("chrom", "pos", *[F.col(f"site.{c}").alias(c) for c in ("an", "dp", "mq0", *calling.EDGES, "bq", "mq")], share("sb"), share("fa"), alts.alias("alts"))
+
+
 @query(f"""WITH {OBS.replace("ELSE 'RNA_TUMOR' END", "ELSE 'RNA_NORMAL' END")}, {STATS}, {STATE.replace("'RNA_TUMOR'", "'RNA_NORMAL'")}, g AS (
   SELECT b.chrom, b.pos, b.ref, 'NOR_EDIT' AS type, d.base AS src, b.base AS tgt, b.dnt, b.rtt FROM state b JOIN state d ON b.chrom = d.chrom AND b.pos = d.pos AND b.base <> d.base
   WHERE b.rtt >= 4 AND b.rt >= 2 AND b.dn = 0 AND NOT b.isref AND (d.dn > 0 OR d.isref)

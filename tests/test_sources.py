@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import fisher, strings
 from strandline.operators import calling, reads
-from strandline.plans.calling import call_pileups
+from strandline.plans.calling import call_pileups, call_records
 from strandline.sources import pileup, tables, vcf
 
 
@@ -212,3 +212,23 @@ def test_log_factorials_at_any_depth(spark):
     n = [-3, 0, 1, 2, 15, 16, 17, 40, 1000, 8000, 123456]
     got = spark.createDataFrame([(k,) for k in n], "n long").select("n", fisher.log_factorial(F.col("n")).alias("v")).collect()
     assert all(abs(r.v - math.lgamma(max(r.n, 0) + 1)) <= 2e-14 * max(1, math.lgamma(max(r.n, 0) + 1)) for r in got)
+
+
+def test_pileups_to_records_with_the_site(spark):
+    """From pileup rows to INFO: counts and shares in the order of the alternates, edges of reads over the samples, unsure places on demand."""
+    q = lambda n: "I" * n
+    normal = [("1", 10, "A", 12, "." * 10 + "^I.$.", q(12), q(12)), ("1", 11, "N", 8, "." * 8, q(8), q(8)), ("1", 12, "C", 8, "." * 8, q(8), q(8))]
+    tumor = [("1", 10, "A", 20, "." * 8 + "C" * 7 + "g" * 4 + "+2AC^I.", q(20), q(20)), ("1", 11, "N", 8, "T" * 8, q(8), q(8)), ("1", 12, "G", 8, "." * 8, q(8), q(8))]
+    frames = {"DNA_NORMAL": spark.createDataFrame(normal, pileup.SCHEMA), "DNA_TUMOR": spark.createDataFrame(tumor, pileup.SCHEMA)}
+    (r,) = call_records(frames).collect()
+    alts = r.alts
+    assert sorted(alts) == ["C", "G"] and r.site.dp == 32
+    count = {"C": 7, "G": 4}
+    assert r.info["AC"] == [str(count[b]) for b in alts] and r.info["AF"] == [{"C": "0.22", "G": "0.13"}[b] for b in alts]  # 4 / 32 rounds half up
+    assert {k: r.info[k] for k in ("NS", "AN", "DP", "INS", "DEL", "START", "STOP", "MQ0", "BQ", "SB", "FA", "VT", "SS")} == {
+        "NS": ["2"], "AN": ["3"], "DP": ["32"], "INS": ["1"], "DEL": ["0"], "START": ["2"], "STOP": ["1"], "MQ0": ["0"], "BQ": ["40"], "SB": [str(round(28 / 32, 2))], "FA": [str(round(11 / 32, 2))], "VT": ["SNP"], "SS": ["2"],
+    }
+    assert r.info["SOMATIC"] == ["True"] and r.info["MT"] == ["SOM"] * len(r.mods) and r.info["MC"] == [f"A>{m.tgt}" for m in r.mods]
+    every = {x.pos: x["filter"] for x in call_pileups(frames, output_all=True, unsure=True).collect()}
+    assert every[10] == ["PASS"] and "noref" in every[11] and "diffref" in every[12] and "PASS" not in every[11] + every[12]
+    assert {x.pos for x in call_pileups(frames, output_all=True).collect()} == {10}
