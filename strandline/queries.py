@@ -960,7 +960,7 @@ def q_read_loci(spark, d):
 # Merge with RNA rows
 
 
-@query(f"""{SIDES}, fresh AS (SELECT r.* FROM r WHERE pos % 2 = 0 AND NOT EXISTS (SELECT 1 FROM l WHERE l.ok AND l.chrom = r.chrom AND l.pos = r.pos)), o AS (SELECT r.chrom, r.pos FROM r JOIN l ON r.chrom = l.chrom AND r.pos = l.pos WHERE r.ok AND l.ok),
+@query(f"""{SIDES}, fresh AS (SELECT r.* FROM r WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.ok AND l.chrom = r.chrom AND l.pos = r.pos)), o AS (SELECT r.chrom, r.pos FROM r JOIN l ON r.chrom = l.chrom AND r.pos = l.pos WHERE r.ok AND l.ok),
 j AS (SELECT coalesce(l.chrom, r.chrom) AS chrom, coalesce(l.pos, r.pos) AS pos, l.chrom IS NOT NULL AS hd, coalesce(l.ok, false) AS lok, r.chrom IS NOT NULL AS hr, coalesce(r.ok, false) AS rok, n.chrom IS NOT NULL AS hn, o.chrom IS NOT NULL AS in_both,
     coalesce(l.germ, r.germ) AS germ, coalesce(l.som, r.som) AS som, coalesce(l.edit, r.edit) AS edit
   FROM l FULL JOIN r ON r.chrom = l.chrom AND r.pos = l.pos LEFT JOIN fresh n ON n.chrom = r.chrom AND n.pos = r.pos LEFT JOIN o ON o.chrom = r.chrom AND o.pos = r.pos),
@@ -970,7 +970,7 @@ SELECT chrom, pos, filter, concat_ws(',', CASE WHEN germ THEN 'GERM' END, CASE W
 def q_merge_with_rna(spark, d):
     left, right = sides(spark, d)
     full = lambda df, o: df.withColumns({"origin": F.array(F.lit(o)), "mod_filters": F.array().cast("array<string>")})
-    apart = compare.non_overlap(right.withColumn("filter", F.array(F.lit("PASS"))), merge.passing(left)).where("pos % 2 = 0").select("chrom", "pos")
+    apart = compare.non_overlap(right.withColumn("filter", F.array(F.lit("PASS"))), merge.passing(left)).select("chrom", "pos")
     only = right.join(apart, ["chrom", "pos"], "left_semi").withColumn("filter", F.array(F.when(F.col("pos") % 5 == 0, "rtmnbq").otherwise("PASS")))
     out = merge.merge_rna_and_dna(full(left, "DNA"), full(right, "RNA"), compare.overlap(right, left), full(only, "RNA"))
     return out.select("chrom", "pos", *[F.array_join(F.array_sort(c), s).alias(c) for c, s in (("filter", ";"), ("types", ","), ("origin", ","))])
