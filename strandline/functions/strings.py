@@ -21,12 +21,10 @@ def parse_info(info: Column) -> Column:
     return F.map_from_entries(F.coalesce(F.transform(items, entry), F.array().cast("array<struct<k:string,v:array<string>>>")))
 
 
-def format_info(info: Column) -> Column:
-    """Keys in order; flags as bare keys; an empty map is "."."""
-    text = F.array_join(
-        F.transform(F.array_sort(F.map_keys(info)), lambda k: F.when(info[k] == F.array(F.lit("True")), k).otherwise(F.concat(k, F.lit("="), F.array_join(info[k], ",")))),
-        ";",
-    )
+def format_info(info: Column, by_key: bool = True) -> Column:
+    """Entries by key, or in the map's own order; flags as bare keys; an empty map is "."."""
+    keys = F.array_sort(F.map_keys(info)) if by_key else F.map_keys(info)
+    text = F.array_join(F.transform(keys, lambda k: F.when(info[k] == F.array(F.lit("True")), k).otherwise(F.concat(k, F.lit("="), F.array_join(info[k], ",")))), ";")
     return F.when(text == "", ".").otherwise(text)
 
 
@@ -60,9 +58,13 @@ def derived_sample(line: Column) -> Column:
     return F.regexp_extract(line, r"Derived=([^,>]*)", 1)
 
 
+#: Fixed value: a sample's barcode inside a file name.
+BARCODE = r"TCGA-[0-9A-Za-z]{2}-[0-9A-Za-z]{4}-[0-9A-Za-z-]*"
+
+
 def barcode(path: Column) -> Column:
     """A TCGA barcode inside a file name."""
-    return F.regexp_extract(path, r"TCGA-[0-9A-Za-z]{2}-[0-9A-Za-z]{4}-[0-9A-Za-z-]*", 0)
+    return F.regexp_extract(path, BARCODE, 0)
 
 
 def parse_effects(effects: Column) -> Column:

@@ -28,9 +28,14 @@ def write_bed(intervals: DataFrame, path: str, compression: str = "none") -> Non
     intervals.select("chrom", "start", "end", "name").write.mode("overwrite").option("sep", "\t").option("emptyValue", "").option("compression", compression).csv(path)
 
 
-def chromosome_files(folder: str, chrom: str) -> list[str]:
-    """A chromosome's file in a folder, gzipped first."""
-    return [f"{folder}/chr{chrom}.bed.gz", f"{folder}/chr{chrom}.bed"]
+def chromosome_file(spark: SparkSession, folder: str, chrom: str) -> str:
+    """A chromosome's interval file in a folder of any store that Spark reads: the gzipped one if it is there, else the plain one."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in (f"{folder}/chr{chrom}.bed.gz", f"{folder}/chr{chrom}.bed"):
+        at = hadoop.Path(path)
+        if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+            return path
+    raise FileNotFoundError(f"no chr{chrom}.bed.gz or chr{chrom}.bed in {folder}")
 
 
 def read_list(spark: SparkSession, path) -> DataFrame:

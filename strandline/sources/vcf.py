@@ -9,7 +9,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.functions.strings import format_info, parse_info, parse_sample
+from strandline.functions.strings import BARCODE, format_info, parse_info, parse_sample
 
 #: The columns before the samples.
 FIXED = ["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT"]
@@ -80,14 +80,24 @@ def merge_headers(headers: list[list[str]]) -> list[str]:
     return [*first, *groups["SAMPLE"], *groups["PEDIGREE"], *(h for k in ("FILTER", "INFO", "FORMAT") for h in sorted(groups[k], key=by_id)), *[h for h in seen if h.startswith("#CHROM")][:1]]
 
 
-def header_lines(samples: list[str], params: dict[str, str], filters: dict[str, str] | None = None, infos: dict[str, tuple[str, str, str]] | None = None, formats: dict[str, tuple[str, str, str]] | None = None) -> list[str]:
+def sample_line(name: str, patient: str, file: str, description: str, analyte: str, platform: str | None = None, source: str | None = None) -> str:
+    """The ``##SAMPLE`` line of a sample; its name is the barcode in the file's name, or the patient."""
+    found = re.search(BARCODE, file)
+    fields = {"ID": name, "SampleName": found[0] if found else patient, "Individual": patient}
+    quoted = {"Description": description, "File": file, "Analyte": analyte, "Platform": platform, "Source": source}
+    return "##SAMPLE=<" + ",".join([*(f"{k}={v}" for k, v in fields.items()), *(f'{k}="{v}"' for k, v in quoted.items() if v is not None)]) + ">"
+
+
+def header_lines(samples: list[str] | dict[str, str], params: dict[str, str], filters: dict[str, str] | None = None, infos: dict[str, tuple[str, str, str]] | None = None, formats: dict[str, tuple[str, str, str]] | None = None) -> list[str]:
+    """Header lines; ``samples`` are names, or ``sample_line`` lines by name."""
     out = ["##fileformat=VCFv4.1", "##vcfGenerator=<" + ",".join(f"{k}=<{v}>" for k, v in params.items()) + ">"]
-    out += [f"##SAMPLE=<ID={s}>" for s in samples]
-    out += [f"##PEDIGREE=<Derived={s},Original={samples[0]}>" for s in samples[1:]]
+    names = list(samples)
+    out += list(samples.values()) if isinstance(samples, dict) else [f"##SAMPLE=<ID={s}>" for s in samples]
+    out += [f"##PEDIGREE=<Derived={s},Original={names[0]}>" for s in names[1:]]
     out += [f'##FILTER=<ID={k},Description="{v}">' for k, v in sorted((filters or {}).items())]
     for key, table in (("INFO", infos), ("FORMAT", formats)):
         out += [f'##{key}=<ID={k},Number={n},Type={t},Description="{d}">' for k, (n, t, d) in sorted((table or {}).items())]
-    return [*out, "#" + "\t".join([*FIXED, *samples])]
+    return [*out, "#" + "\t".join([*FIXED, *names])]
 
 
 def read_vcf(spark: SparkSession, path: str | list[str], samples: list[str], passing_only: bool = False) -> DataFrame:
@@ -110,8 +120,8 @@ def joined(values: Column, sep: str) -> Column:
     return F.when(F.size(values) > 0, F.array_join(values, sep)).otherwise(".")
 
 
-def format_lines(records: DataFrame, samples: list[str], *keep: str) -> DataFrame:
-    """Records as lines; an absent sample is ``./.``, on Y a dot. keep: columns that stay beside the line."""
+def format_lines(records: DataFrame, samples: list[str], *keep: str, info_sorted: bool = True) -> DataFrame:
+    """Records as lines; an absent sample is ``./.``, on Y a dot. keep: columns that stay beside the line. info_sorted: INFO by key, else in the order in which the record has it."""
     empty = F.when(F.col("chrom").isin("Y", "chrY"), ".").otherwise("./.")
 
     def sample(s: str) -> Column:
@@ -119,15 +129,15 @@ def format_lines(records: DataFrame, samples: list[str], *keep: str) -> DataFram
         return F.when(F.col(s.lower()).isNull(), empty).otherwise(F.array_join(values, ":"))
 
     qual = F.when(F.col("qual").isNull(), ".").when(F.col("qual") == F.floor("qual"), F.col("qual").cast("long").cast("string")).otherwise(F.col("qual").cast("string"))
-    return records.select(*keep, F.concat_ws("\t", "chrom", F.col("pos").cast("string"), joined(F.col("id"), ";"), joined(F.col("ref"), ","), joined(F.col("alt"), ","), qual, joined(F.col("filter"), ";"), format_info(F.col("info")), joined(F.col("format"), ":"), *[sample(s) for s in samples]).alias("value"))
+    return records.select(*keep, F.concat_ws("\t", "chrom", F.col("pos").cast("string"), joined(F.col("id"), ";"), joined(F.col("ref"), ","), joined(F.col("alt"), ","), qual, joined(F.col("filter"), ";"), format_info(F.col("info"), info_sorted), joined(F.col("format"), ":"), *[sample(s) for s in samples]).alias("value"))
 
 
-def write_vcf(records: DataFrame, samples: list[str], header: list[str], path: str, compression: str = "none", mode: str = "overwrite") -> None:
+def write_vcf(records: DataFrame, samples: list[str], header: list[str], path: str, compression: str = "none", mode: str = "overwrite", info_sorted: bool = True) -> None:
     """A folder of text parts that, one after another by name, are one file: the header, then the records by chromosome and position.
 
-    Mode "append" adds records to a folder that has a header.
+    Mode "append" adds records to a folder that has a header; info_sorted: see ``format_lines``.
     """
-    lines = format_lines(records, samples, "chrom", "pos").select(F.lit(1).alias("k"), F.expr("try_cast(chrom AS int)").alias("n"), "chrom", "pos", "value")
+    lines = format_lines(records, samples, "chrom", "pos", info_sorted=info_sorted).select(F.lit(1).alias("k"), F.expr("try_cast(chrom AS int)").alias("n"), "chrom", "pos", "value")
     if mode != "append":
         head = records.sparkSession.createDataFrame([(0, None, "", k, h) for k, h in enumerate(header)], "k int, n int, chrom string, pos long, value string")
         lines = head.unionByName(lines)

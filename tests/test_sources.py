@@ -232,3 +232,30 @@ def test_pileups_to_records_with_the_site(spark):
     every = {x.pos: x["filter"] for x in call_pileups(frames, output_all=True, unsure=True).collect()}
     assert every[10] == ["PASS"] and "noref" in every[11] and "diffref" in every[12] and "PASS" not in every[11] + every[12]
     assert {x.pos for x in call_pileups(frames, output_all=True).collect()} == {10}
+
+
+def test_info_keeps_its_order_on_rewrite(spark, tmp_path):
+    line = LINES[0].split("\t")
+    line[7] = "SS=2;DB;AC=5,1;MT=SOM;AB=x"
+    (tmp_path / "a.vcf").write_text("\n".join([*HEADER, "\t".join(line)]) + "\n")
+    r = vcf.read_vcf(spark, str(tmp_path / "a.vcf"), vcf.sample_columns(HEADER))
+    assert vcf.format_lines(r, vcf.sample_columns(HEADER), info_sorted=False).first().value.split("\t")[7] == line[7]
+    assert vcf.format_lines(r, vcf.sample_columns(HEADER)).first().value.split("\t")[7] == "AB=x;AC=5,1;DB;MT=SOM;SS=2"
+    vcf.write_vcf(r, vcf.sample_columns(HEADER), HEADER, str(tmp_path / "out"), info_sorted=False)
+    text = "".join(f.read_text() for f in sorted((tmp_path / "out").glob("part-*")))
+    assert text.splitlines()[-1].split("\t")[7] == line[7]
+
+
+def test_sample_lines_and_chromosome_files(spark, tmp_path):
+    own = {"DNA_NORMAL": vcf.sample_line("DNA_NORMAL", "P1", "/d/TCGA-AB-1234-01A-11D.bam", "normal", "DNA"), "DNA_TUMOR": vcf.sample_line("DNA_TUMOR", "P1", "/d/t.bam", "tumor", "DNA", platform="x", source="y")}
+    made = vcf.header_lines(own, {"fasta": "hg19.fa"})
+    assert own["DNA_TUMOR"] == '##SAMPLE=<ID=DNA_TUMOR,SampleName=P1,Individual=P1,Description="tumor",File="/d/t.bam",Analyte="DNA",Platform="x",Source="y">'
+    assert vcf.parse_meta(own["DNA_NORMAL"])[1]["SampleName"].startswith("TCGA-AB-1234") and set(own.values()) <= set(made)
+    assert vcf.sample_columns(made) == ["DNA_NORMAL", "DNA_TUMOR"] and "##PEDIGREE=<Derived=DNA_TUMOR,Original=DNA_NORMAL>" in made
+    (tmp_path / "chr1.bed").write_text("1\t0\t5\n")
+    assert tables.chromosome_file(spark, str(tmp_path), "1").endswith("chr1.bed")
+    with gzip.open(tmp_path / "chr1.bed.gz", "wt") as f:
+        f.write("1\t0\t9\n")
+    assert tables.read_bed(spark, tables.chromosome_file(spark, str(tmp_path), "1")).first().end == 9
+    with pytest.raises(FileNotFoundError):
+        tables.chromosome_file(spark, str(tmp_path), "2")
