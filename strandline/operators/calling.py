@@ -39,9 +39,10 @@ def region(obs: DataFrame, chrom: str | None = None, start: int | None = None, s
     return reduce(lambda df, t: df.where(t) if t is not None else df, tests, obs)
 
 
-def batch_ranges(spark, start: int, end: int, size: int = 250_000_000) -> DataFrame:
-    """Ranges of at most ``size`` positions."""
-    return spark.range(start, end + 1, size).select(F.col("id").alias("start"), F.least(F.col("id") + size - 1, F.lit(end)).alias("stop"))
+def batch_ranges(extents: DataFrame, size: int = 250_000_000) -> DataFrame:
+    """Ranges of at most ``size`` positions over the extent of each chromosome (chrom, start, stop; stop is part of it)."""
+    first = F.explode(F.expr(f"sequence(cast(start AS bigint), cast(stop AS bigint), {size}L)"))
+    return extents.where("start <= stop").select("chrom", "stop", first.alias("start")).select("chrom", "start", F.least(F.col("start") + size - 1, F.col("stop").cast("long")).alias("stop"))
 
 
 def at_coordinates(obs: DataFrame, coordinates: DataFrame, prune: bool = True) -> DataFrame:

@@ -111,9 +111,12 @@ def q_region(spark, d):
     return calling.region(obs(spark, d), "7", 100, 1500).select("chrom", "pos", "sample", "base")
 
 
-@query("SELECT CAST(s AS BIGINT) AS start, CAST(least(s + 249999999, 3100000000) AS BIGINT) AS stop FROM range(1, 3100000001, 250000000) r(s)")
+@query("""WITH e AS (SELECT CAST(p_size % 25 AS VARCHAR) AS chrom, min(p_partkey * 10) AS a, max(p_partkey * 10 + 9) AS b FROM part GROUP BY ALL), s AS (SELECT chrom, b, unnest(range(a, b + 1, 1000)) AS start FROM e)
+SELECT chrom, CAST(start AS BIGINT) AS start, CAST(least(start + 999, b) AS BIGINT) AS stop FROM s""")
 def q_batch_ranges(spark, d):
-    return calling.batch_ranges(spark, 1, 3_100_000_000)
+    """Batches of a thousand positions over the extent of each chromosome's calls, ten positions for each part."""
+    extents = read(spark, d, "part").groupBy((F.col("p_size") % 25).cast("string").alias("chrom")).agg(F.min(F.col("p_partkey") * 10).alias("start"), F.max(F.col("p_partkey") * 10 + 9).alias("stop"))
+    return calling.batch_ranges(extents, 1000)
 
 
 @query(f"WITH {OBS}, {STATS} SELECT * FROM stats")
