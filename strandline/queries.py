@@ -6,6 +6,7 @@ and discount), and the other views build calls, intervals, reads and hits from t
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from strandline.functions import genotype, strings
 from strandline.functions.rounding import hundredths_sql, ratio2
 from strandline.operators import calling, compare, genes, intervals, merge, read_evidence, realign, reads, score, support
 from strandline.operators.calling import BASES
+from strandline.plans.filtering import FilterPlan
 from strandline.sources import reference
 
 #: Lower minimums than the presets': a position has about thirty reads over three samples.
@@ -335,12 +337,12 @@ def q_final_mod_type(spark, d):
     return out.withColumn("ss", support.ss_of(F.col("final_type")))
 
 
-def enough_sql(n: str, total: str, how: str = "AND") -> str:
-    return f"({n} >= 4 {how} coalesce({hundredths_sql(f'CAST({n} AS BIGINT)', f'CAST({total} AS BIGINT)')}, 0) >= 10)"
+def enough_sql(n: str, total: str, how: str = "AND", depth: int = 4, pct: int = 10) -> str:
+    return f"({n} >= {depth} {how} coalesce({hundredths_sql(f'CAST({n} AS BIGINT)', f'CAST({total} AS BIGINT)')}, 0) >= {pct})"
 
 
-def weak_sql(n: str, code: str) -> str:
-    return f"CASE WHEN {n} < 4 THEN 'dn{code}ad' END, CASE WHEN coalesce({hundredths_sql(f'CAST({n} AS BIGINT)', 'CAST(dnt AS BIGINT)')}, 0) < 10 THEN 'dn{code}af' END"
+def weak_sql(n: str, code: str, depth: int = 4, pct: int = 10) -> str:
+    return f"CASE WHEN {n} < {depth} THEN 'dn{code}ad' END, CASE WHEN coalesce({hundredths_sql(f'CAST({n} AS BIGINT)', 'CAST(dnt AS BIGINT)')}, 0) < {pct} THEN 'dn{code}af' END"
 
 
 #: Modifications after the pre-filter, the codes of those that none survived, and the failing rules of each.
@@ -373,6 +375,57 @@ def q_filter_by_support(spark, d):
     return r.select("chrom", "pos", "final_type", "ss", "somatic", F.array_join("filter", ";").alias("filter"), F.array_join("origin", ",").alias("origin"), F.array_join(mods, ",").alias("mods"))
 
 
+def judged_sql(x: str, mods: str, rna: bool) -> str:
+    """Tables out_x (modifications after judging those of ``mods``) and sum_x (ok, codes) with the DNA or the RNA preset at lower minimums; their helpers end in x, too."""
+    depth, pct = (1, 1) if rna else (4, 10)
+    low = {"dn": 0, "dt": 1, "rt": 10} if rna else {"dn": 10, "dt": 10, "rt": 10}
+    of = lambda s, t: f"(SELECT * FROM e_{s}_{x} WHERE {t})"
+    full = lambda s, t: full_sql(s, of(s, t), low[s], 0.10)
+    context = lambda s, t: context_sql(s, of(s, t), 0.10)
+    named = lambda code, t: f"SELECT chrom, pos, type, src, tgt, '{code}' FROM g_{x} WHERE {t}"
+    germ, som, edit = "type = 'GERM'", "type = 'SOM'", "type = 'TUM_EDIT'"
+    rules = [full("dn", germ), full("dt", som), context("dn", som), context("dn", edit), context("dt", edit)]
+    rules += [named("dnacall", germ), full("rt", f"{som} AND dp > 0"), named("rtmndp", f"{som} AND rtt = 0"), full("rt", edit)] if rna else [named("rnacall", edit)]
+    evidence = lambda s, sample: re.sub(r"\bg\b", f"g_{x}", evidence_sql(s, sample)).replace(f"e_{s} AS", f"e_{s}_{x} AS")
+    depths = lambda name, m: DEPTHS.replace("g AS", f"{name} AS").replace("FROM mods m", f"FROM {m} m")
+    enough = lambda n, total, how="AND": enough_sql(n, total, how, depth, pct)
+    return f"""{depths(f'g0_{x}', mods)},
+one_{x} AS (SELECT chrom, pos, ref, src, tgt, unnest(CASE
+    WHEN type = 'GERM' THEN CASE WHEN {enough('dn_tgt', 'dnt')} THEN ['GERM'] WHEN {enough('dt_tgt', 'dtt', 'OR')} THEN ['SOM'] ELSE [] END
+    WHEN type = 'SOM' THEN CASE WHEN dnt > 0 AND {enough('dn_src', 'dnt')} THEN ['SOM'] ELSE [] END
+    ELSE CASE WHEN {enough('dt_tgt', 'dtt')} THEN ['TUM_EDIT', 'SOM'] ELSE ['TUM_EDIT'] END END) AS type FROM g0_{x}),
+live_{x} AS (SELECT DISTINCT chrom, pos FROM one_{x}),
+pre_{x} AS (SELECT chrom, pos, unnest(CASE WHEN type = 'GERM' THEN [{weak_sql('dn_tgt', 'mn', depth, pct)}] WHEN type = 'SOM' AND dnt = 0 THEN ['dnmndp'] WHEN type = 'SOM' THEN [{weak_sql('dn_src', 'mnref', depth, pct)}] ELSE [] END) AS code FROM g0_{x} ANTI JOIN live_{x} USING (chrom, pos)),
+mods_{x} AS (SELECT DISTINCT chrom, pos, ref, type, src, tgt FROM one_{x} UNION ALL SELECT chrom, pos, ref, type, src, tgt FROM {mods} ANTI JOIN live_{x} USING (chrom, pos)),
+{depths(f'g_{x}', f'mods_{x}')}, {evidence('dn', 'DNA_NORMAL')}, {evidence('dt', 'DNA_TUMOR')}, {evidence('rt', 'RNA_TUMOR')},
+f_{x} AS ({' UNION ALL '.join(rules)}),
+c_{x} AS (SELECT chrom, pos, code FROM f_{x} WHERE code IS NOT NULL UNION SELECT chrom, pos, code FROM pre_{x} WHERE code IS NOT NULL),
+k_{x} AS (SELECT m.*, p.chrom IS NULL AND b.chrom IS NULL AS alive FROM mods_{x} m LEFT JOIN (SELECT DISTINCT chrom, pos FROM pre_{x} WHERE code IS NOT NULL) p ON p.chrom = m.chrom AND p.pos = m.pos
+  LEFT JOIN (SELECT DISTINCT chrom, pos, type, src, tgt FROM f_{x} WHERE code IS NOT NULL) b ON b.chrom = m.chrom AND b.pos = m.pos AND b.type = m.type AND b.src = m.src AND b.tgt = m.tgt),
+out_{x} AS (SELECT chrom, pos, ref, type, src, tgt, ok FROM (SELECT *, bool_or(alive) OVER (PARTITION BY chrom, pos) AS ok FROM k_{x}) WHERE alive OR NOT ok),
+sum_{x} AS (SELECT chrom, pos, bool_or(ok) AS ok, bool_or(type = 'GERM') AS germ, bool_or(type = 'SOM') AS som FROM out_{x} GROUP BY ALL)"""
+
+
+@query(f"""{CALLS}, {judged_sql('d', 'mods', False)}, {judged_sql('r', 'mods', True)},
+open AS (SELECT r.chrom, r.pos, r.ref, r.type, r.src, r.tgt FROM out_r r JOIN sum_d d ON d.chrom = r.chrom AND d.pos = r.pos WHERE r.ok AND NOT d.ok), {judged_sql('n', 'open', False)},
+w AS (SELECT d.chrom, d.pos, d.ok AS dok, r.ok AS rok, d.ok AND r.ok AND d.som AND r.som AS together,
+  coalesce(NOT n.germ AND NOT (NOT n.ok AND EXISTS (SELECT 1 FROM c_n WHERE c_n.chrom = d.chrom AND c_n.pos = d.pos AND starts_with(c_n.code, 'dnm'))), false) AS rescued
+  FROM sum_d d JOIN sum_r r ON r.chrom = d.chrom AND r.pos = d.pos LEFT JOIN sum_n n ON n.chrom = d.chrom AND n.pos = d.pos),
+codes AS (SELECT w.chrom, w.pos, c.code FROM w JOIN c_d c ON c.chrom = w.chrom AND c.pos = w.pos WHERE NOT dok AND NOT rescued UNION SELECT w.chrom, w.pos, c.code FROM w JOIN c_r c ON c.chrom = w.chrom AND c.pos = w.pos WHERE NOT dok AND NOT rok),
+stands AS (SELECT w.*, o.type, o.src, o.tgt FROM w JOIN out_d o ON o.chrom = w.chrom AND o.pos = w.pos WHERE NOT rescued UNION ALL SELECT w.*, o.type, o.src, o.tgt FROM w JOIN out_r o ON o.chrom = w.chrom AND o.pos = w.pos WHERE rescued)
+SELECT chrom, pos, CASE WHEN bool_or(dok OR rescued) THEN 'PASS' ELSE (SELECT string_agg(code, ';' ORDER BY code) FROM codes WHERE codes.chrom = s.chrom AND codes.pos = s.pos) END AS filter,
+  CASE WHEN bool_or(rescued) THEN 'RNA' WHEN bool_or(together OR (NOT dok AND NOT rok)) THEN 'DNA,RNA' ELSE 'DNA' END AS origin, string_agg(DISTINCT type, ',' ORDER BY type) AS types,
+  CAST(CASE WHEN bool_or(type = 'GERM') THEN 1 WHEN bool_or(type = 'SOM') THEN 2 ELSE 4 END AS INT) AS ss, string_agg(type || ':' || src || '>' || tgt, ',' ORDER BY type || ':' || src || '>' || tgt) AS mods
+FROM stands s GROUP BY chrom, pos""")
+def q_filter_plan(spark, d):
+    """The whole plan without databases: both branches, what only RNA passes judged again, and the call that stands with the modifications and the status of its branch."""
+    r = calling.records(obs(spark, d)).withColumns({"id": F.array().cast("array<string>"), "info": F.expr("map('VT', array('SNP'))")})
+    out = FilterPlan(dna=DNA_LOW, rna=RNA_LOW).run(r)
+    text = lambda c, sep: F.array_join(F.array_sort(c), sep)
+    mods = F.transform("mods", lambda m: F.concat(m["type"], F.lit(":"), m["src"], F.lit(">"), m["tgt"]))
+    return out.select("chrom", "pos", text(F.col("filter"), ";").alias("filter"), text(F.col("origin"), ",").alias("origin"), text(F.col("types"), ",").alias("types"), "ss", text(mods, ",").alias("mods"))
+
+
 @query(f"""{CALLS}, {DEPTHS}, h AS (SELECT chrom, pos, type, src, tgt, dt_tgt >= 4 AND {hundredths_sql('CAST(dt_tgt AS BIGINT)', 'CAST(dtt AS BIGINT)')} >= 10 AS ok FROM g WHERE type = 'TUM_EDIT')
 SELECT chrom, pos, src, tgt, CASE WHEN ok THEN 'TUM_EDIT,SOM' ELSE 'TUM_EDIT' END AS types FROM h""")
 def q_pre_filter(spark, d):
