@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 BIN, LONG = 10_000, 64
 
@@ -85,10 +86,29 @@ def length(intervals: DataFrame) -> DataFrame:
     return intervals.distinct().agg(F.count("*").alias("n_intervals"))
 
 
-def near_positions(calls: DataFrame, spans: DataFrame, start: str, end: str, size: int = BIN) -> DataFrame:
-    """Calls with each span (chrom, start, end) whose bases they fall in; ``spans`` keeps its own columns."""
+def deep_bins(spans: DataFrame, limit: int) -> DataFrame:
+    """(_chrom, _bin, _parts) of bins that more than ``limit`` spans touch, by a count of all; there are at most as many rows as spans and bins over ``limit``."""
+    counts = spans.groupBy("_chrom", "_bin").agg(F.count("*").alias("n"))
+    return counts.where(F.col("n") > limit).select("_chrom", "_bin", F.ceil(F.col("n") / limit).cast("int").alias("_parts"))
+
+
+def near_positions(calls: DataFrame, spans: DataFrame, start: str, end: str, size: int = BIN, deep: int | None = None) -> DataFrame:
+    """Calls with each span (chrom, start, end) whose bases they fall in; ``spans`` keeps its own columns.
+
+    deep: bins that more spans touch are dealt in parts of about that many, by a hash of the span, and their calls are copied to each part: a pile of reads at
+    one place is spread over tasks, whatever the place's width.
+    """
     bins = F.explode(F.sequence(F.floor(F.col(start) / size), F.floor((F.col(end) - 1) / size)))
     s = spans.withColumn("_bin", bins).withColumnRenamed("chrom", "_chrom")
     base = F.col("pos") - 1
-    on = (F.col("chrom") == F.col("_chrom")) & (F.floor(base / size) == F.col("_bin")) & (base >= F.col(start)) & (base < F.col(end))
-    return calls.join(s, on).drop("_bin", "_chrom")
+    placed = calls.withColumn("_of", F.floor(base / size))
+    on = (F.col("chrom") == F.col("_chrom")) & (F.col("_of") == F.col("_bin")) & (base >= F.col(start)) & (base < F.col(end))
+    if deep is None:
+        return placed.join(s, on).drop("_bin", "_chrom", "_of")
+    parts = deep_bins(s.select("_chrom", "_bin"), deep)
+    whole = lambda c: F.coalesce(c, F.lit(1))
+    own = F.xxhash64(*[c for c in spans.columns if not isinstance(spans.schema[c].dataType, MapType) and c != "chrom"])
+    dealt = s.join(parts, ["_chrom", "_bin"], "left").withColumn("_part", F.pmod(own, whole(F.col("_parts"))).cast("int")).drop("_parts")
+    wanted = parts.select(F.col("_chrom").alias("_c"), F.col("_bin").alias("_b"), "_parts")
+    copied = placed.join(wanted, (F.col("chrom") == F.col("_c")) & (F.col("_of") == F.col("_b")), "left").withColumn("_copy", F.explode(F.sequence(F.lit(0), whole(F.col("_parts")) - 1))).drop("_c", "_b", "_parts")
+    return copied.join(dealt, on & (F.col("_copy") == F.col("_part"))).drop("_bin", "_chrom", "_of", "_copy", "_part")

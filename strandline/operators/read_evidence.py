@@ -30,7 +30,7 @@ ALIGNMENT = ["chrom", "start", "cigar", "seq"]
 
 @dataclass(frozen=True)
 class ReadLimits:
-    """Limits of reads and of their shares; shares are compared after rounding to two decimals."""
+    """Limits of reads and of their shares (compared after rounding to two decimals), which calls are judged, and how deep places are dealt."""
 
     min_base_qual: int = 10
     min_map_qual: int = 10
@@ -48,6 +48,8 @@ class ReadLimits:
     max_multi: float = 0.90
     min_multi_depth: int = 4
     passing_only: bool = True
+    #: Reads of one bin beyond which it is dealt in parts; None: adaptive execution alone splits deep places.
+    deep: int | None = None
 
 
 def germline_bases(calls: DataFrame) -> DataFrame:
@@ -85,7 +87,7 @@ def reads_over(loci: DataFrame, reads: DataFrame, p: ReadLimits) -> DataFrame:
     """Usable reads of each locus's sample with a base of the lane's alleles: base as read, own (on the genome's strand), bq, qpos."""
     spans = reads.select(F.col("sample").alias("_sample"), "chrom", "start", (F.col("start") + reference_span(F.col("cigar"))).alias("_end"), "read_name", "flag", "mapq", "cigar", "mate_start", "seq", "qual").where("_end > start")
     bad = flag(F.col("flag"), QC_FAIL) | flag(F.col("flag"), UNMAPPED) | flag(F.col("flag"), DUPLICATE)
-    over = near_positions(loci, spans.where(~bad), "start", "_end").where(F.col("sample") == F.col("_sample"))
+    over = near_positions(loci, spans.where(~bad), "start", "_end", deep=p.deep).where(F.col("sample") == F.col("_sample"))
     if not p.include_secondary:
         over = over.where(F.col("dna") | ~flag(F.col("flag"), SECONDARY))
     # as a generator's output: the walk and the filters above it are not evaluated again for each column that reads them

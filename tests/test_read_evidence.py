@@ -276,3 +276,21 @@ def test_common_alignments_are_compared_once(spark, made):
     calls, reads = spark.createDataFrame(call, CALL), spark.createDataFrame(rows, READ)
     (lane,) = E.lane_evidence(calls, reads, ref).collect()
     assert (lane.n_mut, lane.n_perfect, lane.p_plus) == (500, 500, 250)
+
+
+def test_deep_places_are_dealt_in_parts(spark, made):
+    """The same verdicts with bins dealt in parts, and no part with more than a few times its share of the reads."""
+    from pyspark.sql import functions as F
+
+    from strandline.operators import intervals
+
+    *_, c, r, ref = made
+    rows = lambda p: sorted((x.chrom, x.pos, tuple(x["filter"]), str(x.mmp)) for x in E.filter_by_reads(c, r, ref, p=p).collect())
+    assert rows(E.ReadLimits(deep=40)) == rows(E.ReadLimits())
+    pile = spark.range(5000).select(F.lit("1").alias("chrom"), F.lit(10).cast("long").alias("start"), F.lit(40).cast("long").alias("end"), F.col("id").alias("read"))
+    one = spark.createDataFrame([("1", 20), ("1", 39), ("1", 50), ("2", 20)], "chrom string, pos long")
+    parts = intervals.deep_bins(pile.select(F.col("chrom").alias("_chrom"), F.lit(0).alias("_bin")), 100).collect()
+    assert [tuple(x) for x in parts] == [("1", 0, 50)]
+    got = intervals.near_positions(one, pile, "start", "end", deep=100)
+    assert got.columns == [*one.columns, "start", "end", "read"]
+    assert sorted((x.pos, x["count"]) for x in got.groupBy("pos").count().collect()) == [(20, 5000), (39, 5000)]
