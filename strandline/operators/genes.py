@@ -8,23 +8,17 @@ from pyspark.sql import functions as F
 from strandline.functions.strings import parse_effects
 from strandline.operators.intervals import with_filter
 
-#: Entries up to which the list goes into the plan as one test; a longer list is joined.
-LIST = 2_000
-
 
 def listed(values: DataFrame, name: str, entries: DataFrame) -> DataFrame:
-    """Distinct values of a column that contain some entry of a list (column ``entry``).
+    """Distinct values of a column that contain some entry of a list (column ``entry``); null and empty entries are none.
 
-    Distinct names are few beside the rows that carry them; a short list becomes literals, a long one a join on entry-length substrings.
+    Distinct names are few beside the rows that carry them: each is cut into its parts of the lengths that entries have (their set is a scalar subquery of the
+    plan), and the parts meet the list in one join, whatever its length. Nothing runs while the plan is built.
     """
     distinct = values.select(name).where(F.col(name).isNotNull()).distinct()
     entries = entries.select("entry").where("entry IS NOT NULL AND entry <> ''").distinct()
-    head = entries.limit(LIST + 1).collect()
-    if len(head) <= LIST:
-        test = F.exists(F.array(*[F.lit(r.entry) for r in head]), lambda e: F.contains(F.col(name), e)) if head else F.lit(False)
-        return distinct.where(test)
-    lengths = F.array(*[F.lit(r.n) for r in entries.select(F.length("entry").alias("n")).distinct().collect()])
-    parts = distinct.withColumn("_n", F.explode(lengths)).where(F.col("_n") <= F.length(name))
+    lengths = entries.agg(F.collect_set(F.length("entry")).alias("n")).scalar()
+    parts = distinct.withColumn("_lengths", lengths).withColumn("_n", F.explode("_lengths")).where(F.col("_n") <= F.length(name))
     parts = parts.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length(name) - F.col("_n") + 1))).withColumn("entry", F.substring(name, F.col("_at"), F.col("_n")))
     return parts.join(entries, "entry", "left_semi").select(name).distinct()
 
