@@ -15,10 +15,14 @@ OBSERVATION = T.StructType().add("base", "string").add("bq", "integer").add("mq"
 DECODED = T.StructType([*(T.StructField(c, T.IntegerType()) for c in ("ins", "del", "start", "stop")), T.StructField("obs", T.ArrayType(OBSERVATION))])
 
 
+def cleaned(rows: DataFrame) -> DataFrame:
+    """Rows of text without the tool's own lines, with the reference in upper case."""
+    return rows.where(F.col("pos").isNotNull() & ~F.col("chrom").startswith("[mpileup]") & ~F.col("chrom").startswith("<mpileup>")).withColumn("ref", F.upper("ref"))
+
+
 def read_pileup(spark: SparkSession, path: str, chrom: str | None = None, start: int | None = None, stop: int | None = None) -> DataFrame:
     """Pileup rows; blank lines and the tool's own ``[mpileup]`` or ``<mpileup>`` lines are no rows."""
-    rows = spark.read.schema(SCHEMA).option("sep", "\t").option("quote", "").option("mode", "PERMISSIVE").csv(path)
-    rows = rows.where(F.col("pos").isNotNull() & ~F.col("chrom").startswith("[mpileup]") & ~F.col("chrom").startswith("<mpileup>")).withColumn("ref", F.upper("ref"))
+    rows = cleaned(spark.read.schema(SCHEMA).option("sep", "\t").option("quote", "").option("mode", "PERMISSIVE").csv(path))
     for test in (F.col("chrom") == chrom if chrom else None, F.col("pos") >= start if start is not None else None, F.col("pos") <= stop if stop is not None else None):
         rows = rows.where(test) if test is not None else rows
     return rows
