@@ -17,7 +17,7 @@ from strandline.sources import pileup, tables, vcf
 
 
 def test_golden_pileup_line():
-    """Every kind of token; qualities run along bases, gaps and skips only."""
+    """Every kind of token; qualities run along bases, gaps and skips only. Fixed value: the line and its qualities."""
     row = pileup.decode('T$TT+3AGG^".GT+2AG+2AG,-2AGGG..-1A<<>>', "A", "01234567890", "IIIIIIIIIII")
     assert (row["ins"], row["del"], row["start"], row["stop"]) == (3, 2, 1, 1)
     assert [o["base"] for o in row["obs"]] == ["T", "T", "T", "A", "G", "T", "A", "G", "G", "A", "A"]
