@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 BIN, LONG = 10_000, 64
+#: Narrowest bins of reads.
+NEAR = 256
 
 
 def plain_chrom(chrom: Column) -> Column:
@@ -92,23 +94,36 @@ def deep_bins(spans: DataFrame, limit: int) -> DataFrame:
     return counts.where(F.col("n") > limit).select("_chrom", "_bin", F.ceil(F.col("n") / limit).cast("int").alias("_parts"))
 
 
-def near_positions(calls: DataFrame, spans: DataFrame, start: str, end: str, size: int = BIN, deep: int | None = None) -> DataFrame:
+def bins_of_base(base: Column, size: int) -> Column:
+    """The base's bin of each of three widths; a bin's number holds its width."""
+    return F.array(*[F.floor(base / (size * LONG**k)) * 3 + k for k in range(3)])
+
+
+def bins_of_span(start: Column, end: Column, size: int) -> Column:
+    """The bins that a span touches: of the narrowest width of which it spans at most LONG, else of the widest."""
+    low, high, n = bins_of_base(start, size), bins_of_base(end - 1, size), end - start
+    k = F.when(n <= size * LONG, 0).when(n <= size * LONG**2, 1).otherwise(2)
+    return F.sequence(F.get(low, k), F.get(high, k), F.lit(3).cast("long"))
+
+
+def near_positions(calls: DataFrame, spans: DataFrame, start: str, end: str, size: int = NEAR, deep: int | None = None) -> DataFrame:
     """Calls with each span (chrom, start, end) whose bases they fall in; ``spans`` keeps its own columns.
 
+    Bins are about as narrow as reads, so a span meets few calls that it doesn't hold; long spans take wider ones. Both sides are sorted and merged: calls grow with the input, so they are never sent whole through the driver.
+
     deep: bins that more spans touch are dealt in parts of about that many, by a hash of the span, and their calls are copied to each part: a pile of reads at
     one place is spread over tasks, whatever the place's width.
     """
-    bins = F.explode(F.sequence(F.floor(F.col(start) / size), F.floor((F.col(end) - 1) / size)))
-    s = spans.withColumn("_bin", bins).withColumnRenamed("chrom", "_chrom")
+    s = spans.where(F.col(start) < F.col(end)).withColumn("_bin", F.explode(bins_of_span(F.col(start), F.col(end), size))).withColumnRenamed("chrom", "_chrom")
     base = F.col("pos") - 1
-    placed = calls.withColumn("_of", F.floor(base / size))
+    placed = calls.withColumn("_of", F.explode(bins_of_base(base, size)))
     on = (F.col("chrom") == F.col("_chrom")) & (F.col("_of") == F.col("_bin")) & (base >= F.col(start)) & (base < F.col(end))
     if deep is None:
-        return placed.join(s, on).drop("_bin", "_chrom", "_of")
+        return placed.hint("merge").join(s, on).drop("_bin", "_chrom", "_of")
     parts = deep_bins(s.select("_chrom", "_bin"), deep)
     whole = lambda c: F.coalesce(c, F.lit(1))
     own = F.xxhash64(*[c for c in spans.columns if not isinstance(spans.schema[c].dataType, MapType) and c != "chrom"])
     dealt = s.join(parts, ["_chrom", "_bin"], "left").withColumn("_part", F.pmod(own, whole(F.col("_parts"))).cast("int")).drop("_parts")
     wanted = parts.select(F.col("_chrom").alias("_c"), F.col("_bin").alias("_b"), "_parts")
     copied = placed.join(wanted, (F.col("chrom") == F.col("_c")) & (F.col("_of") == F.col("_b")), "left").withColumn("_copy", F.explode(F.sequence(F.lit(0), whole(F.col("_parts")) - 1))).drop("_c", "_b", "_parts")
-    return copied.join(dealt, on & (F.col("_copy") == F.col("_part"))).drop("_bin", "_chrom", "_of", "_copy", "_part")
+    return copied.hint("merge").join(dealt, on & (F.col("_copy") == F.col("_part"))).drop("_bin", "_chrom", "_of", "_copy", "_part")

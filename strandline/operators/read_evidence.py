@@ -188,7 +188,8 @@ def lane_evidence(calls: DataFrame, reads: DataFrame, reference: DataFrame, germ
     kept = resolve_mates(over, LANE, min_bq=p.min_base_qual, order=order)
     # only reads of the target are looked at base by base
     kept = kept.withColumns({"mutated": F.col("own") == F.col("tgt"), "good": (F.col("mapq") >= p.min_map_qual) & (F.col("bq") >= p.min_base_qual)})
-    text = F.concat_ws("|", F.col("chrom"), F.col("start").cast("string"), F.array_join(F.transform("cigar", lambda c: F.concat_ws(",", c["op"].cast("string"), c["len"].cast("string"))), ";"), F.col("seq"))
+    # the key holds all that later steps read of a row, so both uses of ``kept`` read the same columns and Spark makes its exchange once
+    text = F.concat_ws("|", F.col("dna").cast("string"), F.col("edit").cast("string"), F.col("chrom"), F.col("start").cast("string"), F.array_join(F.transform("cigar", lambda c: F.concat_ws(",", c["op"].cast("string"), c["len"].cast("string"))), ";"), F.col("seq"))
     keyed = kept.withColumn("key", F.when(F.col("mutated") & F.col("good"), F.sha2(text, 256)))
     found = mismatches(keyed.where("key IS NOT NULL").select("key", "strand", *ALIGNMENT).distinct(), reference, germline)
     facts = keyed.join(found, ["key", "strand"], "left").withColumn("mism", F.coalesce("mism", F.array().cast("array<struct<r:bigint,ref:string,base:string>>")))
