@@ -125,12 +125,13 @@ def bases_of(reference: DataFrame) -> DataFrame:
 def stretches(wanted: DataFrame, reference: DataFrame, chrom: str, start: str, length: str, keys: list[str]) -> DataFrame:
     """``keys`` of ``wanted`` with ``ref``, the bases of [start, start + length) of its chromosome; N where the reference has none. ``keys`` name a row.
 
-    Rows are copied to the chunks that they touch, most to one, and meet the packed row by (chromosome, chunk).
+    Rows are copied to the chunks that they touch, most to one, and meet the packed row by (chromosome, chunk). Both sides are merged: Catalyst takes a packed row for
+    twenty bytes and would send a whole reference through the driver.
     """
     end = F.col(start) + F.col(length)
     w = wanted.where(F.col(length) > 0).withColumn("_chunk", F.explode(F.sequence(F.floor(F.col(start) / CHUNK), F.floor((end - 1) / CHUNK))))
     w = w.withColumn("_low", F.greatest(F.col(start), F.col("_chunk") * CHUNK)).withColumn("_n", (F.least(end, (F.col("_chunk") + 1) * CHUNK) - F.col("_low")).cast("int"))
     r = reference.select(F.col("chrom").alias("_chrom"), F.col("chunk").alias("_of"), F.col("seq").alias("_seq"))
-    j = w.join(r, (F.col(chrom) == F.col("_chrom")) & (F.col("_chunk") == F.col("_of")), "left")
+    j = w.hint("merge").join(r.hint("merge"), (F.col(chrom) == F.col("_chrom")) & (F.col("_chunk") == F.col("_of")), "left")
     part = F.rpad(F.substring(F.coalesce("_seq", F.lit("")), (F.col("_low") - F.col("_chunk") * CHUNK + 1).cast("int"), F.col("_n")), F.col("_n"), F.lit("N"))
     return j.select(*keys, "_low", part.alias("_part")).groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_low", "_part"))), lambda x: x["_part"]), "").alias("ref"))
