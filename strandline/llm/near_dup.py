@@ -23,7 +23,7 @@ BANDS, ROWS = 14, 3
 #: Hashed word buckets of the document frequency table; entries of each sample's parameter table.
 BUCKET_BITS, TABLE_BITS = 18, 14
 #: Pivots of a bucket; texts of one block, or of one pivot's group; text bytes that a task holds at a time.
-PIVOTS, BLOCK, BUNDLE_BYTES = 3, 512, 8 << 20
+PIVOTS, BLOCK, BUNDLE_BYTES = 3, 512, 4 << 20
 #: Room for the rounding of sums.
 SLACK = 1e-9
 

@@ -26,7 +26,7 @@ from strandline.llm.common import text_batches
 
 MARK = "▁"
 #: Bytes of each of the two generations of a task's chunk cache, by a chunk's text and pieces and about 200 for its objects.
-CACHE_BYTES = 24 << 20
+CACHE_BYTES = 8 << 20
 #: Texts that are taken from a batch and handed on at a time.
 TEXTS = 64
 
