@@ -38,6 +38,18 @@ def hundredths_text(c: str, t: str) -> str:
     return let("z", f"named_struct('c', cast({c} AS bigint), 't', nullif(cast({t} AS bigint), 0L))", body)
 
 
+def least_twice(h: int) -> tuple[int, int]:
+    """(a, b) so that ``hundredths(c, t)`` >= h just where 400 * c >= a * t + b, for c >= 0 and t > 0."""
+    k = 2 * h - 1
+    return 2 * k, int(0 < k < 200 and k not in TIES_UP)
+
+
+def at_least_text(c: str, t: str, h: int) -> str:
+    """``hundredths(c, t)`` >= h as SQL text without the quotient: one comparison; null where t is 0."""
+    a, b = least_twice(h)
+    return f"400L * {c} >= {a}L * nullif(cast({t} AS bigint), 0L) + {b}L"
+
+
 def ratio2(c: Column, t: Column) -> Column:
     return hundredths(c, t) / 100.0
 

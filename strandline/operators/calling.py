@@ -16,6 +16,7 @@ BASES = ["A", "C", "T", "G"]
 SAMPLES = ["DNA_NORMAL", "RNA_NORMAL", "DNA_TUMOR", "RNA_TUMOR"]
 SHORT = {"DNA_NORMAL": "dn", "RNA_NORMAL": "rn", "DNA_TUMOR": "dt", "RNA_TUMOR": "rt"}
 EDGES = ["ins", "del", "start", "stop"]
+NO_MODS = "cast(array() AS array<struct<type:string,src:string,tgt:string>>)"
 SS_CODES = {"GERM": 1, "SOM": 2, "NOR_EDIT": 4, "TUM_EDIT": 4}
 
 
@@ -115,7 +116,8 @@ def find_variants(sites: DataFrame, p: CallParams = CallParams()) -> DataFrame:
     # one SQL text for each column: a tree of this size takes seconds to build node by node
     earlier: list[str] = []
     alts: list[str] = []
-    mods: list[str] = []
+    #: For each sample its type, the bases that are called and the bases that they can come from.
+    seen: list[tuple[str, str, str]] = []
     below_total, below_alt = [], []
     for s in SAMPLES:
         n = {b: count_column(s, b) for b in BASES}
@@ -135,6 +137,7 @@ def find_variants(sites: DataFrame, p: CallParams = CallParams()) -> DataFrame:
         prev = {b: f"(CASE WHEN {shown} = 0 OR ref = '{b}' THEN {pm} ELSE {prev[b]} END)" for b in BASES}
         inside = {b: "(" + (" + ".join(count_column(e, b) for e in earlier) or "0") + f" > 0 OR ref = '{b}')" for b in BASES}
         earlier.append(s)
+        targets = []
         for b in BASES:
             alts.append(f"CASE WHEN {n[b]} > 0 AND NOT {inside[b]} THEN '{b}' END")
             differs = f"({n[b]} > 0 AND (NOT {inside[b]} OR {prev[b]} < {pm}))"
@@ -142,9 +145,14 @@ def find_variants(sites: DataFrame, p: CallParams = CallParams()) -> DataFrame:
             below_total.append(f"({differs} AND NOT {enough})")
             below_alt.append(f"({differs} AND {enough} AND {n[b]} < {p.min_alt[s]})")
             called = f"{differs} AND {enough} AND {n[b]} >= {p.min_alt[s]}"
-            mods += [f"CASE WHEN {called} AND {inside[d]} AND {prev[d]} >= {pm} THEN named_struct('type', '{kind}', 'src', '{d}', 'tgt', '{b}') END" for d in BASES if d != b]
-    texts = {"alts": f"array_distinct(array_compact(array({', '.join(alts)})))", "mods": f"array_compact(array({', '.join(mods)}))", "below_total": " OR ".join(below_total), "below_alt": " OR ".join(below_alt)}
-    out = computed(sites, {k: F.expr(v) for k, v in texts.items()})
+            targets.append(f"CASE WHEN {called} THEN '{b}' END")
+        sources = [f"CASE WHEN {inside[d]} AND {prev[d]} >= {pm} THEN '{d}' END" for d in BASES]
+        seen.append((kind, f"array_compact(array({', '.join(targets)}))", f"array_compact(array({', '.join(sources)}))"))
+    texts = {"alts": f"array_distinct(array_compact(array({', '.join(alts)})))", "below_total": " OR ".join(below_total), "below_alt": " OR ".join(below_alt)}
+    out = computed(sites, {k: F.expr(v) for k, v in (texts | {f"_to{i}": to for i, (_, to, _) in enumerate(seen)}).items()})
+    # sources are looked at only where a base is called
+    each = ", ".join(f"if(size(_to{i}) = 0, {NO_MODS}, flatten(transform(_to{i}, b -> transform(array_remove({sources}, b), d -> named_struct('type', '{kind}', 'src', d, 'tgt', b)))))" for i, (kind, _, sources) in enumerate(seen))
+    out = computed(out, {"mods": F.expr(f"concat({each})")}).drop(*[f"_to{i}" for i in range(len(seen))])
     first = F.get(F.col("mods"), 0)["type"]
     ss = reduce(lambda c, x: c.when(first == x[0], x[1]), list(SS_CODES.items())[1:], F.when(first == "GERM", 1))
     codes = F.array_compact(F.array(F.when(F.col("below_total"), F.lit("mbt")), F.when(F.col("below_alt"), F.lit("mba"))))
@@ -184,11 +192,14 @@ def site_summary(stats: DataFrame) -> DataFrame:
 
 def site_evidence(obs: DataFrame, p: CallParams = CallParams()) -> DataFrame:
     """One row per position: the count of each base in each sample, and ``stats``, a map from sample and base to the allele's statistics."""
-    value = F.struct("ad", "sum_bq", "sum_mq", "plus", "max_mq", "mq0")
-    counts = [F.sum(F.when((F.col("sample") == s) & (F.col("base") == b), F.col("ad")).otherwise(0)).alias(count_column(s, b)) for s in SAMPLES for b in BASES]
+    # means and shares are taken here, where a row is an allele
+    zero = F.lit(0).cast("long")
+    means = [F.coalesce(mean(F.col("sum_mq"), F.col("ad")), zero).alias("mqa"), F.coalesce(mean(F.col("sum_bq"), F.col("ad")), zero).alias("bq"), F.coalesce(ratio2(F.col("plus"), F.col("ad")), F.lit(0.0)).alias("sb")]
+    value = F.struct("ad", "sum_bq", "sum_mq", "plus", "max_mq", "mq0", *means)
     # at most four bases for each of four samples
     entries = F.map_from_entries(F.collect_list(F.struct(F.concat_ws("_", "sample", "base").alias("k"), value.alias("v"))))
-    return allele_stats(obs, p).groupBy("chrom", "pos", "ref").agg(*counts, entries.alias("stats"))
+    sites = allele_stats(obs, p).groupBy("chrom", "pos", "ref").agg(entries.alias("stats"))
+    return sites.select("*", *[F.coalesce(F.col("stats")[f"{s}_{b}"]["ad"], zero).alias(count_column(s, b)) for s in SAMPLES for b in BASES])
 
 
 def site_struct() -> Column:
@@ -237,23 +248,24 @@ def records(obs: DataFrame, p: CallParams = CallParams(), sites: DataFrame | Non
     zero = F.lit(0).cast("long")
 
     def sample(s: str) -> Column:
-        # each allele's statistics once; the fields read them
-        own = F.transform("alleles", lambda b: F.col("stats")[F.concat(F.lit(f"{s}_"), b)])
-        get = lambda x, f: F.coalesce(x[f], zero)
+        own = f"_{SHORT[s]}"
         over = lambda fn: F.transform(own, fn)
         dp = sum(F.col(count_column(s, b)) for b in BASES)
         edge = {c: zero if sites is None else F.coalesce(f"{SHORT[s]}_{c}", zero) for c in EDGES}
         fields = [
             dp.alias("dp"), edge["ins"].alias("ins"), edge["del"].alias("del"), edge["start"].alias("start"), edge["stop"].alias("stop"),
-            F.flatten(over(lambda x: F.array(get(x, "plus"), get(x, "ad") - get(x, "plus")))).alias("dp4"), over(lambda x: get(x, "ad")).alias("ad"), over(lambda x: ratio2(get(x, "ad"), dp)).alias("af"),
-            over(lambda x: get(x, "mq0")).alias("mq0"), over(lambda x: get(x, "max_mq")).alias("mmq"), over(lambda x: F.coalesce(mean(get(x, "sum_mq"), get(x, "ad")), F.lit(0))).alias("mqa"),
-            over(lambda x: F.coalesce(mean(get(x, "sum_bq"), get(x, "ad")), F.lit(0))).alias("bq"), over(lambda x: F.coalesce(ratio2(get(x, "plus"), get(x, "ad")), F.lit(0.0))).alias("sb"),
+            F.flatten(over(lambda x: F.array(x["plus"], x["ad"] - x["plus"]))).alias("dp4"), F.col(f"{own}.ad").alias("ad"), over(lambda x: ratio2(x["ad"], dp)).alias("af"),
+            F.col(f"{own}.mq0").alias("mq0"), F.col(f"{own}.max_mq").alias("mmq"), F.col(f"{own}.mqa").alias("mqa"), F.col(f"{own}.bq").alias("bq"), F.col(f"{own}.sb").alias("sb"),
         ]
         return F.when(dp > 0, F.struct(*fields))
 
     counts = [count_column(s, b) for s in SAMPLES for b in BASES]
     helpers = [f"{SHORT[s]}_{c}" for s in SAMPLES for c in EDGES] if sites is not None else []
-    out = computed(out, {SHORT[s]: sample(s) for s in SAMPLES})
+    # each allele's statistics once; the fields read them
+    absent = "named_struct('ad', 0L, 'sum_bq', 0L, 'sum_mq', 0L, 'plus', 0L, 'max_mq', 0L, 'mq0', 0L, 'mqa', 0L, 'bq', 0L, 'sb', 0.0D)"
+    total = lambda s: " + ".join(count_column(s, b) for b in BASES)
+    out = computed(out, {f"_{SHORT[s]}": F.expr(f"CASE WHEN {total(s)} > 0 THEN transform(alleles, b -> coalesce(stats[concat('{s}_', b)], {absent})) END") for s in SAMPLES})
+    out = computed(out, {SHORT[s]: sample(s) for s in SAMPLES}).drop(*[f"_{SHORT[s]}" for s in SAMPLES])
     out = computed(out, {"site": site_struct()}) if site else out
     return out.drop("stats", *counts, *helpers)
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions.genotype import recomputed_text
-from strandline.functions.rounding import floor2, hundredths_text, let
+from strandline.functions.rounding import at_least_text, floor2, least_twice, let
 from strandline.operators.calling import computed
 
 RNA_TYPES = ["NOR_EDIT", "RNA_NOR_VAR", "TUM_EDIT", "RNA_TUM_VAR"]
@@ -93,49 +93,55 @@ SAMPLES = ("dn", "rn", "dt", "rt")
 RULES = [("GERM", "dn", "all"), ("SOM", "dt", "all"), ("SOM", "dn", "context"), ("NOR_EDIT", "dn", "context"), ("TUM_EDIT", "dn", "context"), ("TUM_EDIT", "dt", "context")]
 RNA_RULES = [("GERM", "rn", "present"), ("NOR_EDIT", "rn", "all"), ("RNA_NOR_VAR", "rn", "all"), ("SOM", "rt", "present"), ("TUM_EDIT", "rt", "all"), ("RNA_TUM_VAR", "rt", "all")]
 SHARE = "(CASE WHEN {t} > 0 THEN floor(cast({c} AS double) / cast({t} AS double) * 100) / 100.0D ELSE 0.0D END)"
-#: Code, whether depth-and-errors rules have it, and its test: v.l holds the sample's limits, w its values, of target (t) and source (q).
+#: A sample's value for the target and for the source; reads of other alleles in depth-and-errors rules (o), and without the target's in the others.
+T, Q = (lambda f: f"get(v.s.{f}, a.t)"), (lambda f: f"get(v.s.{f}, a.q)")
+OTHERS = "(aggregate(v.s.ad, 0L, (n, y) -> n + coalesce(y, 0L)) - coalesce(get(v.s.ad, a.q), 0L) - if(v.l.full, coalesce(get(v.s.ad, a.t), 0L), 0L))"
+#: Code, whether depth-and-errors rules have it, and its test: v.l holds the sample's limits, v.s its values, a.t and a.q the places of target and source.
 TESTS = [
-    ("mndp", True, "coalesce(w.dp, 0L) < v.l.min_depth"),
-    ("mxdp", True, "w.dp >= v.l.max_depth"),
-    ("mnad", False, "w.t.ad < v.l.min_alt"),
-    ("mnaf", False, hundredths_text("w.t.ad", "w.dp") + " < v.l.min_share"),
-    ("mnbq", False, "w.t.bq < v.l.min_bq"),
-    ("mnmqa", False, "w.t.mqa < v.l.min_mqa"),
-    ("mnmq", False, "w.t.mmq < v.l.min_mmq"),
-    ("mxmq0", False, f"w.t.ad > 0 AND {SHARE.format(c='w.t.mq0', t='w.t.ad')} > v.l.max_mq0_pct"),
-    ("mxindel", False, "w.indels >= v.l.max_indels"),
-    ("sbias", False, "w.t.ad >= v.l.min_strand_bias_depth AND (w.t.sb > v.l.max_strand_bias OR w.t.sb < 1.0D - v.l.max_strand_bias) AND NOT coalesce(w.q.ad >= v.l.min_strand_bias_depth AND ((w.t.sb = 0 AND w.q.sb = 0) OR (w.t.sb = 1 AND w.q.sb = 1)), false)"),
-    ("mxerr", True, f"w.errors >= v.l.min_error_depth AND {SHARE.format(c='w.errors', t='w.dp')} > v.l.max_error_pct"),
+    ("mndp", True, "coalesce(cast(v.s.dp AS bigint), 0L) < v.l.min_depth"),
+    ("mxdp", True, "v.s.dp >= v.l.max_depth"),
+    ("mnad", False, f"{T('ad')} < v.l.min_alt"),
+    ("mnaf", False, f"400L * {T('ad')} < v.l.share_a * nullif(cast(v.s.dp AS bigint), 0L) + v.l.share_b"),
+    ("mnbq", False, f"{T('bq')} < v.l.min_bq"),
+    ("mnmqa", False, f"{T('mqa')} < v.l.min_mqa"),
+    ("mnmq", False, f"{T('mmq')} < v.l.min_mmq"),
+    ("mxmq0", False, f"{T('ad')} > 0 AND {SHARE.format(c=T('mq0'), t=T('ad'))} > v.l.max_mq0_pct"),
+    ("mxindel", False, "v.s.ins + v.s.del >= v.l.max_indels"),
+    ("sbias", False, f"{T('ad')} >= v.l.min_strand_bias_depth AND ({T('sb')} > v.l.max_strand_bias OR {T('sb')} < 1.0D - v.l.max_strand_bias) AND NOT coalesce({Q('ad')} >= v.l.min_strand_bias_depth AND (({T('sb')} = 0 AND {Q('sb')} = 0) OR ({T('sb')} = 1 AND {Q('sb')} = 1)), false)"),
+    ("mxerr", True, f"{OTHERS} >= v.l.min_error_depth AND {SHARE.format(c=OTHERS, t='v.s.dp')} > v.l.max_error_pct"),
 ]
-PER_ALLELE = ("ad", "bq", "mqa", "mmq", "mq0", "sb")
 NO_CODES = "cast(array() AS array<string>)"
 
 
-def limits_text(p: Preset) -> str:
-    """The limits of the four samples as an array of structs."""
-    rows = []
-    for s in SAMPLES:
-        x = getattr(p, s)
-        share = x.min_alt_pct if x.purity == 1.0 else round(x.min_alt_pct / x.purity if s == "dn" else x.min_alt_pct * x.purity, 2)
-        own = {"s": f"'{s}'", "min_share": f"{round(share * 100)}L"}
-        own |= {f.name: f"{getattr(x, f.name)!r}D" if isinstance(f.default, float) else f"{getattr(x, f.name)}L" for f in fields(x)}
-        rows.append(f"named_struct({', '.join(f'{k!r}, {v}' for k, v in own.items())})")
-    return f"array({', '.join(rows)})"
+def limits_text(p: Preset, s: str, how: str) -> str:
+    """The limits of a sample and how a rule looks at it, as a struct of literals."""
+    x = getattr(p, s)
+    share = x.min_alt_pct if x.purity == 1.0 else round(x.min_alt_pct / x.purity if s == "dn" else x.min_alt_pct * x.purity, 2)
+    a, b = least_twice(round(share * 100))
+    own = {"s": f"'{s}'", "full": str(how != "context").lower(), "present": str(how == "present").lower(), "share_a": f"{a}L", "share_b": f"{b}L"}
+    own |= {f.name: f"{getattr(x, f.name)!r}D" if isinstance(f.default, float) else f"{getattr(x, f.name)}L" for f in fields(x)}
+    return f"named_struct({', '.join(f'{k!r}, {v}' for k, v in own.items())})"
 
 
 def place_text(allele: str) -> str:
     return f"cast(array_position(alleles, {allele}) - 1 AS int)"
 
 
+def rules_text(p: Preset) -> str:
+    """The rules of each type as a map of literals: the sample's number and its limits."""
+    rules: dict[str, list[str]] = {}
+    for t, s, how in RULES + RNA_RULES * p.rna:
+        rules.setdefault(t, []).append(f"named_struct('i', {SAMPLES.index(s)}, 'l', {limits_text(p, s, how)})")
+    return f"map({', '.join(f'{t!r}, array({chr(44).join(rows)})' for t, rows in rules.items())})"
+
+
 def rule_text(m: str, p: Preset) -> str:
     """Sorted codes that fail a modification named ``m`` (a struct of type, src, tgt), as SQL text."""
-    rows = ", ".join(f"named_struct('type', '{t}', 'i', {SAMPLES.index(s)}, 'how', '{how}')" for t, s, how in RULES + RNA_RULES * p.rna)
-    of = lambda k: f"named_struct({', '.join(f'{f!r}, get(v.s.{f}, v.{k})' for f in PER_ALLELE)})"
-    value = f"named_struct('s', get(array({', '.join(SAMPLES)}), x.i), 'l', get({limits_text(p)}, x.i), 't', {place_text(f'{m}.tgt')}, 'q', {place_text(f'{m}.src')}, 'full', x.how <> 'context', 'how', x.how)"
-    errors = "aggregate(v.s.ad, 0L, (a, y) -> a + coalesce(y, 0L)) - coalesce(get(v.s.ad, v.q), 0L) - if(v.full, coalesce(get(v.s.ad, v.t), 0L), 0L)"
-    held = f"named_struct('dp', cast(v.s.dp AS bigint), 't', {of('t')}, 'q', {of('q')}, 'indels', v.s.ins + v.s.del, 'errors', {errors})"
-    codes = ", ".join(f"CASE WHEN {'' if context else 'v.full AND '}{test} THEN '{code}' END" for code, context, test in TESTS)
-    one = let("v", value, f"if(v.how = 'present' AND v.s IS NULL, {NO_CODES}, transform({let('w', held, f'array_compact(array({codes}))')}, c -> concat(v.l.s, c)))")
+    rows = lambda which: ", ".join(f"CASE WHEN {test} THEN '{code}' END" for code, context, test in TESTS if context or which)
+    codes = f"array_compact(if(v.l.full, array({rows(True)}), array({rows(False)})))"
+    one = f"if(v.l.present AND v.s IS NULL, {NO_CODES}, transform({codes}, c -> concat(v.l.s, c)))"
+    each = f"transform(transform(try_element_at({rules_text(p)}, {m}.type), x -> named_struct('l', x.l, 's', get(array({', '.join(SAMPLES)}), x.i))), v -> {one})"
+    ruled = let("a", f"named_struct('t', {place_text(f'{m}.tgt')}, 'q', {place_text(f'{m}.src')})", each)
     indels = " + ".join(f"coalesce({s}.ins + {s}.del, 0L)" for s in SAMPLES)
     more = [f"CASE WHEN {indels} >= {p.dt.max_indels} THEN 'indel' END"]
     if p.rna and p.rn.min_depth > 0:
@@ -144,7 +150,7 @@ def rule_text(m: str, p: Preset) -> str:
         more.append(f"CASE WHEN {m}.type = 'SOM' AND rt IS NULL THEN 'rtmndp' END")
     if not p.rna:
         more.append(f"CASE WHEN {m}.type IN ({', '.join(map(repr, RNA_TYPES))}) THEN 'rnacall' END")
-    return f"array_sort(array_distinct(concat(flatten(transform(filter(array({rows}), r -> r.type = {m}.type), x -> {one})), array_compact(array({', '.join(more)})))))"
+    return f"sort_array(array_distinct(concat(coalesce(flatten({ruled}), {NO_CODES}), array_compact(array({', '.join(more)})))))"
 
 
 def rule_codes(mod: str, p: Preset) -> Column:
@@ -155,19 +161,15 @@ def rule_codes(mod: str, p: Preset) -> Column:
 def pre_filter(records: DataFrame, p: Preset) -> DataFrame:
     """Drops or re-types modifications that the parents' evidence contradicts; adds pre_codes. If none is left, the list stays as it was."""
     share = round(p.mod_min_pct * 100)
-    asked = [("dn", "tgt"), ("dn", "src"), ("rn", "tgt"), ("dt", "tgt"), ("rt", "tgt")]
-    rows = ", ".join(f"named_struct('s', {s}, 'a', m.{a})" for s, a in asked)
-    depth = let("k", place_text("y.a"), f"named_struct('ad', get(y.s.ad, k), 'h', {hundredths_text('get(y.s.ad, k)', 'y.s.dp')})")
-    held = f"transform(array({rows}), y -> {depth})"
+    ad = lambda s, a: f"get({s}.ad, {place_text(f'm.{a}')})"
+    shared = lambda s, a: at_least_text(ad(s, a), f"{s}.dp", share)
 
     def enough(s: str, a: str, either: bool = False) -> str:
         """An allele has the depth and share that a modification needs in a sample (either: one of them)."""
-        e = f"get(e, {asked.index((s, a))})"
-        return f"(coalesce({e}.ad >= {p.mod_min_depth}, false) {'OR' if either else 'AND'} coalesce({e}.h >= {share}, false))"
+        return f"(coalesce({ad(s, a)} >= {p.mod_min_depth}, false) {'OR' if either else 'AND'} coalesce({shared(s, a)}, false))"
 
-    def weak(a: str, ad: str, af: str) -> str:
-        e = f"get(e, {asked.index(('dn', a))})"
-        return f"array(CASE WHEN coalesce({e}.ad, 0L) < {p.mod_min_depth} THEN '{ad}' END, CASE WHEN coalesce({e}.h, 0L) < {share} THEN '{af}' END)"
+    def weak(a: str, low: str, af: str) -> str:
+        return f"array(CASE WHEN coalesce({ad('dn', a)}, 0L) < {p.mod_min_depth} THEN '{low}' END, CASE WHEN NOT coalesce({shared('dn', a)}, {str(share <= 0).lower()}) THEN '{af}' END)"
 
     typed = lambda kind: f"named_struct('type', {kind}, 'src', m.src, 'tgt', m.tgt)"
     keep, none = typed("m.type"), "cast(array() AS array<struct<type:string,src:string,tgt:string>>)"
@@ -181,39 +183,41 @@ def pre_filter(records: DataFrame, p: Preset) -> DataFrame:
         WHEN m.type = 'RNA_NOR_VAR' AND dn IS NOT NULL THEN {also('NOR_EDIT')}
         WHEN m.type IN ('NOR_EDIT', 'RNA_NOR_VAR') AND NOT {enough('rn', 'tgt')} AND {enough('rt', 'tgt')} THEN {also('TUM_EDIT')}
         WHEN m.type IN ('TUM_EDIT', 'RNA_TUM_VAR') AND {enough('dt', 'tgt')} THEN {also('SOM')}
-        WHEN m.type = 'RNA_TUM_VAR' AND coalesce(get(e, 3).ad, 0L) = 0 THEN {also('TUM_EDIT')}
+        WHEN m.type = 'RNA_TUM_VAR' AND coalesce({ad('dt', 'tgt')}, 0L) = 0 THEN {also('TUM_EDIT')}
         ELSE array({keep}) END END"""
     codes = f"CASE WHEN m.type = 'GERM' THEN {weak('tgt', 'dnmnad', 'dnmnaf')} WHEN m.type = 'SOM' AND dn IS NULL THEN array('dnmndp') WHEN m.type = 'SOM' THEN {weak('src', 'dnmnrefad', 'dnmnrefaf')} ELSE {NO_CODES} END"
-    each = let("e", held, f"named_struct('survive', {survive}, 'codes', {codes})")
-    out = computed(records, {"_each": F.expr(f"transform(mods, m -> {each})")})
-    out = computed(out, {"_survive": F.expr("array_distinct(flatten(transform(_each, x -> x.survive)))"), "_codes": F.expr("array_sort(array_distinct(array_compact(flatten(transform(_each, x -> x.codes)))))")})
-    some = "size(_survive) > 0"
-    return out.withColumns({"pre_codes": F.expr(f"if({some}, {NO_CODES}, _codes)"), "mods": F.expr(f"if({some}, _survive, mods)")}).drop("_each", "_survive", "_codes")
+    # the codes are looked at only where nothing survives
+    out = computed(records, {"_survive": F.expr(f"array_distinct(flatten(transform(mods, m -> {survive})))")})
+    return out.withColumns({
+        "pre_codes": F.expr(f"if(size(_survive) > 0, {NO_CODES}, sort_array(array_distinct(array_compact(flatten(transform(mods, m -> {codes}))))))"), "mods": F.expr("if(size(_survive) > 0, _survive, mods)"),
+    }).drop("_survive")
 
 
-def judge(records: DataFrame, p: Preset, with_pre_filter: bool = True) -> DataFrame:
+def judge(records: DataFrame, p: Preset, with_pre_filter: bool = True, with_genotypes: bool = True) -> DataFrame:
     """Filter calls by the preset: adds final_type, mod_filters (type, src, tgt, codes of each modification) and each sample's recomputed genotype (dn_gt and so on), and sets filter, mods and origin.
 
     Modifications without a failing code survive; if none does, the call gets all codes.
     """
     r = pre_filter(records, p) if with_pre_filter else records.withColumn("pre_codes", F.array().cast("array<string>"))
-    gt = f"transform(array({', '.join(SAMPLES)}), s -> CASE WHEN s IS NOT NULL THEN {recomputed_text('chrom', 's.ad', p.genotype_min_depth, p.genotype_min_pct)} END)"
-    r = computed(r, {"mod_filters": F.expr(f"transform(mods, m -> named_struct('type', m.type, 'src', m.src, 'tgt', m.tgt, 'codes', {rule_text('m', p)}))"), "_gt": F.expr(gt)})
-    alive = "filter(mod_filters, m -> size(m.codes) = 0 AND size(pre_codes) = 0)"
-    every = "array_sort(array_distinct(concat(pre_codes, flatten(transform(mod_filters, m -> m.codes)))))"
-    r = computed(r, {"_alive": F.expr(f"transform({alive}, m -> named_struct('type', m.type, 'src', m.src, 'tgt', m.tgt))"), "_every": F.expr(every)})
+    r = computed(r, {"mod_filters": F.expr(f"transform(mods, m -> named_struct('type', m.type, 'src', m.src, 'tgt', m.tgt, 'codes', {rule_text('m', p)}))")})
+    alive = "if(size(pre_codes) > 0, slice(mods, 1, 0), transform(filter(mod_filters, m -> size(m.codes) = 0), m -> named_struct('type', m.type, 'src', m.src, 'tgt', m.tgt)))"
+    r = computed(r, {"_alive": F.expr(alive), "_every": F.expr("sort_array(array_distinct(concat(pre_codes, flatten(mod_filters.codes))))")})
     have = r.columns
     earlier = "array_remove(`filter`, 'PASS')" if "filter" in have else NO_CODES
-    kinds = ", ".join(map(repr, PRIORITY))
+    kinds = " ".join(f"WHEN array_contains(if(size(_alive) > 0, _alive.type, mods.type), {t!r}) THEN {t!r}" for t in PRIORITY)
     r = computed(r, {
-        "_filter": F.expr(f"CASE WHEN size(_alive) = 0 THEN array_sort(array_union({earlier}, _every)) WHEN size({earlier}) = 0 THEN array('PASS') ELSE {earlier} END"),
-        "_final": F.expr(f"get(filter(array({kinds}), t -> exists(if(size(_alive) > 0, _alive, mods), m -> m.type = t)), 0)"),
+        "_filter": F.expr(f"CASE WHEN size(_alive) = 0 THEN sort_array(array_union({earlier}, _every)) WHEN size({earlier}) = 0 THEN array('PASS') ELSE {earlier} END"),
+        "_final": F.expr(f"CASE {kinds} END"),
     })
     made = {"filter": F.col("_filter"), "mods": F.expr("if(size(_alive) > 0, _alive, mods)"), "final_type": F.col("_final"), "ss": ss_of(F.col("_final")), "somatic": F.expr("_final = 'SOM'")}
-    made |= {f"{s}_gt": F.get("_gt", i) for i, s in enumerate(SAMPLES)}
     if p.origin:
         made["origin"] = F.array_union(F.col("origin") if "origin" in have else F.array().cast("array<string>"), F.array(F.lit(p.origin)))
-    return r.withColumns(made).drop("_alive", "_every", "_filter", "_gt", "_final")
+    return r.withColumns(made | (genotypes(p) if with_genotypes else {})).drop("_alive", "_every", "_filter", "_final")
+
+
+def genotypes(p: Preset) -> dict[str, Column]:
+    """Each sample's recomputed genotype, null without the sample; plain columns, so that who doesn't read them doesn't pay for them."""
+    return {f"{s}_gt": F.expr(f"CASE WHEN {s} IS NOT NULL THEN {recomputed_text('chrom', f'{s}.ad', p.genotype_min_depth, p.genotype_min_pct)} END") for s in SAMPLES}
 
 
 def final_type(types: Column) -> Column:

@@ -18,18 +18,18 @@ INTERVAL_STEPS = [
 
 
 #: Columns that judging a call sets.
-JUDGED = ["filter", "mods", "origin", "types", "mod_filters", "final_type", "ss", "somatic", *[f"{s}_gt" for s in ("dn", "rn", "dt", "rt")]]
+JUDGED = ["filter", "mods", "origin", "types", "mod_filters", "final_type", "ss", "somatic"]
 
 
 def typed(calls: DataFrame) -> DataFrame:
     """Types as the modifications have them now."""
-    return calls.withColumn("types", F.array_distinct(F.transform("mods", lambda m: m["type"])))
+    return calls.withColumn("types", F.array_distinct("mods.type"))
 
 
-def judged(calls: DataFrame, p: support.Preset) -> DataFrame:
+def judged(calls: DataFrame, p: support.Preset, with_genotypes: bool = True) -> DataFrame:
     """Calls judged by a preset, with their types and the codes of all their modifications."""
-    out = typed(support.judge(calls, p)).drop("pre_codes")
-    return out.withColumn("mod_filters", F.array_distinct(F.flatten(F.transform("mod_filters", lambda m: m["codes"]))))
+    out = typed(support.judge(calls, p, with_genotypes=with_genotypes)).drop("pre_codes")
+    return out.withColumn("mod_filters", F.array_distinct(F.flatten("mod_filters.codes")))
 
 
 @dataclass
@@ -84,21 +84,23 @@ class FilterPlan:
 
         Filter, modifications, types, genotypes and status are those of the branch that stands (``merge.resolved``).
         """
-        own = [c for c in start.columns if c not in JUDGED]
+        own = [c for c in start.columns if c not in [*JUDGED, *support.genotypes(self.dna)]]
         given = start.select(*own, F.struct("filter", "mods", *[c for c in ["origin"] if c in start.columns]).alias("_given"))
 
         def branch(df: DataFrame, name: str, p: support.Preset, before: Column) -> DataFrame:
             """``df`` with a struct of what judging gives to the calls as they were ``before`` (filter, mods and origin)."""
             done = [c for c in df.columns if c not in own]
             have = [f.name for f in df.select(before.alias("b")).schema["b"].dataType.fields]
-            out = judged(df.withColumns({c: before[c] for c in have}), p)
-            return out.select(*own, *done, F.struct(*[c for c in JUDGED if c in out.columns]).alias(name))
+            out = judged(df.withColumns({c: before[c] for c in have}), p, with_genotypes=False)
+            return out.select(*own, *done, F.struct(*[c for c in JUDGED if c in out.columns], F.lit(p.rna).alias("_rna")).alias(name))
 
         passes = lambda s: F.array_contains(f"{s}.filter", "PASS")
         som = lambda s: F.array_contains(f"{s}.types", "SOM")
         wide = branch(branch(given, "r", self.rna, F.col("_given")), "d", self.dna, F.col("_given"))
-        again = branch(wide, "n", replace(self.dna, origin=None), F.struct(F.array(F.lit("PASS")).alias("filter"), F.col("r.mods").alias("mods"), F.col("r.origin").alias("origin")))
-        rescued = passes("r") & ~passes("d") & ~merge.traced(F.col("n.filter"), F.col("info"), F.col("n.types"))
+        asked = passes("r") & ~passes("d")
+        mods = F.when(asked, F.col("r.mods")).otherwise(F.slice("r.mods", 1, 0))  # the others have nothing to judge
+        again = branch(wide, "n", replace(self.dna, origin=None), F.struct(F.array(F.lit("PASS")).alias("filter"), mods.alias("mods"), F.col("r.origin").alias("origin")))
+        rescued = asked & ~merge.traced(F.col("n.filter"), F.col("info"), F.col("n.types"))
         kind = again.schema["n"].dataType
         n = F.col("n").withField("filter", F.array(F.lit("PASS"))).withField("origin", F.array(F.lit("RNA")))
         wide = again.select(*own, "r", "d", (passes("r") & passes("d") & som("r") & som("d")).alias("both"), F.when(rescued, n).alias("n"))
@@ -106,7 +108,10 @@ class FilterPlan:
             only = typed(self.realigned(wide.where("n IS NOT NULL").select(*own, "n.*")))
             judged_n = only.select(*merge.KEYS, F.struct(*[f.name for f in kind.fields]).alias("n"))
             wide = wide.drop("n").join(judged_n, merge.KEYS, "left")
-        return merge.resolved(wide, [f.name for f in kind.fields if f.name not in merge.FIELDS])
+        out = merge.resolved(wide, [f.name for f in kind.fields if f.name not in merge.FIELDS])
+        # genotypes depend on the preset alone, not on the modifications that it judged
+        rna = support.genotypes(self.rna)
+        return out.withColumns({c: F.when(F.col("_rna"), rna[c]).otherwise(g) for c, g in support.genotypes(self.dna).items()}).drop("_rna")
 
     def run(self, records: DataFrame) -> DataFrame:
         """Records (chrom, pos, id, filter, info, alleles, mods, dn, rn, dt, rt) to calls with filter, types, origin and final type."""
