@@ -183,7 +183,9 @@ def codes(p: ReadLimits) -> Column:
 def lane_evidence(calls: DataFrame, reads: DataFrame, reference: DataFrame, germline: DataFrame | None = None, p: ReadLimits = ReadLimits()) -> DataFrame:
     """One row for each lane: its sample, sums, multi-mapped shares of source and target (hundredths) and codes. Lanes without reads have sums of 0."""
     loci = lanes(calls)
-    over = reads_over(loci, reads, p).withColumn("overlapping", mate_overlaps(F.col("start"), F.col("qpos"), F.col("mate_start"), F.col("seq")))
+    # said here, as the join of the sums below would say it for one of the two uses of ``kept`` only: they'd differ, and reads would meet calls twice
+    placed = loci.where(" AND ".join(f"{c} IS NOT NULL" for c in LANE))
+    over = reads_over(placed, reads, p).withColumn("overlapping", mate_overlaps(F.col("start"), F.col("qpos"), F.col("mate_start"), F.col("seq")))
     order = ["base", "qpos", "flag", "mapq", "locus", "start", "qual", "cigar", "seq"]
     kept = resolve_mates(over, LANE, min_bq=p.min_base_qual, order=order)
     # only reads of the target are looked at base by base

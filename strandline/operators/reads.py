@@ -37,7 +37,11 @@ def position_in_read(cigar: Column, offset: Column) -> Column:
             F.when(after, F.when(c["op"] == 1, c["len"]).otherwise(-c["len"])).otherwise(acc["indel"]).alias("indel"),
         )
 
-    return F.aggregate(cigar, start, step, lambda acc: F.struct(acc["at"].alias("qpos"), acc["op"].alias("op"), acc["indel"].alias("indel")))
+    walk = F.aggregate(cigar, start, step, lambda acc: F.struct(acc["at"].alias("qpos"), acc["op"].alias("op"), acc["indel"].alias("indel")))
+    # most reads are one stretch of bases: no walk for these
+    one = F.get(cigar, 0)
+    plain = (F.size(cigar) == 1) & one["op"].isin(0, 7, 8) & (offset >= 0) & (offset < one["len"])
+    return F.when(plain, F.struct(offset.cast("int").alias("qpos"), one["op"].cast("int").alias("op"), F.lit(0).alias("indel"))).otherwise(walk)
 
 
 def reads_at_calls(calls: DataFrame, reads: DataFrame, rna: bool = False) -> DataFrame:
@@ -69,12 +73,12 @@ def resolve_mates(reads: DataFrame, keys: list[str], name: str = "read_name", mi
     collapse to the one of highest bq (ties: ``order``, all columns by default) where their bases agree, or where the highest bq reaches
     min_bq and the next lower one does not; else all of them go.
     """
-    w = Window.partitionBy(*keys, name)
     group = Window.partitionBy(*keys, name, "overlapping")
-    ranked = group.orderBy(F.desc("bq"), *[F.col(c) for c in (order or sorted(c for c in reads.columns if c not in keys))])
-    r = reads.withColumns({
-        "_n": F.count("*").over(w), "_m": F.count("*").over(group), "_low": F.min("base").over(group), "_high": F.max("base").over(group), "_max": F.max("bq").over(group), "_rank": F.row_number().over(ranked),
-    }).withColumn("_next", F.max(F.when(F.col("_rank") > 1, F.col("bq"))).over(group))
+    rank = [F.desc("bq"), *[F.col(c) for c in (order or sorted(c for c in reads.columns if c not in keys))]]
+    # the order is that of the ranks: all windows read rows that are exchanged and sorted once
+    w = Window.partitionBy(*keys, name).orderBy("overlapping", *rank).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    r = reads.withColumn("_n", F.count("*").over(w)).withColumn("_rank", F.row_number().over(group.orderBy(*rank)))
+    r = r.withColumns({"_m": F.count("*").over(group), "_low": F.min("base").over(group), "_high": F.max("base").over(group), "_max": F.max("bq").over(group), "_next": F.max(F.when(F.col("_rank") > 1, F.col("bq"))).over(group)})
     alone = (F.col("_n") == 1) | ~F.col("overlapping") | (F.col("_m") == 1)
     agree = F.col("_low") == F.col("_high")
     clear = (F.col("_max") >= min_bq) & (F.col("_next") < min_bq)
