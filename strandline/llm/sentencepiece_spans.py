@@ -2,16 +2,15 @@
 
 Longest-prefix normalisation walks the model's compiled character map (a double-array trie) and
 records, for each normalised character, the source bytes it came from; the normalised text is segmented, and
-every piece is projected to a byte span of the original text. Segmentation runs on space-led chunks, which is exact as long as no
-piece continues over a space mark; other models are segmented text by text. Chunks that a
-task has seen are taken from a bounded cache. Decoding takes the ids of a whole text.
+every piece is projected to a byte span of the original text. Segmentation takes short runs of space-led chunks, which is exact as long
+as no piece continues over a space mark; other models are segmented text by text. The pieces of a group of texts
+are aligned at once. Decoding takes the ids of a whole text.
 """
 
 from __future__ import annotations
 
 import re
 import struct
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -25,10 +24,10 @@ from pyspark.sql import types as T
 from strandline.llm.common import text_batches
 
 MARK = "▁"
-#: Bytes of each of the two generations of a task's chunk cache, by a chunk's text and pieces and about 200 for its objects.
-CACHE_BYTES = 8 << 20
-#: Texts that are taken from a batch and handed on at a time.
-TEXTS = 64
+#: Bytes of a processor's cache that the library's symbols and pairs of a run of chunks may fill, about 100 a character.
+CACHE_BYTES = 24 << 10
+#: Texts that are taken from a batch and handed on at a time, and characters after which a group of them that is aligned at once ends.
+TEXTS, CHARS = 64, 1 << 19
 
 
 class CharMap:
@@ -74,23 +73,19 @@ class Encoder:
         self.map = CharMap(spec.precompiled_charsmap)
         self.piece = [p.piece for p in proto.pieces]
         self.pieces = pa.array(self.piece, pa.string())
-        self.byte = [p.type == 6 for p in proto.pieces]
         self.chars = np.array([len(p) for p in self.piece], np.int64)
         #: Pieces that are copied as they stand, the longest first.
         self.fixed = sorted((p.piece.encode() for p in proto.pieces if p.type == 4), key=len, reverse=True)
         #: Chunks segment on their own only if each starts with a piece of its own and none runs on over a space mark.
         self.chunked = self.prefix and MARK in self.piece and not any(MARK in p.lstrip(MARK) for p in self.piece) and not self.fixed
-        self.split = re.compile(f"{MARK}+[^{MARK}]*").findall
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.held = 0
+        #: Runs end before the first of a chunk's space marks.
+        self.runs = re.compile(f"{MARK}.{{0,{CACHE_BYTES // 100}}}{MARK}*[^{MARK}]*", re.DOTALL).findall
         # the same pieces for text that is normalised already
         spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces = b"", False, False
         self.segmenter = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
         self.eos, self.unknown = self.segmenter.eos_id(), self.segmenter.unk_id()
-        #: Pieces that don't stand for their own characters.
-        self.special = np.array(self.byte)
-        self.special[self.unknown] = True
+        #: The byte that a piece stands for; -1 where it is none.
+        self.byte = np.array([int(p.piece[1:-1], 16) if p.type == 6 else -1 for p in proto.pieces], np.int64)
 
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text and, for each of its characters and its end, the byte of the source where it starts."""
@@ -137,83 +132,43 @@ class Encoder:
         n = next(k for k in range(1, 5) if at + k >= len(source) or source[at + k] & 0xC0 != 0x80)
         return n, source[at : at + n].decode()
 
-    def chunks(self, norm: str) -> list[str]:
-        """The space-led chunks of a normalised text, each without its first space mark."""
-        if not norm:
-            return []
-        words = norm[1:].split(MARK)
-        return [c[1:] for c in self.split(norm)] if "" in words else words
-
-    def packed(self, norm: str, ids: list[int]) -> bytes:
-        """Id, first and end character of each piece of a normalised text, as 32-bit integers in turn."""
-        out = array("i")
-        surface = self.segmenter.encode(norm, out_type=str) if self.unknown in ids else self.piece
-        at = part = 0
-        for k, i in enumerate(ids):
-            begin = at
-            if self.byte[i]:  # the bytes of one character share its span
-                end, part = at + 1, part + 1
-                if part == len(norm[at].encode()):
-                    at, part = end, 0
-            elif i == self.unknown:  # a run of unknown characters is one piece
-                end = at = at + len(surface[k])
-            else:
-                end = at = at + len(self.piece[i])
-            out.extend((i, begin, end))
-        if at != len(norm) or part:
-            raise ValueError(f"pieces cover {at} of {len(norm)} characters")
-        return out.tobytes()
-
-    def learn(self, missing: list[str]) -> None:
-        """Segment new chunks."""
-        if self.held > CACHE_BYTES:
-            self.old, self.young, self.held = self.young, {}, 0
-        whole = [MARK + c for c in missing]
-        found = self.segmenter.encode(whole, num_threads=1)
-        # all chunks at once; those with bytes or unknown characters one by one
-        first = np.zeros(len(found) + 1, np.int64)
-        np.cumsum([len(ids) for ids in found], out=first[1:])
-        ids = np.fromiter(chain.from_iterable(found), np.int32, first[-1])
-        end = np.append(0, np.cumsum(self.chars[ids]))
-        n = np.diff(end[first])
-        base = np.repeat(end[first[:-1]], np.diff(first))
-        blob = np.stack([ids, end[:-1] - base, end[1:] - base], 1).astype(np.int32).tobytes()
-        edge = (first * 12).tolist()
-        plain = (n == np.fromiter(map(len, whole), np.int64, len(whole))).tolist()
-        for k in np.unique(np.searchsorted(first, np.flatnonzero(self.special[ids]), "right") - 1).tolist():
-            plain[k] = False
-        for k, chunk in enumerate(missing):
-            self.young[chunk] = blob[edge[k] : edge[k + 1]] if plain[k] else self.packed(whole[k], found[k])
-        self.held += len(blob) + sum(map(len, missing)) + 200 * len(missing)
-
-    def segments(self, norms: list[str]) -> Iterator[np.ndarray]:
-        """For each normalised text the id, first and end character of every piece."""
-        if not self.chunked:
-            for norm in norms:
-                yield np.frombuffer(self.packed(norm, self.segmenter.encode(norm)), np.int32).reshape(-1, 3)
-            return
-        split = [self.chunks(t) for t in norms]
-        known = [list(map(self.young.get, chunks)) for chunks in split]
-        missing = {c: None for chunks, row in zip(split, known, strict=True) if None in row for c, x in zip(chunks, row, strict=True) if x is None}
-        again = {c: self.old[c] for c in missing if c in self.old}
-        if len(again) < len(missing):
-            self.learn([c for c in missing if c not in again])
-        self.young.update(again)
-        self.held += sum(len(c) + len(x) + 200 for c, x in again.items())
-        young = self.young
-        for chunks, row in zip(split, known, strict=True):
-            parts = [x or young.get(c) or self.old[c] for c, x in zip(chunks, row, strict=True)] if None in row else row
-            out = np.frombuffer(b"".join(parts), np.int32).reshape(-1, 3).copy()
-            lengths = np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1
-            out[:, 1:] += np.repeat(np.cumsum(lengths) - lengths, np.fromiter(map(len, parts), np.int64, len(parts)) // 12)[:, None].astype(np.int32)
-            yield out
+    def segments(self, norms: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Id, first and end character of every piece of normalised texts, and each text's number of pieces.
+
+        Characters are counted through all texts, each text's end as one more.
+        """
+        split = [self.runs(t) for t in norms] if self.chunked else [[t] for t in norms]
+        of_text = np.fromiter(map(len, split), np.int64, len(split))
+        runs = list(chain.from_iterable(split))
+        found = self.segmenter.encode(runs, num_threads=1, return_type="numpy")
+        ids = np.concatenate([np.zeros(0, np.int32), *found])
+        first = np.append(0, np.cumsum(np.fromiter(map(len, found), np.int64, len(found))))
+        moves, byte = self.chars[ids], self.byte[ids]
+        # the bytes of one character share its span: only the last one, which no continuation follows, moves on
+        moves[byte >= 0] = ((np.append(byte[1:], -1) & 0xC0) != 0x80)[byte >= 0]
+        # a run of unknown characters is one piece
+        unknown = np.flatnonzero(ids == self.unknown)
+        for r in np.unique(np.searchsorted(first, unknown, "right") - 1).tolist():
+            surface = np.array([len(x) for x in self.segmenter.encode(runs[r], out_type=str)], np.int64)
+            moves[first[r] : first[r + 1]] = np.where(found[r] == self.unknown, surface, moves[first[r] : first[r + 1]])
+        at = np.append(0, np.cumsum(moves))
+        if (np.diff(at[first]) != np.fromiter(map(len, runs), np.int64, len(runs))).any():
+            raise ValueError("pieces do not cover their text")
+        last = np.cumsum(of_text)
+        counts = first[last] - first[last - of_text]
+        begin = at[:-1] + np.repeat(np.arange(len(norms)), counts)
+        return ids, begin, begin + np.where(byte >= 0, 1, moves), counts
 
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """For each text the ids of its pieces and where in the source's bytes each begins and ends."""
-        for k in range(0, len(texts), TEXTS):
-            norms = [self.normalise(t) for t in texts[k : k + TEXTS]]
-            for (_, where), found in zip(norms, self.segments([n for n, _ in norms]), strict=True):
-                yield found[:, 0], where[found[:, 1]], where[found[:, 2]]
+        for group in groups(texts):
+            norms = [self.normalise(t) for t in group]
+            ids, begin, end, counts = self.segments([n for n, _ in norms])
+            where = np.concatenate([w for _, w in norms])
+            begin, end = where[begin], where[end]
+            stop = np.cumsum(counts)
+            for a, b in zip((stop - counts).tolist(), stop.tolist(), strict=True):
+                yield ids[a:b], begin[a:b], end[a:b]
 
     def spans(self, text: str) -> list[tuple[int, str, int, int]]:
         """Id, piece and source byte span of every piece; the pieces' spans follow each other over the whole text."""
@@ -221,6 +176,16 @@ class Encoder:
         return [(i, self.piece[i], b, e) for i, b, e in zip(ids, begin, end, strict=True)]
 
 
+def groups(texts: list[str]) -> Iterator[list[str]]:
+    """Up to TEXTS texts at a time, fewer where they have over CHARS characters."""
+    first = size = 0
+    for k, text in enumerate(texts, 1):
+        size += len(text)
+        if k - first == TEXTS or size > CHARS or k == len(texts):
+            yield texts[first:k]
+            first, size = k, 0
+
+
 @lru_cache(1)
 def encoder(model: str) -> Encoder:
     return Encoder(model)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 
@@ -42,3 +43,45 @@ def test_repeated_rows_and_clashing_columns(spark, library):
     assert len(out) == 5 and n == {1: len(library.encode("two rows")) + 1, None: 1, 2: 1, 3: len(library.encode("long " * 30000)) + 1}
     back = sp.decode(sp.encode(docs, llm.tokenizer_path()).selectExpr("doc_id", "text", "pieces.id AS ids"), llm.tokenizer_path())
     assert all(r.decoded == (r.text or "").strip() or r.text.startswith("long") and r.decoded == r.text for r in back.collect())
+
+
+def test_new_words_cost_little_more_than_the_librarys_own_pass(library):
+    """Spans of words that no text had before, some with bytes: CPU time beside that of the library's ids alone."""
+    rng = random.Random(5)
+    part = ["an", "ció", "er", "𒀀", "𓀀", "\x07"]
+    encoder = sp.Encoder(llm.tokenizer_path())
+
+    def seconds(f) -> float:
+        start = time.process_time()
+        f()
+        return time.process_time() - start
+
+    shares = []
+    for _ in range(5):
+        texts = [" ".join("".join(rng.choices(part, k=8)) for _ in range(200)) for _ in range(320)]
+        least = min(seconds(lambda: library.encode(texts, num_threads=1)) for _ in range(2))  # noqa: B023
+        shares.append(seconds(lambda: list(encoder.encode(texts))) / least)  # noqa: B023
+    assert min(shares) < 2
+
+
+def test_unknown_characters_and_small_groups(tmp_path, monkeypatch):
+    """A model without bytes: a run of unknown characters is one piece with their span; groups and runs may end anywhere."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    with open(llm.tokenizer_path(), "rb") as f:
+        proto.ParseFromString(f.read())
+    proto.trainer_spec.byte_fallback = False
+    for p in proto.pieces:
+        p.type = 5 if p.type == 6 else p.type
+    (tmp_path / "plain.model").write_bytes(proto.SerializeToString())
+    monkeypatch.setattr(sp, "CACHE_BYTES", 500)
+    monkeypatch.setattr(sp, "CHARS", 40)
+    texts = ["one 𒀀𓀀x  𒀀 two", "", "   ", "a▁▁ b 𒀀" * 9, "x" * 90, "𒀀"] * 20
+    library = sentencepiece.SentencePieceProcessor(model_file=str(tmp_path / "plain.model"))
+    got = list(sp.Encoder(str(tmp_path / "plain.model")).encode(texts))
+    for t, (ids, begin, end) in zip(texts, got, strict=True):
+        assert ids.tolist() == library.encode(t)
+        assert list(end[:-1]) == list(begin[1:]) and (not t or (begin[0], end[-1]) == (0, len(t.encode())))
+    assert any(e - b == 8 for (ids, *at) in got for i, b, e in zip(ids, *at, strict=True) if i == library.unk_id())
